@@ -42,3 +42,7 @@ register("processing_report")(R.processing_report)
 register("backlog_report")(R.backlog_report)
 register("processing_and_backlog_report")(R.processing_and_backlog_report)
 register("backlog_daily")(R.backlog_daily)
+register("pipeline_forecast_report")(R.pipeline_report)
+register("pipeline_daily")(R.pipeline_daily)
+register("deal_signed_report")(R.deal_signed_report)
+register("margin_first_year_report")(R.margin_report)

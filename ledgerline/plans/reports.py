@@ -157,3 +157,203 @@ def backlog_daily(t: Tables, p: ReportParams, ids: DataFrame | None = None) -> D
     daily = expand_backlog(summary, t.backlog_curve)
     return daily.select("fcst_date", "sales_merchant_id", "sales_category",
                         units_to_money("backlog_units").alias("backlog_npv"))
+
+
+# --------------------------------------------------------------------------- pipeline (J-2, J-10)
+
+PIPE_KEYS = (
+    "opportunity", "opportunity_name", "opportunity_created_date", "opportunity_close_date", "opportunity_owner",
+    "opportunity_type", "opportunity_expected_go_live_date", "opportunity_status", "opportunity_industry",
+    "opportunity_merchant_country", "live_or_not", "unified_funnel__activation_date_date",
+)
+
+
+def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_variant: str | None = None) -> DataFrame:
+    """Eligible deals with their expected first-year amount (one row per deal and attribute set).
+
+    ``mes_opportunity_amount`` = amount counted once per deal x mean probability / 100
+    (exact decimal); NULL probability leaves it NULL.
+    """
+    from ..functions.measures import days_since_close, live_or_not
+
+    e = eligible_pipeline(t.opportunities, t.merchants, p).select(
+        "*",
+        opportunity_status("opportunity_stage").alias("opportunity_status"),
+        live_or_not("unified_funnel__activation_date_date", p.as_of).alias("live_or_not"),
+    )
+    if vertical_variant is not None:
+        e = e.withColumn("vertical", vertical(None, "opportunity_merchant_country", "opportunity_industry",
+                                              variant=vertical_variant))
+    mes = (amount_once_in_group("opportunity_amount").cast("decimal(18,2)")
+           * F.avg(F.col("opportunity_probability").cast("decimal(5,0)")) / F.lit(100).cast("decimal(3,0)"))
+    return e.groupBy(*keys).agg(
+        mes.cast(MONEY).alias("mes_opportunity_amount"),
+        F.coalesce(F.sum(days_since_close("opportunity_close_date", p.as_of)), F.lit(0)).alias("days_since_close_date"),
+    )
+
+
+def pipeline_report(t: Tables, p: ReportParams) -> DataFrame:
+    """J-2: expected revenue of deals not yet live, spread daily on the pipeline curve, by segment and week."""
+    pipe = pipeline_opportunities(t, p)
+    daily = expand_pipeline(pipe, t.pipeline_curve)
+    f = F.col("fcst_date")
+    go_live = "opportunity_expected_go_live_date"
+    weekly = daily.groupBy(
+        "opportunity", "opportunity_name", "opportunity_owner", "opportunity_merchant_country",
+        "opportunity_industry", "opportunity_status", "opportunity_type", go_live,
+        P.period_label(f, "year").alias("year"), P.period_label(f, "quarter").alias("quarter"),
+        P.finance_week(f).alias("finance_week"),
+        P.this_week_flag(f, p.as_of, p.this_week_lag_days).alias("this_week"),
+        P.ninety_day_live(go_live, f).alias("ninety_day_live"),
+        P.first_year_sold(go_live, f).alias("first_year_sold"),
+    ).agg(F.sum("pipeline_units").alias("units"), F.min("opportunity_created_date").alias("min_created"))
+    cc = countries_by(t.country_codes, "name")
+    tm = teams(t.team_role, p.exclude_roles)
+    j = (weekly.join(cc, weekly["opportunity_merchant_country"] == cc["sfdc_country_name"])
+         .join(tm, weekly["opportunity_owner"] == tm["sales_owner"]))
+    return j.select(
+        F.col("opportunity_status").alias("data_type"), "year", "quarter", "finance_week",
+        F.lit(0).alias("qtd"), "this_week",
+        F.col("sales_region").alias("region"), F.col("sfdc_country_name").alias("country"),
+        F.lit("").alias("sales_channel"),
+        sub_region("sales_role", "sales_region", "sfdc_country_name", "opportunity_industry", code="country_code",
+                   location="sales_location", variant="C").alias("sub_region"),
+        vertical("sales_region", "sfdc_country_name", "opportunity_industry", variant="A").alias("vertical"),
+        F.col("opportunity_owner").alias("owner"), "sales_role", "sales_location",
+        opportunity_merchant_key("opportunity").alias("sales_merchant_id"),
+        F.col("opportunity_name").alias("merchant_name"),
+        F.lit("opportunity").alias("sales_category"),
+        F.col(go_live).alias("sales_activation_date"),
+        "ninety_day_live", "first_year_sold",
+        units_to_money(F.coalesce(F.col("units"), F.lit(0))).alias("npv_fixed_fx"),
+        P.new_npv(go_live, p, opp_type="opportunity_type").alias("newNPV"),
+        P.in_quarter(go_live, "min_created", p.as_of, p.in_quarter_lag_days).alias("in_quarter_opportunity"),
+    )
+
+
+DEPRECATED_PIPE_KEYS = (
+    "opportunity", "opportunity_name", "opportunity_close_date", "opportunity_owner",
+    "opportunity_expected_go_live_date", "opportunity_status", "vertical", "opportunity_merchant_country",
+    "live_or_not", "unified_funnel__activation_date_date",
+)
+
+
+def pipeline_daily(t: Tables, p: ReportParams) -> DataFrame:
+    """J-10: ungrouped daily pipeline (older vertical rules)."""
+    pipe = pipeline_opportunities(t, p, DEPRECATED_PIPE_KEYS, vertical_variant="F")
+    daily = expand_pipeline(pipe, t.pipeline_curve)
+    return daily.select(
+        "fcst_date",
+        opportunity_merchant_key("opportunity").alias("unified_merchant_id"),
+        F.col("opportunity_owner").alias("owner"),
+        F.col("opportunity_name").alias("merchant_name"),
+        "opportunity_merchant_country", "vertical", "opportunity_status",
+        units_to_money("pipeline_units").alias("pipeline_npv"),
+    )
+
+
+# --------------------------------------------------------------------------- deal signed (J-1)
+
+def deal_signed_report(t: Tables, p: ReportParams) -> DataFrame:
+    """J-1: one row per open or won deal with period labels, segment and this-week flags."""
+    o = t.opportunities.filter(~F.col("opportunity_stage").isin(*EXCLUDED_DEAL_STAGES))
+    cc = countries_by(t.country_codes, "name")
+    tm = teams(t.team_role, p.exclude_roles)
+    j = (o.join(cc, o["opportunity_merchant_country"] == cc["sfdc_country_name"])
+         .join(tm, o["opportunity_owner"] == tm["sales_owner"]))
+    close, created, live = "opportunity_close_date", "opportunity_created_date", "opportunity_expected_go_live_date"
+    return j.select(
+        F.lit("deal_data").alias("data_type"),
+        P.period_label(close, "quarter").alias("close_quarter"),
+        P.finance_week(close).alias("close_finance_week"),
+        closed_flag("opportunity_stage").alias("closed"),
+        P.period_label(created, "quarter").alias("pipeline_created_quarter"),
+        P.finance_week(created).alias("pipeline_created_finance_week"),
+        P.period_label(live, "quarter").alias("expected_go_live_quarter"),
+        P.finance_week(live).alias("expected_go_live_finance_week"),
+        F.date_format(live, "yyyy-MM-dd").alias("opportunity_expected_go_live_date"),
+        F.col("sales_region").alias("region"), F.col("sfdc_country_name").alias("country"),
+        F.lit("").alias("sales_channel"),
+        sub_region("sales_role", "sales_region", "sfdc_country_name", "opportunity_industry", code="country_code",
+                   location="sales_location", variant="B").alias("sub_region"),
+        F.col("opportunity_owner").alias("owner"), "sales_role", "sales_location",
+        opportunity_merchant_key("opportunity").alias("sales_merchant_id"),
+        F.col("opportunity_name").alias("merchant_name"),
+        "opportunity_stage", "opportunity_probability", "opportunity_amount",
+        weighted_amount("opportunity_probability", "opportunity_amount").alias("wgted_opportunity_amount"),
+        P.cohort_flag(created, p.as_of).alias("created_this_week"),
+        P.cohort_flag(close, p.as_of).alias("closed_this_week"),
+        P.cohort_flag(live, p.as_of).alias("live_this_week"),
+    )
+
+
+# --------------------------------------------------------------------------- margin (J-6)
+
+MARGIN_MEASURES = (
+    ("npv", "npv_fixed_fx"),
+    ("revenue_total", "revenue_fixed_fx"),
+    ("costs_total", "costs_fixed_fx"),
+    ("revenue_fx", "revenue_fx_fixed_fx"),
+    ("revenue_disputes", "revenue_disputes_fixed_fx"),
+    ("revenue_other_api", "revenue_other_api_fixed_fx"),
+)
+
+
+def margin_daily(t: Tables, p: ReportParams, start=None) -> DataFrame:
+    """O-25: six first-year money measures per (capture day, merchant), in cents.
+
+    Sold merchants, captures in [start or history_start, as_of); a measure
+    counts only while the capture is 0..365 days after activation.
+    """
+    from ..operators.attribution import merchant_attribution
+
+    m = t.margin
+    daily = capture_range(m, start or p.history_start, p.as_of).groupBy("sales_merchant_id", "capture_date").agg(
+        *[F.sum(c).alias(c) for c, _ in MARGIN_MEASURES])
+    attr = merchant_attribution(t.merchants, None, None).select("sales_merchant_id", "orig_activation")
+    j = daily.join(attr, "sales_merchant_id")
+    fy = P.in_first_year("orig_activation", "capture_date")
+    return j.select(
+        "capture_date", "sales_merchant_id", F.col("orig_activation").alias("sales_activation_date"),
+        *[F.when(fy, F.col(c)).otherwise(F.lit(0).cast("bigint")).alias(c) for c, _ in MARGIN_MEASURES],
+    )
+
+
+def margin_report(t: Tables, p: ReportParams) -> DataFrame:
+    """J-6: first-year margin measures per merchant and month, with the deal amount attached.
+
+    ``opportunity_amount_usd_fixed_fx`` keeps the report's sum over capture
+    days (the deal amount once per day row); ``opportunity_amount_once``
+    counts it once.  ``mtd`` keeps the report's quarter comparison;
+    ``month_to_date`` compares months.
+    """
+    d = F.col("capture_date")
+    act = "sales_activation_date"
+    mtd, this_month, true_mtd = P.month_flags(d, p.as_of)
+    monthly = (
+        margin_daily(t, p, start=p.report_start)
+        .groupBy(
+            "sales_merchant_id", act,
+            P.period_label(d, "year").alias("year"), P.period_label(d, "quarter").alias("quarter"),
+            P.period_label(d, "month").alias("month"), mtd.alias("mtd"), true_mtd.alias("month_to_date"),
+            P.ninety_day_live(act, d).alias("ninety_day_live"), P.first_year_sold(act, d).alias("first_year_sold"),
+        )
+        .agg(*[F.sum(c).alias(c) for c, _ in MARGIN_MEASURES], F.count(F.lit(1)).alias("n_days"))
+    )
+    seg = segment_dimension(t.merchants, t.country_codes, t.team_role, None, "A", "A", p.exclude_roles)
+    opp_of = t.merchants.select(F.col("merchant_id").alias("sales_merchant_id"), "sfdc_opportunity")
+    totals = opportunity_totals(t.opportunities)
+    j = (monthly.join(seg.drop("first_opportunity_created_date"), "sales_merchant_id")
+         .join(opp_of, "sales_merchant_id")
+         .join(totals, F.col("sfdc_opportunity") == totals["opportunity"]))
+    return j.select(
+        F.lit("weekly_processing").alias("data_type"), "year", "quarter", "month", "mtd",
+        this_month.alias("this_month"),
+        "region", "country", F.lit("").alias("sales_channel"), "sub_region", "vertical", "owner", "sales_role",
+        "sales_location", F.col("sales_merchant_id").cast("string").alias("sales_merchant_id"), "merchant_name",
+        F.lit("new biz").alias("sales_category"), act, "ninety_day_live", "first_year_sold",
+        *[money(cents_to_dollars(F.coalesce(F.col(c), F.lit(0)))).alias(out) for c, out in MARGIN_MEASURES],
+        money(F.col("opportunity_amount") * F.col("n_days")).alias("opportunity_amount_usd_fixed_fx"),
+        money(F.col("opportunity_amount")).alias("opportunity_amount_once"),
+        "month_to_date",
+    )
