@@ -46,3 +46,14 @@ register("pipeline_forecast_report")(R.pipeline_report)
 register("pipeline_daily")(R.pipeline_daily)
 register("deal_signed_report")(R.deal_signed_report)
 register("margin_first_year_report")(R.margin_report)
+
+from . import jobs as J  # noqa: E402
+
+register("weekly_processing_snapshot")(J.weekly_processing_snapshot_job)
+register("weekly_upsell_snapshot")(J.weekly_upsell_snapshot_job)
+register("snapshot_rotation")(J.snapshot_rotation)
+register("upsell_table_rotation")(J.upsell_table_rotation)
+register("team_role_maintenance")(J.team_role_maintenance)
+register("deal_level_export")(J.deal_level_export)
+register("owners_missing_role")(lambda t, p: R.owners_missing_role(t))
+register("team_role_upsert")(lambda t, p: R.team_role_fix(t))

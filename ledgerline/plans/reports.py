@@ -357,3 +357,95 @@ def margin_report(t: Tables, p: ReportParams) -> DataFrame:
         money(F.col("opportunity_amount")).alias("opportunity_amount_once"),
         "month_to_date",
     )
+
+
+# --------------------------------------------------------------------------- weekly snapshots (J-7, J-8)
+
+SNAPSHOT_COLUMNS = (
+    "data_type", "year", "quarter", "finance_week", "qtd", "region", "country", "sales_channel", "sub_region",
+    "vertical", "owner", "sales_role", "sales_location", "sales_merchant_id", "merchant_name", "activation_date",
+    "ninety_day_live", "first_year_sold", "npv_fixed_fx",
+)
+
+
+def weekly_snapshot(t: Tables, p: ReportParams, upsell: bool = False) -> DataFrame:
+    """J-7 / J-8 body: weekly revenue per merchant and segment (captures from history_start on).
+
+    With ``upsell`` only merchants with an included upsell count; the
+    activation date is the upsell date and the revenue is the upsell share.
+    """
+    from ..operators.attribution import current_upsells, daily_npv
+    from ..operators.dims import small_dimension
+
+    daily = daily_npv(t.payments, p.history_start, None)
+    m = t.merchants.filter(F.col("sales__is_sold") == F.lit(True)).select(
+        F.col("merchant_id").alias("sales_merchant_id"), F.col("activation_date"))
+    amount = cents_to_dollars(F.col("npv_cents"))
+    if upsell:
+        up = small_dimension(current_upsells(t.upsells), "sales_merchant_id", 5_000_000, "upsells")
+        m = m.join(up, "sales_merchant_id").select(
+            "sales_merchant_id", F.col("effective_activation_date").alias("activation_date"), "pct_share_of_npv")
+        amount = amount * F.col("pct_share_of_npv")
+    d = F.col("capture_date")
+    weekly = daily.join(m, "sales_merchant_id").groupBy(
+        "sales_merchant_id", "activation_date",
+        P.period_label(d, "year").alias("year"), P.period_label(d, "quarter").alias("quarter"),
+        P.finance_week(d).alias("finance_week"), P.qtd_flag(d, p.as_of).alias("qtd"),
+        P.ninety_day_live("activation_date", d).alias("ninety_day_live"),
+        P.first_year_sold("activation_date", d).alias("first_year_sold"),
+    ).agg(F.sum(amount).alias("npv"))
+    seg = segment_dimension(t.merchants, t.country_codes, t.team_role, None, "E", "E", p.exclude_roles)
+    j = weekly.join(seg.drop("first_opportunity_created_date"), "sales_merchant_id")
+    return j.select(
+        F.lit("weekly_processing").alias("data_type"), "year", "quarter", "finance_week", "qtd",
+        "region", "country", F.lit("").alias("sales_channel"), "sub_region", "vertical", "owner", "sales_role",
+        "sales_location", F.col("sales_merchant_id").cast("string").alias("sales_merchant_id"), "merchant_name",
+        "activation_date", "ninety_day_live", "first_year_sold",
+        money(F.coalesce(F.col("npv"), F.lit(0))).alias("npv_fixed_fx"),
+    )
+
+
+def weekly_processing_snapshot(t: Tables, p: ReportParams) -> DataFrame:
+    """J-7 body (not written)."""
+    return weekly_snapshot(t, p, upsell=False)
+
+
+def weekly_upsell_snapshot(t: Tables, p: ReportParams) -> DataFrame:
+    """J-8 body (not written)."""
+    return weekly_snapshot(t, p, upsell=True)
+
+
+# --------------------------------------------------------------------------- team roles (O-30, O-31, J-12)
+
+def owners_missing_role(t: Tables, like: str = "%AE%") -> DataFrame:
+    """Distinct merchant owners whose role is not like ``like``, or who have no role at all."""
+    tm = t.team_role.select("sales_owner", F.col("role").alias("sales_role"))
+    m = t.merchants.select(F.col("sales__owner").alias("owner")).filter(F.col("owner").isNotNull())
+    j = m.join(tm, m["owner"] == tm["sales_owner"], "left")
+    return j.filter(F.col("sales_role").isNull() | ~F.col("sales_role").like(like)).select(
+        "owner", "sales_role").distinct()
+
+
+def upsert_roles(team: DataFrame, add: DataFrame | None = None, remove: DataFrame | None = None) -> DataFrame:
+    """Role table with ``remove`` owners dropped and ``add`` rows inserted (replacing same owners)."""
+    out = team.select("sales_owner", "role", "team")
+    for drop in (remove, add):
+        if drop is not None:
+            keys = drop.select(F.col("sales_owner").alias("_owner")).distinct()
+            out = out.join(keys, out["sales_owner"] == keys["_owner"], "left_anti")
+    if add is not None:
+        out = out.unionByName(add.select("sales_owner", "role", "team"))
+    return out
+
+
+def team_role_fix(t: Tables, role: str = "AE", team: str = "In-country") -> DataFrame:
+    """O-31: add every merchant or deal owner missing from the role table (``role`` / ``team``),
+    and remove role rows whose owner owns no merchant and no deal."""
+    owners = (t.merchants.select(F.col("sales__owner").alias("sales_owner"))
+              .unionByName(t.opportunities.select(F.col("opportunity_owner").alias("sales_owner")))
+              .filter(F.col("sales_owner").isNotNull()).distinct())
+    known = t.team_role.select("sales_owner")
+    missing = owners.join(known, "sales_owner", "left_anti").select(
+        "sales_owner", F.lit(role).alias("role"), F.lit(team).alias("team"))
+    stale = known.join(owners, "sales_owner", "left_anti")
+    return upsert_roles(t.team_role, add=missing, remove=stale)

@@ -37,9 +37,23 @@ class Tables:
     upsells: DataFrame
     backlog_curve: DataFrame
     pipeline_curve: DataFrame
+    source_dir: str = ""
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in dataclasses.fields(self)}
+        return {f.name: getattr(self, f.name) for f in dataclasses.fields(self) if f.name != "source_dir"}
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.payments.sparkSession
+
+    def raw(self, name: str) -> DataFrame:
+        """A table of the source folder (the driver's parquet files)."""
+        return fixtures.read_raw(self.spark, self.source_dir, name)
+
+    def output_path(self, *parts: str) -> str:
+        """Per-dataset folder under the shared scratch folder for written outputs."""
+        tag = hashlib.sha1(self.source_dir.rstrip("/").encode()).hexdigest()[:16]
+        return scratch_path(self.spark, "outputs", tag, *parts)
 
 
 def capture_range(df: DataFrame, start=None, end=None, start_inclusive: bool = True) -> DataFrame:
@@ -74,10 +88,11 @@ def stage_tables(spark: SparkSession, sf_dir: str) -> Tables:
         upsells=fixtures.upsells(merchants),
         backlog_curve=fixtures.backlog_curve(spark),
         pipeline_curve=fixtures.pipeline_curve(spark),
+        source_dir=sf_dir,
     )
 
 
-_CACHE: dict[tuple[str, str], Tables] = {}
+_CACHE: dict[tuple[str, str, str], Tables] = {}
 _LOCK = threading.Lock()
 
 
@@ -97,7 +112,7 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
     if not materialize:
         return stage_tables(spark, sf_dir)
     root = scratch_path(spark, "staged", hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:16])
-    key = (root, sf_dir)
+    key = (spark.sparkContext.applicationId, root, sf_dir)
     with _LOCK:
         if key in _CACHE:
             return _CACHE[key]
@@ -110,6 +125,6 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
             path = f"{root}/{name}"
             _write(df, path, name in FACT_TABLES)
             out[name] = spark.read.parquet(path)
-        tables = Tables(**out)
+        tables = Tables(**out, source_dir=sf_dir)
         _CACHE[key] = tables
         return tables
