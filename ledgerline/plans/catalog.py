@@ -1,3 +1,484 @@
-"""Operator-level registered queries (one per inventory item)."""
+"""Operator-level registered queries: one per inventory item, each over the whole staged tables."""
 
 from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import periods as P
+from ..functions.measures import (
+    cents_to_dollars,
+    days_since_close,
+    forecast_weighted_amount,
+    live_or_not,
+    money,
+    to_units,
+    units_to_money,
+    upsell_snapshot_measure,
+    weighted_amount,
+)
+from ..functions.segments import closed_flag, opportunity_status, sub_region, vertical
+from ..operators import attribution as A
+from ..operators import enrich as E
+from ..operators import rollups as RU
+from ..operators.curves import backlog_summary as _backlog_summary
+from ..operators.curves import expand_pipeline
+from ..operators.fanout import sum_once
+from ..params import ReportParams
+from ..sources.tables import Tables
+from . import reports as R
+from .registry import register
+
+# ----------------------------------------------------------------------------- periods (O-1..O-5)
+
+
+def _capture_dates(t: Tables) -> DataFrame:
+    return t.payments.select("capture_date").distinct()
+
+
+@register("finance_week")
+def finance_week(t: Tables, p: ReportParams) -> DataFrame:
+    return _capture_dates(t).select("capture_date", P.finance_week("capture_date").alias("finance_week"))
+
+
+@register("period_labels")
+def period_labels(t: Tables, p: ReportParams) -> DataFrame:
+    d = "capture_date"
+    return _capture_dates(t).select(d, P.period_label(d, "year").alias("year"),
+                                    P.period_label(d, "quarter").alias("quarter"),
+                                    P.period_label(d, "month").alias("month"))
+
+
+@register("qtd_flag")
+def qtd_flag(t: Tables, p: ReportParams) -> DataFrame:
+    return _capture_dates(t).select("capture_date", P.qtd_flag("capture_date", p.as_of).alias("qtd"))
+
+
+@register("this_week_flag")
+def this_week_flag(t: Tables, p: ReportParams) -> DataFrame:
+    return _capture_dates(t).select(
+        "capture_date", P.this_week_flag("capture_date", p.as_of, p.this_week_lag_days).alias("this_week"))
+
+
+@register("mtd_flag")
+def mtd_flag(t: Tables, p: ReportParams) -> DataFrame:
+    mtd, this_month, true_mtd = P.month_flags(F.col("capture_date"), p.as_of)
+    return _capture_dates(t).select("capture_date", mtd.alias("mtd"), this_month.alias("this_month"),
+                                    true_mtd.alias("month_to_date"))
+
+
+@register("activation_age")
+def activation_age(t: Tables, p: ReportParams) -> DataFrame:
+    return t.merchants.select("merchant_id", "activation_date",
+                              P.days_since("activation_date", p.as_of).alias("activation_age"))
+
+
+def _merchant_days(t: Tables, p: ReportParams) -> DataFrame:
+    daily = A.daily_npv(t.payments, p.history_start, p.as_of)
+    m = t.merchants.select(F.col("merchant_id").alias("sales_merchant_id"), "activation_date")
+    return daily.join(m, "sales_merchant_id")
+
+
+@register("ninety_day_live")
+def ninety_day_live(t: Tables, p: ReportParams) -> DataFrame:
+    return _merchant_days(t, p).groupBy(
+        "sales_merchant_id", P.ninety_day_live("activation_date", "capture_date").alias("ninety_day_live")
+    ).agg(F.count(F.lit(1)).alias("n_days"))
+
+
+@register("first_year_sold")
+def first_year_sold(t: Tables, p: ReportParams) -> DataFrame:
+    return _merchant_days(t, p).groupBy(
+        "sales_merchant_id", P.first_year_sold("activation_date", "capture_date").alias("first_year_sold")
+    ).agg(F.count(F.lit(1)).alias("n_days"))
+
+
+@register("age_flags_with_end_date")
+def age_flags_with_end_date(t: Tables, p: ReportParams) -> DataFrame:
+    daily = R.daily_backlog(R.report_processing_volume(t, p), t, p, with_end_dates=True)
+    f, act, end = "fcst_date", "sales_activation_date", F.col("backlog_end_date")
+    return daily.groupBy(
+        "sales_merchant_id", "sales_category",
+        P.ninety_day_live(act, f, end).alias("ninety_day_live"),
+        P.first_year_sold(act, f, end).alias("first_year_sold"),
+    ).agg(F.count(F.lit(1)).alias("n_days"))
+
+
+# ----------------------------------------------------------------------------- segments (O-6..O-10)
+
+
+def _merchant_segments(t: Tables) -> DataFrame:
+    m = t.merchants.select("merchant_id", "sales__industry", "sales__merchant_country", "sales__owner")
+    m = E.enrich_country(m, t.country_codes, "sales__merchant_country", "code")
+    return E.enrich_team(m, t.team_role, "sales__owner")
+
+
+def _deal_segments(t: Tables) -> DataFrame:
+    o = t.opportunities.select("opportunity", "opportunity_industry", "opportunity_merchant_country",
+                               "opportunity_owner")
+    o = E.enrich_country(o, t.country_codes, "opportunity_merchant_country", "name")
+    return E.enrich_team(o, t.team_role, "opportunity_owner")
+
+
+def _merchant_sub_region(variant: str):
+    def q(t: Tables, p: ReportParams) -> DataFrame:
+        return _merchant_segments(t).select(
+            "merchant_id",
+            sub_region("sales_role", "sales_region", "sfdc_country_name", "sales__industry", code="country_code",
+                       location="sales_location", variant=variant).alias("sub_region"))
+    return q
+
+
+def _deal_sub_region(variant: str):
+    def q(t: Tables, p: ReportParams) -> DataFrame:
+        return _deal_segments(t).select(
+            "opportunity",
+            sub_region("sales_role", "sales_region", "sfdc_country_name", "opportunity_industry",
+                       code="country_code", location="sales_location", variant=variant).alias("sub_region"))
+    return q
+
+
+register("sub_region")(_merchant_sub_region("A"))
+register("sub_region_b")(_deal_sub_region("B"))
+register("sub_region_c")(_deal_sub_region("C"))
+register("sub_region_d")(_merchant_sub_region("D"))
+register("sub_region_e")(_merchant_sub_region("E"))
+
+
+def _merchant_vertical(variant: str):
+    def q(t: Tables, p: ReportParams) -> DataFrame:
+        return _merchant_segments(t).select(
+            "merchant_id",
+            vertical("sales_region", "sfdc_country_name", "sales__industry", variant=variant).alias("vertical"))
+    return q
+
+
+register("vertical")(_merchant_vertical("A"))
+register("vertical_e")(_merchant_vertical("E"))
+
+
+@register("vertical_f")
+def vertical_f(t: Tables, p: ReportParams) -> DataFrame:
+    return t.opportunities.select(
+        "opportunity",
+        vertical(None, "opportunity_merchant_country", "opportunity_industry", variant="F").alias("vertical"))
+
+
+@register("opportunity_status")
+def q_opportunity_status(t: Tables, p: ReportParams) -> DataFrame:
+    return t.opportunities.select("opportunity", "opportunity_stage",
+                                  opportunity_status("opportunity_stage").alias("opportunity_status"))
+
+
+@register("closed_flag")
+def q_closed_flag(t: Tables, p: ReportParams) -> DataFrame:
+    return t.opportunities.select("opportunity", closed_flag("opportunity_stage").alias("closed"))
+
+
+@register("weighted_amount")
+def q_weighted_amount(t: Tables, p: ReportParams) -> DataFrame:
+    return t.opportunities.select(
+        "opportunity", weighted_amount("opportunity_probability", "opportunity_amount").alias("wgted_opportunity_amount"))
+
+
+# ----------------------------------------------------------------------------- measures and rollups (O-11..O-15)
+
+
+@register("fanout_safe_sum")
+def fanout_safe_sum(t: Tables, p: ReportParams) -> DataFrame:
+    """Deal amounts per owner after a join that repeats each deal once per order line."""
+    lines = t.raw("lineitem").select(F.col("l_orderkey").cast("string").alias("opportunity"), "l_linenumber")
+    fanned = t.opportunities.select("opportunity", "opportunity_owner", "opportunity_amount").join(lines, "opportunity")
+    out = sum_once(fanned, ["opportunity_owner"], "opportunity", "opportunity_amount", "opportunity_amount_once")
+    return out.select("opportunity_owner", F.col("opportunity_amount_once").cast("decimal(18,2)"))
+
+
+@register("expected_amount")
+def expected_amount(t: Tables, p: ReportParams) -> DataFrame:
+    return R.pipeline_opportunities(t, p).select("opportunity", "mes_opportunity_amount")
+
+
+@register("first_contact")
+def q_first_contact(t: Tables, p: ReportParams) -> DataFrame:
+    return RU.first_contact(t.opportunities)
+
+
+@register("special_dates")
+def q_special_dates(t: Tables, p: ReportParams) -> DataFrame:
+    return RU.special_dates(t.opportunities)
+
+
+@register("activation_override")
+def q_activation_override(t: Tables, p: ReportParams) -> DataFrame:
+    sd = RU.special_dates(t.opportunities).select(F.col("sales_merchant_id").alias("merchant_id"),
+                                                  "adjusted_activation_date")
+    return t.merchants.select("merchant_id", "activation_date").join(sd, "merchant_id", "left").select(
+        "merchant_id", "activation_date", "adjusted_activation_date",
+        RU.activation_override("activation_date", "adjusted_activation_date").alias("sales_activation_date"))
+
+
+# ----------------------------------------------------------------------------- attribution and curves (O-16..O-21)
+
+
+def _pv_money(pv: DataFrame) -> DataFrame:
+    return pv.select(*[c for c in A.PV_COLUMNS[:-2]],
+                     money("first_year_sold_npv_usd_fx").alias("first_year_sold_npv_usd_fx"),
+                     money("total_npv").alias("total_npv"))
+
+
+@register("new_business_leg")
+def new_business_leg(t: Tables, p: ReportParams) -> DataFrame:
+    return _pv_money(A.new_business_leg(t.payments, t.merchants, t.upsells, RU.special_dates(t.opportunities),
+                                        p.history_start, p.as_of))
+
+
+@register("upsell_leg")
+def upsell_leg(t: Tables, p: ReportParams) -> DataFrame:
+    return _pv_money(A.upsell_leg(t.payments, t.merchants, t.upsells, p.history_start, p.as_of))
+
+
+@register("processing_volume")
+def q_processing_volume(t: Tables, p: ReportParams) -> DataFrame:
+    return _pv_money(R.report_processing_volume(t, p))
+
+
+@register("backlog_summary")
+def q_backlog_summary(t: Tables, p: ReportParams) -> DataFrame:
+    s = _backlog_summary(R.report_processing_volume(t, p), t.backlog_curve, p.as_of)
+    return s.select("sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
+                    "days_since_activation", money("first_year_npv").alias("first_year_npv"),
+                    units_to_money(to_units("first_year_est_npv")).alias("first_year_est_npv"))
+
+
+@register("backlog_curve_expand")
+def backlog_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
+    d = R.daily_backlog(R.report_processing_volume(t, p), t, p, with_end_dates=False)
+    return d.select("fcst_date", "sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
+                    units_to_money("backlog_units").alias("backlog_npv"))
+
+
+@register("pipeline_curve_expand")
+def pipeline_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
+    d = expand_pipeline(R.pipeline_opportunities(t, p), t.pipeline_curve)
+    return d.groupBy("fcst_date").agg(F.count(F.lit(1)).alias("n_rows"),
+                                      units_to_money(F.coalesce(F.sum("pipeline_units"), F.lit(0))).alias("pipeline_npv"))
+
+
+# ----------------------------------------------------------------------------- report flags (O-22..O-24)
+
+
+@register("new_npv_processing")
+def new_npv_processing(t: Tables, p: ReportParams) -> DataFrame:
+    pv = R.report_processing_volume(t, p)
+    return pv.select("sales_merchant_id", "sales_category", "orig_activation").distinct().withColumn(
+        "newNPV", P.new_npv("orig_activation", p))
+
+
+@register("new_npv_backlog")
+def new_npv_backlog(t: Tables, p: ReportParams) -> DataFrame:
+    d = R.daily_backlog(R.report_processing_volume(t, p), t, p, with_end_dates=False)
+    return d.groupBy("sales_merchant_id", "sales_category",
+                     P.new_npv("orig_activation", p, fcst="fcst_date").alias("newNPV")).agg(
+        F.count(F.lit(1)).alias("n_days"))
+
+
+@register("new_npv_pipeline")
+def new_npv_pipeline(t: Tables, p: ReportParams) -> DataFrame:
+    pipe = R.pipeline_opportunities(t, p)
+    return pipe.select("opportunity", P.new_npv("opportunity_expected_go_live_date", p,
+                                                opp_type="opportunity_type").alias("newNPV"))
+
+
+@register("in_quarter_opportunity")
+def in_quarter_opportunity(t: Tables, p: ReportParams) -> DataFrame:
+    act = q_activation_override(t, p).select("merchant_id", "sales_activation_date")
+    fc = RU.first_contact(t.opportunities).withColumnRenamed("sales_merchant_id", "merchant_id")
+    j = act.join(fc, "merchant_id", "left")
+    return j.select("merchant_id", "sales_activation_date", "first_opportunity_created_date",
+                    P.in_quarter("sales_activation_date", "first_opportunity_created_date", p.as_of,
+                                 p.in_quarter_lag_days).alias("in_quarter_opportunity"))
+
+
+@register("this_week_cohort_flags")
+def this_week_cohort_flags(t: Tables, p: ReportParams) -> DataFrame:
+    return t.opportunities.select(
+        "opportunity",
+        P.cohort_flag("opportunity_created_date", p.as_of).alias("created_this_week"),
+        P.cohort_flag("opportunity_close_date", p.as_of).alias("closed_this_week"),
+        P.cohort_flag("opportunity_expected_go_live_date", p.as_of).alias("live_this_week"))
+
+
+# ----------------------------------------------------------------------------- margin (O-25, O-26)
+
+
+@register("margin_measures")
+def margin_measures(t: Tables, p: ReportParams) -> DataFrame:
+    d = R.margin_daily(t, p)
+    return d.select("capture_date", "sales_merchant_id", "sales_activation_date",
+                    *[money(cents_to_dollars(c)).alias(out) for c, out in R.MARGIN_MEASURES])
+
+
+@register("opportunity_amount_attach")
+def opportunity_amount_attach(t: Tables, p: ReportParams) -> DataFrame:
+    totals = RU.opportunity_totals(t.opportunities)
+    m = t.merchants.select("merchant_id", "sfdc_opportunity")
+    return m.join(totals, m["sfdc_opportunity"] == totals["opportunity"]).select(
+        "merchant_id", "sfdc_opportunity", money("opportunity_amount").alias("opportunity_amount"))
+
+
+# ----------------------------------------------------------------------------- enrichment and shaping (O-28..O-36)
+
+
+@register("enrich_country_by_name")
+def enrich_country_by_name(t: Tables, p: ReportParams) -> DataFrame:
+    o = t.opportunities.select("opportunity", "opportunity_merchant_country")
+    return E.enrich_country(o, t.country_codes, "opportunity_merchant_country", "name").select(
+        "opportunity", "country_code", "sales_region")
+
+
+@register("enrich_country_by_code")
+def enrich_country_by_code(t: Tables, p: ReportParams) -> DataFrame:
+    m = t.merchants.select("merchant_id", "sales__merchant_country")
+    return E.enrich_country(m, t.country_codes, "sales__merchant_country", "code").select(
+        "merchant_id", "sfdc_country_name", "sales_region")
+
+
+@register("enrich_team")
+def q_enrich_team(t: Tables, p: ReportParams) -> DataFrame:
+    m = t.merchants.select("merchant_id", F.col("sales__owner").alias("owner"))
+    return E.enrich_team(m, t.team_role, "owner").select("merchant_id", "owner", "sales_role", "sales_location")
+
+
+@register("enrich_merchant")
+def q_enrich_merchant(t: Tables, p: ReportParams) -> DataFrame:
+    daily = A.daily_npv(t.payments, p.history_start, p.as_of)
+    j = E.enrich_merchant(daily, t.merchants.select("merchant_id", "activation_date"))
+    return j.groupBy("sales_merchant_id", "activation_date").agg(
+        F.count(F.lit(1)).alias("n_days"), money(cents_to_dollars(F.sum("npv_cents"))).alias("npv"))
+
+
+@register("account_allow_list")
+def account_allow_list(t: Tables, p: ReportParams) -> DataFrame:
+    """Daily backlog of the accounts listed in the upsell table (the list is a table, any size)."""
+    return R.backlog_daily(t, p, ids=t.upsells.select("sales_merchant_id"))
+
+
+@register("opportunity_merchant_key")
+def q_opportunity_merchant_key(t: Tables, p: ReportParams) -> DataFrame:
+    return t.opportunities.select("opportunity", E.opportunity_merchant_key("opportunity").alias("sales_merchant_id"))
+
+
+@register("report_constants")
+def report_constants(t: Tables, p: ReportParams) -> DataFrame:
+    return E.with_report_constants(t.country_codes.select("country_code"), data_type="weekly_backlog",
+                                   sales_channel="", sales_category="opportunity", qtd=0, this_week=0)
+
+
+@register("upsell_snapshot_measure")
+def q_upsell_snapshot_measure(t: Tables, p: ReportParams) -> DataFrame:
+    up = A.current_upsells(t.upsells).select("sales_merchant_id", "pct_share_of_npv")
+    pay = A.daily_npv(t.payments, p.history_start, None).join(up, "sales_merchant_id")
+    return pay.groupBy("sales_merchant_id", P.finance_week("capture_date").alias("finance_week")).agg(
+        money(F.sum(upsell_snapshot_measure("npv_cents", "pct_share_of_npv"))).alias("npv_fixed_fx"))
+
+
+@register("pipeline_eligibility")
+def pipeline_eligibility(t: Tables, p: ReportParams) -> DataFrame:
+    return E.eligible_pipeline(t.opportunities, t.merchants, p).select(
+        "opportunity", "opportunity_stage", "opportunity_expected_go_live_date", "unified_funnel__activation_date_date")
+
+
+def _opps_with_activation(t: Tables) -> DataFrame:
+    m = t.merchants.select(F.col("merchant_id").alias("_mid"), F.col("activation_date"))
+    o = t.opportunities
+    return o.join(m, o["merchant_id"] == m["_mid"], "left")
+
+
+@register("live_or_not")
+def q_live_or_not(t: Tables, p: ReportParams) -> DataFrame:
+    return _opps_with_activation(t).select("opportunity", live_or_not("activation_date", p.as_of).alias("live_or_not"))
+
+
+@register("days_since_close")
+def q_days_since_close(t: Tables, p: ReportParams) -> DataFrame:
+    return t.opportunities.select("opportunity",
+                                  days_since_close("opportunity_close_date", p.as_of).alias("days_since_close_date"))
+
+
+# ----------------------------------------------------------------------------- requested features (R-*)
+
+
+@register("week_over_week")
+def week_over_week(t: Tables, p: ReportParams) -> DataFrame:
+    """Week-on-week change of realised first-year NPV per region and sub-region.
+
+    Each week is joined to the week before (full outer equi-join on the
+    shifted week), so a week with no revenue after a week with revenue shows
+    the drop; no window over an unbounded partition.
+    """
+    rep = R.processing_report(t, p)
+    wk = rep.groupBy("region", "sub_region", F.to_date("finance_week").alias("week")).agg(
+        F.sum("npv_fixed_fx").alias("npv"))
+    prev = wk.select("region", "sub_region", F.date_add("week", 7).alias("week"), F.col("npv").alias("prev_npv"))
+    j = wk.join(prev, ["region", "sub_region", "week"], "full_outer")
+    j = j.filter(F.col("week") <= P.finance_week_start(F.lit(p.as_of)))
+    cur, before = F.coalesce("npv", F.lit(0)), F.coalesce("prev_npv", F.lit(0))
+    return j.select("region", "sub_region", F.date_format("week", "yyyy-MM-dd").alias("finance_week"),
+                    money(cur).alias("npv_fixed_fx"), money(before).alias("prev_week_npv_fixed_fx"),
+                    money(cur - before).alias("wow_change"))
+
+
+@register("recently_live")
+def recently_live(t: Tables, p: ReportParams, days: int = 28) -> DataFrame:
+    """Merchants that went live in the ``days`` before the report date, with segment and deal amount."""
+    m = t.merchants.filter(E.recently_live(t.merchants, p.as_of, days))
+    seg = E.segment_dimension(m, t.country_codes, t.team_role, None, "A", "A", p.exclude_roles)
+    totals = RU.opportunity_totals(t.opportunities)
+    opp = m.select(F.col("merchant_id").alias("sales_merchant_id"), "sfdc_opportunity")
+    j = seg.join(opp, "sales_merchant_id").join(totals, F.col("sfdc_opportunity") == totals["opportunity"], "left")
+    return j.select("sales_merchant_id", F.col("merchant_activation_date").alias("activation_date"), "region",
+                    "sub_region", "owner", "sales_role", money("opportunity_amount").alias("opportunity_amount"))
+
+
+@register("role_as_of")
+def role_as_of(t: Tables, p: ReportParams) -> DataFrame:
+    """Deal-signed report without AM-owned deals (until a role history exists)."""
+    return R.deal_signed_report(t, p.with_(exclude_roles=("AM",)))
+
+
+@register("forecast_weighting")
+def forecast_weighting(t: Tables, p: ReportParams) -> DataFrame:
+    o = t.opportunities.filter(~F.col("opportunity_stage").isin("Lost", "Duplicate"))
+    w = forecast_weighted_amount("opportunity_amount", "opportunity_probability", "opportunity_forecast_category",
+                                 "opportunity_deal_amount")
+    return o.groupBy("opportunity_forecast_category", "opportunity_stage",
+                     P.period_label("opportunity_close_date", "quarter").alias("close_quarter")).agg(
+        F.count(F.lit(1)).alias("n_deals"), money(F.sum(w)).alias("weighted_opportunity_amount"))
+
+
+@register("weighted_age_fys")
+def weighted_age_fys(t: Tables, p: ReportParams) -> DataFrame:
+    """Revenue-weighted mean age (days since activation) of first-year revenue, per category and quarter."""
+    pv = R.report_processing_volume(t, p)
+    d, act = F.col("capture_date"), F.col("sales_activation_date")
+    age = P.days_since(act, d)
+    rows = pv.filter((d >= F.lit(p.report_start)) & age.between(0, 365))
+    g = rows.groupBy("sales_category", P.period_label(d, "quarter").alias("quarter")).agg(
+        F.sum(F.col("first_year_sold_npv_usd_fx") * age).cast("decimal(38,4)").alias("w"),
+        F.sum("first_year_sold_npv_usd_fx").cast("decimal(38,4)").alias("n"))
+    ratio = F.try_divide(F.col("w").cast("double"), F.col("n").cast("double"))
+    return g.select("sales_category", "quarter", money("n").alias("first_year_npv"),
+                    units_to_money(to_units(ratio)).alias("weighted_age_days"))
+
+
+@register("ninety_day_forecast_by_team")
+def ninety_day_forecast_by_team(t: Tables, p: ReportParams) -> DataFrame:
+    """90-day forecast (pipeline + backlog rows inside the first 90 days) per team role and location."""
+    rows = R.pipeline_report(t, p).unionByName(R.backlog_report(t, p))
+    return rows.filter(F.col("ninety_day_live") == 1).groupBy("data_type", "sales_role", "sales_location").agg(
+        money(F.sum("npv_fixed_fx")).alias("npv_fixed_fx"))
+
+
+_ = dt
