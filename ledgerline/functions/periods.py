@@ -126,3 +126,39 @@ def in_quarter(act, first_created, as_of: dt.date, lag_days: int = 5) -> Column:
 def cohort_flag(d, as_of: dt.date) -> Column:
     """1 when ``d`` is in the finance week of the report date."""
     return _flag(finance_week_start(d) == finance_week_start(F.lit(as_of)))
+
+
+# Grouping on period *dates* and formatting labels afterwards keeps string
+# formatting off the per-row path: labels are computed once per group.
+WEEK_KEY = "_week_start"
+QUARTER_KEY = "_quarter_start"
+MONTH_KEY = "_month_start"
+
+
+def week_bucket_keys(d) -> list[Column]:
+    """Group keys that split rows exactly as (year, quarter, finance_week) labels do."""
+    return [finance_week_start(d).alias(WEEK_KEY), period_start(d, "quarter").alias(QUARTER_KEY)]
+
+
+def week_bucket_labels(as_of: dt.date | None = None, lag_days: int = 3) -> list[Column]:
+    """year / quarter / finance_week labels (and qtd / this_week when ``as_of`` is given) from the bucket keys."""
+    w, q = F.col(WEEK_KEY), F.col(QUARTER_KEY)
+    out = [F.date_format(q, "yyyy").alias("year"), F.date_format(q, "yyyy-MM").alias("quarter"),
+           F.date_format(w, "yyyy-MM-dd").alias("finance_week")]
+    if as_of is not None:
+        out += [_flag(q == period_start(F.lit(as_of), "quarter")).alias("qtd"),
+                _flag(w == finance_week_start(F.lit(as_of - dt.timedelta(days=lag_days)))).alias("this_week")]
+    return out
+
+
+def month_bucket_keys(d) -> list[Column]:
+    return [period_start(d, "month").alias(MONTH_KEY), period_start(d, "quarter").alias(QUARTER_KEY)]
+
+
+def month_bucket_labels(as_of: dt.date) -> list[Column]:
+    """year / quarter / month labels, ``mtd`` (quarter test), ``month_to_date`` (month test)."""
+    m, q = F.col(MONTH_KEY), F.col(QUARTER_KEY)
+    return [F.date_format(q, "yyyy").alias("year"), F.date_format(q, "yyyy-MM").alias("quarter"),
+            F.date_format(m, "yyyy-MM").alias("month"),
+            _flag(q == period_start(F.lit(as_of), "quarter")).alias("mtd"),
+            _flag(m == period_start(F.lit(as_of), "month")).alias("month_to_date")]

@@ -10,6 +10,8 @@ that bound.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,17 +22,37 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def small_dimension(df: DataFrame, key: str | None = None, max_rows: int = DEFAULT_MAX_ROWS, name: str = "") -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows; check ``key`` is unique."""
+# Check results per (plan, input files, key, bound).  Rewritten data gets new
+# part-file names, so a memoised result never outlives the files it describes.
+_CHECKS: dict[tuple, tuple[int, int, int]] = {}
+_LOCK = threading.Lock()
+
+
+def _check(df: DataFrame, key: str | None, max_rows: int) -> tuple[int, int, int]:
+    memo = (df.semanticHash(), tuple(sorted(df.inputFiles())), key, max_rows)
+    with _LOCK:
+        if memo in _CHECKS:
+            return _CHECKS[memo]
     aggs = [F.count(F.lit(1)).alias("n")]
     if key is not None:
         aggs += [F.count(F.col(key)).alias("n_key"), F.count_distinct(F.col(key)).alias("n_distinct")]
+    else:
+        aggs += [F.lit(0).alias("n_key"), F.lit(0).alias("n_distinct")]
     row = df.limit(max_rows + 1).agg(*aggs).first()
-    if row["n"] > max_rows:
+    out = (row["n"], row["n_key"], row["n_distinct"])
+    with _LOCK:
+        _CHECKS[memo] = out
+    return out
+
+
+def small_dimension(df: DataFrame, key: str | None = None, max_rows: int = DEFAULT_MAX_ROWS, name: str = "") -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows; check ``key`` is unique."""
+    n, n_key, n_distinct = _check(df, key, max_rows)
+    if n > max_rows:
         return df
-    if key is not None and row["n_key"] != row["n_distinct"]:
+    if key is not None and n_key != n_distinct:
         raise DuplicateKeyError(f"dimension {name or key}: key {key!r} has duplicates "
-                                f"({row['n_key']} rows, {row['n_distinct']} distinct)")
+                                f"({n_key} rows, {n_distinct} distinct)")
     return F.broadcast(df)
 
 

@@ -63,16 +63,14 @@ def processing_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFra
     weekly = (
         pv.filter(d >= F.lit(p.report_start))
         .groupBy(
-            "sales_merchant_id", "sales_category", "sales_activation_date",
-            P.period_label(d, "year").alias("year"), P.period_label(d, "quarter").alias("quarter"),
-            P.finance_week(d).alias("finance_week"),
-            P.qtd_flag(d, p.as_of).alias("qtd"),
-            P.this_week_flag(d, p.as_of, p.this_week_lag_days).alias("this_week"),
+            "sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
+            *P.week_bucket_keys(d),
             P.ninety_day_live("sales_activation_date", d).alias("ninety_day_live"),
             P.first_year_sold("sales_activation_date", d).alias("first_year_sold"),
-            P.new_npv("orig_activation", p).alias("newNPV"),
         )
         .agg(F.sum("first_year_sold_npv_usd_fx").alias("npv"))
+        .select("*", *P.week_bucket_labels(p.as_of, p.this_week_lag_days),
+                P.new_npv("orig_activation", p).alias("newNPV"))
     )
     seg = segment_dimension(t.merchants, t.country_codes, t.team_role, first_contact(t.opportunities),
                             "A", "A", p.exclude_roles)
@@ -105,13 +103,13 @@ def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
         daily.filter(f >= F.lit(p.report_start))
         .groupBy(
             "sales_merchant_id", "sales_category", "sales_activation_date",
-            P.period_label(f, "year").alias("year"), P.period_label(f, "quarter").alias("quarter"),
-            P.finance_week(f).alias("finance_week"),
+            *P.week_bucket_keys(f),
             P.ninety_day_live("sales_activation_date", f, end).alias("ninety_day_live"),
             P.first_year_sold("sales_activation_date", f, end).alias("first_year_sold"),
             P.new_npv("orig_activation", p, fcst=f).alias("newNPV"),
         )
         .agg(F.sum("backlog_units").alias("units"))
+        .select("*", *P.week_bucket_labels())
     )
     seg = segment_dimension(t.merchants, t.country_codes, t.team_role, first_contact(t.opportunities),
                             "D", "A", p.exclude_roles)
@@ -127,17 +125,22 @@ def backlog_report(t: Tables, p: ReportParams) -> DataFrame:
     return backlog_report_from(report_processing_volume(t, p), t, p)
 
 
-def processing_and_backlog_report(t: Tables, p: ReportParams, checkpoint: bool = True) -> DataFrame:
+def processing_and_backlog_report(t: Tables, p: ReportParams, materialize: str = "table") -> DataFrame:
     """J-5: J-3 and J-4 in one table.
 
-    The daily processing volume feeds both halves; it is checkpointed once
-    (to the shared checkpoint folder) so the payments are scanned once.  The
-    two halves differ in ``data_type`` and are each grouped by every
-    non-measure column, so a distinct union would remove nothing: plain
-    ``unionByName``.
+    The daily processing volume feeds both halves.  ``materialize='table'``
+    writes it once to the shared scratch folder so the payments are scanned
+    once (``'checkpoint'`` uses ``DataFrame.checkpoint``, ``'none'`` lets
+    both halves recompute it).  The two halves differ in ``data_type`` and
+    are each grouped by every non-measure column, so a distinct union would
+    remove nothing: plain ``unionByName``.
     """
+    from ..sources.tables import stage_table
+
     pv = report_processing_volume(t, p)
-    if checkpoint:
+    if materialize == "table":
+        pv = stage_table(pv, t, "processing_volume")
+    elif materialize == "checkpoint":
         pv = pv.checkpoint(eager=True)
     return processing_report_from(pv, t, p).unionByName(backlog_report_from(pv, t, p))
 
@@ -193,20 +196,22 @@ def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_
 
 
 def pipeline_report(t: Tables, p: ReportParams) -> DataFrame:
-    """J-2: expected revenue of deals not yet live, spread daily on the pipeline curve, by segment and week."""
+    """J-2: expected revenue of deals not yet live, spread daily on the pipeline curve, by segment and week.
+
+    The weekly aggregate is keyed by every column of the per-deal rows, so it
+    reuses their hash partitioning: the daily rows of a deal never leave the
+    task that generated them (no shuffle between expansion and weekly sums).
+    """
     pipe = pipeline_opportunities(t, p)
     daily = expand_pipeline(pipe, t.pipeline_curve)
     f = F.col("fcst_date")
     go_live = "opportunity_expected_go_live_date"
     weekly = daily.groupBy(
-        "opportunity", "opportunity_name", "opportunity_owner", "opportunity_merchant_country",
-        "opportunity_industry", "opportunity_status", "opportunity_type", go_live,
-        P.period_label(f, "year").alias("year"), P.period_label(f, "quarter").alias("quarter"),
-        P.finance_week(f).alias("finance_week"),
-        P.this_week_flag(f, p.as_of, p.this_week_lag_days).alias("this_week"),
+        *PIPE_KEYS, *P.week_bucket_keys(f),
         P.ninety_day_live(go_live, f).alias("ninety_day_live"),
         P.first_year_sold(go_live, f).alias("first_year_sold"),
-    ).agg(F.sum("pipeline_units").alias("units"), F.min("opportunity_created_date").alias("min_created"))
+    ).agg(F.sum("pipeline_units").alias("units")).select(
+        "*", *P.week_bucket_labels(p.as_of, p.this_week_lag_days))
     cc = countries_by(t.country_codes, "name")
     tm = teams(t.team_role, p.exclude_roles)
     j = (weekly.join(cc, weekly["opportunity_merchant_country"] == cc["sfdc_country_name"])
@@ -227,7 +232,8 @@ def pipeline_report(t: Tables, p: ReportParams) -> DataFrame:
         "ninety_day_live", "first_year_sold",
         units_to_money(F.coalesce(F.col("units"), F.lit(0))).alias("npv_fixed_fx"),
         P.new_npv(go_live, p, opp_type="opportunity_type").alias("newNPV"),
-        P.in_quarter(go_live, "min_created", p.as_of, p.in_quarter_lag_days).alias("in_quarter_opportunity"),
+        # one deal per group (deal id is the CRM key), so its created date is the group minimum
+        P.in_quarter(go_live, "opportunity_created_date", p.as_of, p.in_quarter_lag_days).alias("in_quarter_opportunity"),
     )
 
 
@@ -329,16 +335,14 @@ def margin_report(t: Tables, p: ReportParams) -> DataFrame:
     """
     d = F.col("capture_date")
     act = "sales_activation_date"
-    mtd, this_month, true_mtd = P.month_flags(d, p.as_of)
     monthly = (
         margin_daily(t, p, start=p.report_start)
         .groupBy(
-            "sales_merchant_id", act,
-            P.period_label(d, "year").alias("year"), P.period_label(d, "quarter").alias("quarter"),
-            P.period_label(d, "month").alias("month"), mtd.alias("mtd"), true_mtd.alias("month_to_date"),
+            "sales_merchant_id", act, *P.month_bucket_keys(d),
             P.ninety_day_live(act, d).alias("ninety_day_live"), P.first_year_sold(act, d).alias("first_year_sold"),
         )
         .agg(*[F.sum(c).alias(c) for c, _ in MARGIN_MEASURES], F.count(F.lit(1)).alias("n_days"))
+        .select("*", *P.month_bucket_labels(p.as_of))
     )
     seg = segment_dimension(t.merchants, t.country_codes, t.team_role, None, "A", "A", p.exclude_roles)
     opp_of = t.merchants.select(F.col("merchant_id").alias("sales_merchant_id"), "sfdc_opportunity")
@@ -348,7 +352,7 @@ def margin_report(t: Tables, p: ReportParams) -> DataFrame:
          .join(totals, F.col("sfdc_opportunity") == totals["opportunity"]))
     return j.select(
         F.lit("weekly_processing").alias("data_type"), "year", "quarter", "month", "mtd",
-        this_month.alias("this_month"),
+        F.lit(0).alias("this_month"),
         "region", "country", F.lit("").alias("sales_channel"), "sub_region", "vertical", "owner", "sales_role",
         "sales_location", F.col("sales_merchant_id").cast("string").alias("sales_merchant_id"), "merchant_name",
         F.lit("new biz").alias("sales_category"), act, "ninety_day_live", "first_year_sold",
@@ -388,12 +392,10 @@ def weekly_snapshot(t: Tables, p: ReportParams, upsell: bool = False) -> DataFra
         amount = amount * F.col("pct_share_of_npv")
     d = F.col("capture_date")
     weekly = daily.join(m, "sales_merchant_id").groupBy(
-        "sales_merchant_id", "activation_date",
-        P.period_label(d, "year").alias("year"), P.period_label(d, "quarter").alias("quarter"),
-        P.finance_week(d).alias("finance_week"), P.qtd_flag(d, p.as_of).alias("qtd"),
+        "sales_merchant_id", "activation_date", *P.week_bucket_keys(d),
         P.ninety_day_live("activation_date", d).alias("ninety_day_live"),
         P.first_year_sold("activation_date", d).alias("first_year_sold"),
-    ).agg(F.sum(amount).alias("npv"))
+    ).agg(F.sum(amount).alias("npv")).select("*", *P.week_bucket_labels(p.as_of))
     seg = segment_dimension(t.merchants, t.country_codes, t.team_role, None, "E", "E", p.exclude_roles)
     j = weekly.join(seg.drop("first_opportunity_created_date"), "sales_merchant_id")
     return j.select(

@@ -13,6 +13,7 @@ from __future__ import annotations
 import dataclasses
 import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,9 +123,26 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
             if name in CURVE_TABLES:
                 out[name] = df  # generated from a range, nothing to read
                 continue
+            if name == "payments":
+                continue  # same rows and npv as margin: read as a projection of it below
             path = f"{root}/{name}"
             _write(df, path, name in FACT_TABLES)
             out[name] = spark.read.parquet(path)
+        out["payments"] = out["margin"].select(
+            "capture_date", "sales_merchant_id", F.col("npv").alias("npv_usd_fixed"), MONTH_COL)
         tables = Tables(**out, source_dir=sf_dir)
         _CACHE[key] = tables
         return tables
+
+
+def stage_table(df: DataFrame, t: Tables, name: str) -> DataFrame:
+    """Write ``df`` once under the shared scratch folder and read it back.
+
+    Used where one intermediate feeds several branches of a job: the inputs
+    are scanned once, the consumers read compact Parquet, and the lineage is
+    cut at a durable copy (executor loss does not trigger recomputation from
+    the fact tables).
+    """
+    path = t.output_path("stage", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return t.spark.read.parquet(path)
