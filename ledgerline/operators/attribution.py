@@ -23,20 +23,37 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import cents_to_dollars
 from ..sources.tables import capture_range
-from .dims import small_dimension
+from .dims import merchant_level, small_dimension
 
+UPSELL_MAX_ROWS = 5_000_000
 PV_COLUMNS = ("data_type", "capture_date", "sales_merchant_id", "sales_category", "sales_activation_date",
               "orig_activation", "first_year_sold_npv_usd_fx", "total_npv")
 
 
 def daily_npv(payments: DataFrame, start=None, end=None, start_inclusive: bool = True,
-              value: str = "npv_usd_fixed") -> DataFrame:
-    """NPV cents per (merchant, capture day) within [start, end)."""
-    return (
-        capture_range(payments, start, end, start_inclusive)
+              value: str = "npv_usd_fixed", by_merchant: bool = True) -> DataFrame:
+    """NPV cents per (merchant, capture day) within [start, end).
+
+    The raw rows are combined map-side and shuffled on (merchant, day), so a
+    merchant with a third of all payments is spread over its days.  With
+    ``by_merchant`` the daily sums are then re-partitioned by merchant alone:
+    safe from skew because a merchant now holds at most one row per calendar
+    day, and every later step (attribution joins, weekly and monthly sums,
+    the per-merchant segment join) is keyed by merchant, so they all reuse
+    this partitioning instead of shuffling again.
+    """
+    return daily_sums(payments, [(value, "npv_cents")], start, end, start_inclusive, by_merchant)
+
+
+def daily_sums(facts: DataFrame, measures, start=None, end=None, start_inclusive: bool = True,
+               by_merchant: bool = True) -> DataFrame:
+    """Sums of ``measures`` [(column, alias)] per (merchant, capture day); see ``daily_npv``."""
+    daily = (
+        capture_range(facts, start, end, start_inclusive)
         .groupBy("sales_merchant_id", "capture_date")
-        .agg(F.sum(value).alias("npv_cents"))
+        .agg(*[F.sum(c).alias(a) for c, a in measures])
     )
+    return daily.repartition("sales_merchant_id") if by_merchant else daily
 
 
 def current_upsells(upsells: DataFrame) -> DataFrame:
@@ -45,8 +62,15 @@ def current_upsells(upsells: DataFrame) -> DataFrame:
         "sales_merchant_id", "effective_activation_date", "pct_share_of_npv")
 
 
-def merchant_attribution(merchants: DataFrame, upsells: DataFrame | None, special: DataFrame | None) -> DataFrame:
-    """Sold merchants with funnel activation, optional override date and included upsell."""
+def merchant_attribution(merchants: DataFrame, upsells: DataFrame | None, special: DataFrame | None,
+                         allow_upsell_fanout: bool = False) -> DataFrame:
+    """Sold merchants with funnel activation, optional override date and included upsell.
+
+    One row per merchant: a merchant with two included upsells raises
+    ``DuplicateKeyError`` (it would count its new-business revenue twice),
+    unless ``allow_upsell_fanout`` keeps that arithmetic on purpose.  The
+    table is broadcast when it passes the size check.
+    """
     m = merchants.filter(F.col("sales__is_sold") == F.lit(True)).select(
         F.col("merchant_id").alias("sales_merchant_id"), F.col("activation_date").alias("orig_activation"))
     if special is not None:
@@ -54,12 +78,15 @@ def merchant_attribution(merchants: DataFrame, upsells: DataFrame | None, specia
     else:
         m = m.withColumn("adjusted_activation_date", F.lit(None).cast("date"))
     if upsells is not None:
-        up = small_dimension(current_upsells(upsells), max_rows=5_000_000, name="upsells")
+        up = small_dimension(current_upsells(upsells), None if allow_upsell_fanout else "sales_merchant_id",
+                             UPSELL_MAX_ROWS, "upsells")
         m = m.join(up, "sales_merchant_id", "left")
+        if allow_upsell_fanout:
+            return m
     else:
         m = (m.withColumn("effective_activation_date", F.lit(None).cast("date"))
              .withColumn("pct_share_of_npv", F.lit(None).cast("decimal(3,2)")))
-    return m
+    return merchant_level(m, merchants, "merchant attribution")
 
 
 def _legs(daily: DataFrame, attr: DataFrame) -> DataFrame:
@@ -101,14 +128,15 @@ def _legs(daily: DataFrame, attr: DataFrame) -> DataFrame:
 
 def processing_volume(payments: DataFrame, merchants: DataFrame, upsells: DataFrame | None,
                       special: DataFrame | None, start, end=None, start_inclusive: bool = True,
-                      categories: tuple[str, ...] = ("new biz", "upsell")) -> DataFrame:
+                      categories: tuple[str, ...] = ("new biz", "upsell"),
+                      allow_upsell_fanout: bool = False) -> DataFrame:
     """Daily first-year NPV per merchant and category (both legs stacked).
 
     One row per (capture day, merchant, category, activation, original
     activation).  ``categories`` selects a single leg.
     """
     daily = daily_npv(payments, start, end, start_inclusive)
-    attr = merchant_attribution(merchants, upsells, special)
+    attr = merchant_attribution(merchants, upsells, special, allow_upsell_fanout)
     legs = _legs(daily, attr)
     if tuple(categories) != ("new biz", "upsell"):
         legs = legs.filter(F.col("leg.sales_category").isin(*categories))

@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 1_000_000
+# Merchant-level tables (one row per merchant) are broadcast up to this size;
+# beyond it they are shuffled by merchant and meet fact rows that are already
+# partitioned by merchant.
+MERCHANT_DIM_MAX_ROWS = 500_000
 
 
 class DuplicateKeyError(ValueError):
@@ -56,6 +60,21 @@ def small_dimension(df: DataFrame, key: str | None = None, max_rows: int = DEFAU
     return F.broadcast(df)
 
 
+def merchant_level(df: DataFrame, merchants: DataFrame, name: str = "") -> DataFrame:
+    """Broadcast a per-merchant table derived from ``merchants`` when the merchant dimension is small.
+
+    ``df`` must hold at most one row per merchant (built from ``merchants``
+    through joins to key-checked dimensions), so the bound checked on the
+    merchant dimension itself - one memoised check per session - bounds it.
+    """
+    n, n_key, n_distinct = _check(merchants.select("merchant_id"), "merchant_id", MERCHANT_DIM_MAX_ROWS)
+    if n > MERCHANT_DIM_MAX_ROWS:
+        return df
+    if n_key != n_distinct:
+        raise DuplicateKeyError(f"merchant dimension: merchant_id has duplicates ({n_key} rows, {n_distinct} distinct)")
+    return F.broadcast(df)
+
+
 def check_unique(df: DataFrame, key: str, name: str = "") -> None:
     """Fail when ``key`` repeats (full aggregate; for tables of any size)."""
     dup = df.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > 1).limit(1).count()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.segments import sub_region, vertical
 from ..params import ReportParams
-from .dims import small_dimension
+from .dims import merchant_level, small_dimension
 
 COUNTRY_MAX_ROWS = 10_000
 TEAM_MAX_ROWS = 1_000_000
@@ -70,7 +70,7 @@ def segment_dimension(merchants: DataFrame, countries: DataFrame, team: DataFram
         m = m.join(first_contact, "sales_merchant_id", "left")
     else:
         m = m.withColumn("first_opportunity_created_date", F.lit(None).cast("date"))
-    return m.select(
+    seg = m.select(
         "sales_merchant_id",
         F.col("sales_region").alias("region"),
         F.col("sfdc_country_name").alias("country"),
@@ -85,6 +85,7 @@ def segment_dimension(merchants: DataFrame, countries: DataFrame, team: DataFram
         F.col("activation_date").alias("merchant_activation_date"),
         "first_opportunity_created_date",
     )
+    return merchant_level(seg, merchants, "segment dimension")
 
 
 def opportunity_merchant_key(opportunity) -> Column:

@@ -313,9 +313,9 @@ def margin_daily(t: Tables, p: ReportParams, start=None) -> DataFrame:
     """
     from ..operators.attribution import merchant_attribution
 
-    m = t.margin
-    daily = capture_range(m, start or p.history_start, p.as_of).groupBy("sales_merchant_id", "capture_date").agg(
-        *[F.sum(c).alias(c) for c, _ in MARGIN_MEASURES])
+    from ..operators.attribution import daily_sums
+
+    daily = daily_sums(t.margin, [(c, c) for c, _ in MARGIN_MEASURES], start or p.history_start, p.as_of)
     attr = merchant_attribution(t.merchants, None, None).select("sales_merchant_id", "orig_activation")
     j = daily.join(attr, "sales_merchant_id")
     fy = P.in_first_year("orig_activation", "capture_date")
@@ -378,18 +378,19 @@ def weekly_snapshot(t: Tables, p: ReportParams, upsell: bool = False) -> DataFra
     With ``upsell`` only merchants with an included upsell count; the
     activation date is the upsell date and the revenue is the upsell share.
     """
-    from ..operators.attribution import current_upsells, daily_npv
-    from ..operators.dims import small_dimension
+    from ..operators.attribution import UPSELL_MAX_ROWS, current_upsells, daily_npv
+    from ..operators.dims import merchant_level, small_dimension
 
     daily = daily_npv(t.payments, p.history_start, None)
     m = t.merchants.filter(F.col("sales__is_sold") == F.lit(True)).select(
         F.col("merchant_id").alias("sales_merchant_id"), F.col("activation_date"))
     amount = cents_to_dollars(F.col("npv_cents"))
     if upsell:
-        up = small_dimension(current_upsells(t.upsells), "sales_merchant_id", 5_000_000, "upsells")
+        up = small_dimension(current_upsells(t.upsells), "sales_merchant_id", UPSELL_MAX_ROWS, "upsells")
         m = m.join(up, "sales_merchant_id").select(
             "sales_merchant_id", F.col("effective_activation_date").alias("activation_date"), "pct_share_of_npv")
         amount = amount * F.col("pct_share_of_npv")
+    m = merchant_level(m, t.merchants, "snapshot merchants")
     d = F.col("capture_date")
     weekly = daily.join(m, "sales_merchant_id").groupBy(
         "sales_merchant_id", "activation_date", *P.week_bucket_keys(d),
