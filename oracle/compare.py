@@ -28,6 +28,12 @@ def duck(sf_dir: str):
     return con
 
 
+def spark_type(duck_type: str) -> str:
+    """Spark ``simpleString`` of a DuckDB column type."""
+    t = duck_type.lower()
+    return {"varchar": "string", "integer": "int"}.get(t, t)
+
+
 def _norm(v):
     if isinstance(v, float):
         return ("f", repr(v))
@@ -64,7 +70,8 @@ def compare(spark, con, df, sql: str, show: int = 5) -> dict:
     s_ms = collections.Counter(tuple(_norm(r[i]) for i in s_idx) for r in s_rows)
     d_ms = collections.Counter(tuple(_norm(r[j]) for j in d_idx) for r in d_rows)
     res["values_match"] = s_ms == d_ms
-    res["ok"] = res["values_match"] and len(s_rows) == len(d_rows)
+    res["types_match"] = all(st == spark_type(dtp) for _, st, dtp in res["types"])
+    res["ok"] = res["values_match"] and res["types_match"] and len(s_rows) == len(d_rows)
     if not res["values_match"]:
         only_s = list((s_ms - d_ms).elements())[:show]
         only_d = list((d_ms - s_ms).elements())[:show]
