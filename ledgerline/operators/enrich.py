@@ -99,6 +99,21 @@ def with_report_constants(df: DataFrame, **literals) -> DataFrame:
     return df.select("*", *[F.lit(v).alias(k) for k, v in literals.items()])
 
 
+def left_join_nullable(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left join on a key that is often NULL on the left.
+
+    Rows with a NULL key can never match, yet a shuffled join would send all
+    of them to the one partition NULL hashes to.  They bypass the join and
+    are appended with NULL right-hand columns, so the join only sees rows
+    that can match.
+    """
+    k = F.col(left_key)
+    matched = left.filter(k.isNotNull()).join(right, left[left_key] == right[right_key], "left")
+    nulls = left.filter(k.isNull()).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
+    return matched.unionByName(nulls)
+
+
 def eligible_pipeline(opps: DataFrame, merchants: DataFrame, p: ReportParams) -> DataFrame:
     """Open or signed deals not yet live at the report date, going live within [as_of, horizon_end].
 
@@ -107,7 +122,7 @@ def eligible_pipeline(opps: DataFrame, merchants: DataFrame, p: ReportParams) ->
     """
     m = merchants.select(F.col("merchant_id").alias("_mid"),
                          F.col("activation_date").alias("unified_funnel__activation_date_date"))
-    j = opps.join(m, opps["merchant_id"] == m["_mid"], "left").drop("_mid")
+    j = left_join_nullable(opps, m, "merchant_id", "_mid").drop("_mid")
     act = F.col("unified_funnel__activation_date_date")
     go_live = F.col("opportunity_expected_go_live_date")
     return j.filter(

@@ -392,8 +392,7 @@ def pipeline_eligibility(t: Tables, p: ReportParams) -> DataFrame:
 
 def _opps_with_activation(t: Tables) -> DataFrame:
     m = t.merchants.select(F.col("merchant_id").alias("_mid"), F.col("activation_date"))
-    o = t.opportunities
-    return o.join(m, o["merchant_id"] == m["_mid"], "left")
+    return E.left_join_nullable(t.opportunities, m, "merchant_id", "_mid")
 
 
 @register("live_or_not")
@@ -437,7 +436,7 @@ def recently_live(t: Tables, p: ReportParams, days: int = 28) -> DataFrame:
     seg = E.segment_dimension(m, t.country_codes, t.team_role, None, "A", "A", p.exclude_roles)
     totals = RU.opportunity_totals(t.opportunities)
     opp = m.select(F.col("merchant_id").alias("sales_merchant_id"), "sfdc_opportunity")
-    j = seg.join(opp, "sales_merchant_id").join(totals, F.col("sfdc_opportunity") == totals["opportunity"], "left")
+    j = E.left_join_nullable(seg.join(opp, "sales_merchant_id"), totals, "sfdc_opportunity", "opportunity")
     return j.select("sales_merchant_id", F.col("merchant_activation_date").alias("activation_date"), "region",
                     "sub_region", "owner", "sales_role", money("opportunity_amount").alias("opportunity_amount"))
 
