@@ -481,3 +481,14 @@ def ninety_day_forecast_by_team(t: Tables, p: ReportParams) -> DataFrame:
 
 
 _ = dt
+
+
+@register("expected_end_date")
+def expected_end_date(t: Tables, p: ReportParams) -> DataFrame:
+    """Merchants with an expected end date: backlog revenue on or after that date (flags stop counting it)."""
+    d = R.daily_backlog(R.report_processing_volume(t, p), t, p, with_end_dates=True)
+    d = d.filter(F.col("backlog_end_date").isNotNull())
+    after = F.col("fcst_date") >= F.col("backlog_end_date")
+    return d.groupBy("sales_merchant_id", "backlog_end_date").agg(
+        units_to_money(F.coalesce(F.sum(F.when(after, F.col("backlog_units"))), F.lit(0))).alias("backlog_after_end"),
+        units_to_money(F.coalesce(F.sum("backlog_units"), F.lit(0))).alias("backlog_total"))

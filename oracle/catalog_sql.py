@@ -295,3 +295,11 @@ UNION ALL
 ) r
 WHERE ninety_day_live = 1
 GROUP BY 1, 2, 3"""
+
+SQL["expected_end_date"] = with_tables(REPORT_TABLES, _REPORT_CTES) + f"""
+SELECT d.sales_merchant_id, sd.backlog_end_date,
+  {units_money('COALESCE(SUM(CASE WHEN d.fcst_date >= sd.backlog_end_date THEN d.backlog_units END), 0)')} AS backlog_after_end,
+  {units_money('COALESCE(SUM(d.backlog_units), 0)')} AS backlog_total
+FROM daily_backlog d JOIN special_dates sd ON sd.sales_merchant_id = d.sales_merchant_id
+WHERE sd.backlog_end_date IS NOT NULL
+GROUP BY 1, 2"""

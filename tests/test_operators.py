@@ -129,3 +129,18 @@ def test_small_dimension_checks_key_and_bound(spark):
         small_dimension(team, "sales_owner", 10, "team")
     big = spark.range(50)
     assert small_dimension(big, "id", 10) is big  # over the bound: returned unhinted
+
+
+def test_role_as_of_latest_snapshot(spark):
+    from ledgerline.operators.asof import role_as_of
+
+    hist = spark.createDataFrame(
+        [("ann", "AE", "Hub", D(2017, 1, 1)), ("bob", "AM", "Hub", D(2017, 1, 1)),
+         ("ann", "NBA", "Hub", D(2017, 2, 1)), ("bob", "AE", "Hub", D(2017, 2, 1))],
+        "sales_owner string, role string, team string, snapshot_date date")
+    facts = spark.createDataFrame(
+        [(1, "ann", D(2016, 12, 31)), (2, "ann", D(2017, 1, 31)), (3, "ann", D(2017, 2, 1)),
+         (4, "bob", D(2017, 3, 15)), (5, "cy", D(2017, 3, 15))],
+        "id int, owner string, d date")
+    got = {r.id: r.role for r in role_as_of(facts, hist, "owner", "d", until=D(2017, 12, 31)).collect()}
+    assert got == {1: None, 2: "AE", 3: "NBA", 4: "AE", 5: None}
