@@ -53,7 +53,12 @@ def daily_sums(facts: DataFrame, measures, start=None, end=None, start_inclusive
         .groupBy("sales_merchant_id", "capture_date")
         .agg(*[F.sum(c).alias(a) for c, a in measures])
     )
-    return daily.repartition("sales_merchant_id") if by_merchant else daily
+    if not by_merchant:
+        return daily
+    # explicit count: the backlog expansion downstream multiplies rows, so the
+    # partition count must not be shrunk to fit the (smaller) daily input
+    parts = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return daily.repartition(parts, "sales_merchant_id")
 
 
 def current_upsells(upsells: DataFrame) -> DataFrame:

@@ -184,6 +184,13 @@ def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_
         opportunity_status("opportunity_stage").alias("opportunity_status"),
         live_or_not("unified_funnel__activation_date_date", p.as_of).alias("live_or_not"),
     )
+    # Each deal row later becomes 365 daily rows.  Partition the deals by id
+    # to the session's shuffle parallelism explicitly: AQE would size these
+    # partitions by their (small) input bytes and leave the expansion to a
+    # few tasks.  Hash partitioning on the deal id also satisfies the deal
+    # aggregate and the weekly aggregate, so no further exchange follows.
+    parts = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    e = e.repartition(parts, "opportunity")
     if vertical_variant is not None:
         e = e.withColumn("vertical", vertical(None, "opportunity_merchant_country", "opportunity_industry",
                                               variant=vertical_variant))
