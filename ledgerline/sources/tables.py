@@ -14,6 +14,7 @@ import dataclasses
 import hashlib
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,19 +118,21 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
     with _LOCK:
         if key in _CACHE:
             return _CACHE[key]
-        lazy = stage_tables(spark, sf_dir)
-        out = {}
-        for name, df in lazy.as_dict().items():
-            if name in CURVE_TABLES:
-                out[name] = df  # generated from a range, nothing to read
-                continue
-            if name == "payments":
-                continue  # same rows and npv as margin: read as a projection of it below
-            if name == "upsells":
-                df = fixtures.upsells(out["merchants"])  # from the written merchants, not recomputed
+        lazy = stage_tables(spark, sf_dir).as_dict()
+        out = {name: lazy[name] for name in CURVE_TABLES}  # generated from a range, nothing to read
+
+        def write(name: str, df: DataFrame) -> None:
             path = f"{root}/{name}"
             _write(df, path, name in FACT_TABLES)
             out[name] = spark.read.parquet(path)
+
+        # independent tables are written by concurrent Spark jobs; upsells derive
+        # from the written merchants; payments are a projection of margin (same
+        # rows and npv), so they are not written twice
+        first = ["margin", "merchants", "opportunities", "country_codes", "team_role"]
+        with ThreadPoolExecutor(max_workers=len(first)) as pool:
+            list(pool.map(lambda n: write(n, lazy[n]), first))
+        write("upsells", fixtures.upsells(out["merchants"]))
         out["payments"] = out["margin"].select(
             "capture_date", "sales_merchant_id", F.col("npv").alias("npv_usd_fixed"), MONTH_COL)
         tables = Tables(**out, source_dir=sf_dir)
