@@ -14,9 +14,7 @@ from ..sources.snapshots import SNAPSHOT_COL, read_snapshot, write_snapshot
 from ..sources.tables import Tables
 from . import reports as R
 
-# header row; NULL written as \N and empty strings as "" so both read back unchanged
-CSV_WRITE = {"header": True, "nullValue": "\\N"}
-CSV_READ = {"header": True, "nullValue": "\\N", "emptyValue": ""}
+from ..sources.uploads import CSV_READ, CSV_WRITE  # noqa: E402
 
 
 def weekly_processing_snapshot_job(t: Tables, p: ReportParams, path: str | None = None) -> DataFrame:
@@ -46,10 +44,20 @@ def snapshot_rotation(t: Tables, p: ReportParams, path: str | None = None) -> Da
     return read_snapshot(t.spark, path, p.as_of, weeks_back=1)
 
 
-def upsell_table_rotation(t: Tables, p: ReportParams, path: str | None = None) -> DataFrame:
-    """J-11: store the uploaded upsell list as this week's snapshot (earlier weeks stay as backups)."""
+def upsell_table_rotation(t: Tables, p: ReportParams, path: str | None = None,
+                          upload_path: str | None = None) -> DataFrame:
+    """J-11: read this week's upsell upload (CSV, declared schema) and store it as this week's snapshot.
+
+    Earlier weeks stay in the table as the backups the source kept by renaming.
+    Without ``upload_path`` the upload file is produced from the staged upsell list.
+    """
+    from ..sources.uploads import read_upload, write_upload
+
     path = path or t.output_path("upsells")
-    write_snapshot(t.upsells, path, p.as_of)
+    if upload_path is None:
+        upload_path = t.output_path("uploads", f"upsells-{p.as_of.isoformat()}")
+        write_upload(t.upsells, upload_path, "upsells")
+    write_snapshot(read_upload(t.spark, upload_path, "upsells"), path, p.as_of)
     return read_snapshot(t.spark, path, p.as_of)
 
 

@@ -67,3 +67,15 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns[:4] == ["data_type", "year", "quarter", "finance_week"]
+
+
+def test_uploaded_lists_round_trip_with_declared_schema(spark, tables):
+    from ledgerline.sources.uploads import read_upload, write_upload
+
+    for name in ("country_codes", "team_role", "upsells", "backlog_curve", "pipeline_curve"):
+        path = scratch_path(spark, "test-uploads", uuid.uuid4().hex, name)
+        src = getattr(tables, name)
+        write_upload(src, path, name)
+        back = read_upload(spark, path, name)
+        cols = back.columns
+        assert back.exceptAll(src.select(*cols)).count() == 0 and src.select(*cols).exceptAll(back).count() == 0
