@@ -35,7 +35,6 @@ SEGMENT_COLUMNS = (
     "sales_category", "sales_activation_date", "ninety_day_live", "first_year_sold", "npv_fixed_fx", "newNPV",
     "in_quarter_opportunity",
 )
-DIM_COLUMNS = ("region", "country", "sub_region", "vertical", "owner", "sales_role", "sales_location", "merchant_name")
 
 
 # --------------------------------------------------------------------------- processing / backlog (J-3..J-5, J-9)
@@ -46,9 +45,9 @@ def report_processing_volume(t: Tables, p: ReportParams) -> DataFrame:
                              p.history_start, p.as_of)
 
 
-def _segment_select(df: DataFrame, data_type, qtd, this_week, npv) -> DataFrame:
+def _segment_select(df: DataFrame, data_type: str, qtd, this_week, npv) -> DataFrame:
     return df.select(
-        F.lit(data_type).alias("data_type") if isinstance(data_type, str) else data_type.alias("data_type"),
+        F.lit(data_type).alias("data_type"),
         "year", "quarter", "finance_week",
         qtd.alias("qtd"), this_week.alias("this_week"),
         "region", "country", F.lit("").alias("sales_channel"), "sub_region", "vertical", "owner", "sales_role",

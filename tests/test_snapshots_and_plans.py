@@ -79,3 +79,16 @@ def test_uploaded_lists_round_trip_with_declared_schema(spark, tables):
         back = read_upload(spark, path, name)
         cols = back.columns
         assert back.exceptAll(src.select(*cols)).count() == 0 and src.select(*cols).exceptAll(back).count() == 0
+
+
+def test_report_schemas_keep_column_order(spark, registered):
+    from ledgerline.plans.reports import SEGMENT_COLUMNS, SNAPSHOT_COLUMNS
+
+    for key in ("processing_report", "backlog_report", "processing_and_backlog_report", "pipeline_forecast_report"):
+        assert tuple(registered[key](spark, SF).columns) == SEGMENT_COLUMNS, key
+    snap = registered["weekly_processing_snapshot"](spark, SF).columns
+    assert tuple(snap) == SNAPSHOT_COLUMNS + ("snapshot_date",)
+    deal = registered["deal_signed_report"](spark, SF).columns
+    assert len(deal) == 25 and deal[4] == "pipeline_created_quarter"
+    margin = registered["margin_first_year_report"](spark, SF).columns
+    assert margin[:6] == ["data_type", "year", "quarter", "month", "mtd", "this_month"] and len(margin) == 29
