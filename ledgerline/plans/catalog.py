@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -480,8 +478,6 @@ def ninety_day_forecast_by_team(t: Tables, p: ReportParams) -> DataFrame:
         money(F.sum("npv_fixed_fx")).alias("npv_fixed_fx"))
 
 
-_ = dt
-
 
 @register("expected_end_date")
 def expected_end_date(t: Tables, p: ReportParams) -> DataFrame:
