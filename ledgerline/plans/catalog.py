@@ -458,7 +458,7 @@ def forecast_weighting(t: Tables, p: ReportParams) -> DataFrame:
 @register("weighted_age_fys")
 def weighted_age_fys(t: Tables, p: ReportParams) -> DataFrame:
     """Revenue-weighted mean age (days since activation) of first-year revenue, per category and quarter."""
-    pv = R.report_processing_volume(t, p)
+    pv = R.report_processing_volume(t, p, start=max(p.history_start, p.report_start))
     d, act = F.col("capture_date"), F.col("sales_activation_date")
     age = P.days_since(act, d)
     rows = pv.filter((d >= F.lit(p.report_start)) & age.between(0, 365))

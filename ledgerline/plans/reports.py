@@ -39,10 +39,10 @@ SEGMENT_COLUMNS = (
 
 # --------------------------------------------------------------------------- processing / backlog (J-3..J-5, J-9)
 
-def report_processing_volume(t: Tables, p: ReportParams) -> DataFrame:
-    """Both legs with override dates, captures in [history_start, as_of)."""
+def report_processing_volume(t: Tables, p: ReportParams, start=None) -> DataFrame:
+    """Both legs with override dates, captures in [start or history_start, as_of)."""
     return processing_volume(t.payments, t.merchants, t.upsells, special_dates(t.opportunities),
-                             p.history_start, p.as_of)
+                             start or p.history_start, p.as_of)
 
 
 def _segment_select(df: DataFrame, data_type: str, qtd, this_week, npv) -> DataFrame:
@@ -81,8 +81,13 @@ def processing_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFra
 
 
 def processing_report(t: Tables, p: ReportParams) -> DataFrame:
-    """J-3: realised first-year NPV by segment and finance week."""
-    return processing_report_from(report_processing_volume(t, p), t, p)
+    """J-3: realised first-year NPV by segment and finance week.
+
+    Only captures from ``report_start`` on reach the report, so the scan
+    starts there: whole capture-month folders before it are skipped.
+    """
+    start = max(p.history_start, p.report_start)
+    return processing_report_from(report_processing_volume(t, p, start), t, p)
 
 
 def daily_backlog(pv: DataFrame, t: Tables, p: ReportParams, with_end_dates: bool = True) -> DataFrame:
