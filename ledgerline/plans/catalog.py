@@ -95,7 +95,7 @@ def first_year_sold(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("age_flags_with_end_date")
 def age_flags_with_end_date(t: Tables, p: ReportParams) -> DataFrame:
-    daily = R.daily_backlog(R.report_processing_volume(t, p), t, p, with_end_dates=True)
+    daily = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=True)
     f, act, end = "fcst_date", "sales_activation_date", F.col("backlog_end_date")
     return daily.groupBy(
         "sales_merchant_id", "sales_category",
@@ -244,7 +244,7 @@ def q_processing_volume(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("backlog_summary")
 def q_backlog_summary(t: Tables, p: ReportParams) -> DataFrame:
-    s = _backlog_summary(R.report_processing_volume(t, p), t.backlog_curve, p.as_of)
+    s = _backlog_summary(R.backlog_processing_volume(t, p), t.backlog_curve, p.as_of)
     return s.select("sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
                     "days_since_activation", money("first_year_npv").alias("first_year_npv"),
                     units_to_money(to_units("first_year_est_npv")).alias("first_year_est_npv"))
@@ -252,7 +252,7 @@ def q_backlog_summary(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("backlog_curve_expand")
 def backlog_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
-    d = R.daily_backlog(R.report_processing_volume(t, p), t, p, with_end_dates=False)
+    d = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=False)
     return d.select("fcst_date", "sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
                     units_to_money("backlog_units").alias("backlog_npv"))
 
@@ -276,7 +276,7 @@ def new_npv_processing(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("new_npv_backlog")
 def new_npv_backlog(t: Tables, p: ReportParams) -> DataFrame:
-    d = R.daily_backlog(R.report_processing_volume(t, p), t, p, with_end_dates=False)
+    d = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=False)
     return d.groupBy("sales_merchant_id", "sales_category",
                      P.new_npv("orig_activation", p, fcst="fcst_date").alias("newNPV")).agg(
         F.count(F.lit(1)).alias("n_days"))
@@ -482,7 +482,7 @@ def ninety_day_forecast_by_team(t: Tables, p: ReportParams) -> DataFrame:
 @register("expected_end_date")
 def expected_end_date(t: Tables, p: ReportParams) -> DataFrame:
     """Merchants with an expected end date: backlog revenue on or after that date (flags stop counting it)."""
-    d = R.daily_backlog(R.report_processing_volume(t, p), t, p, with_end_dates=True)
+    d = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=True)
     d = d.filter(F.col("backlog_end_date").isNotNull())
     after = F.col("fcst_date") >= F.col("backlog_end_date")
     return d.groupBy("sales_merchant_id", "backlog_end_date").agg(

@@ -57,6 +57,43 @@ def _segment_select(df: DataFrame, data_type: str, qtd, this_week, npv) -> DataF
     )
 
 
+def backlog_capture_start(t: Tables, p: ReportParams, with_override: bool = True):
+    """Earliest capture date that can feed the backlog estimate.
+
+    A (merchant, category) row survives the backlog summary only if its age
+    on the report date is a day of the curve, i.e. its reported activation
+    lies in [as_of - last curve day, as_of - first curve day].  First-year
+    revenue of such a row starts at the original activation (new business)
+    or at the upsell date.  The minimum of those dates over the surviving
+    rows bounds the captures needed; it is one small aggregate over
+    merchant-level tables, and it lets the scan skip older capture months.
+    """
+    import datetime as dt
+
+    from ..operators.attribution import current_upsells
+
+    bounds = t.backlog_curve.agg(F.min("days_since_activation").alias("lo"),
+                                 F.max("days_since_activation").alias("hi")).first()
+    if bounds["lo"] is None:
+        return p.as_of
+    first_act = F.lit(p.as_of - dt.timedelta(days=int(bounds["hi"])))
+    last_act = F.lit(p.as_of - dt.timedelta(days=int(bounds["lo"])))
+    m = t.merchants.filter(F.col("sales__is_sold") == F.lit(True)).select(
+        F.col("merchant_id").alias("sales_merchant_id"), F.col("activation_date").alias("orig"))
+    if with_override:
+        sd = special_dates(t.opportunities).select("sales_merchant_id", "adjusted_activation_date")
+        m = m.join(sd, "sales_merchant_id", "left")
+        reported = F.coalesce(F.col("adjusted_activation_date"), F.col("orig"))
+    else:
+        reported = F.col("orig")
+    nb = m.filter(reported.between(first_act, last_act)).agg(F.min("orig").alias("d"))
+    up = current_upsells(t.upsells).join(m.select("sales_merchant_id"), "sales_merchant_id").filter(
+        F.col("effective_activation_date").between(first_act, last_act)).agg(
+        F.min("effective_activation_date").alias("d"))
+    found = [r["d"] for r in nb.unionByName(up).collect() if r["d"] is not None]
+    return min(found) if found else p.as_of
+
+
 def processing_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
     d = F.col("capture_date")
     weekly = (
@@ -124,9 +161,14 @@ def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
                            units_to_money(F.coalesce(F.col("units"), F.lit(0))))
 
 
+def backlog_processing_volume(t: Tables, p: ReportParams) -> DataFrame:
+    """Processing volume restricted to the captures the backlog estimate can use."""
+    return report_processing_volume(t, p, max(p.history_start, backlog_capture_start(t, p)))
+
+
 def backlog_report(t: Tables, p: ReportParams) -> DataFrame:
     """J-4: remaining first-year revenue by segment and finance week."""
-    return backlog_report_from(report_processing_volume(t, p), t, p)
+    return backlog_report_from(backlog_processing_volume(t, p), t, p)
 
 
 def processing_and_backlog_report(t: Tables, p: ReportParams, materialize: str = "table") -> DataFrame:
@@ -141,7 +183,8 @@ def processing_and_backlog_report(t: Tables, p: ReportParams, materialize: str =
     """
     from ..sources.tables import stage_table
 
-    pv = report_processing_volume(t, p)
+    start = max(p.history_start, min(p.report_start, backlog_capture_start(t, p)))
+    pv = report_processing_volume(t, p, start)
     if materialize == "table":
         pv = stage_table(pv, t, "processing_volume")
     elif materialize == "checkpoint":
@@ -158,7 +201,8 @@ def backlog_daily(t: Tables, p: ReportParams, ids: DataFrame | None = None) -> D
     if ids is not None:
         from ..operators.enrich import allow_list
         payments = allow_list(payments, ids, "sales_merchant_id")
-    pv = processing_volume(payments, t.merchants, t.upsells, None, p.history_start, None)
+    start = max(p.history_start, backlog_capture_start(t, p, with_override=False))
+    pv = processing_volume(payments, t.merchants, t.upsells, None, start, None)
     summary = backlog_summary(pv, t.backlog_curve, p.as_of,
                               keys=("sales_merchant_id", "sales_category", "sales_activation_date"))
     daily = expand_backlog(summary, t.backlog_curve)
