@@ -200,17 +200,17 @@ def expected_amount(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("first_contact")
 def q_first_contact(t: Tables, p: ReportParams) -> DataFrame:
-    return RU.first_contact(t.opportunities)
+    return R.crm_first_contact(t)
 
 
 @register("special_dates")
 def q_special_dates(t: Tables, p: ReportParams) -> DataFrame:
-    return RU.special_dates(t.opportunities)
+    return R.crm_special_dates(t)
 
 
 @register("activation_override")
 def q_activation_override(t: Tables, p: ReportParams) -> DataFrame:
-    sd = RU.special_dates(t.opportunities).select(F.col("sales_merchant_id").alias("merchant_id"),
+    sd = R.crm_special_dates(t).select(F.col("sales_merchant_id").alias("merchant_id"),
                                                   "adjusted_activation_date")
     return t.merchants.select("merchant_id", "activation_date").join(sd, "merchant_id", "left").select(
         "merchant_id", "activation_date", "adjusted_activation_date",
@@ -228,7 +228,7 @@ def _pv_money(pv: DataFrame) -> DataFrame:
 
 @register("new_business_leg")
 def new_business_leg(t: Tables, p: ReportParams) -> DataFrame:
-    return _pv_money(A.new_business_leg(t.payments, t.merchants, t.upsells, RU.special_dates(t.opportunities),
+    return _pv_money(A.new_business_leg(t.payments, t.merchants, t.upsells, R.crm_special_dates(t),
                                         p.history_start, p.as_of))
 
 
@@ -292,7 +292,7 @@ def new_npv_pipeline(t: Tables, p: ReportParams) -> DataFrame:
 @register("in_quarter_opportunity")
 def in_quarter_opportunity(t: Tables, p: ReportParams) -> DataFrame:
     act = q_activation_override(t, p).select("merchant_id", "sales_activation_date")
-    fc = RU.first_contact(t.opportunities).withColumnRenamed("sales_merchant_id", "merchant_id")
+    fc = R.crm_first_contact(t).withColumnRenamed("sales_merchant_id", "merchant_id")
     j = act.join(fc, "merchant_id", "left")
     return j.select("merchant_id", "sales_activation_date", "first_opportunity_created_date",
                     P.in_quarter("sales_activation_date", "first_opportunity_created_date", p.as_of,
@@ -320,7 +320,7 @@ def margin_measures(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("opportunity_amount_attach")
 def opportunity_amount_attach(t: Tables, p: ReportParams) -> DataFrame:
-    totals = RU.opportunity_totals(t.opportunities)
+    totals = R.crm_opportunity_totals(t)
     m = t.merchants.select("merchant_id", "sfdc_opportunity")
     return m.join(totals, m["sfdc_opportunity"] == totals["opportunity"]).select(
         "merchant_id", "sfdc_opportunity", money("opportunity_amount").alias("opportunity_amount"))
@@ -432,7 +432,7 @@ def recently_live(t: Tables, p: ReportParams, days: int = 28) -> DataFrame:
     """Merchants that went live in the ``days`` before the report date, with segment and deal amount."""
     m = t.merchants.filter(E.recently_live(t.merchants, p.as_of, days))
     seg = E.segment_dimension(m, t.country_codes, t.team_role, None, "A", "A", p.exclude_roles)
-    totals = RU.opportunity_totals(t.opportunities)
+    totals = R.crm_opportunity_totals(t)
     opp = m.select(F.col("merchant_id").alias("sales_merchant_id"), "sfdc_opportunity")
     j = E.left_join_nullable(seg.join(opp, "sales_merchant_id"), totals, "sfdc_opportunity", "opportunity")
     return j.select("sales_merchant_id", F.col("merchant_activation_date").alias("activation_date"), "region",

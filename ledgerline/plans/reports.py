@@ -37,11 +37,25 @@ SEGMENT_COLUMNS = (
 )
 
 
+# --------------------------------------------------------------------------- CRM rollups, written once per dataset
+
+def crm_special_dates(t: Tables) -> DataFrame:
+    return t.derived("special_dates", lambda x: special_dates(x.opportunities))
+
+
+def crm_first_contact(t: Tables) -> DataFrame:
+    return t.derived("first_contact", lambda x: first_contact(x.opportunities))
+
+
+def crm_opportunity_totals(t: Tables) -> DataFrame:
+    return t.derived("opportunity_totals", lambda x: opportunity_totals(x.opportunities))
+
+
 # --------------------------------------------------------------------------- processing / backlog (J-3..J-5, J-9)
 
 def report_processing_volume(t: Tables, p: ReportParams, start=None) -> DataFrame:
     """Both legs with override dates, captures in [start or history_start, as_of)."""
-    return processing_volume(t.payments, t.merchants, t.upsells, special_dates(t.opportunities),
+    return processing_volume(t.payments, t.merchants, t.upsells, crm_special_dates(t),
                              start or p.history_start, p.as_of)
 
 
@@ -81,7 +95,7 @@ def backlog_capture_start(t: Tables, p: ReportParams, with_override: bool = True
     m = t.merchants.filter(F.col("sales__is_sold") == F.lit(True)).select(
         F.col("merchant_id").alias("sales_merchant_id"), F.col("activation_date").alias("orig"))
     if with_override:
-        sd = special_dates(t.opportunities).select("sales_merchant_id", "adjusted_activation_date")
+        sd = crm_special_dates(t).select("sales_merchant_id", "adjusted_activation_date")
         m = m.join(sd, "sales_merchant_id", "left")
         reported = F.coalesce(F.col("adjusted_activation_date"), F.col("orig"))
     else:
@@ -108,7 +122,7 @@ def processing_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFra
         .select("*", *P.week_bucket_labels(p.as_of, p.this_week_lag_days),
                 P.new_npv("orig_activation", p).alias("newNPV"))
     )
-    seg = segment_dimension(t.merchants, t.country_codes, t.team_role, first_contact(t.opportunities),
+    seg = segment_dimension(t.merchants, t.country_codes, t.team_role, crm_first_contact(t),
                             "A", "A", p.exclude_roles)
     j = weekly.join(seg, "sales_merchant_id").withColumn(
         "in_quarter_opportunity",
@@ -131,7 +145,7 @@ def daily_backlog(pv: DataFrame, t: Tables, p: ReportParams, with_end_dates: boo
     """Remaining first-year revenue per merchant, category and future day."""
     summary = backlog_summary(pv, t.backlog_curve, p.as_of)
     if with_end_dates:
-        ends = special_dates(t.opportunities).select("sales_merchant_id", "backlog_end_date")
+        ends = crm_special_dates(t).select("sales_merchant_id", "backlog_end_date")
         summary = summary.join(ends, "sales_merchant_id", "left")
     return expand_backlog(summary, t.backlog_curve)
 
@@ -152,7 +166,7 @@ def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
         .agg(F.sum("backlog_units").alias("units"))
         .select("*", *P.week_bucket_labels())
     )
-    seg = segment_dimension(t.merchants, t.country_codes, t.team_role, first_contact(t.opportunities),
+    seg = segment_dimension(t.merchants, t.country_codes, t.team_role, crm_first_contact(t),
                             "D", "A", p.exclude_roles)
     j = weekly.join(seg, "sales_merchant_id").withColumn(
         "in_quarter_opportunity",
@@ -401,7 +415,7 @@ def margin_report(t: Tables, p: ReportParams) -> DataFrame:
     )
     seg = segment_dimension(t.merchants, t.country_codes, t.team_role, None, "A", "A", p.exclude_roles)
     opp_of = t.merchants.select(F.col("merchant_id").alias("sales_merchant_id"), "sfdc_opportunity")
-    totals = opportunity_totals(t.opportunities)
+    totals = crm_opportunity_totals(t)
     j = (monthly.join(seg.drop("first_opportunity_created_date"), "sales_merchant_id")
          .join(opp_of, "sales_merchant_id")
          .join(totals, F.col("sfdc_opportunity") == totals["opportunity"]))

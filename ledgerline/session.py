@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+_TMP: dict[str, str] = {}
+_LOCK = threading.Lock()
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
@@ -45,16 +50,30 @@ def scratch_dir(spark: SparkSession) -> str:
     directory).  Only when neither is set, as in local tests, a fresh
     temporary folder is created and registered as the checkpoint directory.
     """
-    sc = spark.sparkContext
-    path = sc.getCheckpointDir()
-    if path:
-        return path.rstrip("/")
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+        with _LOCK:
+            path = _TMP.setdefault(app_id(spark), tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
+    if sc is None:
+        return path.rstrip("/")
     sc.setCheckpointDir(path)
     return (sc.getCheckpointDir() or path).rstrip("/")
 
 
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", "app")
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([scratch_dir(spark), *parts])

@@ -19,7 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import app_id, scratch_path
 from . import fixtures
 
 FACT_TABLES = ("payments", "margin")
@@ -40,9 +40,12 @@ class Tables:
     backlog_curve: DataFrame
     pipeline_curve: DataFrame
     source_dir: str = ""
+    materialized: bool = False
+    _derived: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in dataclasses.fields(self) if f.name != "source_dir"}
+        return {f.name: getattr(self, f.name) for f in dataclasses.fields(self)
+                if f.name not in ("source_dir", "materialized", "_derived")}
 
     @property
     def spark(self) -> SparkSession:
@@ -52,6 +55,25 @@ class Tables:
         """A table of the source folder (the driver's parquet files)."""
         return fixtures.read_raw(self.spark, self.source_dir, name)
 
+    def derived(self, name: str, build) -> DataFrame:
+        """A table derived from these inputs by ``build(self)``, written once and then read.
+
+        Used for the CRM rollups several reports join (special dates, first
+        contact, deal totals): the CRM table is aggregated once per dataset,
+        not once per report.
+        """
+        with _LOCK:
+            if name in self._derived:
+                return self._derived[name]
+        df = build(self)
+        if self.source_dir and self.materialized:
+            path = self.output_path("derived", name)
+            df.write.mode("overwrite").parquet(path)
+            df = self.spark.read.parquet(path)
+        with _LOCK:
+            self._derived.setdefault(name, df)
+            return self._derived[name]
+
     def output_path(self, *parts: str) -> str:
         """Per-dataset folder under the shared scratch folder for written outputs."""
         tag = hashlib.sha1(self.source_dir.rstrip("/").encode()).hexdigest()[:16]
@@ -114,7 +136,7 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
     if not materialize:
         return stage_tables(spark, sf_dir)
     root = scratch_path(spark, "staged", hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:16])
-    key = (spark.sparkContext.applicationId, root, sf_dir)
+    key = (app_id(spark), root, sf_dir)
     with _LOCK:
         if key in _CACHE:
             return _CACHE[key]
@@ -135,7 +157,7 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
         write("upsells", fixtures.upsells(out["merchants"]))
         out["payments"] = out["margin"].select(
             "capture_date", "sales_merchant_id", F.col("npv").alias("npv_usd_fixed"), MONTH_COL)
-        tables = Tables(**out, source_dir=sf_dir)
+        tables = Tables(**out, source_dir=sf_dir, materialized=True)
         _CACHE[key] = tables
         return tables
 
