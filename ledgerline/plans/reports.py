@@ -413,12 +413,17 @@ def margin_report(t: Tables, p: ReportParams) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c, _ in MARGIN_MEASURES], F.count(F.lit(1)).alias("n_days"))
         .select("*", *P.month_bucket_labels(p.as_of))
     )
+    from ..operators.dims import merchant_level
+
     seg = segment_dimension(t.merchants, t.country_codes, t.team_role, None, "A", "A", p.exclude_roles)
-    opp_of = t.merchants.select(F.col("merchant_id").alias("sales_merchant_id"), "sfdc_opportunity")
+    # deal amount per merchant, built at dimension size and joined on the merchant id,
+    # so the monthly rows (already partitioned by merchant) are not re-shuffled by deal id
     totals = crm_opportunity_totals(t)
+    opp_of = t.merchants.select(F.col("merchant_id").alias("sales_merchant_id"), "sfdc_opportunity")
+    deal = merchant_level(opp_of.join(totals, F.col("sfdc_opportunity") == totals["opportunity"])
+                          .select("sales_merchant_id", "opportunity_amount"), t.merchants, "merchant deal amount")
     j = (monthly.join(seg.drop("first_opportunity_created_date"), "sales_merchant_id")
-         .join(opp_of, "sales_merchant_id")
-         .join(totals, F.col("sfdc_opportunity") == totals["opportunity"]))
+         .join(deal, "sales_merchant_id"))
     return j.select(
         F.lit("weekly_processing").alias("data_type"), "year", "quarter", "month", "mtd",
         F.lit(0).alias("this_month"),
