@@ -157,7 +157,9 @@ def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
     weekly = (
         daily.filter(f >= F.lit(p.report_start))
         .groupBy(
-            "sales_merchant_id", "sales_category", "sales_activation_date",
+            # orig_activation is constant per merchant; keeping it in the key lets the
+            # weekly sums reuse the partitioning of the backlog summary
+            "sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
             *P.week_bucket_keys(f),
             P.ninety_day_live("sales_activation_date", f, end).alias("ninety_day_live"),
             P.first_year_sold("sales_activation_date", f, end).alias("first_year_sold"),
