@@ -9,15 +9,34 @@ columns.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import periods as P
-from ..functions.measures import MONEY, cents_to_dollars, money, units_to_money, weighted_amount
+from ..functions.measures import (
+    MONEY,
+    cents_to_dollars,
+    days_since_close,
+    live_or_not,
+    money,
+    units_to_money,
+    weighted_amount,
+)
 from ..functions.segments import EXCLUDED_DEAL_STAGES, closed_flag, opportunity_status, sub_region, vertical
-from ..operators.attribution import processing_volume
+from ..operators.attribution import (
+    UPSELL_MAX_ROWS,
+    current_upsells,
+    daily_npv,
+    daily_sums,
+    merchant_attribution,
+    processing_volume,
+)
 from ..operators.curves import backlog_summary, expand_backlog, expand_pipeline
+from ..operators.dims import merchant_level, small_dimension
 from ..operators.enrich import (
+    allow_list,
     countries_by,
     eligible_pipeline,
     opportunity_merchant_key,
@@ -27,7 +46,7 @@ from ..operators.enrich import (
 from ..operators.fanout import amount_once_in_group
 from ..operators.rollups import first_contact, opportunity_totals, special_dates
 from ..params import ReportParams
-from ..sources.tables import Tables
+from ..sources.tables import Tables, stage_table
 
 SEGMENT_COLUMNS = (
     "data_type", "year", "quarter", "finance_week", "qtd", "this_week", "region", "country", "sales_channel",
@@ -82,10 +101,6 @@ def backlog_capture_start(t: Tables, p: ReportParams, with_override: bool = True
     rows bounds the captures needed; it is one small aggregate over
     merchant-level tables, and it lets the scan skip older capture months.
     """
-    import datetime as dt
-
-    from ..operators.attribution import current_upsells
-
     bounds = t.backlog_curve.agg(F.min("days_since_activation").alias("lo"),
                                  F.max("days_since_activation").alias("hi")).first()
     if bounds["lo"] is None:
@@ -197,8 +212,6 @@ def processing_and_backlog_report(t: Tables, p: ReportParams, materialize: str =
     are each grouped by every non-measure column, so a distinct union would
     remove nothing: plain ``unionByName``.
     """
-    from ..sources.tables import stage_table
-
     start = max(p.history_start, min(p.report_start, backlog_capture_start(t, p)))
     pv = report_processing_volume(t, p, start)
     if materialize == "table":
@@ -215,7 +228,6 @@ def backlog_daily(t: Tables, p: ReportParams, ids: DataFrame | None = None) -> D
     """
     payments = t.payments
     if ids is not None:
-        from ..operators.enrich import allow_list
         payments = allow_list(payments, ids, "sales_merchant_id")
     start = max(p.history_start, backlog_capture_start(t, p, with_override=False))
     pv = processing_volume(payments, t.merchants, t.upsells, None, start, None)
@@ -241,8 +253,6 @@ def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_
     ``mes_opportunity_amount`` = amount counted once per deal x mean probability / 100
     (exact decimal); NULL probability leaves it NULL.
     """
-    from ..functions.measures import days_since_close, live_or_not
-
     e = eligible_pipeline(t.opportunities, t.merchants, p).select(
         "*",
         opportunity_status("opportunity_stage").alias("opportunity_status"),
@@ -382,10 +392,6 @@ def margin_daily(t: Tables, p: ReportParams, start=None) -> DataFrame:
     Sold merchants, captures in [start or history_start, as_of); a measure
     counts only while the capture is 0..365 days after activation.
     """
-    from ..operators.attribution import merchant_attribution
-
-    from ..operators.attribution import daily_sums
-
     daily = daily_sums(t.margin, [(c, c) for c, _ in MARGIN_MEASURES], start or p.history_start, p.as_of)
     attr = merchant_attribution(t.merchants, None, None).select("sales_merchant_id", "orig_activation")
     j = daily.join(attr, "sales_merchant_id")
@@ -415,8 +421,6 @@ def margin_report(t: Tables, p: ReportParams) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c, _ in MARGIN_MEASURES], F.count(F.lit(1)).alias("n_days"))
         .select("*", *P.month_bucket_labels(p.as_of))
     )
-    from ..operators.dims import merchant_level
-
     seg = segment_dimension(t.merchants, t.country_codes, t.team_role, None, "A", "A", p.exclude_roles)
     # deal amount per merchant, built at dimension size and joined on the merchant id,
     # so the monthly rows (already partitioned by merchant) are not re-shuffled by deal id
@@ -454,9 +458,6 @@ def weekly_snapshot(t: Tables, p: ReportParams, upsell: bool = False) -> DataFra
     With ``upsell`` only merchants with an included upsell count; the
     activation date is the upsell date and the revenue is the upsell share.
     """
-    from ..operators.attribution import UPSELL_MAX_ROWS, current_upsells, daily_npv
-    from ..operators.dims import merchant_level, small_dimension
-
     daily = daily_npv(t.payments, p.history_start, None)
     m = t.merchants.filter(F.col("sales__is_sold") == F.lit(True)).select(
         F.col("merchant_id").alias("sales_merchant_id"), F.col("activation_date"))
