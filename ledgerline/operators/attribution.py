@@ -134,13 +134,19 @@ def _legs(daily: DataFrame, attr: DataFrame) -> DataFrame:
 def processing_volume(payments: DataFrame, merchants: DataFrame, upsells: DataFrame | None,
                       special: DataFrame | None, start, end=None, start_inclusive: bool = True,
                       categories: tuple[str, ...] = ("new biz", "upsell"),
-                      allow_upsell_fanout: bool = False) -> DataFrame:
+                      allow_upsell_fanout: bool = False, ids: DataFrame | None = None) -> DataFrame:
     """Daily first-year NPV per merchant and category (both legs stacked).
 
     One row per (capture day, merchant, category, activation, original
-    activation).  ``categories`` selects a single leg.
+    activation).  ``categories`` selects a single leg.  ``ids`` (a table with
+    ``sales_merchant_id``) restricts the merchants; it is applied to the
+    daily sums, which are already partitioned by merchant, never to raw
+    payments.
     """
     daily = daily_npv(payments, start, end, start_inclusive)
+    if ids is not None:
+        allowed = ids.select(F.col("sales_merchant_id").alias("_allowed")).distinct()
+        daily = daily.join(allowed, daily["sales_merchant_id"] == allowed["_allowed"], "left_semi")
     attr = merchant_attribution(merchants, upsells, special, allow_upsell_fanout)
     legs = _legs(daily, attr)
     if tuple(categories) != ("new biz", "upsell"):

@@ -36,7 +36,6 @@ from ..operators.attribution import (
 from ..operators.curves import backlog_summary, expand_backlog, expand_pipeline
 from ..operators.dims import merchant_level, small_dimension
 from ..operators.enrich import (
-    allow_list,
     countries_by,
     eligible_pipeline,
     opportunity_merchant_key,
@@ -226,11 +225,8 @@ def backlog_daily(t: Tables, p: ReportParams, ids: DataFrame | None = None) -> D
 
     ``ids`` (a table of merchant ids) restricts the accounts with a semi-join.
     """
-    payments = t.payments
-    if ids is not None:
-        payments = allow_list(payments, ids, "sales_merchant_id")
     start = max(p.history_start, backlog_capture_start(t, p, with_override=False))
-    pv = processing_volume(payments, t.merchants, t.upsells, None, start, None)
+    pv = processing_volume(t.payments, t.merchants, t.upsells, None, start, None, ids=ids)
     summary = backlog_summary(pv, t.backlog_curve, p.as_of,
                               keys=("sales_merchant_id", "sales_category", "sales_activation_date"))
     daily = expand_backlog(summary, t.backlog_curve)
