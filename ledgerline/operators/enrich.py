@@ -115,7 +115,9 @@ def left_join_nullable(left: DataFrame, right: DataFrame, left_key: str, right_k
 
 
 def eligible_pipeline(opps: DataFrame, merchants: DataFrame, p: ReportParams) -> DataFrame:
-    """Open or signed deals not yet live at the report date, going live within [as_of, horizon_end].
+    """Open or signed deals not yet live at the cutoff, going live within [cutoff, horizon_end].
+
+    The cutoff is ``p.pipeline_cutoff`` or, when unset, the report date.
 
     The activation test reads the nullable side of a left join, so it stays
     above the join.
@@ -126,8 +128,8 @@ def eligible_pipeline(opps: DataFrame, merchants: DataFrame, p: ReportParams) ->
     act = F.col("unified_funnel__activation_date_date")
     go_live = F.col("opportunity_expected_go_live_date")
     return j.filter(
-        (act.isNull() | (act >= F.lit(p.as_of)))
-        & (go_live >= F.lit(p.as_of))
+        (act.isNull() | (act >= F.lit(p.cutoff)))
+        & (go_live >= F.lit(p.cutoff))
         & (go_live <= F.lit(p.horizon_end))
         & F.col("opportunity_stage").isin(*OPEN_OR_SIGNED_STAGES)
     )

@@ -32,6 +32,12 @@ class ReportParams:
     in_quarter_lag_days: int = 5
     # team roles left out of reports (request: leave out AM until role history exists)
     exclude_roles: tuple[str, ...] = ()
+    # first go-live day (and "not yet live" test) of the pipeline; the report date when unset
+    pipeline_cutoff: dt.date | None = None
+
+    @property
+    def cutoff(self) -> dt.date:
+        return self.pipeline_cutoff or self.as_of
 
     def shifted(self, days: int) -> "ReportParams":
         """Same parameters with the report date moved by ``days``."""

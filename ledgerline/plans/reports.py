@@ -252,7 +252,7 @@ def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_
     e = eligible_pipeline(t.opportunities, t.merchants, p).select(
         "*",
         opportunity_status("opportunity_stage").alias("opportunity_status"),
-        live_or_not("unified_funnel__activation_date_date", p.as_of).alias("live_or_not"),
+        live_or_not("unified_funnel__activation_date_date", p.cutoff).alias("live_or_not"),
     )
     # Each deal row later becomes 365 daily rows.  Partition the deals by id
     # to the session's shuffle parallelism explicitly: AQE would size these

@@ -40,7 +40,8 @@ def _alt_params():
     # a different report date (a Sunday inside a quarter with plenty of data) and other bounds
     return ReportParams(as_of=dt.date(1999, 11, 28), history_start=dt.date(1996, 1, 1),
                         report_start=dt.date(1998, 7, 1), horizon_end=dt.date(2000, 6, 30),
-                        fy_start=dt.date(1998, 1, 1), fy_end=dt.date(1999, 12, 31))
+                        fy_start=dt.date(1998, 1, 1), fy_end=dt.date(1999, 12, 31),
+                        pipeline_cutoff=dt.date(1999, 11, 21))
 
 
 @pytest.mark.parametrize("key", ["processing_report", "backlog_report", "processing_and_backlog_report",
