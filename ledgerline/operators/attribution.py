@@ -53,14 +53,24 @@ def daily_sums(facts: DataFrame, measures, start=None, end=None, start_inclusive
         .groupBy("sales_merchant_id", "capture_date")
         .agg(*[F.sum(c).alias(a) for c, a in measures])
     )
-    if not by_merchant:
-        return daily
-    # explicit count: the backlog expansion downstream multiplies rows, so the
-    # partition count must not be shrunk to fit the (smaller) daily input
+    return partition_by_merchant(daily) if by_merchant else daily
+
+
+def partition_by_merchant(daily: DataFrame) -> DataFrame:
+    """Hash-partition (merchant, day) rows by merchant, to the session's shuffle parallelism.
+
+    Explicit count: the backlog expansion downstream multiplies rows, so the
+    partition count must not be shrunk to fit the (smaller) daily input.
+    """
     parts = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return daily.repartition(parts, "sales_merchant_id")
 
 
+def daily_range(daily_table: DataFrame, start=None, end=None, start_inclusive: bool = True) -> DataFrame:
+    """Rows of a stored (merchant, day) table within [start, end), partitioned by merchant."""
+    return partition_by_merchant(capture_range(daily_table, start, end, start_inclusive))
+
+
 def current_upsells(upsells: DataFrame) -> DataFrame:
     """Upsells flagged for inclusion."""
     return upsells.filter(F.col("include") == 1).select(
@@ -134,16 +144,19 @@ def _legs(daily: DataFrame, attr: DataFrame) -> DataFrame:
 def processing_volume(payments: DataFrame, merchants: DataFrame, upsells: DataFrame | None,
                       special: DataFrame | None, start, end=None, start_inclusive: bool = True,
                       categories: tuple[str, ...] = ("new biz", "upsell"),
-                      allow_upsell_fanout: bool = False, ids: DataFrame | None = None) -> DataFrame:
+                      allow_upsell_fanout: bool = False, ids: DataFrame | None = None,
+                      daily: DataFrame | None = None) -> DataFrame:
     """Daily first-year NPV per merchant and category (both legs stacked).
 
     One row per (capture day, merchant, category, activation, original
     activation).  ``categories`` selects a single leg.  ``ids`` (a table with
     ``sales_merchant_id``) restricts the merchants; it is applied to the
     daily sums, which are already partitioned by merchant, never to raw
-    payments.
+    payments.  ``daily`` passes (merchant, day) sums computed elsewhere (for
+    example a stored daily table, see ``daily_range``) in place of ``payments``.
     """
-    daily = daily_npv(payments, start, end, start_inclusive)
+    if daily is None:
+        daily = daily_npv(payments, start, end, start_inclusive)
     if ids is not None:
         allowed = ids.select(F.col("sales_merchant_id").alias("_allowed")).distinct()
         daily = daily.join(allowed, daily["sales_merchant_id"] == allowed["_allowed"], "left_semi")

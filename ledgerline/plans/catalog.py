@@ -74,7 +74,7 @@ def activation_age(t: Tables, p: ReportParams) -> DataFrame:
 
 
 def _merchant_days(t: Tables, p: ReportParams) -> DataFrame:
-    daily = A.daily_npv(t.payments, p.history_start, p.as_of)
+    daily = R.payments_daily(t, p.history_start, p.as_of)
     m = t.merchants.select(F.col("merchant_id").alias("sales_merchant_id"), "activation_date")
     return daily.join(m, "sales_merchant_id")
 
@@ -351,7 +351,7 @@ def q_enrich_team(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("enrich_merchant")
 def q_enrich_merchant(t: Tables, p: ReportParams) -> DataFrame:
-    daily = A.daily_npv(t.payments, p.history_start, p.as_of)
+    daily = R.payments_daily(t, p.history_start, p.as_of)
     j = E.enrich_merchant(daily, t.merchants.select("merchant_id", "activation_date"))
     return j.groupBy("sales_merchant_id", "activation_date").agg(
         F.count(F.lit(1)).alias("n_days"), money(cents_to_dollars(F.sum("npv_cents"))).alias("npv"))
@@ -377,7 +377,7 @@ def report_constants(t: Tables, p: ReportParams) -> DataFrame:
 @register("upsell_snapshot_measure")
 def q_upsell_snapshot_measure(t: Tables, p: ReportParams) -> DataFrame:
     up = A.current_upsells(t.upsells).select("sales_merchant_id", "pct_share_of_npv")
-    pay = A.daily_npv(t.payments, p.history_start, None).join(up, "sales_merchant_id")
+    pay = R.payments_daily(t, p.history_start, None).join(up, "sales_merchant_id")
     return pay.groupBy("sales_merchant_id", P.finance_week("capture_date").alias("finance_week")).agg(
         money(F.sum(upsell_snapshot_measure("npv_cents", "pct_share_of_npv"))).alias("npv_fixed_fx"))
 

@@ -28,7 +28,7 @@ from ..functions.segments import EXCLUDED_DEAL_STAGES, closed_flag, opportunity_
 from ..operators.attribution import (
     UPSELL_MAX_ROWS,
     current_upsells,
-    daily_npv,
+    daily_range,
     daily_sums,
     merchant_attribution,
     processing_volume,
@@ -69,12 +69,33 @@ def crm_opportunity_totals(t: Tables) -> DataFrame:
     return t.derived("opportunity_totals", lambda x: opportunity_totals(x.opportunities))
 
 
+# --------------------------------------------------------------------------- daily fact sums, stored once per dataset
+
+def daily_payments(t: Tables) -> DataFrame:
+    """NPV cents per (merchant, capture day) over all captures, stored once per dataset.
+
+    Every payments-based report starts from these sums (filtered to its own
+    date range), so the payments are scanned and aggregated once per dataset
+    instead of once per report.  The streaming job in ``streaming.daily_sums``
+    maintains the same table incrementally.
+    """
+    # each file sorted by capture date: row-group statistics let date filters skip row groups
+    return t.derived("daily_payments", lambda x: daily_sums(
+        x.payments, [("npv_usd_fixed", "npv_cents")], by_merchant=False), sort_by="capture_date")
+
+
+def payments_daily(t: Tables, start=None, end=None) -> DataFrame:
+    """Daily NPV sums within [start, end), partitioned by merchant."""
+    return daily_range(daily_payments(t), start, end)
+
+
 # --------------------------------------------------------------------------- processing / backlog (J-3..J-5, J-9)
 
 def report_processing_volume(t: Tables, p: ReportParams, start=None) -> DataFrame:
     """Both legs with override dates, captures in [start or history_start, as_of)."""
-    return processing_volume(t.payments, t.merchants, t.upsells, crm_special_dates(t),
-                             start or p.history_start, p.as_of)
+    start = start or p.history_start
+    return processing_volume(t.payments, t.merchants, t.upsells, crm_special_dates(t), start, p.as_of,
+                             daily=payments_daily(t, start, p.as_of))
 
 
 def _segment_select(df: DataFrame, data_type: str, qtd, this_week, npv) -> DataFrame:
@@ -226,7 +247,8 @@ def backlog_daily(t: Tables, p: ReportParams, ids: DataFrame | None = None) -> D
     ``ids`` (a table of merchant ids) restricts the accounts with a semi-join.
     """
     start = max(p.history_start, backlog_capture_start(t, p, with_override=False))
-    pv = processing_volume(t.payments, t.merchants, t.upsells, None, start, None, ids=ids)
+    pv = processing_volume(t.payments, t.merchants, t.upsells, None, start, None, ids=ids,
+                           daily=payments_daily(t, start, None))
     summary = backlog_summary(pv, t.backlog_curve, p.as_of,
                               keys=("sales_merchant_id", "sales_category", "sales_activation_date"))
     daily = expand_backlog(summary, t.backlog_curve)
@@ -388,7 +410,9 @@ def margin_daily(t: Tables, p: ReportParams, start=None) -> DataFrame:
     Sold merchants, captures in [start or history_start, as_of); a measure
     counts only while the capture is 0..365 days after activation.
     """
-    daily = daily_sums(t.margin, [(c, c) for c, _ in MARGIN_MEASURES], start or p.history_start, p.as_of)
+    stored = t.derived("daily_margin", lambda x: daily_sums(
+        x.margin, [(c, c) for c, _ in MARGIN_MEASURES], by_merchant=False), sort_by="capture_date")
+    daily = daily_range(stored, start or p.history_start, p.as_of)
     attr = merchant_attribution(t.merchants, None, None).select("sales_merchant_id", "orig_activation")
     j = daily.join(attr, "sales_merchant_id")
     fy = P.in_first_year("orig_activation", "capture_date")
@@ -454,7 +478,7 @@ def weekly_snapshot(t: Tables, p: ReportParams, upsell: bool = False) -> DataFra
     With ``upsell`` only merchants with an included upsell count; the
     activation date is the upsell date and the revenue is the upsell share.
     """
-    daily = daily_npv(t.payments, p.history_start, None)
+    daily = payments_daily(t, p.history_start, None)
     m = t.merchants.filter(F.col("sales__is_sold") == F.lit(True)).select(
         F.col("merchant_id").alias("sales_merchant_id"), F.col("activation_date"))
     amount = cents_to_dollars(F.col("npv_cents"))

@@ -48,12 +48,19 @@ def test_no_python_udf_nested_loop_or_cartesian(spark, registered):
     assert bad == {}
 
 
-def test_payments_scan_prunes_and_pushes(spark, registered):
+def test_reports_read_the_daily_table_with_pushed_filters(spark, registered):
     plan = _plan(registered["processing_report"](spark, SF))
-    # the processing report reads captures from the report start (1999-01-01) only
-    assert "PartitionFilters: [isnotnull(capture_month" in plan
-    assert "(capture_month" in plan and ">= 1999-01-01)" in plan
+    # the processing report reads the shared daily sums from the report start (1999-01-01) on
+    assert "derived/daily_payments" in plan
     assert "GreaterThanOrEqual(capture_date,1999-01-01)" in plan
+    assert "ReadSchema: struct<sales_merchant_id:bigint,capture_date:date,npv_cents:bigint>" in plan
+
+
+def test_daily_table_build_prunes_payments(spark, tables):
+    from ledgerline.operators.attribution import daily_npv
+
+    plan = _plan(daily_npv(tables.payments, dt.date(1999, 1, 1), dt.date(2000, 1, 2)))
+    assert "PartitionFilters: [isnotnull(capture_month" in plan and ">= 1999-01-01)" in plan
     assert "ReadSchema: struct<capture_date:date,sales_merchant_id:bigint,npv:bigint>" in plan
 
 
