@@ -78,6 +78,15 @@ class Tables:
             self._derived.setdefault(name, df)
             return self._derived[name]
 
+    def use_daily_payments(self, daily: DataFrame) -> None:
+        """Let the reports read an externally maintained (merchant, day) NPV table.
+
+        ``daily`` needs ``sales_merchant_id``, ``capture_date`` and
+        ``npv_cents`` - for example the sink of ``streaming.daily_sums``.
+        """
+        with _LOCK:
+            self._derived["daily_payments"] = daily.select("sales_merchant_id", "capture_date", "npv_cents")
+
     def output_path(self, *parts: str) -> str:
         """Per-dataset folder under the shared scratch folder for written outputs."""
         tag = hashlib.sha1(self.source_dir.rstrip("/").encode()).hexdigest()[:16]

@@ -31,3 +31,24 @@ def test_incremental_daily_sums_match_batch(spark, tables):
 
     weekly = weekly_from_daily(got_final)
     assert weekly.agg(F.sum("npv_cents")).first()[0] == expected.agg(F.sum("npv_cents")).first()[0]
+
+
+def test_reports_can_read_the_streamed_daily_table(spark):
+    import dataclasses
+
+    from ledgerline.params import DEFAULT_PARAMS as P
+    from ledgerline.plans.reports import processing_report
+    from ledgerline.sources.tables import load_tables
+    from oracle.compare import compare, duck
+    from oracle.queries import SQL
+
+    sf = "/root/testdata/sf0.001"
+    base = load_tables(spark, sf)
+    root = scratch_path(spark, "test-stream-feed", uuid.uuid4().hex)
+    base.payments.select("capture_date", "sales_merchant_id", "npv_usd_fixed").write.parquet(f"{root}/payments")
+    start_daily_sums(spark, f"{root}/payments", f"{root}/daily", f"{root}/_checkpoint", late_days=1).awaitTermination()
+    # a separate Tables object over the same staged inputs, fed by the streamed daily table
+    t = dataclasses.replace(base, _derived={})
+    t.use_daily_payments(spark.read.parquet(f"{root}/daily"))
+    r = compare(spark, duck(sf), processing_report(t, P), SQL["processing_report"])
+    assert r["ok"], r
