@@ -4,18 +4,16 @@ The role table is kept as dated snapshots (``snapshot_date``, whole table
 per date; see ``sources.snapshots``).  Instead of a range join or a window
 over each owner's facts, the lookup is two equi-joins:
 
-1. a day -> snapshot map: every day from a snapshot up to the day before the
-   next one (the last snapshot stays valid until ``until``).  Its size is
-   bounded by the calendar, not by the facts, and it is size-checked before
-   it is broadcast;
+1. a day -> snapshot map for every day from the first snapshot up to the
+   day before the last one.  Its size is bounded by the calendar, not by the
+   facts, and it is size-checked before it is broadcast.  Facts dated on or
+   after the last snapshot take that snapshot directly;
 2. facts join the map on their date, then the snapshots on
    (owner, snapshot_date).
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,27 +22,35 @@ from .dims import small_dimension
 CALENDAR_MAX_ROWS = 200_000  # ~550 years of days
 
 
-def snapshot_day_map(history: DataFrame, until: dt.date, date_col: str = "snapshot_date") -> DataFrame:
-    """(day, snapshot_date) for every day covered by a snapshot."""
-    dates = history.select(F.col(date_col).alias("snapshot_date")).distinct()
+def snapshot_dates(history: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
+    return history.select(F.col(date_col).alias("snapshot_date")).distinct()
+
+
+def snapshot_day_map(history: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
+    """(day, snapshot_date) for every day from the first snapshot to the day before the last."""
     # one row per snapshot date: a tiny, calendar-bounded window
     nxt = F.lead("snapshot_date").over(Window.orderBy("snapshot_date"))
-    spans = dates.select("snapshot_date",
-                         F.coalesce(F.date_sub(nxt, 1), F.lit(until)).alias("valid_to"))
-    days = spans.filter(F.col("valid_to") >= F.col("snapshot_date")).select(
+    spans = snapshot_dates(history, date_col).select("snapshot_date", F.date_sub(nxt, 1).alias("valid_to"))
+    days = spans.filter(F.col("valid_to").isNotNull() & (F.col("valid_to") >= F.col("snapshot_date"))).select(
         "snapshot_date", F.explode(F.sequence("snapshot_date", "valid_to")).alias("day"))
     return small_dimension(days, "day", CALENDAR_MAX_ROWS, "snapshot day map")
 
 
-def role_as_of(facts: DataFrame, history: DataFrame, owner_col: str, date_col: str, until: dt.date,
+def role_as_of(facts: DataFrame, history: DataFrame, owner_col: str, date_col: str,
                key: str = "sales_owner", columns=("role", "team")) -> DataFrame:
-    """Add ``columns`` of the owner's row in the latest snapshot on or before each fact's date.
+    """Add ``snapshot_date`` and ``columns`` of the owner's row in the latest snapshot on or before each fact's date.
 
     Facts dated before the first snapshot, or whose owner is absent from
     that snapshot, get NULLs (left joins).
     """
-    day_map = snapshot_day_map(history, until)
+    last = snapshot_dates(history).agg(F.max("snapshot_date").alias("last")).first()["last"]
+    if last is None:
+        return facts.select("*", F.lit(None).cast("date").alias("snapshot_date"),
+                            *[F.lit(None).cast("string").alias(c) for c in columns])
+    day_map = snapshot_day_map(history)
     with_snap = facts.join(day_map, facts[date_col] == day_map["day"], "left").drop("day")
+    with_snap = with_snap.withColumn(
+        "snapshot_date", F.when(F.col(date_col) >= F.lit(last), F.lit(last)).otherwise(F.col("snapshot_date")))
     h = history.select(F.col(key).alias("_owner"), F.col("snapshot_date").alias("_snap"), *columns)
     out = with_snap.join(h, (with_snap[owner_col] == h["_owner"]) & (with_snap["snapshot_date"] == h["_snap"]),
                          "left")

@@ -78,3 +78,19 @@ def deal_level_export(t: Tables, p: ReportParams, path: str | None = None) -> Da
      .options(**CSV_WRITE).partitionBy(SNAPSHOT_COL).csv(path))
     back = t.spark.read.schema(schema).options(**CSV_READ).csv(path)
     return back.filter(F.col(SNAPSHOT_COL) == F.lit(p.as_of))
+
+
+def role_history(t: Tables, p: ReportParams, path: str | None = None) -> DataFrame:
+    """Dated role-table snapshots: the uploaded table a week before the report date, the maintained one on it."""
+    path = path or t.output_path("role_history")
+    write_snapshot(t.team_role.select("sales_owner", "role", "team"), path, p.shifted(-7).as_of)
+    write_snapshot(R.team_role_fix(t), path, p.as_of)
+    return t.spark.read.parquet(path).filter(F.col(SNAPSHOT_COL).isin(p.shifted(-7).as_of, p.as_of))
+
+
+def deal_roles_as_of_close(t: Tables, p: ReportParams) -> DataFrame:
+    """R-6: each deal's owner role and team as of the deal's close date, from the dated role snapshots."""
+    from ..operators.asof import role_as_of
+
+    deals = t.opportunities.select("opportunity", "opportunity_owner", "opportunity_close_date")
+    return role_as_of(deals, role_history(t, p), "opportunity_owner", "opportunity_close_date")

@@ -57,3 +57,4 @@ register("team_role_maintenance")(J.team_role_maintenance)
 register("deal_level_export")(J.deal_level_export)
 register("owners_missing_role")(lambda t, p: R.owners_missing_role(t))
 register("team_role_upsert")(lambda t, p: R.team_role_fix(t))
+register("deal_roles_as_of_close")(J.deal_roles_as_of_close)

@@ -303,3 +303,19 @@ SELECT d.sales_merchant_id, sd.backlog_end_date,
 FROM daily_backlog d JOIN special_dates sd ON sd.sales_merchant_id = d.sales_merchant_id
 WHERE sd.backlog_end_date IS NOT NULL
 GROUP BY 1, 2"""
+
+from .queries import _ROLE_FIX  # noqa: E402
+
+_WEEK_BEFORE = P.shifted(-7).as_of
+SQL["deal_roles_as_of_close"] = with_tables(["merchants", "opportunities", "team_role"], [
+    ("history", f"""
+SELECT sales_owner, role, team, {D(_WEEK_BEFORE)} AS snapshot_date FROM team_role
+UNION ALL
+SELECT sales_owner, role, team, {D(P.as_of)} AS snapshot_date FROM ({_ROLE_FIX}
+) fixed"""),
+]) + """
+SELECT o.opportunity, o.opportunity_owner, o.opportunity_close_date, s.snapshot_date, h.role, h.team
+FROM opportunities o
+LEFT JOIN LATERAL (SELECT max(snapshot_date) AS snapshot_date FROM (SELECT DISTINCT snapshot_date FROM history) d
+                   WHERE d.snapshot_date <= o.opportunity_close_date) s ON true
+LEFT JOIN history h ON h.sales_owner = o.opportunity_owner AND h.snapshot_date = s.snapshot_date"""
