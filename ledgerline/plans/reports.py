@@ -10,6 +10,7 @@ columns.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +85,22 @@ def daily_payments(t: Tables) -> DataFrame:
         x.payments, [("npv_usd_fixed", "npv_cents")], by_merchant=False), sort_by="capture_date")
 
 
+def daily_margin(t: Tables) -> DataFrame:
+    """The six margin measures (cents) per (merchant, capture day), stored once per dataset."""
+    return t.derived("daily_margin", lambda x: daily_sums(
+        x.margin, [(c, c) for c, _ in MARGIN_MEASURES], by_merchant=False), sort_by="capture_date")
+
+
+def prepare_shared(t: Tables) -> None:
+    """Write the tables several reports share - daily sums and CRM rollups - with concurrent Spark jobs.
+
+    Optional: each table is otherwise written by the first report that needs it.
+    """
+    builders = (daily_payments, daily_margin, crm_special_dates, crm_first_contact, crm_opportunity_totals)
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        list(pool.map(lambda build: build(t), builders))
+
+
 def payments_daily(t: Tables, start=None, end=None) -> DataFrame:
     """Daily NPV sums within [start, end), partitioned by merchant."""
     return daily_range(daily_payments(t), start, end)
@@ -222,15 +239,17 @@ def backlog_report(t: Tables, p: ReportParams) -> DataFrame:
     return backlog_report_from(backlog_processing_volume(t, p), t, p)
 
 
-def processing_and_backlog_report(t: Tables, p: ReportParams, materialize: str = "table") -> DataFrame:
+def processing_and_backlog_report(t: Tables, p: ReportParams, materialize: str = "none") -> DataFrame:
     """J-5: J-3 and J-4 in one table.
 
-    The daily processing volume feeds both halves.  ``materialize='table'``
-    writes it once to the shared scratch folder so the payments are scanned
-    once (``'checkpoint'`` uses ``DataFrame.checkpoint``, ``'none'`` lets
-    both halves recompute it).  The two halves differ in ``data_type`` and
-    are each grouped by every non-measure column, so a distinct union would
-    remove nothing: plain ``unionByName``.
+    The processing volume feeds both halves.  It is derived from the shared
+    daily table (payments are not scanned again), about the same size as the
+    volume itself, so by default each half derives it (``'none'``);
+    ``'table'`` writes it once to the shared scratch folder and
+    ``'checkpoint'`` uses ``DataFrame.checkpoint``, for inputs where the
+    volume is expensive to recompute.  The two halves differ in
+    ``data_type`` and are each grouped by every non-measure column, so a
+    distinct union would remove nothing: plain ``unionByName``.
     """
     start = max(p.history_start, min(p.report_start, backlog_capture_start(t, p)))
     pv = report_processing_volume(t, p, start)
@@ -410,9 +429,7 @@ def margin_daily(t: Tables, p: ReportParams, start=None) -> DataFrame:
     Sold merchants, captures in [start or history_start, as_of); a measure
     counts only while the capture is 0..365 days after activation.
     """
-    stored = t.derived("daily_margin", lambda x: daily_sums(
-        x.margin, [(c, c) for c, _ in MARGIN_MEASURES], by_merchant=False), sort_by="capture_date")
-    daily = daily_range(stored, start or p.history_start, p.as_of)
+    daily = daily_range(daily_margin(t), start or p.history_start, p.as_of)
     attr = merchant_attribution(t.merchants, None, None).select("sales_merchant_id", "orig_activation")
     j = daily.join(attr, "sales_merchant_id")
     fy = P.in_first_year("orig_activation", "capture_date")
