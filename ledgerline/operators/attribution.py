@@ -25,7 +25,7 @@ from ..functions.measures import cents_to_dollars
 from ..sources.tables import capture_range
 from .dims import merchant_level, small_dimension
 
-UPSELL_MAX_ROWS = 5_000_000
+UPSELL_MAX_ROWS = 1_000_000
 PV_COLUMNS = ("data_type", "capture_date", "sales_merchant_id", "sales_category", "sales_activation_date",
               "orig_activation", "first_year_sold_npv_usd_fx", "total_npv")
 

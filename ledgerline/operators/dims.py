@@ -19,7 +19,7 @@ DEFAULT_MAX_ROWS = 1_000_000
 # Merchant-level tables (one row per merchant) are broadcast up to this size;
 # beyond it they are shuffled by merchant and meet fact rows that are already
 # partitioned by merchant.
-MERCHANT_DIM_MAX_ROWS = 500_000
+MERCHANT_DIM_MAX_ROWS = 200_000
 
 
 class DuplicateKeyError(ValueError):
