@@ -19,7 +19,7 @@ from ..params import ReportParams
 from .dims import merchant_level, small_dimension
 
 COUNTRY_MAX_ROWS = 10_000
-TEAM_MAX_ROWS = 1_000_000
+TEAM_MAX_ROWS = 100_000
 OPEN_OR_SIGNED_STAGES = ("Negotiating", "Discovering Needs", "Validating Fit", "Proposing Solution", "Onboarding", "Live")
 
 

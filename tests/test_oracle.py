@@ -56,3 +56,37 @@ def test_reports_match_oracle_at_another_report_date(spark, tables, duck, key):
     assert r["ok"], {k: r.get(k) for k in ("spark_rows", "oracle_rows", "only_spark", "only_oracle", "cols", "types")}
     if key == "processing_report":
         assert df.filter("qtd = 1").count() > 0 and df.filter("this_week = 1").count() > 0
+
+
+@pytest.mark.parametrize("key", ["processing_and_backlog_report", "pipeline_forecast_report", "deal_signed_report",
+                                 "margin_first_year_report", "backlog_daily", "weekly_upsell_snapshot",
+                                 "deal_roles_as_of_close"])
+def test_reports_without_broadcasts_match_oracle(spark, duck, key, monkeypatch):
+    """Every dimension over its bound: the shuffle-join path must give the same results."""
+    import contextlib
+    import io
+
+    from ledgerline.operators import attribution, curves, dims, enrich
+
+    for mod, name in ((dims, "MERCHANT_DIM_MAX_ROWS"), (enrich, "COUNTRY_MAX_ROWS"), (enrich, "TEAM_MAX_ROWS"),
+                      (curves, "CURVE_MAX_ROWS"), (attribution, "UPSELL_MAX_ROWS")):
+        monkeypatch.setattr(mod, name, 3)
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        df = entry.queries()[key](spark, SF)
+        r = compare(spark, duck, df, SQL[key])
+        assert r["ok"], {k: r.get(k) for k in ("spark_rows", "oracle_rows", "only_spark", "only_oracle")}
+        if key in ("processing_and_backlog_report", "pipeline_forecast_report", "margin_first_year_report"):
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                df.explain()
+            assert "BroadcastHashJoin" not in buf.getvalue().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
