@@ -144,3 +144,23 @@ def test_role_as_of_latest_snapshot(spark):
         "id int, owner string, d date")
     got = {r.id: r.role for r in role_as_of(facts, hist, "owner", "d").collect()}
     assert got == {1: None, 2: "AE", 3: "NBA", 4: "AE", 5: None}
+
+
+def test_hot_merchant_is_bounded_by_calendar_days(spark):
+    """One merchant with a third of all payments: after the daily sums no partition holds more than its days."""
+    from ledgerline.operators.attribution import daily_npv
+
+    base = D(2017, 1, 1)
+    hot = [(base + dt.timedelta(days=i % 200), 1, 100) for i in range(30_000)]          # 30k rows, 200 days
+    rest = [(base + dt.timedelta(days=i % 300), 2 + i % 1_000, 100) for i in range(60_000)]
+    pay = spark.createDataFrame(hot + rest, PAYMENTS).repartition(8)
+    daily = daily_npv(pay, base, None)
+    sizes = [r["count"] for r in daily.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 200 + len({(i % 300, i % 1_000) for i in range(60_000)})
+    hot_rows = daily.filter("sales_merchant_id = 1")
+    assert hot_rows.count() == 200 and hot_rows.agg(F.sum("npv_cents")).first()[0] == 30_000 * 100
+    # the hot merchant's whole history is 200 rows: no partition is anywhere near a third of the input
+    assert max(sizes) < 0.2 * sum(sizes)
+    # and its revenue is whole after the attribution legs
+    pv = processing_volume(pay, _merchants(spark, act=base), None, None, base, None)
+    assert pv.filter("sales_merchant_id = 1").agg(F.sum("total_npv")).first()[0] == 30_000
