@@ -60,6 +60,11 @@ def small_dimension(df: DataFrame, key: str | None = None, max_rows: int = DEFAU
     return F.broadcast(df)
 
 
+def merchant_bound(merchants: DataFrame) -> tuple[int, int, int]:
+    """(rows read up to the bound, non-NULL keys, distinct keys) of the merchant dimension (memoised)."""
+    return _check(merchants.select("merchant_id"), "merchant_id", MERCHANT_DIM_MAX_ROWS)
+
+
 def merchant_level(df: DataFrame, merchants: DataFrame, name: str = "") -> DataFrame:
     """Broadcast a per-merchant table derived from ``merchants`` when the merchant dimension is small.
 
@@ -67,7 +72,7 @@ def merchant_level(df: DataFrame, merchants: DataFrame, name: str = "") -> DataF
     through joins to key-checked dimensions), so the bound checked on the
     merchant dimension itself - one memoised check per session - bounds it.
     """
-    n, n_key, n_distinct = _check(merchants.select("merchant_id"), "merchant_id", MERCHANT_DIM_MAX_ROWS)
+    n, n_key, n_distinct = merchant_bound(merchants)
     if n > MERCHANT_DIM_MAX_ROWS:
         return df
     if n_key != n_distinct:

@@ -35,7 +35,7 @@ from ..operators.attribution import (
     processing_volume,
 )
 from ..operators.curves import backlog_summary, expand_backlog, expand_pipeline
-from ..operators.dims import merchant_level, small_dimension
+from ..operators.dims import merchant_bound, merchant_level, small_dimension
 from ..operators.enrich import (
     countries_by,
     eligible_pipeline,
@@ -92,11 +92,20 @@ def daily_margin(t: Tables) -> DataFrame:
 
 
 def prepare_shared(t: Tables) -> None:
-    """Write the tables several reports share - daily sums and CRM rollups - with concurrent Spark jobs.
+    """Write the tables several reports share - daily sums and CRM rollups - and run the
+    dimension checks, with concurrent Spark jobs.
 
     Optional: each table is otherwise written by the first report that needs it.
     """
-    builders = (daily_payments, daily_margin, crm_special_dates, crm_first_contact, crm_opportunity_totals)
+    builders = (
+        daily_payments, daily_margin, crm_special_dates, crm_first_contact, crm_opportunity_totals,
+        # dimension checks (memoised) the reports run before broadcasting
+        lambda x: merchant_bound(x.merchants),
+        lambda x: countries_by(x.country_codes, "code"),
+        lambda x: countries_by(x.country_codes, "name"),
+        lambda x: teams(x.team_role),
+        lambda x: small_dimension(current_upsells(x.upsells), "sales_merchant_id", UPSELL_MAX_ROWS, "upsells"),
+    )
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
         list(pool.map(lambda build: build(t), builders))
 
