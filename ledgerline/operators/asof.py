@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .dims import small_dimension
 
 CALENDAR_MAX_ROWS = 200_000  # ~550 years of days
+HISTORY_MAX_ROWS = 1_000_000
 
 
 def snapshot_dates(history: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
@@ -51,7 +52,9 @@ def role_as_of(facts: DataFrame, history: DataFrame, owner_col: str, date_col: s
     with_snap = facts.join(day_map, facts[date_col] == day_map["day"], "left").drop("day")
     with_snap = with_snap.withColumn(
         "snapshot_date", F.when(F.col(date_col) >= F.lit(last), F.lit(last)).otherwise(F.col("snapshot_date")))
-    h = history.select(F.col(key).alias("_owner"), F.col("snapshot_date").alias("_snap"), *columns)
+    # owners x snapshots: broadcast when it passes the size check, otherwise a shuffle join
+    h = small_dimension(history.select(F.col(key).alias("_owner"), F.col("snapshot_date").alias("_snap"), *columns),
+                        None, HISTORY_MAX_ROWS, "role history")
     out = with_snap.join(h, (with_snap[owner_col] == h["_owner"]) & (with_snap["snapshot_date"] == h["_snap"]),
                          "left")
     return out.drop("_owner", "_snap")

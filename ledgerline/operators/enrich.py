@@ -142,7 +142,7 @@ def allow_list(df: DataFrame, ids: DataFrame, col: str = "sales_merchant_id", id
     return df.join(i, df[col] == i["_allowed"], "left_semi")
 
 
-def recently_live(merchants: DataFrame, as_of: dt.date, days: int) -> Column:
+def recently_live(as_of: dt.date, days: int) -> Column:
     """Activation within the ``days`` before the report date."""
     act = F.col("activation_date")
     return (act >= F.lit(as_of - dt.timedelta(days=days))) & (act < F.lit(as_of))

@@ -430,7 +430,7 @@ def week_over_week(t: Tables, p: ReportParams) -> DataFrame:
 @register("recently_live")
 def recently_live(t: Tables, p: ReportParams, days: int = 28) -> DataFrame:
     """Merchants that went live in the ``days`` before the report date, with segment and deal amount."""
-    m = t.merchants.filter(E.recently_live(t.merchants, p.as_of, days))
+    m = t.merchants.filter(E.recently_live(p.as_of, days))
     seg = E.segment_dimension(m, t.country_codes, t.team_role, None, "A", "A", p.exclude_roles)
     totals = R.crm_opportunity_totals(t)
     opp = m.select(F.col("merchant_id").alias("sales_merchant_id"), "sfdc_opportunity")
