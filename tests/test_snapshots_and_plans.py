@@ -117,3 +117,17 @@ def test_merchants_without_mapped_owner_drop_out(spark, tables, registered):
     assert owners and owners <= mapped
     unmapped = tables.merchants.join(tables.team_role, F.col("sales__owner") == F.col("sales_owner"), "left_anti")
     assert unmapped.count() > 0  # the fixture leaves one owner in ten out on purpose
+
+
+def test_weekly_run_writes_every_report(spark, registered):
+    from ledgerline.params import DEFAULT_PARAMS as P
+    from ledgerline.plans.weekly_run import run_weekly
+
+    out = scratch_path(spark, "test-weekly-run", uuid.uuid4().hex)
+    paths = run_weekly(spark, SF, out, P)
+    for name, key in (("processing_and_backlog", "processing_and_backlog_report"),
+                      ("pipeline_forecast", "pipeline_forecast_report"), ("deal_signed", "deal_signed_report")):
+        back = read_snapshot(spark, paths[name], P.as_of).drop("snapshot_date")
+        expected = registered[key](spark, SF)
+        assert back.exceptAll(expected).count() == 0 and expected.exceptAll(back).count() == 0
+    assert read_snapshot(spark, paths["weekly_processing"], P.as_of).count() > 0
