@@ -19,7 +19,8 @@ from pyspark.sql import SparkSession
 
 from ..params import ReportParams
 from ..sources.snapshots import write_snapshot
-from ..sources.tables import load_tables
+from ..sources.tables import Tables, load_tables
+from ..sources.warehouse import UPLOADS, tables_from_paths
 from . import jobs
 from . import reports as R
 
@@ -33,9 +34,13 @@ REPORTS = {
 }
 
 
-def run_weekly(spark: SparkSession, source_dir: str, out_dir: str, p: ReportParams) -> dict[str, str]:
-    """Write every report for ``p.as_of``; returns report name -> table folder."""
-    t = load_tables(spark, source_dir)
+def run_weekly(spark: SparkSession, source, out_dir: str, p: ReportParams) -> dict[str, str]:
+    """Write every report for ``p.as_of``; returns report name -> table folder.
+
+    ``source`` is the test-data folder, or a ``Tables`` object (for example
+    from ``sources.warehouse.tables_from_paths``).
+    """
+    t = source if isinstance(source, Tables) else load_tables(spark, source)
     R.prepare_shared(t)
     out_dir = out_dir.rstrip("/")
     paths = {}
@@ -53,7 +58,12 @@ def _date(s: str) -> dt.date:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--source", required=True, help="folder with the input parquet tables")
+    ap.add_argument("--source", help="test-data folder (TPC-H style parquet tables)")
+    ap.add_argument("--margin", help="margin facts (parquet); payments are read from it unless --payments is given")
+    ap.add_argument("--payments", help="payment facts (parquet)")
+    ap.add_argument("--merchants", help="merchant dimension (parquet)")
+    ap.add_argument("--opportunities", help="CRM table (parquet)")
+    ap.add_argument("--uploads", help="folder with the uploaded lists as CSV: " + ", ".join(UPLOADS))
     ap.add_argument("--out", required=True, help="output folder (shared storage)")
     ap.add_argument("--as-of", type=_date, required=True, help="report date, yyyy-mm-dd")
     defaults = ReportParams()
@@ -66,7 +76,13 @@ def main(argv=None) -> None:
                      pipeline_cutoff=a.pipeline_cutoff,
                      exclude_roles=tuple(r for r in a.exclude_roles.split(",") if r))
     spark = SparkSession.builder.appName("ledgerline-weekly").getOrCreate()
-    for name, path in run_weekly(spark, a.source, a.out, p).items():
+    if a.source:
+        source = a.source
+    else:
+        paths = {k: getattr(a, k) for k in ("margin", "payments", "merchants", "opportunities") if getattr(a, k)}
+        paths.update({name: f"{a.uploads.rstrip('/')}/{name}" for name in UPLOADS})
+        source = tables_from_paths(spark, paths)
+    for name, path in run_weekly(spark, source, a.out, p).items():
         print(f"{name}\t{path}")
 
 

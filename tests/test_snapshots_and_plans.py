@@ -131,3 +131,27 @@ def test_weekly_run_writes_every_report(spark, registered):
         expected = registered[key](spark, SF)
         assert back.exceptAll(expected).count() == 0 and expected.exceptAll(back).count() == 0
     assert read_snapshot(spark, paths["weekly_processing"], P.as_of).count() > 0
+
+
+def test_reports_from_users_own_tables(spark, tables, duck):
+    """Inputs kept as Parquet tables and CSV uploads give the same reports."""
+    from ledgerline.params import DEFAULT_PARAMS as P
+    from ledgerline.plans import reports as R
+    from ledgerline.sources.uploads import write_upload
+    from ledgerline.sources.warehouse import tables_from_paths
+    from oracle.compare import compare
+    from oracle.queries import SQL
+
+    root = scratch_path(spark, "test-warehouse", uuid.uuid4().hex)
+    paths = {"source_dir": root}
+    for name in ("margin", "merchants", "opportunities"):
+        paths[name] = f"{root}/{name}"
+        getattr(tables, name).write.parquet(paths[name])
+    for name in ("country_codes", "team_role", "upsells", "backlog_curve", "pipeline_curve"):
+        paths[name] = f"{root}/uploads/{name}"
+        write_upload(getattr(tables, name), paths[name], name)
+    t = tables_from_paths(spark, paths)
+    for key, build in (("processing_and_backlog_report", R.processing_and_backlog_report),
+                       ("pipeline_forecast_report", R.pipeline_report)):
+        r = compare(spark, duck, build(t, P), SQL[key])
+        assert r["ok"], (key, {k: r.get(k) for k in ("spark_rows", "oracle_rows", "only_spark", "only_oracle")})
