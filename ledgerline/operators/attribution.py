@@ -135,10 +135,12 @@ def _legs(daily: DataFrame, attr: DataFrame) -> DataFrame:
             (up_factor * dollars).alias("fys"),
         ),
     )
+    # the upsell element is NULL for merchants without an upsell; a plain explode plus a NULL
+    # filter stays inside whole-stage codegen (array_compact would add a lambda that does not)
     return j.select(
         "capture_date", "sales_merchant_id", "orig_activation", dollars.alias("total"),
-        F.explode(F.array_compact(F.array(new_biz, upsell))).alias("leg"),
-    )
+        F.explode(F.array(new_biz, upsell)).alias("leg"),
+    ).filter(F.col("leg").isNotNull())
 
 
 def processing_volume(payments: DataFrame, merchants: DataFrame, upsells: DataFrame | None,
