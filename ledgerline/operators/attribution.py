@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import cents_to_dollars
 from ..sources.tables import capture_range
 from .dims import merchant_level, small_dimension
+from .enrich import allow_list
 
 UPSELL_MAX_ROWS = 1_000_000
 PV_COLUMNS = ("data_type", "capture_date", "sales_merchant_id", "sales_category", "sales_activation_date",
@@ -160,8 +161,7 @@ def processing_volume(payments: DataFrame, merchants: DataFrame, upsells: DataFr
     if daily is None:
         daily = daily_npv(payments, start, end, start_inclusive)
     if ids is not None:
-        allowed = ids.select(F.col("sales_merchant_id").alias("_allowed")).distinct()
-        daily = daily.join(allowed, daily["sales_merchant_id"] == allowed["_allowed"], "left_semi")
+        daily = allow_list(daily, ids, "sales_merchant_id")
     attr = merchant_attribution(merchants, upsells, special, allow_upsell_fanout)
     legs = _legs(daily, attr)
     if tuple(categories) != ("new biz", "upsell"):
