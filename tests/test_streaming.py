@@ -52,3 +52,29 @@ def test_reports_can_read_the_streamed_daily_table(spark):
     t.use_daily_payments(spark.read.parquet(f"{root}/daily"))
     r = compare(spark, duck(sf), processing_report(t, P), SQL["processing_report"])
     assert r["ok"], r
+
+
+def test_late_payments_within_the_window_count_and_later_ones_do_not(spark):
+    """Watermark of 5 days: a day is written once the watermark has passed it (an availableNow run ends
+    with the batch that emits what its data moved the watermark past)."""
+    root = scratch_path(spark, "test-stream-late", uuid.uuid4().hex)
+    src, out, ckpt = f"{root}/payments", f"{root}/daily", f"{root}/_checkpoint"
+    schema = "capture_date date, sales_merchant_id bigint, npv_usd_fixed bigint"
+    d = dt.date(2000, 3, 1)
+
+    def day(n):
+        return d + dt.timedelta(days=n)
+
+    def deliver(batch, rows):
+        spark.createDataFrame(rows, schema).write.parquet(f"{src}/batch={batch}")
+        start_daily_sums(spark, src, out, ckpt, late_days=5).awaitTermination()
+
+    deliver(1, [(day(i), 1, 100) for i in range(30)])             # watermark -> day 24
+    deliver(2, [(day(27), 1, 7), (day(10), 1, 9), (day(40), 1, 100)])  # day 27 still open, day 10 closed
+    deliver(3, [(day(50), 1, 100)])                                # emits the days the watermark passed
+    got = {r.capture_date: r.npv_cents for r in spark.read.parquet(out).collect()}
+    assert got[day(27)] == 107          # late but inside the window: counted
+    assert got[day(10)] == 100          # its payment came after the day was final: not counted, day written once
+    assert got[day(40)] == 100          # passed by the watermark (day 45) at the end of the third run
+    assert day(50) not in got           # the newest day stays open until the watermark passes it
+    assert spark.read.parquet(out).groupBy("capture_date").count().filter("count > 1").count() == 0
