@@ -74,3 +74,19 @@ def expand_pipeline(pipe: DataFrame, curve: DataFrame, first: int = 0, last: int
         F.date_add(F.col(start_col), F.col("day_count")).alias("fcst_date"),
         to_units(F.col(amount_col).cast("double") * F.col("first_year_sold_pct")).alias("pipeline_units"),
     )
+
+
+def backlog_checks(summary: DataFrame) -> DataFrame:
+    """One row of data checks on a backlog summary.
+
+    ``rows``: (merchant, category) rows annualised; ``no_estimate``: rows
+    whose cumulative curve share on the report date is 0, so the estimate is
+    NULL and their backlog is missing from the reports; ``no_estimate_npv``:
+    the actual first-year NPV of those rows.
+    """
+    missing = F.col("first_year_est_npv").isNull()
+    return summary.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(missing, F.lit(1))).alias("no_estimate"),
+        F.coalesce(F.sum(F.when(missing, F.col("first_year_npv"))), F.lit(0)).cast("decimal(18,4)").alias("no_estimate_npv"),
+    )

@@ -103,9 +103,13 @@ def test_backlog_estimate_and_expansion(spark):
 
 
 def test_zero_cumulative_share_gives_null_estimate(spark):
+    from ledgerline.operators.curves import backlog_checks
+
     as_of = D(2017, 6, 11)
     s = backlog_summary(_summary_input(spark, as_of), _curve(spark, cum0=0.0), as_of)
     assert s.first().first_year_est_npv is None
+    c = backlog_checks(s).first()
+    assert (c.rows, c.no_estimate, c.no_estimate_npv) == (1, 1, Decimal("366.0000"))
 
 
 def test_ages_outside_the_curve_drop(spark):
