@@ -146,3 +146,27 @@ def recently_live(as_of: dt.date, days: int) -> Column:
     """Activation within the ``days`` before the report date."""
     act = F.col("activation_date")
     return (act >= F.lit(as_of - dt.timedelta(days=days))) & (act < F.lit(as_of))
+
+
+def enrichment_audit(merchants: DataFrame, opportunities: DataFrame, countries: DataFrame, team: DataFrame) -> DataFrame:
+    """Rows the reports' inner joins drop: one row per table (merchants, deals) with the rows that have
+    no mapped country or owner.
+
+    The source scripts warn that the team map must be kept up to date; this
+    makes the loss visible before the reports run.  Left joins on the
+    (size-checked) mappings, then one aggregate per table.
+    """
+    cc_code = countries_by(countries, "code").select(F.col("country_code").alias("_code"))
+    cc_name = countries_by(countries, "name").select(F.col("sfdc_country_name").alias("_name"))
+    owners = teams(team).select(F.col("sales_owner").alias("_owner"))
+
+    def counts(df: DataFrame, country: str, owner: str, cc: DataFrame, cc_key: str, table: str) -> DataFrame:
+        j = df.join(cc, df[country] == cc[cc_key], "left").join(owners, df[owner] == owners["_owner"], "left")
+        no_c, no_o = F.col(cc_key).isNull(), F.col("_owner").isNull()
+        return j.agg(F.lit(table).alias("table"), F.count(F.lit(1)).alias("rows"),
+                     F.count(F.when(no_c, F.lit(1))).alias("without_country"),
+                     F.count(F.when(no_o, F.lit(1))).alias("without_owner"),
+                     F.count(F.when(~no_c & ~no_o, F.lit(1))).alias("kept"))
+
+    return counts(merchants, "sales__merchant_country", "sales__owner", cc_code, "_code", "merchants").unionByName(
+        counts(opportunities, "opportunity_merchant_country", "opportunity_owner", cc_name, "_name", "deals"))

@@ -155,3 +155,15 @@ def test_reports_from_users_own_tables(spark, tables, duck):
                        ("pipeline_forecast_report", R.pipeline_report)):
         r = compare(spark, duck, build(t, P), SQL[key])
         assert r["ok"], (key, {k: r.get(k) for k in ("spark_rows", "oracle_rows", "only_spark", "only_oracle")})
+
+
+def test_enrichment_audit_reports_dropped_rows(spark, tables, registered):
+    from ledgerline.operators.enrich import enrichment_audit
+
+    a = {r.table: r for r in enrichment_audit(tables.merchants, tables.opportunities, tables.country_codes,
+                                              tables.team_role).collect()}
+    assert a["merchants"].rows == tables.merchants.count() and a["deals"].rows == tables.opportunities.count()
+    assert a["merchants"].without_owner > 0  # one owner in ten is missing from the fixture's map
+    seg = registered["sub_region"](spark, SF)  # merchants surviving both inner joins
+    assert a["merchants"].kept == seg.count()
+    assert a["deals"].kept == registered["sub_region_b"](spark, SF).count()
