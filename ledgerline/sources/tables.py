@@ -55,7 +55,7 @@ class Tables:
         """A table of the source folder (the driver's parquet files)."""
         return fixtures.read_raw(self.spark, self.source_dir, name)
 
-    def derived(self, name: str, build, partition_by: str | None = None, sort_by: str | None = None) -> DataFrame:
+    def derived(self, name: str, build, sort_by: str | None = None) -> DataFrame:
         """A table derived from these inputs by ``build(self)``, written once and then read.
 
         Used for tables several reports share: the CRM rollups (special dates,
@@ -68,11 +68,7 @@ class Tables:
         df = build(self)
         if self.source_dir and self.materialized:
             path = self.output_path("derived", name)
-            out = df.sortWithinPartitions(sort_by) if sort_by else df
-            if partition_by:
-                out.repartition(partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
-            else:
-                out.write.mode("overwrite").parquet(path)
+            (df.sortWithinPartitions(sort_by) if sort_by else df).write.mode("overwrite").parquet(path)
             df = self.spark.read.parquet(path)
         with _LOCK:
             self._derived.setdefault(name, df)
