@@ -70,6 +70,21 @@ def crm_opportunity_totals(t: Tables) -> DataFrame:
     return t.derived("opportunity_totals", lambda x: opportunity_totals(x.opportunities))
 
 
+def report_segments(t: Tables, sub_variant: str, vertical_variant: str, with_first_contact: bool,
+                    exclude_roles=()) -> DataFrame:
+    """Per-merchant segment attributes of one rule variant, written once per dataset and variant.
+
+    Several reports join the same merchant-level dimension; it is built
+    (merchants x countries x teams x first contact, classifiers applied) once
+    and then read, and broadcast only within the merchant bound.
+    """
+    name = f"segments_{sub_variant}{vertical_variant}_{int(with_first_contact)}_{'-'.join(exclude_roles) or 'all'}"
+    seg = t.derived(name, lambda x: segment_dimension(
+        x.merchants, x.country_codes, x.team_role, crm_first_contact(x) if with_first_contact else None,
+        sub_variant, vertical_variant, exclude_roles))
+    return merchant_level(seg, t.merchants, "segment dimension")
+
+
 # --------------------------------------------------------------------------- daily fact sums, stored once per dataset
 
 def daily_payments(t: Tables) -> DataFrame:
@@ -105,6 +120,11 @@ def prepare_shared(t: Tables) -> None:
         lambda x: countries_by(x.country_codes, "name"),
         lambda x: teams(x.team_role),
         lambda x: small_dimension(current_upsells(x.upsells), "sales_merchant_id", UPSELL_MAX_ROWS, "upsells"),
+        # merchant-level segment dimensions of the reports (variants with the default roles)
+        lambda x: report_segments(x, "A", "A", True),
+        lambda x: report_segments(x, "D", "A", True),
+        lambda x: report_segments(x, "A", "A", False),
+        lambda x: report_segments(x, "E", "E", False),
     )
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
         list(pool.map(lambda build: build(t), builders))
@@ -183,8 +203,7 @@ def processing_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFra
         .select("*", *P.week_bucket_labels(p.as_of, p.this_week_lag_days),
                 P.new_npv("orig_activation", p).alias("newNPV"))
     )
-    seg = segment_dimension(t.merchants, t.country_codes, t.team_role, crm_first_contact(t),
-                            "A", "A", p.exclude_roles)
+    seg = report_segments(t, "A", "A", True, p.exclude_roles)
     j = weekly.join(seg, "sales_merchant_id").withColumn(
         "in_quarter_opportunity",
         P.in_quarter("sales_activation_date", "first_opportunity_created_date", p.as_of, p.in_quarter_lag_days))
@@ -229,8 +248,7 @@ def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
         .agg(F.sum("backlog_units").alias("units"))
         .select("*", *P.week_bucket_labels())
     )
-    seg = segment_dimension(t.merchants, t.country_codes, t.team_role, crm_first_contact(t),
-                            "D", "A", p.exclude_roles)
+    seg = report_segments(t, "D", "A", True, p.exclude_roles)
     j = weekly.join(seg, "sales_merchant_id").withColumn(
         "in_quarter_opportunity",
         P.in_quarter("sales_activation_date", "first_opportunity_created_date", p.as_of, p.in_quarter_lag_days))
@@ -467,7 +485,7 @@ def margin_report(t: Tables, p: ReportParams) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c, _ in MARGIN_MEASURES], F.count(F.lit(1)).alias("n_days"))
         .select("*", *P.month_bucket_labels(p.as_of))
     )
-    seg = segment_dimension(t.merchants, t.country_codes, t.team_role, None, "A", "A", p.exclude_roles)
+    seg = report_segments(t, "A", "A", False, p.exclude_roles)
     # deal amount per merchant, built at dimension size and joined on the merchant id,
     # so the monthly rows (already partitioned by merchant) are not re-shuffled by deal id
     totals = crm_opportunity_totals(t)
@@ -520,7 +538,7 @@ def weekly_snapshot(t: Tables, p: ReportParams, upsell: bool = False) -> DataFra
         P.ninety_day_live("activation_date", d).alias("ninety_day_live"),
         P.first_year_sold("activation_date", d).alias("first_year_sold"),
     ).agg(F.sum(amount).alias("npv")).select("*", *P.week_bucket_labels(p.as_of))
-    seg = segment_dimension(t.merchants, t.country_codes, t.team_role, None, "E", "E", p.exclude_roles)
+    seg = report_segments(t, "E", "E", False, p.exclude_roles)
     j = weekly.join(seg.drop("first_opportunity_created_date"), "sales_merchant_id")
     return j.select(
         F.lit("weekly_processing").alias("data_type"), "year", "quarter", "finance_week", "qtd",

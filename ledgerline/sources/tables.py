@@ -42,10 +42,11 @@ class Tables:
     source_dir: str = ""
     materialized: bool = False
     _derived: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
+    _building: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in dataclasses.fields(self)
-                if f.name not in ("source_dir", "materialized", "_derived")}
+                if f.name not in ("source_dir", "materialized", "_derived", "_building")}
 
     @property
     def spark(self) -> SparkSession:
@@ -65,14 +66,19 @@ class Tables:
         with _LOCK:
             if name in self._derived:
                 return self._derived[name]
-        df = build(self)
-        if self.source_dir and self.materialized:
-            path = self.output_path("derived", name)
-            (df.sortWithinPartitions(sort_by) if sort_by else df).write.mode("overwrite").parquet(path)
-            df = self.spark.read.parquet(path)
-        with _LOCK:
-            self._derived.setdefault(name, df)
-            return self._derived[name]
+            lock = self._building.setdefault(name, threading.Lock())
+        with lock:  # one writer per table; concurrent callers wait for it
+            with _LOCK:
+                if name in self._derived:
+                    return self._derived[name]
+            df = build(self)
+            if self.source_dir and self.materialized:
+                path = self.output_path("derived", name)
+                (df.sortWithinPartitions(sort_by) if sort_by else df).write.mode("overwrite").parquet(path)
+                df = self.spark.read.parquet(path)
+            with _LOCK:
+                self._derived[name] = df
+            return df
 
     def use_daily_payments(self, daily: DataFrame) -> None:
         """Let the reports read an externally maintained (merchant, day) NPV table.
