@@ -37,6 +37,7 @@ def to_units(amount) -> Column:
 
 
 def units_to_money(units) -> Column:
+    """Integer 1e-4 units back to ``DECIMAL(18,4)`` dollars."""
     return (_col(units).cast("decimal(20,0)") / F.lit(UNITS_PER_DOLLAR).cast("decimal(6,0)")).cast(MONEY)
 
 
@@ -68,4 +69,5 @@ def live_or_not(act, cutoff: dt.date) -> Column:
 
 
 def days_since_close(close, as_of: dt.date) -> Column:
+    """Days from the close date to the report date."""
     return F.datediff(F.lit(as_of), _col(close))

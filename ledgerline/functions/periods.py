@@ -152,6 +152,7 @@ def week_bucket_labels(as_of: dt.date | None = None, lag_days: int = 3) -> list[
 
 
 def month_bucket_keys(d) -> list[Column]:
+    """Group keys that split rows exactly as (year, quarter, month) labels do."""
     return [period_start(d, "month").alias(MONTH_KEY), period_start(d, "quarter").alias(QUARTER_KEY)]
 
 

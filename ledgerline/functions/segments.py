@@ -167,6 +167,7 @@ VERTICAL_RULES = {"A": VERTICAL_A, "E": VERTICAL_E, "F": VERTICAL_F}
 
 
 def sub_region_rules(variant: str = "A", hub_rule: bool = False):
+    """Rule list of a sub-region variant, optionally with the Hub rule first."""
     rules = SUB_REGION_RULES[variant]
     return ((HUB_RULE,) + rules) if hub_rule else rules
 

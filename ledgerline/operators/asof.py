@@ -24,6 +24,7 @@ HISTORY_MAX_ROWS = 1_000_000
 
 
 def snapshot_dates(history: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
+    """Distinct snapshot dates of a dated history table."""
     return history.select(F.col(date_col).alias("snapshot_date")).distinct()
 
 

@@ -177,8 +177,10 @@ def processing_volume(payments: DataFrame, merchants: DataFrame, upsells: DataFr
 
 
 def new_business_leg(payments, merchants, upsells, special, start, end=None, start_inclusive=True) -> DataFrame:
+    """New-business leg only (O-16)."""
     return processing_volume(payments, merchants, upsells, special, start, end, start_inclusive, ("new biz",))
 
 
 def upsell_leg(payments, merchants, upsells, start, end=None, start_inclusive=True) -> DataFrame:
+    """Upsell leg only (O-17)."""
     return processing_volume(payments, merchants, upsells, None, start, end, start_inclusive, ("upsell",))

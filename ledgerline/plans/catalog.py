@@ -38,11 +38,13 @@ def _capture_dates(t: Tables) -> DataFrame:
 
 @register("finance_week")
 def finance_week(t: Tables, p: ReportParams) -> DataFrame:
+    """O-1: finance-week label of every capture date."""
     return _capture_dates(t).select("capture_date", P.finance_week("capture_date").alias("finance_week"))
 
 
 @register("period_labels")
 def period_labels(t: Tables, p: ReportParams) -> DataFrame:
+    """O-2: year, quarter and month labels of every capture date."""
     d = "capture_date"
     return _capture_dates(t).select(d, P.period_label(d, "year").alias("year"),
                                     P.period_label(d, "quarter").alias("quarter"),
@@ -51,17 +53,20 @@ def period_labels(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("qtd_flag")
 def qtd_flag(t: Tables, p: ReportParams) -> DataFrame:
+    """O-3a: quarter-to-date flag of every capture date."""
     return _capture_dates(t).select("capture_date", P.qtd_flag("capture_date", p.as_of).alias("qtd"))
 
 
 @register("this_week_flag")
 def this_week_flag(t: Tables, p: ReportParams) -> DataFrame:
+    """O-3b: this-week flag (finance week of the report date minus the lag) of every capture date."""
     return _capture_dates(t).select(
         "capture_date", P.this_week_flag("capture_date", p.as_of, p.this_week_lag_days).alias("this_week"))
 
 
 @register("mtd_flag")
 def mtd_flag(t: Tables, p: ReportParams) -> DataFrame:
+    """O-3c: the margin report's mtd (quarter test), this_month (0) and a true month flag per capture date."""
     mtd, this_month, true_mtd = P.month_flags(F.col("capture_date"), p.as_of)
     return _capture_dates(t).select("capture_date", mtd.alias("mtd"), this_month.alias("this_month"),
                                     true_mtd.alias("month_to_date"))
@@ -69,6 +74,7 @@ def mtd_flag(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("activation_age")
 def activation_age(t: Tables, p: ReportParams) -> DataFrame:
+    """O-4: days from activation to the report date, per merchant."""
     return t.merchants.select("merchant_id", "activation_date",
                               P.days_since("activation_date", p.as_of).alias("activation_age"))
 
@@ -81,6 +87,7 @@ def _merchant_days(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("ninety_day_live")
 def ninety_day_live(t: Tables, p: ReportParams) -> DataFrame:
+    """O-5a: capture days per merchant inside and outside the first 91 days."""
     return _merchant_days(t, p).groupBy(
         "sales_merchant_id", P.ninety_day_live("activation_date", "capture_date").alias("ninety_day_live")
     ).agg(F.count(F.lit(1)).alias("n_days"))
@@ -88,6 +95,7 @@ def ninety_day_live(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("first_year_sold")
 def first_year_sold(t: Tables, p: ReportParams) -> DataFrame:
+    """O-5b: capture days per merchant inside and outside the first year (366 days)."""
     return _merchant_days(t, p).groupBy(
         "sales_merchant_id", P.first_year_sold("activation_date", "capture_date").alias("first_year_sold")
     ).agg(F.count(F.lit(1)).alias("n_days"))
@@ -95,6 +103,7 @@ def first_year_sold(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("age_flags_with_end_date")
 def age_flags_with_end_date(t: Tables, p: ReportParams) -> DataFrame:
+    """O-5c: backlog days per merchant and flag value, flags zeroed from the end date on."""
     daily = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=True)
     f, act, end = "fcst_date", "sales_activation_date", F.col("backlog_end_date")
     return daily.groupBy(
@@ -159,6 +168,7 @@ register("vertical_e")(_merchant_vertical("E"))
 
 @register("vertical_f")
 def vertical_f(t: Tables, p: ReportParams) -> DataFrame:
+    """O-7 variant F: older vertical rules on deals (country name, industry)."""
     return t.opportunities.select(
         "opportunity",
         vertical(None, "opportunity_merchant_country", "opportunity_industry", variant="F").alias("vertical"))
@@ -166,17 +176,20 @@ def vertical_f(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("opportunity_status")
 def q_opportunity_status(t: Tables, p: ReportParams) -> DataFrame:
+    """O-8: pipeline / signed_not_live / lost per deal."""
     return t.opportunities.select("opportunity", "opportunity_stage",
                                   opportunity_status("opportunity_stage").alias("opportunity_status"))
 
 
 @register("closed_flag")
 def q_closed_flag(t: Tables, p: ReportParams) -> DataFrame:
+    """O-9: closed flag per deal."""
     return t.opportunities.select("opportunity", closed_flag("opportunity_stage").alias("closed"))
 
 
 @register("weighted_amount")
 def q_weighted_amount(t: Tables, p: ReportParams) -> DataFrame:
+    """O-10: probability-weighted amount per deal."""
     return t.opportunities.select(
         "opportunity", weighted_amount("opportunity_probability", "opportunity_amount").alias("wgted_opportunity_amount"))
 
@@ -195,21 +208,25 @@ def fanout_safe_sum(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("expected_amount")
 def expected_amount(t: Tables, p: ReportParams) -> DataFrame:
+    """O-12: expected first-year amount of each eligible deal."""
     return R.pipeline_opportunities(t, p).select("opportunity", "mes_opportunity_amount")
 
 
 @register("first_contact")
 def q_first_contact(t: Tables, p: ReportParams) -> DataFrame:
+    """O-13: earliest deal created date per parent merchant."""
     return R.crm_first_contact(t)
 
 
 @register("special_dates")
 def q_special_dates(t: Tables, p: ReportParams) -> DataFrame:
+    """O-14: latest end date and override activation date per parent merchant."""
     return R.crm_special_dates(t)
 
 
 @register("activation_override")
 def q_activation_override(t: Tables, p: ReportParams) -> DataFrame:
+    """O-15: reported activation (override when present) per merchant."""
     sd = R.crm_special_dates(t).select(F.col("sales_merchant_id").alias("merchant_id"),
                                                   "adjusted_activation_date")
     return t.merchants.select("merchant_id", "activation_date").join(sd, "merchant_id", "left").select(
@@ -228,22 +245,26 @@ def _pv_money(pv: DataFrame) -> DataFrame:
 
 @register("new_business_leg")
 def new_business_leg(t: Tables, p: ReportParams) -> DataFrame:
+    """O-16: daily first-year NPV of the new-business leg."""
     return _pv_money(A.new_business_leg(t.payments, t.merchants, t.upsells, R.crm_special_dates(t),
                                         p.history_start, p.as_of))
 
 
 @register("upsell_leg")
 def upsell_leg(t: Tables, p: ReportParams) -> DataFrame:
+    """O-17: daily first-year NPV of the upsell leg."""
     return _pv_money(A.upsell_leg(t.payments, t.merchants, t.upsells, p.history_start, p.as_of))
 
 
 @register("processing_volume")
 def q_processing_volume(t: Tables, p: ReportParams) -> DataFrame:
+    """O-18: both legs stacked (the reports' processing volume)."""
     return _pv_money(R.report_processing_volume(t, p))
 
 
 @register("backlog_summary")
 def q_backlog_summary(t: Tables, p: ReportParams) -> DataFrame:
+    """O-19: first-year actuals to date and full-year estimate per merchant and category."""
     s = _backlog_summary(R.backlog_processing_volume(t, p), t.backlog_curve, p.as_of)
     return s.select("sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
                     "days_since_activation", money("first_year_npv").alias("first_year_npv"),
@@ -252,6 +273,7 @@ def q_backlog_summary(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("backlog_curve_expand")
 def backlog_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
+    """O-20: remaining first-year revenue per merchant, category and future day."""
     d = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=False)
     return d.select("fcst_date", "sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
                     units_to_money("backlog_units").alias("backlog_npv"))
@@ -259,6 +281,7 @@ def backlog_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("pipeline_curve_expand")
 def pipeline_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
+    """O-21: pipeline curve expansion, summed per forecast day."""
     d = expand_pipeline(R.pipeline_opportunities(t, p), t.pipeline_curve)
     return d.groupBy("fcst_date").agg(F.count(F.lit(1)).alias("n_rows"),
                                       units_to_money(F.coalesce(F.sum("pipeline_units"), F.lit(0))).alias("pipeline_npv"))
@@ -269,6 +292,7 @@ def pipeline_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("new_npv_processing")
 def new_npv_processing(t: Tables, p: ReportParams) -> DataFrame:
+    """O-22a: new-NPV flag of the processing rows."""
     pv = R.report_processing_volume(t, p)
     return pv.select("sales_merchant_id", "sales_category", "orig_activation").distinct().withColumn(
         "newNPV", P.new_npv("orig_activation", p))
@@ -276,6 +300,7 @@ def new_npv_processing(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("new_npv_backlog")
 def new_npv_backlog(t: Tables, p: ReportParams) -> DataFrame:
+    """O-22b: backlog days per merchant and new-NPV flag value."""
     d = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=False)
     return d.groupBy("sales_merchant_id", "sales_category",
                      P.new_npv("orig_activation", p, fcst="fcst_date").alias("newNPV")).agg(
@@ -284,6 +309,7 @@ def new_npv_backlog(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("new_npv_pipeline")
 def new_npv_pipeline(t: Tables, p: ReportParams) -> DataFrame:
+    """O-22c: new-NPV flag of each eligible deal."""
     pipe = R.pipeline_opportunities(t, p)
     return pipe.select("opportunity", P.new_npv("opportunity_expected_go_live_date", p,
                                                 opp_type="opportunity_type").alias("newNPV"))
@@ -291,6 +317,7 @@ def new_npv_pipeline(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("in_quarter_opportunity")
 def in_quarter_opportunity(t: Tables, p: ReportParams) -> DataFrame:
+    """O-23: in-quarter flag per merchant (activation and first deal in the lagged quarter)."""
     act = q_activation_override(t, p).select("merchant_id", "sales_activation_date")
     fc = R.crm_first_contact(t).withColumnRenamed("sales_merchant_id", "merchant_id")
     j = act.join(fc, "merchant_id", "left")
@@ -301,6 +328,7 @@ def in_quarter_opportunity(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("this_week_cohort_flags")
 def this_week_cohort_flags(t: Tables, p: ReportParams) -> DataFrame:
+    """O-24: created / closed / live-this-week flags per deal."""
     return t.opportunities.select(
         "opportunity",
         P.cohort_flag("opportunity_created_date", p.as_of).alias("created_this_week"),
@@ -313,6 +341,7 @@ def this_week_cohort_flags(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("margin_measures")
 def margin_measures(t: Tables, p: ReportParams) -> DataFrame:
+    """O-25: six first-year margin measures per merchant and capture day."""
     d = R.margin_daily(t, p)
     return d.select("capture_date", "sales_merchant_id", "sales_activation_date",
                     *[money(cents_to_dollars(c)).alias(out) for c, out in R.MARGIN_MEASURES])
@@ -320,6 +349,7 @@ def margin_measures(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("opportunity_amount_attach")
 def opportunity_amount_attach(t: Tables, p: ReportParams) -> DataFrame:
+    """O-26: deal amount attached to each merchant through its opportunity id."""
     totals = R.crm_opportunity_totals(t)
     m = t.merchants.select("merchant_id", "sfdc_opportunity")
     return m.join(totals, m["sfdc_opportunity"] == totals["opportunity"]).select(
@@ -331,6 +361,7 @@ def opportunity_amount_attach(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("enrich_country_by_name")
 def enrich_country_by_name(t: Tables, p: ReportParams) -> DataFrame:
+    """O-28a: deals joined to the country map by country name."""
     o = t.opportunities.select("opportunity", "opportunity_merchant_country")
     return E.enrich_country(o, t.country_codes, "opportunity_merchant_country", "name").select(
         "opportunity", "country_code", "sales_region")
@@ -338,6 +369,7 @@ def enrich_country_by_name(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("enrich_country_by_code")
 def enrich_country_by_code(t: Tables, p: ReportParams) -> DataFrame:
+    """O-28b: merchants joined to the country map by country code."""
     m = t.merchants.select("merchant_id", "sales__merchant_country")
     return E.enrich_country(m, t.country_codes, "sales__merchant_country", "code").select(
         "merchant_id", "sfdc_country_name", "sales_region")
@@ -345,12 +377,14 @@ def enrich_country_by_code(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("enrich_team")
 def q_enrich_team(t: Tables, p: ReportParams) -> DataFrame:
+    """O-28c: merchants joined to the team map by owner."""
     m = t.merchants.select("merchant_id", F.col("sales__owner").alias("owner"))
     return E.enrich_team(m, t.team_role, "owner").select("merchant_id", "owner", "sales_role", "sales_location")
 
 
 @register("enrich_merchant")
 def q_enrich_merchant(t: Tables, p: ReportParams) -> DataFrame:
+    """O-28d: daily payment sums joined to the merchant dimension, per merchant."""
     daily = R.payments_daily(t, p.history_start, p.as_of)
     j = E.enrich_merchant(daily, t.merchants.select("merchant_id", "activation_date"))
     return j.groupBy("sales_merchant_id", "activation_date").agg(
@@ -365,17 +399,20 @@ def account_allow_list(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("opportunity_merchant_key")
 def q_opportunity_merchant_key(t: Tables, p: ReportParams) -> DataFrame:
+    """O-32: deal id in the merchant id column."""
     return t.opportunities.select("opportunity", E.opportunity_merchant_key("opportunity").alias("sales_merchant_id"))
 
 
 @register("report_constants")
 def report_constants(t: Tables, p: ReportParams) -> DataFrame:
+    """O-33: the fixed columns that align report schemas."""
     return E.with_report_constants(t.country_codes.select("country_code"), data_type="weekly_backlog",
                                    sales_channel="", sales_category="opportunity", qtd=0, this_week=0)
 
 
 @register("upsell_snapshot_measure")
 def q_upsell_snapshot_measure(t: Tables, p: ReportParams) -> DataFrame:
+    """O-34: upsell share of NPV per merchant and finance week."""
     up = A.current_upsells(t.upsells).select("sales_merchant_id", "pct_share_of_npv")
     pay = R.payments_daily(t, p.history_start, None).join(up, "sales_merchant_id")
     return pay.groupBy("sales_merchant_id", P.finance_week("capture_date").alias("finance_week")).agg(
@@ -384,6 +421,7 @@ def q_upsell_snapshot_measure(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("pipeline_eligibility")
 def pipeline_eligibility(t: Tables, p: ReportParams) -> DataFrame:
+    """O-35: deals eligible for the pipeline forecast."""
     return E.eligible_pipeline(t.opportunities, t.merchants, p).select(
         "opportunity", "opportunity_stage", "opportunity_expected_go_live_date", "unified_funnel__activation_date_date")
 
@@ -395,11 +433,13 @@ def _opps_with_activation(t: Tables) -> DataFrame:
 
 @register("live_or_not")
 def q_live_or_not(t: Tables, p: ReportParams) -> DataFrame:
+    """O-36: live-before-cutoff flag for every deal (no eligibility filter)."""
     return _opps_with_activation(t).select("opportunity", live_or_not("activation_date", p.as_of).alias("live_or_not"))
 
 
 @register("days_since_close")
 def q_days_since_close(t: Tables, p: ReportParams) -> DataFrame:
+    """O-36: days from close to the report date for every deal."""
     return t.opportunities.select("opportunity",
                                   days_since_close("opportunity_close_date", p.as_of).alias("days_since_close_date"))
 
@@ -447,6 +487,7 @@ def role_as_of(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("forecast_weighting")
 def forecast_weighting(t: Tables, p: ReportParams) -> DataFrame:
+    """R-9: requested forecast weighting, summed per category, stage and close quarter."""
     o = t.opportunities.filter(~F.col("opportunity_stage").isin("Lost", "Duplicate"))
     w = forecast_weighted_amount("opportunity_amount", "opportunity_probability", "opportunity_forecast_category",
                                  "opportunity_deal_amount")

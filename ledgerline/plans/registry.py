@@ -20,6 +20,7 @@ REGISTRY: dict[str, Callable[[Tables, ReportParams], DataFrame]] = {}
 
 
 def register(key: str):
+    """Decorator: register ``fn(tables, params)`` under ``key``."""
     def deco(fn):
         REGISTRY[key] = fn
         return fn
@@ -34,6 +35,7 @@ def _bind(fn) -> QueryFn:
 
 
 def queries() -> dict[str, QueryFn]:
+    """Every registered query as ``(spark, sf_dir) -> DataFrame`` with the default parameters."""
     from . import catalog  # noqa: F401  (registers the operator-level queries)
     return {k: _bind(v) for k, v in REGISTRY.items()}
 

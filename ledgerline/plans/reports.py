@@ -59,14 +59,17 @@ SEGMENT_COLUMNS = (
 # --------------------------------------------------------------------------- CRM rollups, written once per dataset
 
 def crm_special_dates(t: Tables) -> DataFrame:
+    """Special dates (O-14) written once per dataset."""
     return t.derived("special_dates", lambda x: special_dates(x.opportunities))
 
 
 def crm_first_contact(t: Tables) -> DataFrame:
+    """First contact (O-13) written once per dataset."""
     return t.derived("first_contact", lambda x: first_contact(x.opportunities))
 
 
 def crm_opportunity_totals(t: Tables) -> DataFrame:
+    """Deal totals (O-26) written once per dataset."""
     return t.derived("opportunity_totals", lambda x: opportunity_totals(x.opportunities))
 
 
@@ -190,6 +193,7 @@ def backlog_capture_start(t: Tables, p: ReportParams, with_override: bool = True
 
 
 def processing_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
+    """J-3 body over a given processing volume."""
     d = F.col("capture_date")
     weekly = (
         pv.filter(d >= F.lit(p.report_start))
@@ -231,6 +235,7 @@ def daily_backlog(pv: DataFrame, t: Tables, p: ReportParams, with_end_dates: boo
 
 
 def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
+    """J-4 body over a given processing volume."""
     daily = daily_backlog(pv, t, p)
     f = F.col("fcst_date")
     end = F.col("backlog_end_date")

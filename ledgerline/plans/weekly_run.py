@@ -57,6 +57,7 @@ def _date(s: str) -> dt.date:
 
 
 def main(argv=None) -> None:
+    """Command line: parse dates and inputs, run the week, print the written folders."""
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--source", help="test-data folder (TPC-H style parquet tables)")
     ap.add_argument("--margin", help="margin facts (parquet); payments are read from it unless --payments is given")

@@ -69,6 +69,7 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def app_id(spark: SparkSession) -> str:
+    """Application id of the session (also without a local SparkContext)."""
     try:
         return spark.sparkContext.applicationId
     except Exception:
@@ -76,4 +77,5 @@ def app_id(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
+    """Path under the shared scratch folder."""
     return "/".join([scratch_dir(spark), *parts])

@@ -73,6 +73,7 @@ RAW_TABLES = ("nation", "customer", "supplier", "orders", "lineitem")
 
 
 def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver-generated input table."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -104,6 +105,7 @@ def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_count(spark: SparkSession, sf_dir: str) -> int:
+    """Number of suppliers (owners are assigned by key modulo this)."""
     return read_raw(spark, sf_dir, "supplier").count()
 
 

@@ -17,6 +17,7 @@ SNAPSHOT_COL = "snapshot_date"
 
 
 def write_snapshot(df: DataFrame, path: str, as_of: dt.date, col: str = SNAPSHOT_COL) -> None:
+    """Write ``df`` as the ``as_of`` partition (other dates untouched)."""
     (df.withColumn(col, F.lit(as_of))
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
@@ -32,4 +33,5 @@ def read_snapshot(spark: SparkSession, path: str, as_of: dt.date, weeks_back: in
 
 
 def read_all_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """Every dated snapshot of a table."""
     return spark.read.parquet(path)
