@@ -46,7 +46,7 @@ from ..operators.enrich import (
 from ..operators.fanout import amount_once_in_group
 from ..operators.rollups import first_contact, opportunity_totals, special_dates
 from ..params import ReportParams
-from ..sources.tables import Tables, stage_table
+from ..sources.tables import Tables, capture_range, stage_table
 
 SEGMENT_COLUMNS = (
     "data_type", "year", "quarter", "finance_week", "qtd", "this_week", "region", "country", "sales_channel",
@@ -99,14 +99,14 @@ def daily_payments(t: Tables) -> DataFrame:
     maintains the same table incrementally.
     """
     # each file sorted by capture date: row-group statistics let date filters skip row groups
-    return t.derived("daily_payments", lambda x: daily_sums(
-        x.payments, [("npv_usd_fixed", "npv_cents")], by_merchant=False), sort_by="capture_date")
+    return t.derived_bucketed("daily_payments", lambda x: daily_sums(
+        x.payments, [("npv_usd_fixed", "npv_cents")], by_merchant=False), "sales_merchant_id", sort_by="capture_date")
 
 
 def daily_margin(t: Tables) -> DataFrame:
     """The six margin measures (cents) per (merchant, capture day), stored once per dataset."""
-    return t.derived("daily_margin", lambda x: daily_sums(
-        x.margin, [(c, c) for c, _ in MARGIN_MEASURES], by_merchant=False), sort_by="capture_date")
+    return t.derived_bucketed("daily_margin", lambda x: daily_sums(
+        x.margin, [(c, c) for c, _ in MARGIN_MEASURES], by_merchant=False), "sales_merchant_id", sort_by="capture_date")
 
 
 def prepare_shared(t: Tables) -> None:
@@ -133,9 +133,20 @@ def prepare_shared(t: Tables) -> None:
         list(pool.map(lambda build: build(t), builders))
 
 
+def _daily_range(t: Tables, name: str, table: DataFrame, start=None, end=None) -> DataFrame:
+    """Rows of a stored daily table within [start, end), partitioned by merchant.
+
+    A table stored bucketed by merchant is already partitioned that way when
+    scanned, so no exchange is added; otherwise the rows are re-partitioned.
+    """
+    if t.bucketed_by(name) == "sales_merchant_id":
+        return capture_range(table, start, end)
+    return daily_range(table, start, end)
+
+
 def payments_daily(t: Tables, start=None, end=None) -> DataFrame:
     """Daily NPV sums within [start, end), partitioned by merchant."""
-    return daily_range(daily_payments(t), start, end)
+    return _daily_range(t, "daily_payments", daily_payments(t), start, end)
 
 
 # --------------------------------------------------------------------------- processing / backlog (J-3..J-5, J-9)
@@ -461,7 +472,7 @@ def margin_daily(t: Tables, p: ReportParams, start=None) -> DataFrame:
     Sold merchants, captures in [start or history_start, as_of); a measure
     counts only while the capture is 0..365 days after activation.
     """
-    daily = daily_range(daily_margin(t), start or p.history_start, p.as_of)
+    daily = _daily_range(t, "daily_margin", daily_margin(t), start or p.history_start, p.as_of)
     attr = merchant_attribution(t.merchants, None, None).select("sales_merchant_id", "orig_activation")
     j = daily.join(attr, "sales_merchant_id")
     fy = P.in_first_year("orig_activation", "capture_date")

@@ -43,10 +43,11 @@ class Tables:
     materialized: bool = False
     _derived: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
     _building: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
+    _bucketed: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in dataclasses.fields(self)
-                if f.name not in ("source_dir", "materialized", "_derived", "_building")}
+                if f.name not in ("source_dir", "materialized", "_derived", "_building", "_bucketed")}
 
     @property
     def spark(self) -> SparkSession:
@@ -80,6 +81,42 @@ class Tables:
                 self._derived[name] = df
             return df
 
+    def derived_bucketed(self, name: str, build, key: str, sort_by: str | None = None) -> DataFrame:
+        """Like ``derived``, but stored as a table bucketed (hash-partitioned) by ``key``.
+
+        Reading it back gives a scan that is already partitioned by ``key``
+        into ``spark.sql.shuffle.partitions`` buckets, so aggregates and joins
+        keyed by ``key`` need no exchange.  The table is registered in the
+        session catalog (the bucketing lives there) with its files under the
+        shared scratch folder.
+        """
+        if not (self.source_dir and self.materialized):
+            return self.derived(name, build, sort_by)
+        with _LOCK:
+            if name in self._derived:
+                return self._derived[name]
+            lock = self._building.setdefault(name, threading.Lock())
+        with lock:
+            with _LOCK:
+                if name in self._derived:
+                    return self._derived[name]
+            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            path = self.output_path("derived", name)
+            table = f"ll_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
+            writer = build(self).repartition(parts, key).write.mode("overwrite").bucketBy(parts, key)
+            if sort_by:
+                writer = writer.sortBy(sort_by)
+            writer.option("path", path).saveAsTable(table)
+            df = self.spark.table(table)
+            with _LOCK:
+                self._derived[name] = df
+                self._bucketed[name] = key
+            return df
+
+    def bucketed_by(self, name: str) -> str | None:
+        """Bucket column of a derived table, if it was stored bucketed."""
+        return self._bucketed.get(name)
+
     def use_daily_payments(self, daily: DataFrame) -> None:
         """Let the reports read an externally maintained (merchant, day) NPV table.
 
@@ -88,6 +125,7 @@ class Tables:
         """
         with _LOCK:
             self._derived["daily_payments"] = daily.select("sales_merchant_id", "capture_date", "npv_cents")
+            self._bucketed.pop("daily_payments", None)
 
     def output_path(self, *parts: str) -> str:
         """Per-dataset folder under the shared scratch folder for written outputs."""
