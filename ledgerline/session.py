@@ -31,6 +31,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # local runs only: keep the session catalog's default database out of the working directory
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerline-warehouse-"))
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
