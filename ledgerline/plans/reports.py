@@ -181,6 +181,11 @@ def backlog_capture_start(t: Tables, p: ReportParams, with_override: bool = True
     rows bounds the captures needed; it is one small aggregate over
     merchant-level tables, and it lets the scan skip older capture months.
     """
+    return t.memo(("backlog_capture_start", p.as_of, with_override),
+                  lambda: _backlog_capture_start(t, p, with_override))
+
+
+def _backlog_capture_start(t: Tables, p: ReportParams, with_override: bool):
     bounds = t.backlog_curve.agg(F.min("days_since_activation").alias("lo"),
                                  F.max("days_since_activation").alias("hi")).first()
     if bounds["lo"] is None:

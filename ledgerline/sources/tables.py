@@ -44,10 +44,11 @@ class Tables:
     _derived: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
     _building: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
     _bucketed: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
+    _values: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in dataclasses.fields(self)
-                if f.name not in ("source_dir", "materialized", "_derived", "_building", "_bucketed")}
+                if f.name not in ("source_dir", "materialized", "_derived", "_building", "_bucketed", "_values")}
 
     @property
     def spark(self) -> SparkSession:
@@ -113,6 +114,15 @@ class Tables:
                 self._bucketed[name] = key
             return df
 
+    def memo(self, key, compute):
+        """A small value computed once per inputs and key (e.g. a scan bound); ``compute()`` runs on a miss."""
+        with _LOCK:
+            if key in self._values:
+                return self._values[key]
+        value = compute()
+        with _LOCK:
+            return self._values.setdefault(key, value)
+
     def bucketed_by(self, name: str) -> str | None:
         """Bucket column of a derived table, if it was stored bucketed."""
         return self._bucketed.get(name)

@@ -48,7 +48,8 @@ def test_reports_can_read_the_streamed_daily_table(spark):
     base.payments.select("capture_date", "sales_merchant_id", "npv_usd_fixed").write.parquet(f"{root}/payments")
     start_daily_sums(spark, f"{root}/payments", f"{root}/daily", f"{root}/_checkpoint", late_days=1).awaitTermination()
     # a separate Tables object over the same staged inputs, fed by the streamed daily table
-    t = dataclasses.replace(base, _derived={}, _building={}, _bucketed={}, source_dir=base.source_dir + "#streamed")
+    t = dataclasses.replace(base, _derived={}, _building={}, _bucketed={}, _values={},
+                            source_dir=base.source_dir + "#streamed")
     t.use_daily_payments(spark.read.parquet(f"{root}/daily"))
     r = compare(spark, duck(sf), processing_report(t, P), SQL["processing_report"])
     assert r["ok"], r
