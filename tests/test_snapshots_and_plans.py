@@ -167,3 +167,14 @@ def test_enrichment_audit_reports_dropped_rows(spark, tables, registered):
     seg = registered["sub_region"](spark, SF)  # merchants surviving both inner joins
     assert a["merchants"].kept == seg.count()
     assert a["deals"].kept == registered["sub_region_b"](spark, SF).count()
+
+
+def test_weekly_run_command_line(spark, capsys):
+    from ledgerline.plans.weekly_run import main
+
+    out = scratch_path(spark, "test-weekly-cli", uuid.uuid4().hex)
+    main(["--source", SF, "--out", out, "--as-of", "2000-01-02", "--exclude-roles", "AM"])
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert set(printed) >= {"processing_and_backlog", "pipeline_forecast", "deal_signed", "deal_level_export"}
+    deals = read_snapshot(spark, printed["deal_signed"], dt.date(2000, 1, 2))
+    assert deals.count() > 0 and deals.filter("sales_role = 'AM'").count() == 0
