@@ -107,12 +107,16 @@ class Tables:
             writer = build(self).repartition(parts, key).write.mode("overwrite").bucketBy(parts, key)
             if sort_by:
                 writer = writer.sortBy(sort_by)
-            writer.option("path", path).saveAsTable(table)
-            df = self.spark.table(table)
+            try:
+                writer.option("path", path).saveAsTable(table)
+                df = self.spark.table(table)
+            except Exception:  # no writable session catalog: plain table, callers re-partition
+                df = None
             with _LOCK:
-                self._derived[name] = df
-                self._bucketed[name] = key
-            return df
+                if df is not None:
+                    self._derived[name] = df
+                    self._bucketed[name] = key
+        return df if df is not None else self.derived(name, build, sort_by)
 
     def memo(self, key, compute):
         """A small value computed once per inputs and key (e.g. a scan bound); ``compute()`` runs on a miss."""

@@ -127,3 +127,23 @@ def test_reports_over_lazy_tables_match_oracle(spark, duck, key):
     t = load_tables(spark, SF, materialize=False)
     r = compare(spark, duck, REGISTRY[key](t, P), SQL[key])
     assert r["ok"], {k: r.get(k) for k in ("spark_rows", "oracle_rows", "only_spark", "only_oracle")}
+
+
+def test_reports_without_a_writable_catalog_match_oracle(spark, duck, tables, monkeypatch):
+    """If the daily table cannot be registered bucketed, the plain table and a re-partition give the same result."""
+    import dataclasses
+
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from ledgerline.params import DEFAULT_PARAMS as P
+    from ledgerline.plans.reports import processing_and_backlog_report
+
+    def refuse(self, *args, **kwargs):
+        raise RuntimeError("catalog not writable")
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
+    t = dataclasses.replace(tables, _derived={}, _building={}, _bucketed={}, _values={},
+                            source_dir=tables.source_dir + "#nocatalog")
+    r = compare(spark, duck, processing_and_backlog_report(t, P), SQL["processing_and_backlog_report"])
+    assert r["ok"], {k: r.get(k) for k in ("spark_rows", "oracle_rows")}
+    assert t.bucketed_by("daily_payments") is None
