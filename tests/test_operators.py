@@ -168,3 +168,46 @@ def test_hot_merchant_is_bounded_by_calendar_days(spark):
     # and its revenue is whole after the attribution legs
     pv = processing_volume(pay, _merchants(spark, act=base), None, None, base, None)
     assert pv.filter("sales_merchant_id = 1").agg(F.sum("total_npv")).first()[0] == 30_000
+
+
+def test_forecast_weighting_branches(spark):
+    from ledgerline.functions.measures import forecast_weighted_amount, weighted_amount
+
+    rows = [(Decimal("200000000.00"), 40, "Commit", Decimal("150000000.00")),   # big commit: 0.9 x deal amount
+            (Decimal("200000000.00"), 40, "Best Case", Decimal("150000000.00")),  # not commit: amount x prob
+            (Decimal("1000.00"), 40, "Commit", Decimal("1000.00")),              # small commit: amount x prob
+            (Decimal("1000.00"), None, "Pipeline", Decimal("1000.00")),          # NULL probability -> NULL
+            (None, 40, "Pipeline", None)]
+    df = spark.createDataFrame(rows, "a decimal(18,2), p int, c string, d decimal(18,2)")
+    got = [r.w for r in df.select(forecast_weighted_amount("a", "p", "c", "d").alias("w")).collect()]
+    assert got == [Decimal("135000000.0000"), Decimal("80000000.0000"), Decimal("400.0000"), None, None]
+    w = [r.w for r in df.select(weighted_amount("p", "a").alias("w")).collect()]
+    assert w[2] == Decimal("400.0000") and w[3] is None
+
+
+def test_left_join_nullable_keeps_null_keys_once(spark):
+    from ledgerline.operators.enrich import left_join_nullable
+
+    left = spark.createDataFrame([(1, 10), (2, None), (3, 11), (4, None)], "id int, k long")
+    right = spark.createDataFrame([(10, "a"), (12, "b")], "rk long, v string")
+    got = sorted((r.id, r.v) for r in left_join_nullable(left, right, "k", "rk").collect())
+    assert got == [(1, "a"), (2, None), (3, None), (4, None)]
+
+
+def test_upsert_roles_replaces_and_removes(spark):
+    from ledgerline.plans.reports import upsert_roles
+
+    team = spark.createDataFrame([("ann", "AE", "Hub"), ("bob", "AM", "Hub"), ("cy", "NBA", "In-country")],
+                                 "sales_owner string, role string, team string")
+    add = spark.createDataFrame([("bob", "AE", "In-country"), ("dee", "AE", "In-country")],
+                                "sales_owner string, role string, team string")
+    remove = spark.createDataFrame([("cy",)], "sales_owner string")
+    got = sorted(tuple(r) for r in upsert_roles(team, add, remove).collect())
+    assert got == [("ann", "AE", "Hub"), ("bob", "AE", "In-country"), ("dee", "AE", "In-country")]
+
+
+def test_opportunity_merchant_key(spark):
+    from ledgerline.operators.enrich import opportunity_merchant_key
+
+    df = spark.createDataFrame([("42",)], "o string")
+    assert df.select(opportunity_merchant_key("o").alias("k")).first().k == "OPTI__42"
