@@ -17,6 +17,8 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
+from ..operators.curves import backlog_checks, backlog_summary
+from ..operators.enrich import enrichment_audit
 from ..params import ReportParams
 from ..sources.snapshots import write_snapshot
 from ..sources.tables import Tables, load_tables
@@ -49,6 +51,13 @@ def run_weekly(spark: SparkSession, source, out_dir: str, p: ReportParams) -> di
         write_snapshot(build(t, p), paths[name], p.as_of)
     paths["deal_level_export"] = f"{out_dir}/deal_level_export"
     jobs.deal_level_export(t, p, paths["deal_level_export"])
+    # data checks beside the reports: rows the inner joins drop, backlog rows without an estimate
+    paths["check_enrichment"] = f"{out_dir}/check_enrichment"
+    write_snapshot(enrichment_audit(t.merchants, t.opportunities, t.country_codes, t.team_role),
+                   paths["check_enrichment"], p.as_of)
+    paths["check_backlog"] = f"{out_dir}/check_backlog"
+    summary = backlog_summary(R.backlog_processing_volume(t, p), t.backlog_curve, p.as_of)
+    write_snapshot(backlog_checks(summary), paths["check_backlog"], p.as_of)
     return paths
 
 

@@ -131,6 +131,9 @@ def test_weekly_run_writes_every_report(spark, registered):
         expected = registered[key](spark, SF)
         assert back.exceptAll(expected).count() == 0 and expected.exceptAll(back).count() == 0
     assert read_snapshot(spark, paths["weekly_processing"], P.as_of).count() > 0
+    assert read_snapshot(spark, paths["check_enrichment"], P.as_of).count() == 2
+    chk = read_snapshot(spark, paths["check_backlog"], P.as_of).first()
+    assert chk.rows > 0 and chk.no_estimate == 0
 
 
 def test_reports_from_users_own_tables(spark, tables, duck):
