@@ -1,20 +1,24 @@
 """Near-duplicate documents: MinHash signatures joined by a multi-index Hamming join, links confirmed on full sets.
 
-A document's set holds its distinct word shingles.  Its signature is ``4 * m``
+A document's set holds its distinct word shingles.  Its signature is ``5 * m``
 MinHash values of 16 bits.  Two signatures are compared by the number of
-values that differ.  The values are split into ``m`` chunks of four: a pair
+values that differ.  The values are split into ``m`` chunks of five: a pair
 with at most ``2m - 1`` differing values has, by the pigeonhole principle, a
 chunk with at most one differing value.  Each chunk is therefore indexed under
-its four patterns that leave out one value, and documents that share a pattern
-are candidates: no pair within the radius is missed.  ``m`` is the smallest
-number for which a pair at the similarity threshold exceeds the radius with a
-chance under 1 in 100,000.
+its five patterns that leave out one value, and documents that share a pattern
+are candidates: no pair within that distance is missed, and most pairs beyond
+it are found too.  ``m`` is the smallest number for which a pair at the
+similarity threshold shares no pattern with a chance under 1 in 100,000;
+candidates farther apart than such a pair is with a chance of one in a million
+are dropped, all others are confirmed on their full sets.
 
 Documents with equal sets form one class and are compared once.  In a bucket,
-members are first compared with one pivot; classes already in one component
-need no further comparison, and all other pairs of a bucket are then compared.
-So a large group of copies costs its size and not its square, and no link
-between components is lost.
+members are first compared with one pivot.  Classes in one component after
+that need no further comparison; all other pairs of a bucket are compared by
+signature, in blocks of bounded size, and those near enough are confirmed.  So
+a large group of copies costs its size and not its square, no link between
+components is lost, and pairs that only share a common passage are never
+written out.
 """
 
 from __future__ import annotations
@@ -31,20 +35,23 @@ from .common import map_arrow, stored, text_hash
 from .components import connected_components
 from .shingles import distinct_by_text, hash_shingles, hash_words, mix, text_slices
 
-CHUNK = 4
+CHUNK = 5
+BLOCK = 256
 _rng = np.random.Generator(np.random.PCG64(7919))
 _XOR = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
 _MUL = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def chunk_count(percent: int, miss: float = 1e-5) -> int:
-    """Smallest number of chunks whose radius a pair at ``percent`` similarity exceeds with a chance under ``miss``."""
+def plan(percent: int, unshared: float = 1e-5, beyond: float = 1e-6) -> tuple[int, int]:
+    """(number of chunks, largest distance of a candidate) for links at ``percent`` similarity."""
     p = 1 - percent / 100
-    for m in range(2, 64):
-        n, radius = CHUNK * m, 2 * m - 1
-        if sum(comb(n, d) * p**d * (1 - p) ** (n - d) for d in range(radius + 1, n + 1)) < miss:
-            return m
-    raise ValueError(f"similarity of {percent} percent is too low for a signature of 256 values")
+    chunk_fails = 1 - (1 - p) ** CHUNK - CHUNK * p * (1 - p) ** (CHUNK - 1)
+    for m in range(2, 256 // CHUNK + 1):
+        if chunk_fails**m < unshared:
+            n = CHUNK * m
+            tail = lambda r: sum(comb(n, d) * p**d * (1 - p) ** (n - d) for d in range(r + 1, n + 1))
+            return m, next(r for r in range(2 * m - 1, n + 1) if tail(r) < beyond)
+    raise ValueError(f"a similarity of {percent} percent is too low for a signature of 256 values")
 
 
 def signatures(values: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
@@ -91,11 +98,11 @@ def _index(m: int):
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(len(nodes), m, CHUNK)
             for chunk in range(m):
                 for out in range(CHUNK):
-                    key = np.full(len(nodes), chunk * CHUNK + out, np.int64)
+                    key = np.full(len(nodes), chunk * CHUNK + out + 1, np.uint64)
                     for k in range(CHUNK):
                         if k != out:
-                            key = (key << 16) | sig[:, chunk, k]
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(nodes)], schema=schema)
+                            key = mix(key + sig[:, chunk, k])
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(nodes)], schema=schema)
 
     return run
 
@@ -116,6 +123,55 @@ def _full_sets(width: int):
     return run
 
 
+def _near_in_blocks(radius: int):
+    """Pairs of one bucket's block pair that lie within the radius and in different components.
+
+    Rows come sorted by ``key``, ``i``, ``j``; one group is held at a time, and
+    it has at most the members of two blocks.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "block", "node", "root")]
+            cols.append(np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(batch.num_rows, -1))
+            if rest is not None:
+                cols = [np.concatenate([x, y]) for x, y in zip(rest, cols)]
+            key, i, j = cols[:3]
+            cut = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            bounds = [0, *cut.tolist()]
+            for lo, hi in zip(bounds, bounds[1:]):
+                yield [c[lo:hi] for c in cols]
+            rest = [c[bounds[-1]:] for c in cols]
+        if rest is not None:
+            yield rest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
+        count = 0
+        for _, i, j, block, node, root, sig in groups(batches):
+            left = np.flatnonzero(block == i[0])
+            right = np.flatnonzero(block == j[0])
+            for x in left.tolist():
+                other = right[(root[right] != root[x]) & ((node[right] > node[x]) | (i[0] != j[0]))]
+                if len(other):
+                    near = other[np.count_nonzero(sig[other] != sig[x], axis=1) <= radius]
+                    if len(near):
+                        pair = np.stack([np.full(len(near), node[x]), node[near]])
+                        found.append(np.sort(pair, axis=0))
+                        count += len(near)
+            if count > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.unique(np.concatenate(found, axis=1), axis=1)], schema=schema)
+                found, count = [], 0
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.unique(np.concatenate(found, axis=1), axis=1)], schema=schema)
+
+    return run
+
+
 def shared_count(a: np.ndarray, b: np.ndarray) -> int:
     """Number of values in both of two sorted arrays of distinct values."""
     if len(a) > len(b):
@@ -172,14 +228,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     id is in the component.  Repeated rows are equal sets and share a component.
     An empty table gives an empty table; other columns of ``docs`` are not read.
     """
-    m = chunk_count(percent)
-    radius = 2 * m - 1
+    m, radius = plan(percent)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("row"),
                          F.col(text_col).alias("text"))
     signed = stored(map_arrow(source, _sign(CHUNK * m, width), "doc_id long, row long, n long, c1 long, c2 long, sig binary"), "signed")
     classes = stored(
         signed.where("n > 0").groupBy("c1", "c2", "n", "sig")
-        .agg(F.min("doc_id").alias("min_id"), F.min("row").alias("row"))
+        .agg(F.min("doc_id").alias("min_id"), F.min(F.struct("doc_id", "row")).alias("rep"))
+        .select("c1", "c2", "n", "sig", "min_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.row").alias("rep_row"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
 
     keys = map_arrow(classes.select("node", "sig"), _index(m), "key long, node long")
@@ -188,22 +244,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     members = stored(keys.join(buckets, "key"), "members")
     near = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     pairs = stored(near.distinct(), "pairs")
-    wanted = members.select("node").distinct()
-    wanted = stored(classes.select("node", "n", "sig", "row").join(wanted, "node", "left_semi"), "wanted")
-    texts = source.select("row", "text").join(wanted, "row")
+    wanted = stored(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "sig", "rep_id", "rep_row"), "wanted")
+    texts = source.join(wanted, (source["row"] == wanted["rep_row"]) & source["doc_id"].eqNullSafe(wanted["rep_id"]))
     sets = map_arrow(texts.select("node", "n", "sig", "text"), _full_sets(width), "node long, n long, sig binary, members binary")
     sets = stored(sets.dropDuplicates(["node"]), "sets")
 
     links = stored(_links(pairs, sets, percent, radius), "links")
     roots = connected_components(links)
     labelled = stored(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
-    mixed = stored(labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                   .where("lo < hi").select("key"), "mixed")
-    left = stored(labelled.join(mixed, "key", "left_semi"), "left")
-    one = left.select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
-    two = left.select("key", F.col("node").alias("y"), F.col("root").alias("ry"))
-    rest = (one.join(two, "key").where("rx < ry").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            .distinct().join(pairs, ["a", "b"], "left_anti"))
+    mixed = stored(labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+                   .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
+    left = stored(labelled.join(mixed, "key").join(classes.select("node", "sig"), "node")
+                  .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "left")
+    other = F.explode(F.expr("sequence(0, blocks - 1)"))
+    blocks = (left.withColumn("other", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "block", "node", "root", "sig"))
+    rest = map_arrow(blocks, _near_in_blocks(radius), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
     more = stored(_links(stored(rest, "rest"), sets, percent, radius), "links")
     if not more.isEmpty():
         roots = connected_components(links.union(more))
