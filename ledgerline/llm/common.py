@@ -11,6 +11,8 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,10 +86,13 @@ class WordCache(dict):
 
     When the young generation holds ``limit`` words it becomes the old one and
     the former old one goes, so words in use survive and nothing grows with
-    the input.  Read with ``cache[word]``.
+    the input.  Words over ``LONGEST`` characters are computed each time.
+    Read with ``cache[word]``.
     """
 
-    def __init__(self, compute: Callable, limit: int = 400_000):
+    LONGEST = 64
+
+    def __init__(self, compute: Callable, limit: int = 200_000):
         super().__init__()
         self.compute, self.limit, self.old = compute, limit, {}
 
@@ -95,6 +100,8 @@ class WordCache(dict):
         value = self.old.pop(word, None)
         if value is None:
             value = self.compute(word)
+            if len(word) > self.LONGEST:
+                return value
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
@@ -106,22 +113,34 @@ class WordCache(dict):
         return [w for w in words.difference(self) if w not in self.old]
 
 
+def text_lists(column: pa.Array, limit: int = 4 * SLICE_BYTES) -> Iterator[tuple[int, int, list[str]]]:
+    """(first row, end row, texts) for slices of a string column of about ``limit`` bytes; nulls are empty."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for lo, hi in slices(lengths, limit):
+        yield lo, hi, column.slice(lo, hi - lo).fill_null("").to_pylist()
+
+
 _DENSE = re.compile(r"\s\s|^\s|\s$")
 _CLEAN = re.compile(r"(?<=\S) (?=\S)")
 
 
 def chunks(text: str) -> list[str]:
-    """Pieces of ``text`` that byte-level pre-tokenization never joins; they concatenate to ``text``.
+    """Pieces of ``text`` that byte-level pre-tokenization never joins.
 
-    The text is cut before a single space, and before a single newline, that
+    The text is cut at each single space, and before each single newline, that
     stands between characters that are not white space.  No pre-token reaches
-    over such a cut, so pieces can be encoded one by one and remembered.
+    over such a cut, so pieces can be encoded one by one and remembered.  Every
+    piece but the first stands for itself with a space before it, unless it
+    begins with a newline: ``whole_chunk`` gives the text it stands for.
     """
     if _DENSE.search(text):
-        parts = _CLEAN.split(text)
-        return [parts[0], *map(" ".__add__, parts[1:])] if text else []
-    parts = text.replace("\n", " \n").split(" ")
-    return [parts[0], *[p if p[:1] == "\n" else " " + p for p in parts[1:]]]
+        return _CLEAN.split(text)
+    return text.replace("\n", " \n").split(" ")
+
+
+def whole_chunk(piece: str) -> str:
+    """The text that a piece after the first stands for."""
+    return piece if piece[:1] == "\n" else " " + piece
 
 
 def int_ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
