@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash
+from ..session import scratch_path
+from . import bpe, chat, minhash, packing, token_count
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,12 +22,49 @@ def query(fn):
     return fn
 
 
+def byte_bpe() -> str:
+    """Path of the byte-level BPE vocabulary."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and read back from the formatted output.
+
+    Conversation -7 is added: its texts are control strings of chat templates.
+    """
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.read_back(chat.format_turns(turns.union(probe), byte_bpe()), byte_bpe())
+
+
 @query
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents at 85 percent similarity of 5-word shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("row")
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents for the piece vocabulary."""
+    return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op5_packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written bit-packed and read back."""
+    out = scratch_path(spark, "llm", f"packed-{uuid.uuid4().hex[:12]}")
+    return packing.read_packed(spark, packing.write_packed(table(spark, sf_dir, "documents"), out, byte_bpe()))
+
+
+@query
+def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by byte-level BPE and decoded again."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe())
+
+
 ORACLE_SQL["op2_minhash_near_dedup"] = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
