@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, minhash, packing, token_count
+from . import bpe, chat, decontam, html_main, langid, line_dedup, minhash, packing, token_count
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.predict(docs, model).drop("row")
+
+
 @query
 def op5_packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents written bit-packed and read back."""
@@ -59,12 +67,32 @@ def op5_packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.read_packed(spark, packing.write_packed(table(spark, sf_dir, "documents"), out, byte_bpe()))
 
 
+@query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in all documents, one row per document and item."""
+    return decontam.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
 @query
 def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by byte-level BPE and decoded again."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated three-line passages: line counts and a digest of the text that is left."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = table(spark, sf_dir, "pages")
+    return html_main.extract(pages, html_main.train(pages))
+
+
 ORACLE_SQL["op2_minhash_near_dedup"] = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -84,3 +112,37 @@ roots AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
 FROM sets s JOIN roots r USING (doc_id)
 """
+
+ORACLE_SQL["op1_chat_formatting"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+shown AS (
+  SELECT *, length(regexp_replace(text, '([<\[])(\\*)(<SYS>>|</SYS>>|INST\]|/INST\]|ROLE\]|/ROLE\]|/TURN\]|s>|/s>)', '\1\2|\3', 'g'))
+    + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 END AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM shown GROUP BY conv_id
+"""
+
+_LINES = r"""
+lines AS (
+  SELECT doc_id, i, trim(line, chr(9) || chr(11) || chr(12) || chr(13) || ' ') AS line, line AS raw FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM {docs})),
+solid AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM lines WHERE line <> ''),
+windows AS (
+  SELECT a.doc_id, a.k, a.line || chr(10) || b.line || chr(10) || c.line AS w
+  FROM solid a JOIN solid b ON a.doc_id = b.doc_id AND b.k = a.k + 1 JOIN solid c ON a.doc_id = c.doc_id AND c.k = a.k + 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, k) AS place FROM windows),
+gone AS (SELECT DISTINCT s.doc_id, s.i FROM ranked r JOIN solid s ON s.doc_id = r.doc_id AND s.k BETWEEN r.k AND r.k + 2 WHERE r.place > 1),
+cut AS (
+  SELECT l.doc_id, count(*) FILTER (l.line <> '') AS n_lines, count(g.i) AS n_removed,
+    coalesce(string_agg(l.raw, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS text
+  FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id)
+"""
+ORACLE_SQL["op8_line_dedup"] = "WITH " + _LINES.format(docs="documents") + """
+SELECT doc_id, n_lines, n_removed, length(text)::BIGINT AS n_chars, sha256(text) AS text_sha256 FROM cut
+"""
