@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontam, html_main, langid, line_dedup, minhash, packing, token_count
+from . import bpe, chat, decontam, html_main, kdtree, langid, line_dedup, minhash, packing, token_count
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,12 @@ def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(pages, html_main.train(pages))
 
 
+@query
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products of every fiftieth vector against all others."""
+    return kdtree.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
 ORACLE_SQL["op2_minhash_near_dedup"] = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -146,3 +152,14 @@ cut AS (
 ORACLE_SQL["op8_line_dedup"] = "WITH " + _LINES.format(docs="documents") + """
 SELECT doc_id, n_lines, n_removed, length(text)::BIGINT AS n_chars, sha256(text) AS text_sha256 FROM cut
 """
+
+ORACLE_SQL["op10_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
