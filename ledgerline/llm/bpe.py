@@ -141,26 +141,6 @@ def vocabulary(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (binary, little-endian 32-bit) of each row's whole text, one row per row.
-
-    Null texts are empty and give no ids.  Special strings inside a text give
-    their ids, nothing is added, cut or padded.  Ids may repeat or be null;
-    other columns are not read; an empty table gives an empty table.
-    """
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path)
-        for batch in batches:
-            for lo, hi, texts in text_lists(batch.column("text")):
-                ids = pa.array([bpe.encode(t) for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), ids], schema=schema)
-
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_arrow(source, run, "doc_id long, ids binary")
-
-
 def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """``rows`` with a column ``decoded``: the text of the ids in ``ids_col`` (null and empty ids: empty text).
 
@@ -182,27 +162,30 @@ def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     return map_arrow(ordered, run, schema)
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 per row, from ``encode`` and then ``decode`` of its ids.
+def encode_and_check(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids (binary, little-endian 32-bit) and decoded_sha256 (digest of the decoded ids) per row.
 
-    Cases as in ``encode_texts``; the digests of an empty text are those of no bytes.
+    Null texts are empty and give no ids; the digest is then that of no bytes.  Special strings
+    inside a text give their ids, nothing is added, cut or padded.  Ids may
+    repeat or be null; other columns are not read; an empty table gives an empty table.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
             for lo, hi, texts in text_lists(batch.column("text")):
-                counts, hashes, decoded = [], [], []
-                for text in texts:
-                    ids = bpe.encode(text)
-                    counts.append(len(ids) // 4)
-                    hashes.append(hashlib.sha256(ids).hexdigest())
-                    back = bpe.decode(np.frombuffer(ids, "<u4").tolist())
-                    decoded.append(hashlib.sha256(back.encode()).hexdigest())
+                ids = [bpe.encode(t) for t in texts]
+                back = [bpe.decode(np.frombuffer(i, "<u4").tolist()) for i in ids]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(lo, hi - lo), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()),
-                    pa.array(decoded, pa.string())], schema=schema)
+                    batch.column("doc_id").slice(lo, hi - lo), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()),
+                    pa.array([hashlib.sha256(b.encode()).hexdigest() for b in back], pa.string())], schema=schema)
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_arrow(source, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(source, run, "doc_id long, n_tokens long, ids binary, decoded_sha256 string")
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row, from ``encode_and_check``."""
+    done = encode_and_check(docs, path, id_col, text_col)
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")

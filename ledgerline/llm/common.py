@@ -47,6 +47,25 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def whole_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` as one struct column ``doc``, with doc_id, row (``text_hash``) and text beside it: no name can clash."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs[id_col].cast("long").alias("doc_id"),
+                       text_hash(docs[text_col]).alias("row"), docs[text_col].alias("text"))
+
+
+def keep_where(docs: DataFrame, decide: Callable[[], Callable[[list[str]], list[bool]]], text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that the function made by ``decide`` on each task keeps by their texts (null: empty); no shuffle."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = decide()
+        for batch in batches:
+            for lo, hi, texts in text_lists(batch.column(at)):
+                yield batch.slice(lo, hi - lo).filter(pa.array(keep(texts), pa.bool_()))
+
+    return map_arrow(docs, run, docs.schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One given table of ``sf_dir`` by Spark's reader."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -21,6 +21,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -150,6 +151,14 @@ class ItemIndex:
         both = np.minimum(np.bincount(at, minlength=len(known)), self.shingle_counts[item])
         return float(2 * (both * self.shingle_weights[item]).sum() / (self.totals[item] + weights.sum()))
 
+    def search_column(self, column: pa.Array) -> Iterator[tuple[int, dict[int, tuple[float, int, int]]]]:
+        """(row, items found) of the rows of a text column that share a shingle with an item."""
+        for lo, _, data, offsets in text_slices(column):
+            words, bounds = hash_words(data, offsets)
+            shingles, at = hash_shingles(words, bounds, WIDTH)
+            for d in np.unique(np.searchsorted(at, self.hits(shingles), side="right") - 1).tolist():
+                yield lo + d, self.search(words[bounds[d]:bounds[d + 1]], shingles[at[d]:at[d + 1]])
+
     def search(self, words: np.ndarray, shingles: np.ndarray) -> dict[int, tuple[float, int, int]]:
         """Best (similarity, first word, words) of each item found in a document's words."""
         hits = self.hits(shingles)
@@ -181,6 +190,16 @@ class ItemIndex:
         return best
 
 
+def item_slices(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator[Broadcast]:
+    """Indexes of the items in slices of bounded size, one by one, for all tasks."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null")
+    parts = max(1, -(-items.count() // ITEMS_PER_SLICE))
+    for k in range(parts):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
+        index = ItemIndex.build([r["item_id"] for r in rows], [r["text"] for r in rows])
+        yield benchmark.sparkSession.sparkContext.broadcast(index)
+
+
 def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` that hold a benchmark item: doc_id, row (``text_hash``), item_id, first_word, n_words, similarity.
@@ -195,14 +214,10 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     The items are read in slices of about 2,000 (by a hash), each of which goes
     to all tasks; documents are never shuffled.
     """
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null")
-    parts = max(1, -(-items.count() // ITEMS_PER_SLICE))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
     schema = "doc_id long, row long, item_id long, first_word long, n_words long, similarity double"
     out = None
-    for k in range(parts):
-        slice_ = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
-        shared = docs.sparkSession.sparkContext.broadcast(ItemIndex.build([r["item_id"] for r in slice_], [r["text"] for r in slice_]))
+    for shared in item_slices(benchmark, item_col, item_text_col):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
@@ -210,16 +225,27 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             names = ["doc_id", "row", "item_id", "first_word", "n_words", "similarity"]
             for batch in batches:
                 rows = []
-                for lo, hi, data, offsets in text_slices(batch.column("text")):
-                    words, bounds = hash_words(data, offsets)
-                    shingles, at = hash_shingles(words, bounds, WIDTH)
-                    touched = np.unique(np.searchsorted(at, index.hits(shingles), side="right") - 1)
-                    for d in touched.tolist():
-                        found = index.search(words[bounds[d]:bounds[d + 1]], shingles[at[d]:at[d + 1]])
-                        where = batch.column("doc_id")[lo + d].as_py(), batch.column("row")[lo + d].as_py()
-                        rows += [(*where, int(index.ids[i]), first, n, s) for i, (s, first, n) in sorted(found.items())]
+                for d, found in index.search_column(batch.column("text")):
+                    where = batch.column("doc_id")[d].as_py(), batch.column("row")[d].as_py()
+                    rows += [(*where, int(index.ids[i]), first, n, s) for i, (s, first, n) in sorted(found.items())]
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=names)
 
         part = map_arrow(source, run, schema)
         out = part if out is None else out.union(part)
     return out
+
+
+def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                     item_text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, in which ``find_passages`` finds no benchmark item; no shuffle."""
+    at = docs.columns.index(text_col)
+    for shared in item_slices(benchmark, item_col, item_text_col):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[[d for d, found in shared.value.search_column(batch.column(at)) if found]] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = map_arrow(docs, run, docs.schema)
+    return docs

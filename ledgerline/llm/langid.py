@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, map_arrow, stored, text_hash, text_lists
+from .common import WordCache, keep_where, map_arrow, stored, text_hash, text_lists
 
 START = "▁"
 UNKNOWN = "und"
@@ -241,3 +241,14 @@ def predict(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("row"),
                          held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
     return map_arrow(source, run, "doc_id long, row long, held_out boolean, lang_pred string, score double")
+
+
+def keep_recognised(docs: DataFrame, model: PieceModel, least: float, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, whose language is not ``und`` and has a score of ``least`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def decide():
+        scorer = scorer_of(shared.value)
+        return lambda texts: [lang != UNKNOWN and score >= least for lang, score in map(scorer.predict, texts)]
+
+    return keep_where(docs, decide, text_col)

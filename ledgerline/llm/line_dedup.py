@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stored, text_hash, text_lists
+from .common import map_arrow, stored, text_hash, text_lists, whole_rows
 
 SPAN = 3
 _ENDS = "\t\x0b\x0c\r "
@@ -88,3 +88,28 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
     joined = source.join(later, source["row"].eqNullSafe(later["r"]) & source["doc_id"].eqNullSafe(later["d"]), "left")
     return map_arrow(joined.select("doc_id", "row", "text", "windows"), _without, "doc_id long, row long, text string, n_lines long, n_removed long")
+
+
+def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """``docs``, all rows and columns, with the texts of ``dedup_lines``; ``chars_col``, if there, is the new text's length where it changed."""
+    later = later_windows(docs, id_col, text_col).select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "windows")
+    whole = whole_rows(docs, id_col, text_col)
+    joined = whole.join(later, whole["row"].eqNullSafe(later["r"]) & whole["doc_id"].eqNullSafe(later["d"]), "left")
+    joined = joined.select("doc", "text", "windows")
+    schema = joined.select("doc", "text").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, texts in text_lists(batch.column("text")):
+                part = batch.slice(lo, hi - lo)
+                windows = part.column("windows").to_pylist()
+                # null where nothing goes: the given text is taken then
+                new = [drop_lines(t, w)[0] if w else None for t, w in zip(texts, windows)]
+                yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(new, pa.string())], names=["doc", "text"])
+
+    done = map_arrow(joined, run, schema)
+    new = {text_col: F.coalesce("text", F.col("doc").getField(text_col))}
+    if chars_col in docs.columns:
+        old = F.col("doc").getField(chars_col)
+        new[chars_col] = F.when(F.col("text").isNull(), old).otherwise(F.length("text").cast(docs.schema[chars_col].dataType))
+    return done.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])

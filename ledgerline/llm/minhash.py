@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stored, text_hash
+from .common import map_arrow, stored, text_hash, whole_rows
 from .components import connected_components
 from .shingles import distinct_by_text, hash_shingles, hash_words, mix, text_slices
 
@@ -271,3 +271,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     component = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def keep_one(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns: one of each group of near duplicates, that of the smallest id.
+
+    Rows equal in id and text are duplicates too: one stays.  Rows without words all stay.
+    """
+    found = near_duplicates(docs, percent, width, id_col, text_col)
+    keys = (found.where("kept").groupBy("doc_id", "row").agg(F.max("n_shingles").alias("n"))
+            .select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "n"))
+    whole = whole_rows(docs, id_col, text_col).drop("text")
+    kept = whole.join(stored(keys, "kept"), F.col("row").eqNullSafe(F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")))
+    place = F.when(F.col("n") > 0, F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    kept = kept.withColumn("place", place).dropDuplicates(["doc_id", "row", "place"])
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
