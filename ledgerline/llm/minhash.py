@@ -15,10 +15,12 @@ are dropped, all others are confirmed on their full sets.
 Documents with equal sets form one class and are compared once.  In a bucket,
 members are first compared with one pivot.  Classes in one component after
 that need no further comparison; all other pairs of a bucket are compared by
-signature, in blocks of bounded size, and those near enough are confirmed.  So
-a large group of copies costs its size and not its square, no link between
-components is lost, and pairs that only share a common passage are never
-written out.
+signature, in blocks of bounded size.  Of those near enough, only pairs are
+written out and confirmed whose sets can be similar enough by the sum of the
+smaller counts of two histograms of their hashes, which no intersection
+exceeds.  So a large group of copies costs its size and not its square, no
+link between components is lost, and pairs that only share a common passage,
+or are copies with too many changes, are never written out.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ from .shingles import distinct_by_text, hash_shingles, hash_words, mix, text_sli
 
 CHUNK = 5
 BLOCK = 256
+BINS = 1024
 _rng = np.random.Generator(np.random.PCG64(7919))
 _XOR = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
 _MUL = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -107,24 +110,36 @@ def _index(m: int):
     return run
 
 
+def histogram(values: np.ndarray) -> np.ndarray:
+    """Counts of hashes by their low bits, up to 255."""
+    return np.minimum(np.bincount((values & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8)
+
+
+def may_share(x: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Upper bound of the number of values that a set shares with each of others, from histograms."""
+    least = np.minimum(others, x)
+    return np.where((least == 255).any(axis=1), np.iinfo(np.int64).max // 1000, least.sum(axis=1, dtype=np.int64))
+
+
 def _full_sets(width: int):
-    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("members", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("members", pa.binary()), ("bins", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in text_slices(batch.column("text")):
                 values, bounds = hash_shingles(*hash_words(data, offsets), width)
+                sets = list(distinct_by_text(values, bounds))
                 yield pa.RecordBatch.from_arrays([
                     batch.column("node").slice(lo, hi - lo), batch.column("n").slice(lo, hi - lo),
                     batch.column("sig").slice(lo, hi - lo),
-                    pa.array([s.tobytes() for s in distinct_by_text(values, bounds)], pa.binary()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([histogram(s).tobytes() for s in sets], pa.binary()),
                 ], schema=schema)
 
     return run
 
 
-def _near_in_blocks(radius: int):
-    """Pairs of one bucket's block pair that lie within the radius and in different components.
+def _near_in_blocks(percent: int, radius: int):
+    """Pairs of one bucket's block pair in different components, within the radius, whose sets can be similar enough.
 
     Rows come sorted by ``key``, ``i``, ``j``; one group is held at a time, and
     it has at most the members of two blocks.
@@ -136,8 +151,9 @@ def _near_in_blocks(radius: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "block", "node", "root")]
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "block", "node", "root", "n")]
             cols.append(np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(batch.num_rows, -1))
+            cols.append(np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, -1))
             if rest is not None:
                 cols = [np.concatenate([x, y]) for x, y in zip(rest, cols)]
             key, i, j = cols[:3]
@@ -152,13 +168,15 @@ def _near_in_blocks(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[np.ndarray] = []
         count = 0
-        for _, i, j, block, node, root, sig in groups(batches):
+        for _, i, j, block, node, root, n, sig, bins in groups(batches):
             left = np.flatnonzero(block == i[0])
             right = np.flatnonzero(block == j[0])
             for x in left.tolist():
                 other = right[(root[right] != root[x]) & ((node[right] > node[x]) | (i[0] != j[0]))]
                 if len(other):
                     near = other[np.count_nonzero(sig[other] != sig[x], axis=1) <= radius]
+                    most = may_share(bins[x], bins[near])
+                    near = near[100 * most >= percent * (n[x] + n[near] - most)]
                     if len(near):
                         pair = np.stack([np.full(len(near), node[x]), node[near]])
                         found.append(np.sort(pair, axis=0))
@@ -246,7 +264,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     pairs = stored(near.distinct(), "pairs")
     wanted = stored(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "sig", "rep_id", "rep_row"), "wanted")
     texts = source.join(wanted, (source["row"] == wanted["rep_row"]) & source["doc_id"].eqNullSafe(wanted["rep_id"]))
-    sets = map_arrow(texts.select("node", "n", "sig", "text"), _full_sets(width), "node long, n long, sig binary, members binary")
+    sets = map_arrow(texts.select("node", "n", "sig", "text"), _full_sets(width), "node long, n long, sig binary, members binary, bins binary")
     sets = stored(sets.dropDuplicates(["node"]), "sets")
 
     links = stored(_links(pairs, sets, percent, radius), "links")
@@ -254,12 +272,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     labelled = stored(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
     mixed = stored(labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
                    .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
-    left = stored(labelled.join(mixed, "key").join(classes.select("node", "sig"), "node")
+    left = stored(labelled.join(mixed, "key").join(sets.select("node", "n", "sig", "bins"), "node")
                   .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "left")
     other = F.explode(F.expr("sequence(0, blocks - 1)"))
     blocks = (left.withColumn("other", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "block", "node", "root", "sig"))
-    rest = map_arrow(blocks, _near_in_blocks(radius), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
+              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "block", "node", "root", "n", "sig", "bins"))
+    rest = map_arrow(blocks, _near_in_blocks(percent, radius), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
     more = stored(_links(stored(rest, "rest"), sets, percent, radius), "links")
     if not more.isEmpty():
         roots = connected_components(links.union(more))
