@@ -72,10 +72,43 @@ def merge(symbols: list[int], ranks: list[dict[int, int]], merged: list[int]) ->
     return [s for s in symbols if s >= 0]
 
 
-class ByteBpe:
+class PretokenEncoder:
+    """Little-endian 32-bit ids of texts, pre-token by pre-token; those of frequent words are remembered within bounds."""
+
+    MARKS = frozenset(".,;:!?")
+
+    def __init__(self):
+        self.pretokens = regex.compile(PRETOKEN).findall
+        self.words = WordCache(self.word_ids, 300_000)
+        self.first = WordCache(self._first, 50_000)
+        self.rest = WordCache(self._rest, 300_000)
+
+    def word_ids(self, word: str) -> bytes:
+        """Ids of one pre-token."""
+        raise NotImplementedError
+
+    def _first(self, piece: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.pretokens(piece)))
+
+    def _rest(self, piece: str) -> bytes:
+        # letters, or letters and one mark, are pre-tokens as they are
+        if piece.isalpha():
+            return self.word_ids(" " + piece)
+        if piece[-1:] in self.MARKS and piece[:-1].isalpha():
+            return self.words[" " + piece[:-1]] + self.words[piece[-1]]
+        return self._first(whole_chunk(piece))
+
+    def ordinary(self, text: str) -> bytes:
+        """Ids of ``text``; special strings count as ordinary text."""
+        parts = iter(chunks(text))
+        return self.first[next(parts)] + b"".join(map(self.rest.__getitem__, parts))
+
+
+class ByteBpe(PretokenEncoder):
     """A byte-level BPE vocabulary: ids of a text, text of ids."""
 
     def __init__(self, path: str):
+        super().__init__()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
@@ -95,30 +128,19 @@ class ByteBpe:
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks[vocab[left]][vocab[right]] = rank
             self.merged.append(vocab[left + right])
-        self.pretokens = regex.compile(PRETOKEN).findall
         names = sorted(self.special, key=len, reverse=True)
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
-        self.words = WordCache(self._word, 300_000)
-        self.first = WordCache(self._piece, 50_000)
-        self.rest = WordCache(lambda piece: self._piece(whole_chunk(piece)))
 
     @property
     def size(self) -> int:
         """Number of ids, special ones included."""
         return len(self.strings)
 
-    def _word(self, word: str) -> bytes:
+    def word_ids(self, word: str) -> bytes:
+        """Ids of one pre-token, by merging its bytes."""
         ids = merge(list(map(self.of_byte.__getitem__, word.encode())), self.ranks, self.merged)
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, piece: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self.pretokens(piece)))
-
-    def ordinary(self, text: str) -> bytes:
-        """Little-endian 32-bit ids of ``text``; special strings count as ordinary text."""
-        parts = iter(chunks(text))
-        return self.first[next(parts)] + b"".join(map(self.rest.__getitem__, parts))
-
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of ``text``; special strings become their ids."""
         if self.special_split is None or not any(s in text for s in self.special):
@@ -149,6 +171,7 @@ def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     rows = rows.drop("decoded")
     kept = [c for c in rows.columns if c != ids_col]
     ordered = rows.select(*kept, F.col(ids_col).cast("binary").alias(ids_col))
+    names = [*ordered.columns, "decoded"]
     schema = ordered.select("*", F.lit("").alias("decoded")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +180,7 @@ def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
             for lo, hi, texts in text_lists(batch.column(ids_col).fill_null(b"")):
                 out = [bpe.decode(np.frombuffer(t, "<u4").tolist()) for t in texts]
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], names=[*ordered.columns, "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], names=names)
 
     return map_arrow(ordered, run, schema)
 

@@ -139,7 +139,6 @@ def text_lists(column: pa.Array, limit: int = 4 * SLICE_BYTES) -> Iterator[tuple
         yield lo, hi, column.slice(lo, hi - lo).fill_null("").to_pylist()
 
 
-_DENSE = re.compile(r"\s\s|^\s|\s$")
 _CLEAN = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -152,7 +151,7 @@ def chunks(text: str) -> list[str]:
     piece but the first stands for itself with a space before it, unless it
     begins with a newline: ``whole_chunk`` gives the text it stands for.
     """
-    if _DENSE.search(text):
+    if " ".join(text.split()) != text.replace("\n", " "):  # other white space, or some side by side
         return _CLEAN.split(text)
     return text.replace("\n", " \n").split(" ")
 

@@ -26,13 +26,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import PRETOKEN, byte_characters
-from .common import WordCache, chunks, map_arrow, text_hash, text_lists, whole_chunk
+from .bpe import PretokenEncoder, byte_characters
+from .common import map_arrow, text_hash, text_lists
 
 BLOCK_IDS = 1 << 16
 SCHEMA = "shard int, block int, first long, n_ids long, bits int, doc_ids array<long>, ends array<long>, payload binary"
@@ -67,10 +66,11 @@ def unpack(payload: bytes, bits: int, lo: int, hi: int) -> np.ndarray:
     return np.packbits(wide, axis=1).view(">u4").ravel().astype(np.uint32)
 
 
-class LibraryEncoder:
+class LibraryEncoder(PretokenEncoder):
     """Texts to little-endian 32-bit ids by the tokenizers library: its model encodes each new word, frequent words are remembered."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -80,26 +80,19 @@ class LibraryEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.largest = self.tokenizer.get_vocab_size() - 1
         self.model = self.tokenizer.model
-        self.pretokens = regex.compile(PRETOKEN).findall
         self.shown = {b: ord(c) for c, b in byte_characters().items()}
-        self.words = WordCache(self._word, 300_000)
-        self.first = WordCache(self._piece, 50_000)
-        self.rest = WordCache(lambda piece: self._piece(whole_chunk(piece)))
 
-    def _word(self, word: str) -> bytes:
+    def word_ids(self, word: str) -> bytes:
+        """Ids of one pre-token, by the library's model."""
         ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.shown))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, piece: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self.pretokens(piece)))
-
     def encode(self, text: str) -> bytes:
         """Ids of ``text``, as ``Tokenizer.encode`` gives them without added special tokens."""
         if any(s in text for s in self.special):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
-        parts = iter(chunks(text))
-        return self.first[next(parts)] + b"".join(map(self.rest.__getitem__, parts))
+        return self.ordinary(text)
 
 
 @lru_cache(maxsize=2)
