@@ -102,7 +102,7 @@ def parse_turn(ids: list[int], mask: list[int], bpe) -> tuple[str, str, str]:
     names = [CONTROL[ids[k] - bpe.size] for k in at]
     inner = [unescape(bpe.decode(ids[a + 1:b])) for a, b in zip(at, at[1:])]
     if names[0] == "[ROLE]":
-        role, text = inner[0], inner[2]
+        role, text = inner[0], inner[1]
         if names != ["[ROLE]", "[/ROLE]", "[/TURN]"]:
             raise ValueError(f"marks out of order: {names}")
     else:

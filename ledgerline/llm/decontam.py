@@ -57,7 +57,7 @@ def near_values(errors: int, bits: int) -> np.ndarray:
 class ItemIndex:
     """A slice of the benchmark items, made for lookups by numpy."""
 
-    ids: np.ndarray
+    ids: list[int | None]
     sizes: np.ndarray
     prints: np.ndarray
     starts: list[np.ndarray]
@@ -73,7 +73,7 @@ class ItemIndex:
     filter: np.ndarray
 
     @staticmethod
-    def build(ids: list[int], texts: list[str]) -> ItemIndex:
+    def build(ids: list[int | None], texts: list[str]) -> ItemIndex:
         """Index of items of at least five words (shorter ones identify no passage and are left out)."""
         words, bounds = [], [0]
         for _, _, data, offsets in text_slices(pa.array(texts, pa.string())):
@@ -87,7 +87,7 @@ class ItemIndex:
         known, per_item = np.unique(np.concatenate([np.unique(w) for w in lists]) if lists else words[:0], return_counts=True)
         weights = np.rint(16 * np.log2(1 + len(lists) / np.maximum(per_item, 1))).astype(np.int64)
         rare = int(np.rint(16 * np.log2(1 + max(1, len(lists)))))
-        out = ItemIndex(np.array([ids[i] for i in long], np.int64), np.array([len(w) for w in lists], np.int64), np.zeros(0, np.uint64),
+        out = ItemIndex([ids[i] for i in long], np.array([len(w) for w in lists], np.int64), np.zeros(0, np.uint64),
                         [], [], known, weights, rare, [], [], [], np.zeros(len(lists), np.int64), np.zeros(0, np.uint64), np.zeros(1 << 20, bool))
         prints = []
         for k, w in enumerate(lists):
@@ -227,7 +227,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 rows = []
                 for d, found in index.search_column(batch.column("text")):
                     where = batch.column("doc_id")[d].as_py(), batch.column("row")[d].as_py()
-                    rows += [(*where, int(index.ids[i]), first, n, s) for i, (s, first, n) in sorted(found.items())]
+                    rows += [(*where, index.ids[i], first, n, s) for i, (s, first, n) in sorted(found.items())]
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=names)
 
         part = map_arrow(source, run, schema)
