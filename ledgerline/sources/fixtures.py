@@ -65,8 +65,14 @@ COUNTRIES = (
 ACTIVATION_BASE = dt.date(1996, 1, 1)
 END_DATE_BASE = dt.date(2000, 1, 2)
 OVERRIDE_BASE = dt.date(1999, 3, 1)
-UPSELL_SHARE = "0.30"
+UPSELL_SHARE_STEP = "0.0625"
+# customers of every LATE_EVERY-th key went live, and made their deals, in the quarter before the report date
+LATE_EVERY = 29
+LATE_BASE = dt.date(1999, 10, 1)
+# deals of every LARGE_EVERY-th key are a thousand times as large
+LARGE_EVERY = 101
 CURVE_DAYS = 366
+CURVE_WEIGHT = float(CURVE_DAYS * (CURVE_DAYS + 1) // 2)  # sum of CURVE_DAYS - day over the days
 # ---------------------------------------------------------------------------
 
 RAW_TABLES = ("nation", "customer", "supplier", "orders", "lineitem")
@@ -161,6 +167,7 @@ def merchants(spark: SparkSession, sf_dir: str, nsup: int | None = None) -> Data
             F.col("s_name").alias("sales__owner"),
             (F.col("c_acctbal") > 0).alias("sales__is_sold"),
             F.when(key % 11 == 0, F.lit(None).cast("date"))
+            .when(key % LATE_EVERY == 0, _add_days(LATE_BASE, key % 90))
             .otherwise(_add_days(ACTIVATION_BASE, (key * 7919) % 1461)).alias("activation_date"),
             F.when(key % 13 == 0, F.lit(None).cast("string"))
             .otherwise(F.col("min_orderkey").cast("string")).alias("sfdc_opportunity"),
@@ -176,9 +183,11 @@ def opportunities(spark: SparkSession, sf_dir: str, nsup: int | None = None) ->
     cc = country_codes(spark, sf_dir).select("nation_key", "sfdc_country_name")
     sup = read_raw(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     k = F.col("o_orderkey")
-    created = F.col("o_orderdate").cast("date")
+    created = (F.when(F.col("o_custkey") % LATE_EVERY == 0, _add_days(LATE_BASE, k % 80))
+               .otherwise(F.col("o_orderdate").cast("date")))
     stage_idx = k % 9
-    amount = F.round(F.col("o_totalprice"), 2).cast("decimal(18,2)")
+    amount = (F.round(F.col("o_totalprice"), 2).cast("decimal(14,2)")
+              * F.when(k % LARGE_EVERY == 0, 1000).otherwise(1).cast("decimal(4,0)")).cast("decimal(18,2)")
     return (
         od.join(cust, od.o_custkey == cust.c_custkey)
         .join(cc, cust.c_nationkey == cc.nation_key, "left")
@@ -229,24 +238,26 @@ def upsells(merchants_df: DataFrame) -> DataFrame:
     return merchants_df.filter((m % 10 == 3) & F.col("activation_date").isNotNull()).select(
         m.alias("sales_merchant_id"),
         F.date_add(F.col("activation_date"), 120).alias("effective_activation_date"),
-        F.lit(UPSELL_SHARE).cast("decimal(3,2)").alias("pct_share_of_npv"),
+        ((m % 7 + 1) * F.lit(UPSELL_SHARE_STEP).cast("decimal(5,4)")).cast("decimal(5,4)").alias("pct_share_of_npv"),
         F.when(m % 20 == 3, F.lit(1)).otherwise(F.lit(0)).alias("include"),
     )
 
 
 def backlog_curve(spark: SparkSession) -> DataFrame:
-    """Flat first-year curve: days 0..365, cumulative share includes its own day."""
+    """Falling first-year curve: days 0..365, cumulative share includes its own day."""
     d = F.col("id").cast("int")
     return spark.range(CURVE_DAYS).select(
         d.alias("days_since_activation"),
-        (F.lit(1.0) / F.lit(float(CURVE_DAYS))).alias("first_year_sold_pct"),
-        ((d + F.lit(1)).cast("double") / F.lit(float(CURVE_DAYS))).alias("first_year_sold_cumulative_pct"),
+        ((F.lit(CURVE_DAYS) - d).cast("double") / F.lit(CURVE_WEIGHT)).alias("first_year_sold_pct"),
+        ((d + 1) * CURVE_DAYS - F.shiftright(d * (d + 1), 1)).cast("double").alias("_sum"),
+    ).select("days_since_activation", "first_year_sold_pct",
+             (F.col("_sum") / F.lit(CURVE_WEIGHT)).alias("first_year_sold_cumulative_pct")
     )
 
 
 def pipeline_curve(spark: SparkSession) -> DataFrame:
-    """Flat pipeline curve: days 0..364."""
+    """Falling pipeline curve: days 0..364."""
     return spark.range(CURVE_DAYS - 1).select(
         F.col("id").cast("int").alias("day_count"),
-        (F.lit(1.0) / F.lit(float(CURVE_DAYS))).alias("first_year_sold_pct"),
+        ((F.lit(CURVE_DAYS) - F.col("id")).cast("double") / F.lit(CURVE_WEIGHT)).alias("first_year_sold_pct"),
     )

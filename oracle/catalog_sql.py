@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from ledgerline.params import DEFAULT_PARAMS as P
 
-from .queries import _REPORT_CTES, REPORT_TABLES, SQL, _processing_select
+from .queries import (
+    MARGIN,
+    PIPELINE_TABLES,
+    REPORT_TABLES,
+    ROLE_FIX,
+    SQL,
+    backlog_daily_sql,
+    backlog_select,
+    deal_signed_sql,
+    margin_days_sql,
+    pipeline_select,
+    processing_select,
+    report_ctes,
+)
 from .sqlparts import (
-    CURRENT_UPSELLS,
+    DEAL_TOTALS,
     FIRST_CONTACT,
     SPECIAL_DATES,
     D,
     age,
     age_flag,
-    daily_backlog_sql,
+    backlog_ctes,
+    deal_ctes,
+    eligible_sql,
+    flag,
     fweek,
     in_quarter,
     money,
     month,
-    new_biz_sql,
-    pipe_sql,
-    pv_ctes,
     qtd,
     quarter,
+    revenue_ctes,
+    segment_fields,
+    status_sql,
     sub_region_sql,
-    summary_sql,
     this_week,
     units,
     units_money,
-    upsell_sql,
     vertical_sql,
     week_start,
     year,
@@ -52,52 +68,39 @@ C["activation_age"] = with_tables(["merchants"]) + (
 
 _MDAYS = with_tables(["payments", "merchants"], [("md", f"""
 SELECT DISTINCT p.sales_merchant_id, p.capture_date, m.activation_date
-FROM payments p JOIN merchants m ON p.sales_merchant_id = m.merchant_id
-WHERE p.capture_date >= {D(P.history_start)} AND p.capture_date < {D(P.as_of)}""")])
+FROM payments p JOIN merchants m ON p.sales_merchant_id = m.merchant_id""")])
 C["ninety_day_live"] = _MDAYS + (f"SELECT sales_merchant_id, {age_flag('activation_date', 'capture_date', 90)} AS ninety_day_live, "
                                  f"count(*) AS n_days FROM md GROUP BY ALL")
 C["first_year_sold"] = _MDAYS + (f"SELECT sales_merchant_id, {age_flag('activation_date', 'capture_date', 365)} AS first_year_sold, "
                                  f"count(*) AS n_days FROM md GROUP BY ALL")
-C["age_flags_with_end_date"] = with_tables(REPORT_TABLES, _REPORT_CTES) + f"""
-SELECT d.sales_merchant_id, d.sales_category,
-  {age_flag('d.sales_activation_date', 'd.fcst_date', 90, 'sd.backlog_end_date')} AS ninety_day_live,
-  {age_flag('d.sales_activation_date', 'd.fcst_date', 365, 'sd.backlog_end_date')} AS first_year_sold,
-  count(*) AS n_days
-FROM daily_backlog d LEFT JOIN special_dates sd ON sd.sales_merchant_id = d.sales_merchant_id
+C["age_flags_with_end_date"] = with_tables(REPORT_TABLES, backlog_ctes()) + f"""
+SELECT b.merchant AS sales_merchant_id, b.leg AS sales_category,
+  {age_flag('b.starts', 'b.day', 90, 'o.backlog_end_date')} AS ninety_day_live,
+  {age_flag('b.starts', 'b.day', 365, 'o.backlog_end_date')} AS first_year_sold, count(*) AS n_days
+FROM backlog_days b LEFT JOIN overrides o ON o.sales_merchant_id = b.merchant
 GROUP BY ALL"""
 
 # ----------------------------------------------------------------------------- segments
-_MSEG = """FROM merchants m
-JOIN country_codes cc ON m.sales__merchant_country = cc.country_code
-JOIN team_role usr ON usr.sales_owner = m.sales__owner"""
-_DSEG = """FROM opportunities o
-JOIN country_codes cc ON o.opportunity_merchant_country = cc.sfdc_country_name
-JOIN team_role usr ON usr.sales_owner = o.opportunity_owner"""
-
-
-def _fields(industry: str) -> dict:
-    return dict(role="usr.role", location="usr.team", region="cc.sales_region", country="cc.sfdc_country_name",
-                code="cc.country_code", industry=industry)
-
+_MSEG = """FROM merchants m, country_codes land, team_role seat
+WHERE land.country_code = m.sales__merchant_country AND seat.sales_owner = m.sales__owner"""
+_DSEG = """FROM opportunities o, country_codes land, team_role seat
+WHERE land.sfdc_country_name = o.opportunity_merchant_country AND seat.sales_owner = o.opportunity_owner"""
 
 for _k, _v in (("sub_region", "A"), ("sub_region_d", "D"), ("sub_region_e", "E")):
     C[_k] = with_tables(["merchants", "country_codes", "team_role"]) + (
-        f"SELECT m.merchant_id, {sub_region_sql(_v, **_fields('m.sales__industry'))} AS sub_region\n{_MSEG}")
+        f"SELECT m.merchant_id, {sub_region_sql(_v, **segment_fields('m.sales__industry'))} AS sub_region\n{_MSEG}")
 for _k, _v in (("sub_region_b", "B"), ("sub_region_c", "C")):
     C[_k] = with_tables(["opportunities", "country_codes", "team_role"]) + (
-        f"SELECT o.opportunity, {sub_region_sql(_v, **_fields('o.opportunity_industry'))} AS sub_region\n{_DSEG}")
+        f"SELECT o.opportunity, {sub_region_sql(_v, **segment_fields('o.opportunity_industry'))} AS sub_region\n{_DSEG}")
 for _k, _v in (("vertical", "A"), ("vertical_e", "E")):
     C[_k] = with_tables(["merchants", "country_codes", "team_role"]) + (
-        f"SELECT m.merchant_id, {vertical_sql(_v, region='cc.sales_region', country='cc.sfdc_country_name', industry='m.sales__industry')}"
+        f"SELECT m.merchant_id, {vertical_sql(_v, region='land.sales_region', country='land.sfdc_country_name', industry='m.sales__industry')}"
         f" AS vertical\n{_MSEG}")
 C["vertical_f"] = with_tables(["opportunities"]) + (
     f"SELECT opportunity, {vertical_sql('F', country='opportunity_merchant_country', industry='opportunity_industry')}"
     f" AS vertical FROM opportunities")
-C["opportunity_status"] = with_tables(["opportunities"]) + """
-SELECT opportunity, opportunity_stage,
-  CASE WHEN opportunity_stage IN ('Negotiating', 'Discovering Needs', 'Validating Fit', 'Proposing Solution') THEN 'pipeline'
-       WHEN opportunity_stage IN ('Onboarding', 'Live') THEN 'signed_not_live' ELSE 'lost' END AS opportunity_status
-FROM opportunities"""
+C["opportunity_status"] = with_tables(["opportunities"]) + (
+    f"SELECT opportunity, opportunity_stage, {status_sql('opportunity_stage')} AS opportunity_status FROM opportunities")
 C["closed_flag"] = with_tables(["opportunities"]) + (
     "SELECT opportunity, CASE WHEN opportunity_stage IN ('Live', 'Onboarding') THEN 1 ELSE 0 END AS closed FROM opportunities")
 C["weighted_amount"] = with_tables(["opportunities"]) + (
@@ -109,8 +112,8 @@ C["fanout_safe_sum"] = with_tables(["opportunities"]) + """
 SELECT opportunity_owner, CAST(COALESCE(sum(COALESCE(opportunity_amount, 0)), 0) AS DECIMAL(18,2)) AS opportunity_amount_once
 FROM opportunities WHERE opportunity IN (SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem)
 GROUP BY opportunity_owner"""
-C["expected_amount"] = with_tables(["opportunities", "merchants"], [("pipe", pipe_sql())]) + (
-    "SELECT opportunity, mes_opportunity_amount FROM pipe")
+C["expected_amount"] = with_tables(["opportunities", "merchants"], deal_ctes(days=False)) + (
+    "SELECT deal AS opportunity, expected_amount FROM deals")
 C["first_contact"] = with_tables(["opportunities"]) + FIRST_CONTACT
 C["special_dates"] = with_tables(["opportunities"]) + SPECIAL_DATES
 C["activation_override"] = with_tables(["merchants", "opportunities"], [("special_dates", SPECIAL_DATES)]) + """
@@ -119,42 +122,37 @@ SELECT m.merchant_id, m.activation_date, sd.adjusted_activation_date,
 FROM merchants m LEFT JOIN special_dates sd ON sd.sales_merchant_id = m.merchant_id"""
 
 # ----------------------------------------------------------------------------- attribution and curves
-_PV_SELECT = ("SELECT data_type, capture_date, sales_merchant_id, sales_category, sales_activation_date, orig_activation, "
-              f"{money('first_year_sold_npv_usd_fx')} AS first_year_sold_npv_usd_fx, {money('total_npv')} AS total_npv FROM ")
+_REVENUE = ("SELECT 'weekly_processing' AS data_type, day AS capture_date, merchant AS sales_merchant_id, leg AS sales_category, "
+            f"starts AS sales_activation_date, went_live AS orig_activation, {money('first_year')} AS first_year_sold_npv_usd_fx, "
+            f"{money('total')} AS total_npv FROM revenue")
 _PVT = ["payments", "merchants", "opportunities", "upsells"]
-C["new_business_leg"] = with_tables(_PVT, pv_ctes()) + _PV_SELECT + "non_upsell_processing"
-C["upsell_leg"] = with_tables(_PVT, pv_ctes()) + _PV_SELECT + "upsell_processing"
-C["processing_volume"] = with_tables(_PVT, pv_ctes()) + _PV_SELECT + "processing_volume"
-C["backlog_summary"] = with_tables(_PVT + ["backlog_curve"], pv_ctes() + [("backlog_summary", summary_sql())]) + f"""
-SELECT sales_merchant_id, sales_category, sales_activation_date, orig_activation, days_since_activation,
-  {money('first_year_npv')} AS first_year_npv, {units_money(units('first_year_est_npv'))} AS first_year_est_npv
-FROM backlog_summary"""
-C["backlog_curve_expand"] = with_tables(_PVT + ["backlog_curve"], _REPORT_CTES) + f"""
-SELECT fcst_date, sales_merchant_id, sales_category, sales_activation_date, orig_activation,
-  {units_money('backlog_units')} AS backlog_npv
-FROM daily_backlog"""
-C["pipeline_curve_expand"] = with_tables(["opportunities", "merchants", "pipeline_curve"], [("pipe", pipe_sql())]) + f"""
-SELECT pipe.opportunity_expected_go_live_date_date + curve.day_count AS fcst_date, count(*) AS n_rows,
-  {units_money(f"COALESCE(SUM({units('CAST(pipe.mes_opportunity_amount AS DOUBLE) * curve.first_year_sold_pct')}), 0)")}
-    AS pipeline_npv
-FROM pipe CROSS JOIN pipeline_curve curve WHERE curve.day_count BETWEEN 0 AND 364
-GROUP BY 1"""
+C["new_business_leg"] = with_tables(_PVT, revenue_ctes()) + _REVENUE + " WHERE leg = 'new biz'"
+C["upsell_leg"] = with_tables(_PVT, revenue_ctes()) + _REVENUE + " WHERE leg = 'upsell'"
+C["processing_volume"] = with_tables(_PVT, revenue_ctes()) + _REVENUE
+C["backlog_summary"] = with_tables(_PVT + ["backlog_curve"], backlog_ctes()) + f"""
+SELECT merchant AS sales_merchant_id, leg AS sales_category, starts AS sales_activation_date, went_live AS orig_activation,
+  days AS days_since_activation, actual AS first_year_npv, {units_money(units('estimate'))} AS first_year_est_npv
+FROM estimates"""
+C["backlog_curve_expand"] = with_tables(_PVT + ["backlog_curve"], backlog_ctes()) + f"""
+SELECT day AS fcst_date, merchant AS sales_merchant_id, leg AS sales_category, starts AS sales_activation_date,
+  went_live AS orig_activation, {units_money('units')} AS backlog_npv
+FROM backlog_days"""
+C["pipeline_curve_expand"] = with_tables(PIPELINE_TABLES, deal_ctes()) + f"""
+SELECT day AS fcst_date, count(*) AS n_rows, {units_money('coalesce(sum(units), 0)')} AS pipeline_npv
+FROM deal_days GROUP BY day"""
 
 # ----------------------------------------------------------------------------- report flags
-C["new_npv_processing"] = with_tables(_PVT, pv_ctes()) + f"""
-SELECT DISTINCT sales_merchant_id, sales_category, orig_activation,
-  CASE WHEN orig_activation > {D(P.fy_start)} - 1 THEN 1 ELSE 0 END AS newNPV
-FROM processing_volume"""
-C["new_npv_backlog"] = with_tables(_PVT + ["backlog_curve"], _REPORT_CTES) + f"""
-SELECT sales_merchant_id, sales_category,
-  CASE WHEN orig_activation > {D(P.fy_start)} - 1 AND fcst_date <= {D(P.fy_end)} THEN 1 ELSE 0 END AS newNPV,
-  count(*) AS n_days
-FROM daily_backlog GROUP BY ALL"""
-C["new_npv_pipeline"] = with_tables(["opportunities", "merchants"], [("pipe", pipe_sql())]) + f"""
-SELECT opportunity,
-  CASE WHEN opportunity_expected_go_live_date_date >= {D(P.fy_start)} AND opportunity_type <> 'Existing Customer'
-       THEN 1 ELSE 0 END AS newNPV
-FROM pipe"""
+C["new_npv_processing"] = with_tables(_PVT, revenue_ctes()) + f"""
+SELECT DISTINCT merchant AS sales_merchant_id, leg AS sales_category, went_live AS orig_activation,
+  {flag(f'went_live >= {D(P.fy_start)}')} AS newNPV
+FROM revenue"""
+C["new_npv_backlog"] = with_tables(_PVT + ["backlog_curve"], backlog_ctes()) + f"""
+SELECT merchant AS sales_merchant_id, leg AS sales_category,
+  {flag(f'went_live >= {D(P.fy_start)} AND day <= {D(P.fy_end)}')} AS newNPV, count(*) AS n_days
+FROM backlog_days GROUP BY ALL"""
+C["new_npv_pipeline"] = with_tables(["opportunities", "merchants"], deal_ctes(days=False)) + f"""
+SELECT deal AS opportunity, {flag(f"goes_live >= {D(P.fy_start)} AND kind <> 'Existing Customer'")} AS newNPV
+FROM deals"""
 C["in_quarter_opportunity"] = with_tables(["merchants", "opportunities"], [("special_dates", SPECIAL_DATES),
                                                                            ("first_contact", FIRST_CONTACT)]) + f"""
 SELECT m.merchant_id, coalesce(sd.adjusted_activation_date, m.activation_date) AS sales_activation_date,
@@ -177,65 +175,42 @@ SELECT opportunity, {_cohort('opportunity_created_date')} AS created_this_week,
 FROM opportunities"""
 
 # ----------------------------------------------------------------------------- margin
-_MARGIN = ["npv", "revenue_total", "costs_total", "revenue_fx", "revenue_disputes", "revenue_other_api"]
-_OUT = ["npv_fixed_fx", "revenue_fixed_fx", "costs_fixed_fx", "revenue_fx_fixed_fx", "revenue_disputes_fixed_fx",
-        "revenue_other_api_fixed_fx"]
-_fy = f"{age('m.activation_date', 'ap.capture_date')} >= 0 AND {age('m.activation_date', 'ap.capture_date')} < 366"
-C["margin_measures"] = with_tables(["margin", "merchants"]) + "SELECT ap.capture_date, ap.sales_merchant_id, " + (
-    "m.activation_date AS sales_activation_date, ") + ", ".join(
-    f"{money(f'sum(CASE WHEN {_fy} THEN ap.{c} * 0.01 ELSE 0 END)')} AS {o}" for c, o in zip(_MARGIN, _OUT)) + f"""
-FROM margin ap JOIN merchants m ON ap.sales_merchant_id = m.merchant_id
-WHERE ap.capture_date >= {D(P.history_start)} AND ap.capture_date < {D(P.as_of)} AND m.sales__is_sold = true
-GROUP BY 1, 2, 3"""
-C["opportunity_amount_attach"] = with_tables(["merchants", "opportunities"]) + f"""
-SELECT m.merchant_id, m.sfdc_opportunity, {money('o.opportunity_amount')} AS opportunity_amount
-FROM merchants m JOIN (SELECT opportunity, sum(opportunity_amount) AS opportunity_amount FROM opportunities GROUP BY 1) o
-  ON m.sfdc_opportunity = o.opportunity"""
+C["margin_measures"] = with_tables(["margin", "merchants"], [("margin_days", margin_days_sql())]) + (
+    "SELECT day AS capture_date, merchant AS sales_merchant_id, starts AS sales_activation_date, "
+    f"{', '.join(out for _, out in MARGIN)} FROM margin_days")
+C["opportunity_amount_attach"] = with_tables(["merchants", "opportunities"], [("deal_totals", DEAL_TOTALS)]) + f"""
+SELECT m.merchant_id, m.sfdc_opportunity, {money('t.opportunity_amount')} AS opportunity_amount
+FROM merchants m JOIN deal_totals t ON t.opportunity = m.sfdc_opportunity"""
 
 # ----------------------------------------------------------------------------- enrichment and shaping
 C["enrich_country_by_name"] = with_tables(["opportunities", "country_codes"]) + """
-SELECT o.opportunity, cc.country_code, cc.sales_region
-FROM opportunities o JOIN country_codes cc ON o.opportunity_merchant_country = cc.sfdc_country_name"""
+SELECT o.opportunity, land.country_code, land.sales_region
+FROM opportunities o JOIN country_codes land ON o.opportunity_merchant_country = land.sfdc_country_name"""
 C["enrich_country_by_code"] = with_tables(["merchants", "country_codes"]) + """
-SELECT m.merchant_id, cc.sfdc_country_name, cc.sales_region
-FROM merchants m JOIN country_codes cc ON m.sales__merchant_country = cc.country_code"""
+SELECT m.merchant_id, land.sfdc_country_name, land.sales_region
+FROM merchants m JOIN country_codes land ON m.sales__merchant_country = land.country_code"""
 C["enrich_team"] = with_tables(["merchants", "team_role"]) + """
-SELECT m.merchant_id, m.sales__owner AS owner, usr.role AS sales_role, usr.team AS sales_location
-FROM merchants m JOIN team_role usr ON usr.sales_owner = m.sales__owner"""
+SELECT m.merchant_id, m.sales__owner AS owner, seat.role AS sales_role, seat.team AS sales_location
+FROM merchants m JOIN team_role seat ON seat.sales_owner = m.sales__owner"""
 C["enrich_merchant"] = with_tables(["payments", "merchants"]) + f"""
 SELECT p.sales_merchant_id, m.activation_date, count(DISTINCT p.capture_date) AS n_days,
   {money('sum(p.npv_usd_fixed * 0.01)')} AS npv
 FROM payments p JOIN merchants m ON p.sales_merchant_id = m.merchant_id
-WHERE p.capture_date >= {D(P.history_start)} AND p.capture_date < {D(P.as_of)}
 GROUP BY 1, 2"""
-C["account_allow_list"] = with_tables(["payments", "merchants", "upsells", "backlog_curve"], [
-    ("current_upsells", CURRENT_UPSELLS),
-    ("non_upsell_processing", new_biz_sql(end=None, special=False).replace(
-        "WHERE p.capture_date", "WHERE p.sales_merchant_id IN (SELECT sales_merchant_id FROM upsells) AND p.capture_date")),
-    ("upsell_processing", upsell_sql(end=None).replace(
-        "WHERE p.capture_date", "WHERE p.sales_merchant_id IN (SELECT sales_merchant_id FROM upsells) AND p.capture_date")),
-    ("processing_volume", "SELECT * FROM non_upsell_processing UNION SELECT * FROM upsell_processing"),
-    ("backlog_summary", summary_sql(with_orig=False)),
-    ("daily_backlog", daily_backlog_sql(with_orig=False)),
-]) + f"SELECT fcst_date, sales_merchant_id, sales_category, {units_money('backlog_units')} AS backlog_npv FROM daily_backlog"
+C["account_allow_list"] = backlog_daily_sql(only="SELECT sales_merchant_id FROM upsells")
 C["opportunity_merchant_key"] = with_tables(["opportunities"]) + (
     "SELECT opportunity, 'OPTI__' || opportunity AS sales_merchant_id FROM opportunities")
 C["report_constants"] = with_tables(["country_codes"]) + (
     "SELECT country_code, 'weekly_backlog' AS data_type, '' AS sales_channel, 'opportunity' AS sales_category, "
     "0 AS qtd, 0 AS this_week FROM country_codes")
-C["upsell_snapshot_measure"] = with_tables(["payments", "upsells"], [("current_upsells", CURRENT_UPSELLS)]) + f"""
-SELECT p.sales_merchant_id, {fweek('p.capture_date')} AS finance_week,
-  {money('sum(p.npv_usd_fixed * 0.01 * u.pct_share_of_npv)')} AS npv_fixed_fx
-FROM payments p JOIN current_upsells u ON u.sales_merchant_id = p.sales_merchant_id
-WHERE p.capture_date >= {D(P.history_start)}
-GROUP BY 1, 2"""
-C["pipeline_eligibility"] = with_tables(["opportunities", "merchants"]) + f"""
-SELECT s.opportunity, s.opportunity_stage, s.opportunity_expected_go_live_date,
-  m.activation_date AS unified_funnel__activation_date_date
-FROM opportunities s LEFT JOIN merchants m ON s.merchant_id = m.merchant_id
-WHERE (m.activation_date IS NULL OR m.activation_date >= {D(P.as_of)})
-  AND s.opportunity_expected_go_live_date >= {D(P.as_of)} AND s.opportunity_expected_go_live_date <= {D(P.horizon_end)}
-  AND s.opportunity_stage IN ('Negotiating', 'Discovering Needs', 'Validating Fit', 'Proposing Solution', 'Onboarding', 'Live')"""
+C["upsell_snapshot_measure"] = with_tables(["payments", "upsells"]) + f"""
+SELECT extra.sales_merchant_id, {fweek('pay.capture_date')} AS finance_week,
+  {money('sum(pay.npv_usd_fixed * 0.01 * extra.pct_share_of_npv)')} AS npv_fixed_fx
+FROM upsells extra JOIN payments pay ON pay.sales_merchant_id = extra.sales_merchant_id
+WHERE extra.include = 1 AND pay.capture_date >= {D(P.history_start)}
+GROUP BY ALL"""
+C["pipeline_eligibility"] = with_tables(["opportunities", "merchants"], [("eligible", eligible_sql())]) + (
+    "SELECT opportunity, opportunity_stage, opportunity_expected_go_live_date, activation_date FROM eligible")
 C["live_or_not"] = with_tables(["opportunities", "merchants"]) + f"""
 SELECT s.opportunity, CASE WHEN m.activation_date < {D(P.as_of)} THEN 1 ELSE 0 END AS live_or_not
 FROM opportunities s LEFT JOIN merchants m ON s.merchant_id = m.merchant_id"""
@@ -243,26 +218,22 @@ C["days_since_close"] = with_tables(["opportunities"]) + (
     f"SELECT opportunity, {age('opportunity_close_date', D(P.as_of))} AS days_since_close_date FROM opportunities")
 
 # ----------------------------------------------------------------------------- requests
-C["week_over_week"] = with_tables(REPORT_TABLES, pv_ctes() + [("user_first_contact", FIRST_CONTACT),
-                                                              ("report", _processing_select()),
-                                                              ("wk", """
-SELECT region, sub_region, CAST(finance_week AS DATE) AS week, sum(npv_fixed_fx) AS npv FROM report GROUP BY ALL""")]) + f"""
-SELECT coalesce(a.region, b.region) AS region, coalesce(a.sub_region, b.sub_region) AS sub_region,
-  strftime(coalesce(a.week, b.week + 7), '%Y-%m-%d') AS finance_week,
-  {money('coalesce(a.npv, 0)')} AS npv_fixed_fx, {money('coalesce(b.npv, 0)')} AS prev_week_npv_fixed_fx,
-  {money('coalesce(a.npv, 0) - coalesce(b.npv, 0)')} AS wow_change
-FROM wk a FULL OUTER JOIN wk b
-  ON a.region = b.region AND a.sub_region = b.sub_region AND a.week = b.week + 7
-WHERE coalesce(a.week, b.week + 7) <= {week_start(D(P.as_of))}"""
-C["recently_live"] = with_tables(["merchants", "opportunities", "country_codes", "team_role"]) + f"""
-SELECT m.merchant_id AS sales_merchant_id, m.activation_date, cc.sales_region AS region,
-  {sub_region_sql('A', **_fields('m.sales__industry'))} AS sub_region,
-  m.sales__owner AS owner, usr.role AS sales_role, {money('o.opportunity_amount')} AS opportunity_amount
+C["week_over_week"] = with_tables(REPORT_TABLES, revenue_ctes() + [
+    ("first_seen", FIRST_CONTACT), ("report", processing_select(P.with_(report_start=dt.date(1998, 12, 20)))),
+    ("sums", "SELECT region, sub_region, CAST(finance_week AS DATE) AS week, sum(npv_fixed_fx) AS npv FROM report GROUP BY ALL"),
+    ("entries", "SELECT region, sub_region, week, npv AS cur, 0 AS prev FROM sums "
+                "UNION ALL SELECT region, sub_region, week + 7, 0, npv FROM sums")]) + f"""
+SELECT region, sub_region, strftime(week, '%Y-%m-%d') AS finance_week, {money('sum(cur)')} AS npv_fixed_fx,
+  {money('sum(prev)')} AS prev_week_npv_fixed_fx, {money('sum(cur) - sum(prev)')} AS wow_change
+FROM entries WHERE week BETWEEN {week_start(D(P.report_start))} AND {week_start(D(P.as_of))}
+GROUP BY region, sub_region, week"""
+C["recently_live"] = with_tables(["merchants", "opportunities", "country_codes", "team_role"], [("deal_totals", DEAL_TOTALS)]) + f"""
+SELECT m.merchant_id AS sales_merchant_id, m.activation_date, land.sales_region AS region,
+  {sub_region_sql('A', **segment_fields('m.sales__industry'))} AS sub_region, m.sales__owner AS owner, seat.role AS sales_role,
+  {money('(SELECT t.opportunity_amount FROM deal_totals t WHERE t.opportunity = m.sfdc_opportunity)')} AS opportunity_amount
 {_MSEG}
-LEFT JOIN (SELECT opportunity, sum(opportunity_amount) AS opportunity_amount FROM opportunities GROUP BY 1) o
-  ON m.sfdc_opportunity = o.opportunity
-WHERE m.activation_date >= {D(P.as_of)} - 28 AND m.activation_date < {D(P.as_of)}"""
-C["role_as_of"] = SQL["deal_signed_report"] + "\n  AND usr.role <> 'AM'"
+  AND {D(P.as_of)} - m.activation_date BETWEEN 1 AND 28"""
+C["role_as_of"] = deal_signed_sql(where="\n  AND seat.role <> 'AM'")
 C["forecast_weighting"] = with_tables(["opportunities"]) + f"""
 SELECT opportunity_forecast_category, opportunity_stage, {quarter('opportunity_close_date')} AS close_quarter,
   count(*) AS n_deals,
@@ -271,47 +242,38 @@ SELECT opportunity_forecast_category, opportunity_stage, {quarter('opportunity_c
                     ELSE opportunity_probability * opportunity_amount * 0.01 END)''')} AS weighted_opportunity_amount
 FROM opportunities WHERE opportunity_stage NOT IN ('Lost', 'Duplicate')
 GROUP BY 1, 2, 3"""
-_a = age("sales_activation_date", "capture_date")
-C["weighted_age_fys"] = with_tables(_PVT, pv_ctes()) + f"""
-SELECT sales_category, {quarter('capture_date')} AS quarter,
-  {money('sum(first_year_sold_npv_usd_fx)')} AS first_year_npv,
-  {units_money(units(f'CAST(CAST(sum(first_year_sold_npv_usd_fx * {_a}) AS DECIMAL(38,4)) AS DOUBLE) / '
-                     'NULLIF(CAST(CAST(sum(first_year_sold_npv_usd_fx) AS DECIMAL(38,4)) AS DOUBLE), 0)'))}
-    AS weighted_age_days
-FROM processing_volume
-WHERE capture_date >= {D(P.report_start)} AND {_a} BETWEEN 0 AND 365
-GROUP BY 1, 2"""
+C["weighted_age_fys"] = with_tables(_PVT, revenue_ctes()) + f"""
+SELECT leg AS sales_category, {quarter('day')} AS quarter, {money('sum(first_year)')} AS first_year_npv,
+  {units_money(units("CAST(CAST(sum(first_year * (day - starts)) AS DECIMAL(38,4)) AS DOUBLE) / "
+                     "NULLIF(CAST(CAST(sum(first_year) AS DECIMAL(38,4)) AS DOUBLE), 0)"))} AS weighted_age_days
+FROM revenue
+WHERE day >= {D(P.report_start)} AND day - starts BETWEEN 0 AND 365
+GROUP BY ALL"""
 
 SQL.update(C)
 
-from .queries import _PIPE_CTES, _backlog_select, _pipeline_select  # noqa: E402
-
-SQL["ninety_day_forecast_by_team"] = with_tables(
-    REPORT_TABLES + ["pipeline_curve"], _REPORT_CTES + _PIPE_CTES) + f"""
+SQL["ninety_day_forecast_by_team"] = with_tables(REPORT_TABLES + ["pipeline_curve"], report_ctes() + deal_ctes()) + f"""
 SELECT data_type, sales_role, sales_location, {money('sum(npv_fixed_fx)')} AS npv_fixed_fx
-FROM ({_pipeline_select()}
+FROM ({pipeline_select()}
 UNION ALL
-{_backlog_select()}
+{backlog_select()}
 ) r
 WHERE ninety_day_live = 1
-GROUP BY 1, 2, 3"""
-
-SQL["expected_end_date"] = with_tables(REPORT_TABLES, _REPORT_CTES) + f"""
-SELECT d.sales_merchant_id, sd.backlog_end_date,
-  {units_money('COALESCE(SUM(CASE WHEN d.fcst_date >= sd.backlog_end_date THEN d.backlog_units END), 0)')} AS backlog_after_end,
-  {units_money('COALESCE(SUM(d.backlog_units), 0)')} AS backlog_total
-FROM daily_backlog d JOIN special_dates sd ON sd.sales_merchant_id = d.sales_merchant_id
-WHERE sd.backlog_end_date IS NOT NULL
-GROUP BY 1, 2"""
+GROUP BY ALL"""
 
-from .queries import _ROLE_FIX  # noqa: E402
+SQL["expected_end_date"] = with_tables(REPORT_TABLES, backlog_ctes()) + f"""
+SELECT b.merchant AS sales_merchant_id, o.backlog_end_date,
+  {units_money('coalesce(sum(b.units) FILTER (b.day >= o.backlog_end_date), 0)')} AS backlog_after_end,
+  {units_money('coalesce(sum(b.units), 0)')} AS backlog_total
+FROM backlog_days b JOIN overrides o ON o.sales_merchant_id = b.merchant AND o.backlog_end_date IS NOT NULL
+GROUP BY ALL"""
 
 _WEEK_BEFORE = P.shifted(-7).as_of
 SQL["deal_roles_as_of_close"] = with_tables(["merchants", "opportunities", "team_role"], [
     ("history", f"""
 SELECT sales_owner, role, team, {D(_WEEK_BEFORE)} AS snapshot_date FROM team_role
 UNION ALL
-SELECT sales_owner, role, team, {D(P.as_of)} AS snapshot_date FROM ({_ROLE_FIX}
+SELECT sales_owner, role, team, {D(P.as_of)} AS snapshot_date FROM ({ROLE_FIX}
 ) fixed"""),
 ]) + """
 SELECT o.opportunity, o.opportunity_owner, o.opportunity_close_date, s.snapshot_date, h.role, h.team

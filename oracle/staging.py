@@ -26,6 +26,10 @@ def pick(values, idx_sql: str) -> str:
 
 _COUNTRY_ROWS = ", ".join(f"({n}, {q(c)}, {q(name)}, {q(r)})" for n, c, name, r in COUNTRIES)
 
+CREATED = ("(CASE WHEN o.o_custkey % 29 = 0 THEN DATE '1999-10-01' + CAST(o.o_orderkey % 80 AS INTEGER) "
+           "ELSE CAST(o.o_orderdate AS DATE) END)")
+AMOUNT = "CAST(round(o.o_totalprice, 2) AS DECIMAL(14,2)) * CASE WHEN o.o_orderkey % 101 = 0 THEN 1000 ELSE 1 END"
+
 STAGING = {
     "country_codes": f"""
 SELECT m.nation_key, m.country_code, m.sfdc_country_name, m.sales_region
@@ -55,6 +59,7 @@ SELECT c.c_custkey AS merchant_id,
        s.s_name AS sales__owner,
        c.c_acctbal > 0 AS sales__is_sold,
        CASE WHEN c.c_custkey % 11 = 0 THEN NULL
+            WHEN c.c_custkey % 29 = 0 THEN DATE '1999-10-01' + CAST(c.c_custkey % 90 AS INTEGER)
             ELSE DATE '1996-01-01' + CAST((c.c_custkey * 7919) % 1461 AS INTEGER) END AS activation_date,
        CASE WHEN c.c_custkey % 13 = 0 THEN NULL ELSE CAST(fo.min_orderkey AS VARCHAR) END AS sfdc_opportunity
 FROM customer c
@@ -69,13 +74,13 @@ SELECT CAST(o.o_orderkey AS VARCHAR) AS opportunity,
        {pick(STAGES, 'o.o_orderkey % 9')} AS opportunity_stage,
        CAST(CASE WHEN o.o_orderkey % 97 = 0 THEN NULL ELSE {pick(STAGE_PROBABILITIES, 'o.o_orderkey % 9')} END AS INTEGER)
          AS opportunity_probability,
-       CASE WHEN o.o_orderkey % 53 = 0 THEN NULL ELSE CAST(round(o.o_totalprice, 2) AS DECIMAL(18,2)) END AS opportunity_amount,
+       CASE WHEN o.o_orderkey % 53 = 0 THEN NULL ELSE CAST({AMOUNT} AS DECIMAL(18,2)) END AS opportunity_amount,
        {pick(OPPORTUNITY_TYPES, 'o.o_orderkey % 3')} AS opportunity_type,
        {pick(INDUSTRIES, 'o.o_orderkey % 25')} AS opportunity_industry,
        cc.sfdc_country_name AS opportunity_merchant_country,
-       CAST(o.o_orderdate AS DATE) AS opportunity_created_date,
-       CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 60 AS INTEGER) AS opportunity_close_date,
-       CAST(o.o_orderdate AS DATE) + CAST(30 + o.o_orderkey % 120 AS INTEGER) AS opportunity_expected_go_live_date,
+       {CREATED} AS opportunity_created_date,
+       {CREATED} + CAST(o.o_orderkey % 60 AS INTEGER) AS opportunity_close_date,
+       {CREATED} + CAST(30 + o.o_orderkey % 120 AS INTEGER) AS opportunity_expected_go_live_date,
        CASE WHEN o.o_orderkey % 4 = 0 THEN o.o_custkey END AS merchant_id,
        o.o_custkey AS parent_merchant_id,
        CASE WHEN o.o_orderkey % 200 = 0 THEN DATE '2000-01-02' + CAST(o.o_orderkey % 365 AS INTEGER) END
@@ -84,7 +89,7 @@ SELECT CAST(o.o_orderkey AS VARCHAR) AS opportunity,
          AS opportunity_override_activation_date,
        CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Commit' WHEN '2-HIGH' THEN 'Best Case' ELSE 'Pipeline' END
          AS opportunity_forecast_category,
-       CASE WHEN o.o_orderkey % 53 = 0 THEN NULL ELSE CAST(round(o.o_totalprice, 2) AS DECIMAL(18,2)) END AS opportunity_deal_amount
+       CASE WHEN o.o_orderkey % 53 = 0 THEN NULL ELSE CAST({AMOUNT} AS DECIMAL(18,2)) END AS opportunity_deal_amount
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN country_codes cc ON c.c_nationkey = cc.nation_key
@@ -97,16 +102,16 @@ FROM supplier WHERE s_suppkey % 10 <> 9""",
     "upsells": """
 SELECT merchant_id AS sales_merchant_id,
        activation_date + 120 AS effective_activation_date,
-       CAST(0.30 AS DECIMAL(3,2)) AS pct_share_of_npv,
+       CAST((merchant_id % 7 + 1) * 0.0625 AS DECIMAL(5,4)) AS pct_share_of_npv,
        CASE WHEN merchant_id % 20 = 3 THEN 1 ELSE 0 END AS include
 FROM merchants WHERE merchant_id % 10 = 3 AND activation_date IS NOT NULL""",
     "backlog_curve": """
 SELECT CAST(d AS INTEGER) AS days_since_activation,
-       CAST(1 AS DOUBLE) / 366 AS first_year_sold_pct,
-       CAST(d + 1 AS DOUBLE) / 366 AS first_year_sold_cumulative_pct
+       CAST(366 - d AS DOUBLE) / 67161 AS first_year_sold_pct,
+       CAST((d + 1) * 366 - d * (d + 1) // 2 AS DOUBLE) / 67161 AS first_year_sold_cumulative_pct
 FROM range(366) AS t(d)""",
     "pipeline_curve": """
-SELECT CAST(d AS INTEGER) AS day_count, CAST(1 AS DOUBLE) / 366 AS first_year_sold_pct
+SELECT CAST(d AS INTEGER) AS day_count, CAST(366 - d AS DOUBLE) / 67161 AS first_year_sold_pct
 FROM range(365) AS t(d)""",
 }
 
