@@ -101,7 +101,7 @@ def merchant_attribution(merchants: DataFrame, upsells: DataFrame | None, specia
             return m
     else:
         m = (m.withColumn("effective_activation_date", F.lit(None).cast("date"))
-             .withColumn("pct_share_of_npv", F.lit(None).cast("decimal(3,2)")))
+             .withColumn("pct_share_of_npv", F.lit(None).cast("decimal(5,4)")))
     return merchant_level(m, merchants, "merchant attribution")
 
 
@@ -113,8 +113,8 @@ def _legs(daily: DataFrame, attr: DataFrame) -> DataFrame:
     in_fy = (a >= 0) & (a < 366)
     up_on = (u >= 0) & (u < 366)
     share = F.col("pct_share_of_npv")
-    one = F.lit(1).cast("decimal(3,2)")
-    zero = F.lit(0).cast("decimal(3,2)")
+    one = F.lit(1).cast("decimal(5,4)")
+    zero = F.lit(0).cast("decimal(5,4)")
     nb_factor = (
         F.when(in_fy & F.col("effective_activation_date").isNull(), one)
         .when(in_fy & (u < 0), one)

@@ -61,7 +61,7 @@ def expand_backlog(summary: DataFrame, curve: DataFrame, last_day: int = 365) ->
 
 
 def expand_pipeline(pipe: DataFrame, curve: DataFrame, first: int = 0, last: int = 364,
-                    start_col: str = "opportunity_expected_go_live_date", amount_col: str = "mes_opportunity_amount") -> DataFrame:
+                    start_col: str = "opportunity_expected_go_live_date", amount_col: str = "expected_amount") -> DataFrame:
     """One row per curve day ``first..last`` after the expected go-live date.
 
     ``pipeline_units`` is amount x daily share in exact 1e-4 dollar units.

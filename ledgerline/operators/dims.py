@@ -1,11 +1,10 @@
-"""Dimension joins with a checked size and a checked key.
-
-``small_dimension`` reads at most ``max_rows + 1`` rows of a dimension.  When
-the table fits, its join key is checked for duplicates (a duplicate key would
-silently multiply fact rows in an inner join) and the table is marked for
-broadcast.  When it does not fit, the table is returned unhinted and Spark /
-AQE plan a shuffle join from runtime sizes.  Nothing is broadcast without
-that bound.
+"""Dimension joins with a checked key, and a broadcast only within a checked size.
+
+A duplicate key would silently multiply fact rows in an inner join, so every
+keyed dimension is checked for one at any size, by an aggregate over the whole
+table.  The same job counts rows and bytes: within both bounds the table is
+marked for broadcast; beyond them it is returned unhinted and Spark plans the
+join from its own sizes.
 """
 
 from __future__ import annotations
@@ -16,72 +15,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 1_000_000
-# Merchant-level tables (one row per merchant) are broadcast up to this size;
-# beyond it they are shuffled by merchant and meet fact rows that are already
-# partitioned by merchant.
-MERCHANT_DIM_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 32 << 20
 
 
 class DuplicateKeyError(ValueError):
     pass
 
 
-# Check results per (plan, input files, key, bound).  Rewritten data gets new
+# Check results per (plan, input files, key).  Rewritten data gets new
 # part-file names, so a memoised result never outlives the files it describes.
 _CHECKS: dict[tuple, tuple[int, int, int]] = {}
 _LOCK = threading.Lock()
 
 
-def _check(df: DataFrame, key: str | None, max_rows: int) -> tuple[int, int, int]:
-    memo = (df.semanticHash(), tuple(sorted(df.inputFiles())), key, max_rows)
+def table_size(df: DataFrame, key: str | None = None) -> tuple[int, int, int]:
+    """(rows, most rows of one key that is not NULL, bytes) of the whole table, memoised per input files."""
+    memo = (df.semanticHash(), tuple(sorted(df.inputFiles())), key)
     with _LOCK:
         if memo in _CHECKS:
             return _CHECKS[memo]
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if key is not None:
-        aggs += [F.count(F.col(key)).alias("n_key"), F.count_distinct(F.col(key)).alias("n_distinct")]
+    width = sum((F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if f.dataType.simpleString() == "string" else F.lit(16)
+                 for f in df.schema.fields), F.lit(16))
+    if key is None:
+        counted = df.agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("most"), F.sum(width).alias("bytes"))
     else:
-        aggs += [F.lit(0).alias("n_key"), F.lit(0).alias("n_distinct")]
-    row = df.limit(max_rows + 1).agg(*aggs).first()
-    out = (row["n"], row["n_key"], row["n_distinct"])
+        by_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
+        counted = by_key.agg(F.sum("n").alias("n"), F.max(F.when(F.col("_key").isNotNull(), F.col("n"))).alias("most"),
+                             F.sum("b").alias("bytes"))
+    row = counted.first()
+    out = (row["n"] or 0, row["most"] or 0, row["bytes"] or 0)
     with _LOCK:
         _CHECKS[memo] = out
     return out
 
 
-def small_dimension(df: DataFrame, key: str | None = None, max_rows: int = DEFAULT_MAX_ROWS, name: str = "") -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows; check ``key`` is unique."""
-    n, n_key, n_distinct = _check(df, key, max_rows)
-    if n > max_rows:
-        return df
-    if key is not None and n_key != n_distinct:
-        raise DuplicateKeyError(f"dimension {name or key}: key {key!r} has duplicates "
-                                f"({n_key} rows, {n_distinct} distinct)")
-    return F.broadcast(df)
+def check_unique(df: DataFrame, key: str, name: str = "") -> None:
+    """Fail when a key repeats, whatever the size of the table."""
+    if table_size(df, key)[1] > 1:
+        raise DuplicateKeyError(f"dimension {name or key}: key {key!r} has duplicates")
 
 
-def merchant_bound(merchants: DataFrame) -> tuple[int, int, int]:
-    """(rows read up to the bound, non-NULL keys, distinct keys) of the merchant dimension (memoised)."""
-    return _check(merchants.select("merchant_id"), "merchant_id", MERCHANT_DIM_MAX_ROWS)
+def small_dimension(df: DataFrame, key: str | None = None, max_rows: int = DEFAULT_MAX_ROWS, name: str = "") -> DataFrame:
+    """Check that ``key`` is unique; mark ``df`` for broadcast within ``max_rows`` rows and ``BROADCAST_MAX_BYTES`` bytes."""
+    if key is not None:
+        check_unique(df, key, name)
+    n, _, size = table_size(df, key)
+    return F.broadcast(df) if n <= max_rows and size <= BROADCAST_MAX_BYTES else df
 
 
 def merchant_level(df: DataFrame, merchants: DataFrame, name: str = "") -> DataFrame:
-    """Broadcast a per-merchant table derived from ``merchants`` when the merchant dimension is small.
+    """A table with one row per merchant, built from ``merchants`` by joins on checked keys.
 
-    ``df`` must hold at most one row per merchant (built from ``merchants``
-    through joins to key-checked dimensions), so the bound checked on the
-    merchant dimension itself - one memoised check per session - bounds it.
+    Checks the merchant ids; Spark chooses the join from the table's size.
     """
-    n, n_key, n_distinct = merchant_bound(merchants)
-    if n > MERCHANT_DIM_MAX_ROWS:
-        return df
-    if n_key != n_distinct:
-        raise DuplicateKeyError(f"merchant dimension: merchant_id has duplicates ({n_key} rows, {n_distinct} distinct)")
-    return F.broadcast(df)
-
-
-def check_unique(df: DataFrame, key: str, name: str = "") -> None:
-    """Fail when ``key`` repeats (full aggregate; for tables of any size)."""
-    dup = df.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise DuplicateKeyError(f"dimension {name or key}: key {key!r} has duplicates")
+    check_unique(merchants.select("merchant_id"), "merchant_id", name or "merchants")
+    return df

@@ -123,9 +123,9 @@ def eligible_pipeline(opps: DataFrame, merchants: DataFrame, p: ReportParams) ->
     above the join.
     """
     m = merchants.select(F.col("merchant_id").alias("_mid"),
-                         F.col("activation_date").alias("unified_funnel__activation_date_date"))
+                         F.col("activation_date").alias("activation_date"))
     j = left_join_nullable(opps, m, "merchant_id", "_mid").drop("_mid")
-    act = F.col("unified_funnel__activation_date_date")
+    act = F.col("activation_date")
     go_live = F.col("opportunity_expected_go_live_date")
     return j.filter(
         (act.isNull() | (act >= F.lit(p.cutoff)))
