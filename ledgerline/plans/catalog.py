@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,7 +82,7 @@ def activation_age(t: Tables, p: ReportParams) -> DataFrame:
 
 
 def _merchant_days(t: Tables, p: ReportParams) -> DataFrame:
-    daily = R.payments_daily(t, p.history_start, p.as_of)
+    daily = R.payments_daily(t)
     m = t.merchants.select(F.col("merchant_id").alias("sales_merchant_id"), "activation_date")
     return daily.join(m, "sales_merchant_id")
 
@@ -209,7 +211,7 @@ def fanout_safe_sum(t: Tables, p: ReportParams) -> DataFrame:
 @register("expected_amount")
 def expected_amount(t: Tables, p: ReportParams) -> DataFrame:
     """O-12: expected first-year amount of each eligible deal."""
-    return R.pipeline_opportunities(t, p).select("opportunity", "mes_opportunity_amount")
+    return R.pipeline_opportunities(t, p).select("opportunity", "expected_amount")
 
 
 @register("first_contact")
@@ -385,7 +387,7 @@ def q_enrich_team(t: Tables, p: ReportParams) -> DataFrame:
 @register("enrich_merchant")
 def q_enrich_merchant(t: Tables, p: ReportParams) -> DataFrame:
     """O-28d: daily payment sums joined to the merchant dimension, per merchant."""
-    daily = R.payments_daily(t, p.history_start, p.as_of)
+    daily = R.payments_daily(t)
     j = E.enrich_merchant(daily, t.merchants.select("merchant_id", "activation_date"))
     return j.groupBy("sales_merchant_id", "activation_date").agg(
         F.count(F.lit(1)).alias("n_days"), money(cents_to_dollars(F.sum("npv_cents"))).alias("npv"))
@@ -423,7 +425,7 @@ def q_upsell_snapshot_measure(t: Tables, p: ReportParams) -> DataFrame:
 def pipeline_eligibility(t: Tables, p: ReportParams) -> DataFrame:
     """O-35: deals eligible for the pipeline forecast."""
     return E.eligible_pipeline(t.opportunities, t.merchants, p).select(
-        "opportunity", "opportunity_stage", "opportunity_expected_go_live_date", "unified_funnel__activation_date_date")
+        "opportunity", "opportunity_stage", "opportunity_expected_go_live_date", "activation_date")
 
 
 def _opps_with_activation(t: Tables) -> DataFrame:
@@ -451,20 +453,23 @@ def q_days_since_close(t: Tables, p: ReportParams) -> DataFrame:
 def week_over_week(t: Tables, p: ReportParams) -> DataFrame:
     """Week-on-week change of realised first-year NPV per region and sub-region.
 
-    Each week is joined to the week before (full outer equi-join on the
-    shifted week), so a week with no revenue after a week with revenue shows
-    the drop; no window over an unbounded partition.
+    The report is read once, from a week earlier than it is shown, and summed
+    per week; each sum then counts for its own week and, as the week before,
+    for the next one.  So a week with no revenue after a week with revenue
+    shows the drop, and the first week has a true week before it.
     """
-    rep = R.processing_report(t, p)
-    wk = rep.groupBy("region", "sub_region", F.to_date("finance_week").alias("week")).agg(
-        F.sum("npv_fixed_fx").alias("npv"))
-    prev = wk.select("region", "sub_region", F.date_add("week", 7).alias("week"), F.col("npv").alias("prev_npv"))
-    j = wk.join(prev, ["region", "sub_region", "week"], "full_outer")
-    j = j.filter(F.col("week") <= P.finance_week_start(F.lit(p.as_of)))
-    cur, before = F.coalesce("npv", F.lit(0)), F.coalesce("prev_npv", F.lit(0))
+    first = P.finance_week_start(F.lit(p.report_start))
+    rep = R.processing_report(t, p.with_(report_start=p.report_start - dt.timedelta(days=7 + p.report_start.isoweekday() % 7)))
+    wk = rep.groupBy("region", "sub_region", F.to_date("finance_week").alias("week")).agg(F.sum("npv_fixed_fx").alias("npv"))
+    none = F.lit(0).cast(wk.schema["npv"].dataType)
+    both = F.explode(F.array(F.struct(F.col("week"), F.col("npv").alias("cur"), none.alias("before")),
+                             F.struct(F.date_add("week", 7).alias("week"), none.alias("cur"), F.col("npv").alias("before"))))
+    j = (wk.select("region", "sub_region", both.alias("x")).groupBy("region", "sub_region", F.col("x.week").alias("week"))
+         .agg(F.sum("x.cur").alias("cur"), F.sum("x.before").alias("before"))
+         .filter((F.col("week") >= first) & (F.col("week") <= P.finance_week_start(F.lit(p.as_of)))))
     return j.select("region", "sub_region", F.date_format("week", "yyyy-MM-dd").alias("finance_week"),
-                    money(cur).alias("npv_fixed_fx"), money(before).alias("prev_week_npv_fixed_fx"),
-                    money(cur - before).alias("wow_change"))
+                    money("cur").alias("npv_fixed_fx"), money("before").alias("prev_week_npv_fixed_fx"),
+                    money(F.col("cur") - F.col("before")).alias("wow_change"))
 
 
 @register("recently_live")

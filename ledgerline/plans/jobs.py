@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import ReportParams
-from ..sources.snapshots import SNAPSHOT_COL, read_snapshot, write_snapshot
+from ..sources.snapshots import SNAPSHOT_COL, read_snapshot, snapshot_dates, write_snapshot
 from ..sources.tables import Tables
 from . import reports as R
 
@@ -32,18 +32,25 @@ def weekly_upsell_snapshot_job(t: Tables, p: ReportParams, path: str | None = No
 
 
 def snapshot_rotation(t: Tables, p: ReportParams, path: str | None = None) -> DataFrame:
-    """O-27: keep last week beside this week; return last week's snapshot.
+    """O-27: write this week's snapshot; return last week's as it was stored then.
 
-    Writes the snapshot of ``as_of - 7`` and of ``as_of`` into one table and
-    reads the previous one back by date.
+    Only the partition of ``as_of`` is written; without a stored snapshot of
+    the week before, the result is empty.
     """
     path = path or t.output_path("rotation_weekly_processing")
-    last = p.shifted(-7)
-    write_snapshot(R.weekly_processing_snapshot(t, last), path, last.as_of)
     write_snapshot(R.weekly_processing_snapshot(t, p), path, p.as_of)
     return read_snapshot(t.spark, path, p.as_of, weeks_back=1)
 
 
+def two_weekly_runs(t: Tables, p: ReportParams) -> DataFrame:
+    """O-27 as it goes in two weeks: the run of ``as_of - 7``, unless it is stored, and then that of ``as_of``."""
+    path = t.output_path("rotation_weekly_processing")
+    last = p.shifted(-7)
+    if not snapshot_dates(t.spark, path):
+        snapshot_rotation(t, last, path)
+    return snapshot_rotation(t, p, path)
+
+
 def upsell_table_rotation(t: Tables, p: ReportParams, path: str | None = None,
                           upload_path: str | None = None) -> DataFrame:
     """J-11: read this week's upsell upload (CSV, declared schema) and store it as this week's snapshot.
@@ -81,11 +88,15 @@ def deal_level_export(t: Tables, p: ReportParams, path: str | None = None) -> Da
 
 
 def role_history(t: Tables, p: ReportParams, path: str | None = None) -> DataFrame:
-    """Dated role-table snapshots: the uploaded table a week before the report date, the maintained one on it."""
+    """Dated role-table snapshots up to the report date, this run's maintained table among them.
+
+    A table without any snapshot first gets the uploaded roles as those of the week before.
+    """
     path = path or t.output_path("role_history")
-    write_snapshot(t.team_role.select("sales_owner", "role", "team"), path, p.shifted(-7).as_of)
+    if not snapshot_dates(t.spark, path):
+        write_snapshot(t.team_role.select("sales_owner", "role", "team"), path, p.shifted(-7).as_of)
     write_snapshot(R.team_role_fix(t), path, p.as_of)
-    return t.spark.read.parquet(path).filter(F.col(SNAPSHOT_COL).isin(p.shifted(-7).as_of, p.as_of))
+    return t.spark.read.parquet(path).filter(F.col(SNAPSHOT_COL) <= F.lit(p.as_of))
 
 
 def deal_roles_as_of_close(t: Tables, p: ReportParams) -> DataFrame:

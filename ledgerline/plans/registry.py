@@ -53,7 +53,7 @@ from . import jobs as J  # noqa: E402
 
 register("weekly_processing_snapshot")(J.weekly_processing_snapshot_job)
 register("weekly_upsell_snapshot")(J.weekly_upsell_snapshot_job)
-register("snapshot_rotation")(J.snapshot_rotation)
+register("snapshot_rotation")(J.two_weekly_runs)
 register("upsell_table_rotation")(J.upsell_table_rotation)
 register("team_role_maintenance")(J.team_role_maintenance)
 register("deal_level_export")(J.deal_level_export)

@@ -35,7 +35,7 @@ from ..operators.attribution import (
     processing_volume,
 )
 from ..operators.curves import backlog_summary, expand_backlog, expand_pipeline
-from ..operators.dims import merchant_bound, merchant_level, small_dimension
+from ..operators.dims import check_unique, merchant_level, small_dimension
 from ..operators.enrich import (
     countries_by,
     eligible_pipeline,
@@ -46,7 +46,7 @@ from ..operators.enrich import (
 from ..operators.fanout import amount_once_in_group
 from ..operators.rollups import first_contact, opportunity_totals, special_dates
 from ..params import ReportParams
-from ..sources.tables import Tables, capture_range, stage_table
+from ..sources.tables import Tables, in_months, stage_table
 
 SEGMENT_COLUMNS = (
     "data_type", "year", "quarter", "finance_week", "qtd", "this_week", "region", "country", "sales_channel",
@@ -79,7 +79,7 @@ def report_segments(t: Tables, sub_variant: str, vertical_variant: str, with_fir
 
     Several reports join the same merchant-level dimension; it is built
     (merchants x countries x teams x first contact, classifiers applied) once
-    and then read, and broadcast only within the merchant bound.
+    and then read.
     """
     name = f"segments_{sub_variant}{vertical_variant}_{int(with_first_contact)}_{'-'.join(exclude_roles) or 'all'}"
     seg = t.derived(name, lambda x: segment_dimension(
@@ -94,19 +94,17 @@ def daily_payments(t: Tables) -> DataFrame:
     """NPV cents per (merchant, capture day) over all captures, stored once per dataset.
 
     Every payments-based report starts from these sums (filtered to its own
-    date range), so the payments are scanned and aggregated once per dataset
-    instead of once per report.  The streaming job in ``streaming.daily_sums``
-    maintains the same table incrementally.
+    date range, whose months alone are read); a new run computes only the
+    months whose payments changed.
     """
-    # each file sorted by capture date: row-group statistics let date filters skip row groups
-    return t.derived_bucketed("daily_payments", lambda x: daily_sums(
-        x.payments, [("npv_usd_fixed", "npv_cents")], by_merchant=False), "sales_merchant_id", sort_by="capture_date")
+    return t.derived_by_month("daily_payments", lambda x, months: daily_sums(
+        in_months(x.payments, months), [("npv_usd_fixed", "npv_cents")], by_merchant=False))
 
 
 def daily_margin(t: Tables) -> DataFrame:
     """The six margin measures (cents) per (merchant, capture day), stored once per dataset."""
-    return t.derived_bucketed("daily_margin", lambda x: daily_sums(
-        x.margin, [(c, c) for c, _ in MARGIN_MEASURES], by_merchant=False), "sales_merchant_id", sort_by="capture_date")
+    return t.derived_by_month("daily_margin", lambda x, months: daily_sums(
+        in_months(x.margin, months), [(c, c) for c, _ in MARGIN_MEASURES], by_merchant=False))
 
 
 def prepare_shared(t: Tables) -> None:
@@ -118,7 +116,7 @@ def prepare_shared(t: Tables) -> None:
     builders = (
         daily_payments, daily_margin, crm_special_dates, crm_first_contact, crm_opportunity_totals,
         # dimension checks (memoised) the reports run before broadcasting
-        lambda x: merchant_bound(x.merchants),
+        lambda x: check_unique(x.merchants.select("merchant_id"), "merchant_id", "merchants"),
         lambda x: countries_by(x.country_codes, "code"),
         lambda x: countries_by(x.country_codes, "name"),
         lambda x: teams(x.team_role),
@@ -133,20 +131,9 @@ def prepare_shared(t: Tables) -> None:
         list(pool.map(lambda build: build(t), builders))
 
 
-def _daily_range(t: Tables, name: str, table: DataFrame, start=None, end=None) -> DataFrame:
-    """Rows of a stored daily table within [start, end), partitioned by merchant.
-
-    A table stored bucketed by merchant is already partitioned that way when
-    scanned, so no exchange is added; otherwise the rows are re-partitioned.
-    """
-    if t.bucketed_by(name) == "sales_merchant_id":
-        return capture_range(table, start, end)
-    return daily_range(table, start, end)
-
-
 def payments_daily(t: Tables, start=None, end=None) -> DataFrame:
     """Daily NPV sums within [start, end), partitioned by merchant."""
-    return _daily_range(t, "daily_payments", daily_payments(t), start, end)
+    return daily_range(daily_payments(t), start, end)
 
 
 # --------------------------------------------------------------------------- processing / backlog (J-3..J-5, J-9)
@@ -328,20 +315,20 @@ def backlog_daily(t: Tables, p: ReportParams, ids: DataFrame | None = None) -> D
 PIPE_KEYS = (
     "opportunity", "opportunity_name", "opportunity_created_date", "opportunity_close_date", "opportunity_owner",
     "opportunity_type", "opportunity_expected_go_live_date", "opportunity_status", "opportunity_industry",
-    "opportunity_merchant_country", "live_or_not", "unified_funnel__activation_date_date",
+    "opportunity_merchant_country", "live_or_not", "activation_date",
 )
 
 
 def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_variant: str | None = None) -> DataFrame:
     """Eligible deals with their expected first-year amount (one row per deal and attribute set).
 
-    ``mes_opportunity_amount`` = amount counted once per deal x mean probability / 100
+    ``expected_amount`` = amount counted once per deal x mean probability / 100
     (exact decimal); NULL probability leaves it NULL.
     """
     e = eligible_pipeline(t.opportunities, t.merchants, p).select(
         "*",
         opportunity_status("opportunity_stage").alias("opportunity_status"),
-        live_or_not("unified_funnel__activation_date_date", p.cutoff).alias("live_or_not"),
+        live_or_not("activation_date", p.cutoff).alias("live_or_not"),
     )
     # Each deal row later becomes 365 daily rows.  Partition the deals by id
     # to the session's shuffle parallelism explicitly: AQE would size these
@@ -356,7 +343,7 @@ def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_
     mes = (amount_once_in_group("opportunity_amount").cast("decimal(18,2)")
            * F.avg(F.col("opportunity_probability").cast("decimal(5,0)")) / F.lit(100).cast("decimal(3,0)"))
     return e.groupBy(*keys).agg(
-        mes.cast(MONEY).alias("mes_opportunity_amount"),
+        mes.cast(MONEY).alias("expected_amount"),
         F.coalesce(F.sum(days_since_close("opportunity_close_date", p.as_of)), F.lit(0)).alias("days_since_close_date"),
     )
 
@@ -406,7 +393,7 @@ def pipeline_report(t: Tables, p: ReportParams) -> DataFrame:
 DEPRECATED_PIPE_KEYS = (
     "opportunity", "opportunity_name", "opportunity_close_date", "opportunity_owner",
     "opportunity_expected_go_live_date", "opportunity_status", "vertical", "opportunity_merchant_country",
-    "live_or_not", "unified_funnel__activation_date_date",
+    "live_or_not", "activation_date",
 )
 
 
@@ -477,7 +464,7 @@ def margin_daily(t: Tables, p: ReportParams, start=None) -> DataFrame:
     Sold merchants, captures in [start or history_start, as_of); a measure
     counts only while the capture is 0..365 days after activation.
     """
-    daily = _daily_range(t, "daily_margin", daily_margin(t), start or p.history_start, p.as_of)
+    daily = daily_range(daily_margin(t), start or p.history_start, p.as_of)
     attr = merchant_attribution(t.merchants, None, None).select("sales_merchant_id", "orig_activation")
     j = daily.join(attr, "sales_merchant_id")
     fy = P.in_first_year("orig_activation", "capture_date")
@@ -538,12 +525,12 @@ SNAPSHOT_COLUMNS = (
 
 
 def weekly_snapshot(t: Tables, p: ReportParams, upsell: bool = False) -> DataFrame:
-    """J-7 / J-8 body: weekly revenue per merchant and segment (captures from history_start on).
+    """J-7 / J-8 body: weekly revenue per merchant and segment (captures in [history_start, as_of)).
 
     With ``upsell`` only merchants with an included upsell count; the
     activation date is the upsell date and the revenue is the upsell share.
     """
-    daily = payments_daily(t, p.history_start, None)
+    daily = payments_daily(t, p.history_start, p.as_of)
     m = t.merchants.filter(F.col("sales__is_sold") == F.lit(True)).select(
         F.col("merchant_id").alias("sales_merchant_id"), F.col("activation_date"))
     amount = cents_to_dollars(F.col("npv_cents"))

@@ -81,6 +81,10 @@ def main(argv=None) -> None:
         ap.add_argument("--" + name.replace("_", "-"), type=_date, default=getattr(defaults, name))
     ap.add_argument("--exclude-roles", default="", help="comma-separated team roles to leave out")
     a = ap.parse_args(argv)
+    if not a.source:
+        missing = [f"--{n}" for n in ("margin", "merchants", "opportunities", "uploads") if not getattr(a, n)]
+        if missing:
+            ap.error("without --source, these are needed: " + ", ".join(missing))
     p = ReportParams(as_of=a.as_of, history_start=a.history_start, report_start=a.report_start,
                      horizon_end=a.horizon_end, fy_start=a.fy_start, fy_end=a.fy_end,
                      pipeline_cutoff=a.pipeline_cutoff,

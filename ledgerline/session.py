@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import threading
 
@@ -49,8 +50,9 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    directory).  Only when neither is set, as in local tests, a fresh
-    temporary folder is created and registered as the checkpoint directory.
+    directory).  Where neither is set, a local master gets a fresh temporary
+    folder; on a cluster, whose executors would each write to their own disk,
+    it fails and names the setting.
     """
     try:
         sc = spark.sparkContext
@@ -62,6 +64,9 @@ def scratch_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        master = sc.master if sc is not None else ""
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: master {master!r} needs a folder that all executors share")
         with _LOCK:
             path = _TMP.setdefault(app_id(spark), tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
     if sc is None:

@@ -1,9 +1,8 @@
 """Dated snapshot tables (replaces drop / rename of "this week" and "last week").
 
 A snapshot table is a Parquet folder partitioned by ``snapshot_date``.
-Writing uses dynamic partition overwrite, so re-running a week replaces only
-that week's folder and older weeks stay readable; nothing is dropped or
-renamed, and a failed run leaves the previous snapshots intact.
+Writing replaces one date's folder, also when the new rows are none, and never
+that of an earlier date than the latest: what was reported stays as it was.
 """
 
 from __future__ import annotations
@@ -16,13 +15,26 @@ from pyspark.sql import functions as F
 SNAPSHOT_COL = "snapshot_date"
 
 
+class SnapshotOrderError(ValueError):
+    pass
+
+
+def snapshot_dates(spark: SparkSession, path: str, col: str = SNAPSHOT_COL) -> list[dt.date]:
+    """Dates stored in a snapshot table, oldest first (folder names only; empty snapshots count)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    return sorted(dt.date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{col}="))
+
+
 def write_snapshot(df: DataFrame, path: str, as_of: dt.date, col: str = SNAPSHOT_COL) -> None:
-    """Write ``df`` as the ``as_of`` partition (other dates untouched)."""
-    (df.withColumn(col, F.lit(as_of))
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(col)
-       .parquet(path))
+    """Write ``df`` as the ``as_of`` snapshot; other dates are untouched, and an earlier date than the latest is refused."""
+    stored = snapshot_dates(df.sparkSession, path, col)
+    if stored and as_of < stored[-1]:
+        raise SnapshotOrderError(f"{path} holds a snapshot of {stored[-1]}; that of {as_of} is not rewritten")
+    df.write.mode("overwrite").parquet(f"{path}/{col}={as_of.isoformat()}")
 
 
 def read_snapshot(spark: SparkSession, path: str, as_of: dt.date, weeks_back: int = 0,

@@ -16,6 +16,7 @@ import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,12 +44,11 @@ class Tables:
     materialized: bool = False
     _derived: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
     _building: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
-    _bucketed: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
     _values: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in dataclasses.fields(self)
-                if f.name not in ("source_dir", "materialized", "_derived", "_building", "_bucketed", "_values")}
+                if f.name not in ("source_dir", "materialized", "_derived", "_building", "_values")}
 
     @property
     def spark(self) -> SparkSession:
@@ -58,7 +58,7 @@ class Tables:
         """A table of the source folder (the driver's parquet files)."""
         return fixtures.read_raw(self.spark, self.source_dir, name)
 
-    def derived(self, name: str, build, sort_by: str | None = None) -> DataFrame:
+    def derived(self, name: str, build, write: bool = True) -> DataFrame:
         """A table derived from these inputs by ``build(self)``, written once and then read.
 
         Used for tables several reports share: the CRM rollups (special dates,
@@ -74,49 +74,24 @@ class Tables:
                 if name in self._derived:
                     return self._derived[name]
             df = build(self)
-            if self.source_dir and self.materialized:
+            if write and self.source_dir and self.materialized:
                 path = self.output_path("derived", name)
-                (df.sortWithinPartitions(sort_by) if sort_by else df).write.mode("overwrite").parquet(path)
+                df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path)
             with _LOCK:
                 self._derived[name] = df
             return df
 
-    def derived_bucketed(self, name: str, build, key: str, sort_by: str | None = None) -> DataFrame:
-        """Like ``derived``, but stored as a table bucketed (hash-partitioned) by ``key``.
+    def derived_by_month(self, name: str, build) -> DataFrame:
+        """Like ``derived``, for a table of daily rows: stored in one folder per capture month.
 
-        Reading it back gives a scan that is already partitioned by ``key``
-        into ``spark.sql.shuffle.partitions`` buckets, so aggregates and joins
-        keyed by ``key`` need no exchange.  The table is registered in the
-        session catalog (the bucketing lives there) with its files under the
-        shared scratch folder.
+        ``build(facts filter)`` gets the months to compute.  A month whose input
+        files are those of the last run is kept as it is; only the others are
+        computed and rewritten.
         """
         if not (self.source_dir and self.materialized):
-            return self.derived(name, build, sort_by)
-        with _LOCK:
-            if name in self._derived:
-                return self._derived[name]
-            lock = self._building.setdefault(name, threading.Lock())
-        with lock:
-            with _LOCK:
-                if name in self._derived:
-                    return self._derived[name]
-            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            path = self.output_path("derived", name)
-            table = f"ll_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
-            writer = build(self).repartition(parts, key).write.mode("overwrite").bucketBy(parts, key)
-            if sort_by:
-                writer = writer.sortBy(sort_by)
-            try:
-                writer.option("path", path).saveAsTable(table)
-                df = self.spark.table(table)
-            except Exception:  # no writable session catalog: plain table, callers re-partition
-                df = None
-            with _LOCK:
-                if df is not None:
-                    self._derived[name] = df
-                    self._bucketed[name] = key
-        return df if df is not None else self.derived(name, build, sort_by)
+            return self.derived(name, lambda x: build(x, None))
+        return self.derived(f"{name}/by-month", lambda x: refresh_months(x, name, build), write=False)
 
     def memo(self, key, compute):
         """A small value computed once per inputs and key (e.g. a scan bound); ``compute()`` runs on a miss."""
@@ -127,20 +102,6 @@ class Tables:
         with _LOCK:
             return self._values.setdefault(key, value)
 
-    def bucketed_by(self, name: str) -> str | None:
-        """Bucket column of a derived table, if it was stored bucketed."""
-        return self._bucketed.get(name)
-
-    def use_daily_payments(self, daily: DataFrame) -> None:
-        """Let the reports read an externally maintained (merchant, day) NPV table.
-
-        ``daily`` needs ``sales_merchant_id``, ``capture_date`` and
-        ``npv_cents`` - for example the sink of ``streaming.daily_sums``.
-        """
-        with _LOCK:
-            self._derived["daily_payments"] = daily.select("sales_merchant_id", "capture_date", "npv_cents")
-            self._bucketed.pop("daily_payments", None)
-
     def output_path(self, *parts: str) -> str:
         """Per-dataset folder under the shared scratch folder for written outputs."""
         tag = hashlib.sha1(self.source_dir.rstrip("/").encode()).hexdigest()[:16]
@@ -165,6 +126,46 @@ def capture_range(df: DataFrame, start=None, end=None, start_inclusive: bool = T
     return df.filter(cond)
 
 
+def with_month(facts: DataFrame) -> DataFrame:
+    """``facts`` with their capture month, if they are not stored by it."""
+    return facts if MONTH_COL in facts.columns else facts.withColumn(MONTH_COL, F.trunc("capture_date", "month"))
+
+
+def in_months(facts: DataFrame, months) -> DataFrame:
+    """Rows of the given capture months; all rows for None."""
+    return facts if months is None else with_month(facts).where(F.col(MONTH_COL).isin(*months))
+
+
+def month_inputs(facts: DataFrame) -> DataFrame:
+    """A fingerprint of the input files of each capture month (names, sizes and times; no column is read)."""
+    files = with_month(facts).select(MONTH_COL, "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return files.groupBy(MONTH_COL).agg(F.sum(F.xxhash64("file_path", "file_size", "file_modification_time").cast("decimal(38,0)"))
+                                        .cast("string").alias("inputs"))
+
+
+def refresh_months(t: Tables, name: str, build, facts: str | None = None) -> DataFrame:
+    """Bring a stored daily table up to date and return it: rewrites the months whose input files changed.
+
+    The months' fingerprints are stored beside the table after it is written,
+    so a run that fails half way is repeated.  A month that has left the input
+    makes the whole table be written anew.
+    """
+    spark, path = t.spark, t.output_path("daily", name)
+    now = {r[MONTH_COL]: r["inputs"] for r in month_inputs(getattr(t, facts or name.split("_", 1)[1])).collect()}
+    try:
+        before = {r[MONTH_COL]: r["inputs"] for r in spark.read.schema(f"{MONTH_COL} date, inputs string").parquet(f"{path}-months").collect()}
+    except AnalysisException:  # no such path: the first run
+        before = {}
+    whole = not before or bool(before.keys() - now.keys())
+    changed = sorted(now) if whole else sorted(m for m in now if now[m] != before.get(m))
+    if changed or whole:
+        daily = build(t, None if whole else changed).withColumn(MONTH_COL, F.trunc("capture_date", "month"))
+        (daily.repartitionByRange("capture_date", "sales_merchant_id").sortWithinPartitions("capture_date").write.mode("overwrite")
+         .option("partitionOverwriteMode", "static" if whole else "dynamic").partitionBy(MONTH_COL).parquet(path))
+        spark.createDataFrame(sorted(now.items()), f"{MONTH_COL} date, inputs string").coalesce(1).write.mode("overwrite").parquet(f"{path}-months")
+    return spark.read.parquet(path)
+
+
 def stage_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """Lazy staged tables straight from the raw parquet files."""
     nsup = fixtures.supplier_count(spark, sf_dir)

@@ -8,11 +8,13 @@ column type fails the read instead of silently turning into strings.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StructField, StructType
 
 SCHEMAS = {
     "country_codes": "nation_key int, country_code string, sfdc_country_name string, sales_region string",
     "team_role": "sales_owner string, role string, team string",
-    "upsells": "sales_merchant_id bigint, effective_activation_date date, pct_share_of_npv decimal(3,2), include int",
+    "upsells": "sales_merchant_id bigint, effective_activation_date date, pct_share_of_npv decimal(5,4), include int",
     "backlog_curve": "days_since_activation int, first_year_sold_pct double, first_year_sold_cumulative_pct double",
     "pipeline_curve": "day_count int, first_year_sold_pct double",
 }
@@ -22,8 +24,20 @@ CSV_READ = {"header": True, "nullValue": "\\N", "emptyValue": "", "mode": "FAILF
 
 
 def read_upload(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Read an uploaded list with its declared schema; malformed rows fail the read."""
-    return spark.read.schema(SCHEMAS[name]).options(**CSV_READ).csv(path)
+    """Read an uploaded list with its declared schema.
+
+    Malformed rows fail the read, and so do decimals with more digits than
+    their column holds: nothing is rounded silently.
+    """
+    declared = spark.createDataFrame([], SCHEMAS[name]).schema
+    exact = {f.name: f.dataType for f in declared if isinstance(f.dataType, DecimalType)}
+    wide = StructType([StructField(f.name, DecimalType(38, 18) if f.name in exact else f.dataType) for f in declared])
+    rows = spark.read.schema(wide).options(**CSV_READ).csv(path)
+    for c, kind in exact.items():
+        kept = F.col(c).try_cast(kind)
+        wrong = F.raise_error(F.concat(F.lit(f"{name}.{c}: {kind.simpleString()} does not hold "), F.col(c).cast("string")))
+        rows = rows.withColumn(c, F.when(F.col(c).isNull() | kept.eqNullSafe(F.col(c)), kept).otherwise(wrong.cast(kind)))
+    return rows
 
 
 def write_upload(df: DataFrame, path: str, name: str) -> None:

@@ -13,7 +13,7 @@ from ledgerline.operators.rollups import special_dates
 D = dt.date
 MERCHANTS = ("merchant_id long, sales__is_sold boolean, activation_date date, sales__name string, "
              "sales__industry string, sales__merchant_country string, sales__owner string, sfdc_opportunity string")
-UPSELLS = "sales_merchant_id long, effective_activation_date date, pct_share_of_npv decimal(3,2), include int"
+UPSELLS = "sales_merchant_id long, effective_activation_date date, pct_share_of_npv decimal(5,4), include int"
 PAYMENTS = "capture_date date, sales_merchant_id long, npv_usd_fixed long"
 
 
@@ -131,8 +131,51 @@ def test_small_dimension_checks_key_and_bound(spark):
     team = spark.createDataFrame([("a", "AE"), ("a", "NBA"), ("b", "AM")], "sales_owner string, role string")
     with pytest.raises(DuplicateKeyError):
         small_dimension(team, "sales_owner", 10, "team")
+    for bound in (1, 3, 1_000_000):  # the key is checked whatever the bound
+        with pytest.raises(DuplicateKeyError):
+            small_dimension(team.selectExpr("*", f"{bound} as b"), "sales_owner", bound, "team")
+    nulls = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
+    assert small_dimension(nulls, "k", 1) is nulls  # NULL keys never join
     big = spark.range(50)
     assert small_dimension(big, "id", 10) is big  # over the bound: returned unhinted
+    assert "ResolvedHint (strategy=broadcast)" in small_dimension(big, "id", 50)._jdf.queryExecution().analyzed().toString()
+
+
+def test_wide_dimension_is_not_broadcast(spark, monkeypatch):
+    from ledgerline.operators import dims
+
+    monkeypatch.setattr(dims, "BROADCAST_MAX_BYTES", 10_000)
+    wide = spark.range(20).selectExpr("id", "repeat('x', 1000) as s")
+    assert dims.small_dimension(wide, "id", 100) is wide
+
+
+def test_sum_once_refuses_two_amounts(spark):
+    df = spark.createDataFrame([("g", "a", Decimal("1.00")), ("g", "a", Decimal("5.00"))], "g string, opp string, amount decimal(18,2)")
+    with pytest.raises(Exception, match="one key carries two amounts of amount: 1.00 5.00"):
+        sum_once(df, ["g"], "opp", "amount").collect()
+
+
+def test_upload_share_keeps_four_decimals_and_refuses_more(spark, tmp_path):
+    from ledgerline.sources.uploads import read_upload
+
+    head = "sales_merchant_id,effective_activation_date,pct_share_of_npv,include\n"
+    (tmp_path / "good.csv").write_text(head + "1,2017-05-01,0.125,1\n2,2017-05-01,0.3333,1\n3,2017-05-01,\\N,1\n")
+    got = {r.sales_merchant_id: r.pct_share_of_npv for r in read_upload(spark, str(tmp_path / "good.csv"), "upsells").collect()}
+    assert got == {1: Decimal("0.1250"), 2: Decimal("0.3333"), 3: None}
+    (tmp_path / "bad.csv").write_text(head + "1,2017-05-01,0.33333,1\n")
+    with pytest.raises(Exception, match="does not hold 0.33333"):
+        read_upload(spark, str(tmp_path / "bad.csv"), "upsells").collect()
+
+
+def test_scratch_folder_is_temporary_only_on_a_local_master():
+    from types import SimpleNamespace
+
+    from ledgerline.session import scratch_dir
+
+    none = SimpleNamespace(get=lambda *a: None)
+    context = SimpleNamespace(master="spark://host:7077", applicationId="x", getCheckpointDir=lambda: None, getConf=lambda: none)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(SimpleNamespace(sparkContext=context, conf=none))
 
 
 def test_role_as_of_latest_snapshot(spark):

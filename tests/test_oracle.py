@@ -2,12 +2,12 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from ledgerline.plans.registry import queries
+from oracle.catalog_sql import SQL
 from oracle.compare import compare
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(entry.queries())
-SQL = entry.oracle_sql()
+KEYS = sorted(queries())
 
 
 def test_every_query_has_an_oracle():
@@ -16,7 +16,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    df = entry.queries()[key](spark, SF)
+    df = queries()[key](spark, SF)
     r = compare(spark, duck, df, SQL[key])
     assert r["names_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
@@ -91,17 +91,15 @@ def test_reports_without_broadcasts_match_oracle(spark, duck, key, monkeypatch):
     import contextlib
     import io
 
-    from ledgerline.operators import attribution, curves, dims, enrich
+    from ledgerline.operators import dims
 
-    for mod, name in ((dims, "MERCHANT_DIM_MAX_ROWS"), (enrich, "COUNTRY_MAX_ROWS"), (enrich, "TEAM_MAX_ROWS"),
-                      (curves, "CURVE_MAX_ROWS"), (attribution, "UPSELL_MAX_ROWS")):
-        monkeypatch.setattr(mod, name, 3)
+    monkeypatch.setattr(dims, "BROADCAST_MAX_BYTES", 3)
     old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
                                                 "spark.sql.adaptive.autoBroadcastJoinThreshold")}
     try:
         for k in old:
             spark.conf.set(k, "-1")
-        df = entry.queries()[key](spark, SF)
+        df = queries()[key](spark, SF)
         r = compare(spark, duck, df, SQL[key])
         assert r["ok"], {k: r.get(k) for k in ("spark_rows", "oracle_rows", "only_spark", "only_oracle")}
         if key in ("processing_and_backlog_report", "pipeline_forecast_report", "margin_first_year_report"):
@@ -129,21 +127,17 @@ def test_reports_over_lazy_tables_match_oracle(spark, duck, key):
     assert r["ok"], {k: r.get(k) for k in ("spark_rows", "oracle_rows", "only_spark", "only_oracle")}
 
 
-def test_reports_without_a_writable_catalog_match_oracle(spark, duck, tables, monkeypatch):
-    """If the daily table cannot be registered bucketed, the plain table and a re-partition give the same result."""
-    import dataclasses
+def test_a_wrong_rule_makes_the_comparison_fail(spark, duck, monkeypatch):
+    """The oracle has its own rule lists: a changed rule of the code under test shows."""
+    from ledgerline.functions import segments
 
-    from pyspark.sql.readwriter import DataFrameWriter
+    changed = (((("role", "NBA"),), "changed"), *segments.SUB_REGION_RULES["A"][1:])
+    monkeypatch.setitem(segments.SUB_REGION_RULES, "A", changed)
+    assert not compare(spark, duck, queries()["sub_region"](spark, SF), SQL["sub_region"])["ok"]
 
-    from ledgerline.params import DEFAULT_PARAMS as P
-    from ledgerline.plans.reports import processing_and_backlog_report
-
-    def refuse(self, *args, **kwargs):
-        raise RuntimeError("catalog not writable")
 
-    monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
-    t = dataclasses.replace(tables, _derived={}, _building={}, _bucketed={}, _values={},
-                            source_dir=tables.source_dir + "#nocatalog")
-    r = compare(spark, duck, processing_and_backlog_report(t, P), SQL["processing_and_backlog_report"])
-    assert r["ok"], {k: r.get(k) for k in ("spark_rows", "oracle_rows")}
-    assert t.bucketed_by("daily_payments") is None
+def test_flags_take_both_values(spark):
+    for key, flag in (("in_quarter_opportunity", "in_quarter_opportunity"), ("processing_report", "in_quarter_opportunity"),
+                      ("processing_report", "newNPV"), ("backlog_report", "ninety_day_live"), ("pipeline_forecast_report", "newNPV")):
+        df = queries()[key](spark, SF)
+        assert {r[0] for r in df.select(flag).distinct().collect()} == {0, 1}, (key, flag)

@@ -6,7 +6,7 @@ import uuid
 import pytest
 
 from ledgerline.session import scratch_path
-from ledgerline.sources.snapshots import read_snapshot, write_snapshot
+from ledgerline.sources.snapshots import SnapshotOrderError, read_snapshot, snapshot_dates, write_snapshot
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,6 +21,62 @@ def test_snapshots_keep_older_weeks(spark):
     this = {r.k for r in read_snapshot(spark, path, d2).collect()}
     last = {r.k for r in read_snapshot(spark, path, d2, weeks_back=1).collect()}
     assert this == {2, 3} and last == {1, 2}
+    # a rerun without rows leaves none of the former ones, and an older week is never rewritten
+    write_snapshot(spark.createDataFrame([], "k long, v string"), path, d2)
+    assert read_snapshot(spark, path, d2).count() == 0 and snapshot_dates(spark, path) == [d1, d2]
+    with pytest.raises(SnapshotOrderError):
+        write_snapshot(spark.range(1).selectExpr("id as k", "'x' as v"), path, d1)
+    assert {r.k for r in read_snapshot(spark, path, d1).collect()} == {1, 2}
+
+
+def _files(folder) -> dict:
+    import hashlib
+    import pathlib
+
+    return {p.name: hashlib.sha1(p.read_bytes()).hexdigest() for p in pathlib.Path(folder.removeprefix("file:")).glob("part-*")}
+
+
+def test_rotation_returns_last_week_as_it_was_reported(spark, tables):
+    from ledgerline.params import DEFAULT_PARAMS as P
+    from ledgerline.plans import jobs
+
+    path = scratch_path(spark, "test-rotation", uuid.uuid4().hex)
+    last = P.shifted(-7)
+    assert jobs.snapshot_rotation(tables, last, path).count() == 0
+    folder = f"{path}/snapshot_date={last.as_of}"
+    before = _files(folder)
+    got = jobs.snapshot_rotation(tables, P, path)
+    assert _files(folder) == before and before
+    this = read_snapshot(spark, path, P.as_of).drop("snapshot_date", "qtd")
+    reported = got.drop("snapshot_date", "qtd")
+    assert got.count() > 0 and this.exceptAll(reported).count() > 0  # a week of captures between them
+
+
+def test_daily_table_rewrites_changed_months_only(spark, tables):
+    import dataclasses
+
+    from ledgerline.plans import reports as R
+    from ledgerline.sources.tables import MONTH_COL
+
+    facts = scratch_path(spark, "test-months", uuid.uuid4().hex)
+    tables.payments.where(f"{MONTH_COL} < '1999-03-01'").write.partitionBy(MONTH_COL).parquet(facts)
+
+    def daily():
+        t = dataclasses.replace(tables, payments=spark.read.parquet(facts), _derived={}, _building={}, _values={}, source_dir=facts)
+        return t, R.daily_payments(t)
+
+    t, first = daily()
+    n = first.count()
+    folder = t.output_path("daily", "daily_payments")
+    months = sorted(r[0] for r in first.select(MONTH_COL).distinct().collect())
+    before = {m: _files(f"{folder}/{MONTH_COL}={m}") for m in months}
+    tables.payments.where(f"{MONTH_COL} = '1999-03-01'").write.mode("append").partitionBy(MONTH_COL).parquet(facts)
+    _, second = daily()
+    assert second.count() > n and {m: _files(f"{folder}/{MONTH_COL}={m}") for m in months} == before
+    new = tables.payments.where(f"{MONTH_COL} <= '1999-03-01'")
+    want = new.groupBy("sales_merchant_id", "capture_date").sum("npv_usd_fixed")
+    assert second.select("sales_merchant_id", "capture_date", "npv_cents").exceptAll(want).count() == 0
+    assert want.count() == second.count()
 
 
 def _plan(df) -> str:
@@ -32,9 +88,9 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def registered(spark):
-    import __spark_entry__ as e
+    from ledgerline.plans.registry import queries
 
-    return e.queries()
+    return queries()
 
 
 def test_no_python_udf_nested_loop_or_cartesian(spark, registered):
@@ -51,7 +107,8 @@ def test_no_python_udf_nested_loop_or_cartesian(spark, registered):
 def test_reports_read_the_daily_table_with_pushed_filters(spark, registered):
     plan = _plan(registered["processing_report"](spark, SF))
     # the processing report reads the shared daily sums from the report start (1999-01-01) on
-    assert "derived/daily_payments" in plan
+    assert "daily/daily_payments" in plan
+    assert "PartitionFilters: [isnotnull(capture_month" in plan and ">= 1999-01-01)" in plan
     assert "GreaterThanOrEqual(capture_date,1999-01-01)" in plan
     assert "ReadSchema: struct<sales_merchant_id:bigint,capture_date:date,npv_cents:bigint>" in plan
 
@@ -181,3 +238,11 @@ def test_weekly_run_command_line(spark, capsys):
     assert set(printed) >= {"processing_and_backlog", "pipeline_forecast", "deal_signed", "deal_level_export"}
     deals = read_snapshot(spark, printed["deal_signed"], dt.date(2000, 1, 2))
     assert deals.count() > 0 and deals.filter("sales_role = 'AM'").count() == 0
+
+
+def test_weekly_run_says_what_is_missing(capsys):
+    from ledgerline.plans.weekly_run import main
+
+    with pytest.raises(SystemExit):
+        main(["--out", "x", "--as-of", "2000-01-02", "--merchants", "m"])
+    assert "--margin, --opportunities, --uploads" in capsys.readouterr().err
