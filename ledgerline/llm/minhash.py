@@ -14,13 +14,15 @@ are dropped, all others are confirmed on their full sets.
 
 Documents with equal sets form one class and are compared once.  In a bucket,
 members are first compared with one pivot.  Classes in one component after
-that need no further comparison; all other pairs of a bucket are compared by
-signature, in blocks of bounded size.  Of those near enough, only pairs are
+that need no further comparison; pairs of different components are compared
+by signature, in blocks of bounded size.  Of those near enough, only pairs are
 written out and confirmed whose sets can be similar enough by the sum of the
 smaller counts of two histograms of their hashes, which no intersection
-exceeds.  So a large group of copies costs its size and not its square, no
-link between components is lost, and pairs that only share a common passage,
-or are copies with too many changes, are never written out.
+exceeds.  Rounds write only as many pairs of a block as may join its
+components; when a round joins nothing more, a last one writes all that are
+left.  So a large group of copies costs its size and not its square, no link
+between components is lost, and pairs that only share a common passage, or
+are copies with too many changes, are never written out.
 """
 
 from __future__ import annotations
@@ -138,11 +140,12 @@ def _full_sets(width: int):
     return run
 
 
-def _near_in_blocks(percent: int, radius: int):
+def _near_in_blocks(percent: int, radius: int, every: bool):
     """Pairs of one bucket's block pair in different components, within the radius, whose sets can be similar enough.
 
-    Rows come sorted by ``key``, ``i``, ``j``; one group is held at a time, and
-    it has at most the members of two blocks.
+    ``every`` gives all of them, else only pairs that would join components not
+    yet joined by the pairs before.  Rows come sorted by ``key``, ``i``, ``j``;
+    one group is held at a time, and it has at most the members of two blocks.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -171,12 +174,16 @@ def _near_in_blocks(percent: int, radius: int):
         for _, i, j, block, node, root, n, sig, bins in groups(batches):
             left = np.flatnonzero(block == i[0])
             right = np.flatnonzero(block == j[0])
+            root = root.copy()
             for x in left.tolist():
                 other = right[(root[right] != root[x]) & ((node[right] > node[x]) | (i[0] != j[0]))]
                 if len(other):
                     near = other[np.count_nonzero(sig[other] != sig[x], axis=1) <= radius]
                     most = may_share(bins[x], bins[near])
                     near = near[100 * most >= percent * (n[x] + n[near] - most)]
+                    if len(near) and not every:
+                        near = near[np.unique(root[near], return_index=True)[1]]
+                        root[np.isin(root, root[near])] = root[x]
                     if len(near):
                         pair = np.stack([np.full(len(near), node[x]), node[near]])
                         found.append(np.sort(pair, axis=0))
@@ -269,18 +276,26 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
 
     links = stored(_links(pairs, sets, percent, radius), "links")
     roots = connected_components(links)
-    labelled = stored(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
-    mixed = stored(labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
-                   .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
-    left = stored(labelled.join(mixed, "key").join(sets.select("node", "n", "sig", "bins"), "node")
-                  .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "left")
-    other = F.explode(F.expr("sequence(0, blocks - 1)"))
-    blocks = (left.withColumn("other", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "block", "node", "root", "n", "sig", "bins"))
-    rest = map_arrow(blocks, _near_in_blocks(percent, radius), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stored(_links(stored(rest, "rest"), sets, percent, radius), "links")
-    if not more.isEmpty():
-        roots = connected_components(links.union(more))
+    every = False
+    while True:
+        labelled = stored(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
+        mixed = stored(labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+                       .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
+        left = stored(labelled.join(mixed, "key").join(sets.select("node", "n", "sig", "bins"), "node")
+                      .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "left")
+        other = F.explode(F.expr("sequence(0, blocks - 1)"))
+        blocks = (left.withColumn("other", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+                  .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+                  .select("key", "i", "j", "block", "node", "root", "n", "sig", "bins"))
+        near = map_arrow(blocks, _near_in_blocks(percent, radius, every), "a long, b long").distinct()
+        new = stored(near.join(pairs, ["a", "b"], "left_anti"), "pairs")
+        links = stored(_links(new, sets, percent, radius), "links")
+        joined = not links.isEmpty()
+        if joined:
+            roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+        if every:
+            break
+        pairs, every = pairs.union(new), not joined
 
     placed = stored(classes.join(roots, "node", "left").select("c1", "c2", "n", "min_id", F.coalesce("root", "node").alias("root")), "placed")
     least = stored(placed.groupBy("root").agg(F.min("min_id").alias("component_id")), "least")
