@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, chunks, map_arrow, text_lists, whole_chunk
+from .common import WordCache, chunks, map_arrow, take_turn, text_lists, whole_chunk
 
 # The pre-token pattern of byte-level BPE vocabularies.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -79,9 +79,9 @@ class PretokenEncoder:
 
     def __init__(self):
         self.pretokens = regex.compile(PRETOKEN).findall
-        self.words = WordCache(self.word_ids, 300_000)
-        self.first = WordCache(self._first, 50_000)
-        self.rest = WordCache(self._rest, 300_000)
+        self.words = WordCache(self.word_ids)
+        self.first = WordCache(self._first, 20_000)
+        self.rest = WordCache(self._rest, 150_000)
 
     def word_ids(self, word: str) -> bytes:
         """Ids of one pre-token."""
@@ -158,9 +158,13 @@ class ByteBpe(PretokenEncoder):
 
 
 @lru_cache(maxsize=2)
+def _read(path: str) -> ByteBpe:
+    return ByteBpe(path)
+
+
 def vocabulary(path: str) -> ByteBpe:
     """The vocabulary of a file, read once per worker."""
-    return ByteBpe(path)
+    return take_turn(_read(path))
 
 
 def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:

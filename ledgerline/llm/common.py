@@ -111,7 +111,7 @@ class WordCache(dict):
 
     LONGEST = 64
 
-    def __init__(self, compute: Callable, limit: int = 200_000):
+    def __init__(self, compute: Callable, limit: int = 100_000):
         super().__init__()
         self.compute, self.limit, self.old = compute, limit, {}
 
@@ -127,9 +127,26 @@ class WordCache(dict):
         self[word] = value
         return value
 
-    def missing_of(self, words: set) -> list:
-        """Those of ``words`` held by neither generation."""
-        return [w for w in words.difference(self) if w not in self.old]
+    def forget(self) -> None:
+        """Drop all words."""
+        self.clear()
+        self.old = {}
+
+
+_TURN: list = []
+
+
+def take_turn(owner):
+    """``owner``, after emptying the caches of what this worker ran before.
+
+    Workers outlive a stage; only the operator at work holds words.
+    """
+    if _TURN and _TURN[0] is not owner:
+        for cache in vars(_TURN[0]).values():
+            if isinstance(cache, WordCache):
+                cache.forget()
+    _TURN[:] = [owner]
+    return owner
 
 
 def text_lists(column: pa.Array, limit: int = 4 * SLICE_BYTES) -> Iterator[tuple[int, int, list[str]]]:

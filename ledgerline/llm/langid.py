@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, keep_where, map_arrow, stored, text_hash, text_lists
+from .common import WordCache, keep_where, map_arrow, stored, take_turn, text_hash, text_lists
 
 START = "▁"
 UNKNOWN = "und"
@@ -186,14 +187,16 @@ class Scorer:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.words = WordCache(lambda w: np.array([*model.log_likelihoods(w), 1.0]), 300_000)
-        self.parts = WordCache(self._part)
+        self.pack = struct.Struct(f"{len(model.languages) + 1}d").pack
+        self.none = self.pack(*[0.0] * (len(model.languages) + 1))
+        self.words = WordCache(lambda w: self.pack(*model.log_likelihoods(w), 1.0))
+        self.parts = WordCache(self._part, 150_000)
 
     def _part(self, part: str) -> bytes:
-        total = np.zeros(len(self.model.languages) + 1)
-        for word in letter_words(part):
-            total += self.words[word]
-        return total.tobytes()
+        words = letter_words(part)
+        if len(words) < 2:
+            return self.words[words[0]] if words else self.none
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words))).reshape(len(words), -1).sum(axis=0).tobytes()
 
     def predict(self, text: str) -> tuple[str, float]:
         """(language, its probability among the languages); ``und`` and 0 without letters or languages."""
@@ -215,7 +218,7 @@ def scorer_of(model: PieceModel) -> Scorer:
     """The scorer of a model, kept by a worker until another model comes."""
     if not _LAST or _LAST[0].model is not model:
         _LAST[:] = [Scorer(model)]
-    return _LAST[0]
+    return take_turn(_LAST[0])
 
 
 def predict(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

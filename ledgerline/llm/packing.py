@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import PretokenEncoder, byte_characters
-from .common import map_arrow, text_hash, text_lists
+from .common import map_arrow, take_turn, text_hash, text_lists
 
 BLOCK_IDS = 1 << 16
 SCHEMA = "shard int, block int, first long, n_ids long, bits int, doc_ids array<long>, ends array<long>, payload binary"
@@ -96,9 +96,13 @@ class LibraryEncoder(PretokenEncoder):
 
 
 @lru_cache(maxsize=2)
+def _load(path: str) -> LibraryEncoder:
+    return LibraryEncoder(path)
+
+
 def library(path: str) -> LibraryEncoder:
     """The encoder of a file, loaded once per worker."""
-    return LibraryEncoder(path)
+    return take_turn(_load(path))
 
 
 def _write_blocks(path: str, end_id: int):

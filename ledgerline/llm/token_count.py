@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, map_arrow, text_lists
+from .common import WordCache, map_arrow, take_turn, text_lists
 
 SPACE = "▁"
 _RUNS = re.compile(r" *[^ ]+| +")
@@ -83,9 +83,9 @@ class PieceCounter:
         self.pairs = {p.piece[i:i + 2] for p in normal for i in range(len(p.piece) - 1)}
         self.words_apart = not any(SPACE in p.piece.lstrip(SPACE) for p in normal)
         self.lines_apart = self.words_apart and not any("\n" in p.piece for p in normal)
-        self.runs = WordCache(self._run, 300_000)
-        self.words = WordCache(self._word)
-        self.raw = WordCache(self._raw, 50_000)
+        self.runs = WordCache(self._run, 150_000)
+        self.words = WordCache(self._word, 200_000)
+        self.raw = WordCache(self._raw, 20_000)
 
     def _run(self, run: str) -> int:
         start = sum(1 if c in self.ranks else len(c.encode()) if self.bytes else 1 for c in run)
@@ -115,9 +115,13 @@ class PieceCounter:
 
 
 @lru_cache(maxsize=2)
+def _read(path: str) -> PieceCounter:
+    return PieceCounter(path)
+
+
 def counter(path: str) -> PieceCounter:
     """The counter of a file, read once per worker."""
-    return PieceCounter(path)
+    return take_turn(_read(path))
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
