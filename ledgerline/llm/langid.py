@@ -189,8 +189,8 @@ class Scorer:
         self.model = model
         self.pack = struct.Struct(f"{len(model.languages) + 1}d").pack
         self.none = self.pack(*[0.0] * (len(model.languages) + 1))
-        self.words = WordCache(lambda w: self.pack(*model.log_likelihoods(w), 1.0))
-        self.parts = WordCache(self._part, 150_000)
+        self.words = WordCache(lambda w: self.pack(*model.log_likelihoods(w), 1.0), 200_000)
+        self.parts = WordCache(self._part, 200_000)
 
     def _part(self, part: str) -> bytes:
         words = letter_words(part)
