@@ -2,8 +2,9 @@
 
 Money enters in integer cents and leaves as ``DECIMAL(18,4)`` dollars.
 Sums stay in exact integer / decimal arithmetic.  Where a DOUBLE curve share
-multiplies an amount, each row is rounded once to 1e-4 dollar units before
-summing, so a total never depends on partition order or executor count.
+multiplies an amount, the share is taken as a decimal of twelve places and
+the exact products are summed; only the total is rounded, so it never depends
+on partition order or executor count.
 """
 
 from __future__ import annotations
@@ -36,6 +37,11 @@ def to_units(amount) -> Column:
     return F.round(_col(amount) * F.lit(float(UNITS_PER_DOLLAR))).cast("bigint")
 
 
+def curve_share(share) -> Column:
+    """A DOUBLE curve share as an exact decimal, so that sums of amount x share do not depend on their order."""
+    return _col(share).cast("decimal(14,12)")
+
+
 def units_to_money(units) -> Column:
     """Integer 1e-4 units back to ``DECIMAL(18,4)`` dollars."""
     return (_col(units).cast("decimal(20,0)") / F.lit(UNITS_PER_DOLLAR).cast("decimal(6,0)")).cast(MONEY)

@@ -15,8 +15,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import to_units
-from .dims import small_dimension
+from ..functions import periods as P
+from ..functions.measures import curve_share, to_units, units_to_money
+from .dims import DEFAULT_MAX_ROWS, small_dimension
 
 CURVE_MAX_ROWS = 10_000
 
@@ -47,7 +48,7 @@ def backlog_summary(pv: DataFrame, curve: DataFrame, as_of: dt.date,
 def expand_backlog(summary: DataFrame, curve: DataFrame, last_day: int = 365) -> DataFrame:
     """One row per remaining day from the current age to ``last_day``.
 
-    ``backlog_units`` is the day's amount in exact 1e-4 dollar units.
+    ``backlog_amount`` is the day's exact amount, to be summed before it is rounded.
     """
     c = small_dimension(curve.select(F.col("days_since_activation").alias("day"), "first_year_sold_pct"),
                         None, CURVE_MAX_ROWS, "backlog_curve")
@@ -56,7 +57,7 @@ def expand_backlog(summary: DataFrame, curve: DataFrame, last_day: int = 365) ->
     return rows.join(c, "day").select(
         *[x for x in summary.columns if x not in ("first_year_npv",)],
         F.date_add(F.col("sales_activation_date"), F.col("day")).alias("fcst_date"),
-        to_units(F.col("first_year_est_npv") * F.col("first_year_sold_pct")).alias("backlog_units"),
+        (units_to_money(to_units("first_year_est_npv")) * curve_share("first_year_sold_pct")).alias("backlog_amount"),
     )
 
 
@@ -64,7 +65,7 @@ def expand_pipeline(pipe: DataFrame, curve: DataFrame, first: int = 0, last: int
                     start_col: str = "opportunity_expected_go_live_date", amount_col: str = "expected_amount") -> DataFrame:
     """One row per curve day ``first..last`` after the expected go-live date.
 
-    ``pipeline_units`` is amount x daily share in exact 1e-4 dollar units.
+    ``pipeline_amount`` is the exact amount x daily share, to be summed before it is rounded.
     """
     c = curve.select("day_count", "first_year_sold_pct").filter(F.col("day_count").between(first, last))
     c = small_dimension(c, None, CURVE_MAX_ROWS, "pipeline_curve")
@@ -72,10 +73,27 @@ def expand_pipeline(pipe: DataFrame, curve: DataFrame, first: int = 0, last: int
     return rows.join(c, "day_count").select(
         *pipe.columns,
         F.date_add(F.col(start_col), F.col("day_count")).alias("fcst_date"),
-        to_units(F.col(amount_col).cast("double") * F.col("first_year_sold_pct")).alias("pipeline_units"),
+        (F.col(amount_col) * curve_share("first_year_sold_pct")).alias("pipeline_amount"),
     )
 
 
+def curve_weeks(curve: DataFrame, first_start: dt.date, last_start: dt.date, first: int = 0, last: int = 364) -> DataFrame:
+    """Curve shares summed per start date, week and flag value: what a deal of a given start earns in each week.
+
+    One row per (start, week, quarter, ninety_day_live, first_year_sold) with
+    the exact ``share``; its size depends on the dates and the curve alone.
+    """
+    c = curve.filter(F.col("day_count").between(first, last))
+    c = small_dimension(c.select("day_count", curve_share("first_year_sold_pct").alias("share")), "day_count", CURVE_MAX_ROWS, "pipeline_curve")
+    starts = curve.sparkSession.range((last_start - first_start).days + 1).select(
+        F.date_add(F.lit(first_start), F.col("id").cast("int")).alias("start"))
+    days = starts.withColumn("day_count", F.explode(F.sequence(F.lit(first), F.lit(last)))).join(c, "day_count")
+    d = F.date_add("start", F.col("day_count"))
+    weeks = days.groupBy("start", *P.week_bucket_keys(d), P.ninety_day_live("start", d).alias("ninety_day_live"),
+                         P.first_year_sold("start", d).alias("first_year_sold")).agg(F.sum("share").cast("decimal(16,12)").alias("share"))
+    return small_dimension(weeks, None, DEFAULT_MAX_ROWS, "curve weeks")
+
+
 def backlog_checks(summary: DataFrame) -> DataFrame:
     """One row of data checks on a backlog summary.
 

@@ -35,6 +35,13 @@ class ReportParams:
     # first go-live day (and "not yet live" test) of the pipeline; the report date when unset
     pipeline_cutoff: dt.date | None = None
 
+    # the day the pipeline report is run, for its "this week" and "in quarter" flags; the report date when unset
+    run_date: dt.date | None = None
+
+    @property
+    def run_day(self) -> dt.date:
+        return self.run_date or self.as_of
+
     @property
     def cutoff(self) -> dt.date:
         return self.pipeline_cutoff or self.as_of

@@ -278,7 +278,7 @@ def backlog_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
     """O-20: remaining first-year revenue per merchant, category and future day."""
     d = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=False)
     return d.select("fcst_date", "sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
-                    units_to_money("backlog_units").alias("backlog_npv"))
+                    money("backlog_amount").alias("backlog_npv"))
 
 
 @register("pipeline_curve_expand")
@@ -286,7 +286,7 @@ def pipeline_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
     """O-21: pipeline curve expansion, summed per forecast day."""
     d = expand_pipeline(R.pipeline_opportunities(t, p), t.pipeline_curve)
     return d.groupBy("fcst_date").agg(F.count(F.lit(1)).alias("n_rows"),
-                                      units_to_money(F.coalesce(F.sum("pipeline_units"), F.lit(0))).alias("pipeline_npv"))
+                                      money(F.coalesce(F.sum("pipeline_amount"), F.lit(0))).alias("pipeline_npv"))
 
 
 # ----------------------------------------------------------------------------- report flags (O-22..O-24)
@@ -532,5 +532,5 @@ def expected_end_date(t: Tables, p: ReportParams) -> DataFrame:
     d = d.filter(F.col("backlog_end_date").isNotNull())
     after = F.col("fcst_date") >= F.col("backlog_end_date")
     return d.groupBy("sales_merchant_id", "backlog_end_date").agg(
-        units_to_money(F.coalesce(F.sum(F.when(after, F.col("backlog_units"))), F.lit(0))).alias("backlog_after_end"),
-        units_to_money(F.coalesce(F.sum("backlog_units"), F.lit(0))).alias("backlog_total"))
+        money(F.coalesce(F.sum(F.when(after, F.col("backlog_amount"))), F.lit(0))).alias("backlog_after_end"),
+        money(F.coalesce(F.sum("backlog_amount"), F.lit(0))).alias("backlog_total"))

@@ -22,7 +22,6 @@ from ..functions.measures import (
     days_since_close,
     live_or_not,
     money,
-    units_to_money,
     weighted_amount,
 )
 from ..functions.segments import EXCLUDED_DEAL_STAGES, closed_flag, opportunity_status, sub_region, vertical
@@ -34,7 +33,7 @@ from ..operators.attribution import (
     merchant_attribution,
     processing_volume,
 )
-from ..operators.curves import backlog_summary, expand_backlog, expand_pipeline
+from ..operators.curves import backlog_summary, curve_weeks, expand_backlog, expand_pipeline
 from ..operators.dims import check_unique, merchant_level, small_dimension
 from ..operators.enrich import (
     countries_by,
@@ -253,7 +252,7 @@ def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
             P.first_year_sold("sales_activation_date", f, end).alias("first_year_sold"),
             P.new_npv("orig_activation", p, fcst=f).alias("newNPV"),
         )
-        .agg(F.sum("backlog_units").alias("units"))
+        .agg(F.sum("backlog_amount").alias("amount"))
         .select("*", *P.week_bucket_labels())
     )
     seg = report_segments(t, "D", "A", True, p.exclude_roles)
@@ -261,7 +260,7 @@ def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
         "in_quarter_opportunity",
         P.in_quarter("sales_activation_date", "first_opportunity_created_date", p.as_of, p.in_quarter_lag_days))
     return _segment_select(j, "weekly_backlog", F.lit(0), F.lit(0),
-                           units_to_money(F.coalesce(F.col("units"), F.lit(0))))
+                           money(F.coalesce(F.col("amount"), F.lit(0))))
 
 
 def backlog_processing_volume(t: Tables, p: ReportParams) -> DataFrame:
@@ -307,7 +306,7 @@ def backlog_daily(t: Tables, p: ReportParams, ids: DataFrame | None = None) -> D
                               keys=("sales_merchant_id", "sales_category", "sales_activation_date"))
     daily = expand_backlog(summary, t.backlog_curve)
     return daily.select("fcst_date", "sales_merchant_id", "sales_category",
-                        units_to_money("backlog_units").alias("backlog_npv"))
+                        money("backlog_amount").alias("backlog_npv"))
 
 
 # --------------------------------------------------------------------------- pipeline (J-2, J-10)
@@ -330,11 +329,11 @@ def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_
         opportunity_status("opportunity_stage").alias("opportunity_status"),
         live_or_not("activation_date", p.cutoff).alias("live_or_not"),
     )
-    # Each deal row later becomes 365 daily rows.  Partition the deals by id
-    # to the session's shuffle parallelism explicitly: AQE would size these
-    # partitions by their (small) input bytes and leave the expansion to a
-    # few tasks.  Hash partitioning on the deal id also satisfies the deal
-    # aggregate and the weekly aggregate, so no further exchange follows.
+    # A deal row may later become 365 daily rows (J-10).  Partition the deals
+    # by id to the session's shuffle parallelism explicitly: AQE would size
+    # these partitions by their (small) input bytes and leave the expansion to
+    # a few tasks.  Hash partitioning on the deal id also satisfies the deal
+    # aggregates, so no further exchange follows.
     parts = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     e = e.repartition(parts, "opportunity")
     if vertical_variant is not None:
@@ -349,44 +348,40 @@ def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_
 
 
 def pipeline_report(t: Tables, p: ReportParams) -> DataFrame:
-    """J-2: expected revenue of deals not yet live, spread daily on the pipeline curve, by segment and week.
+    """J-2: expected revenue of deals not yet live, spread on the pipeline curve, by segment and week.
 
-    The weekly aggregate is keyed by every column of the per-deal rows, so it
-    reuses their hash partitioning: the daily rows of a deal never leave the
-    task that generated them (no shuffle between expansion and weekly sums).
+    Deals are classified and summed on the report's columns first; each then
+    meets the weeks of its go-live date, whose curve shares are summed
+    beforehand.  No daily rows are made, and amounts are rounded once.
     """
-    pipe = pipeline_opportunities(t, p)
-    daily = expand_pipeline(pipe, t.pipeline_curve)
-    f = F.col("fcst_date")
     go_live = "opportunity_expected_go_live_date"
-    weekly = daily.groupBy(
-        *PIPE_KEYS, *P.week_bucket_keys(f),
-        P.ninety_day_live(go_live, f).alias("ninety_day_live"),
-        P.first_year_sold(go_live, f).alias("first_year_sold"),
-    ).agg(F.sum("pipeline_units").alias("units")).select(
-        "*", *P.week_bucket_labels(p.as_of, p.this_week_lag_days))
     cc = countries_by(t.country_codes, "name")
     tm = teams(t.team_role, p.exclude_roles)
-    j = (weekly.join(cc, weekly["opportunity_merchant_country"] == cc["sfdc_country_name"])
-         .join(tm, weekly["opportunity_owner"] == tm["sales_owner"]))
-    return j.select(
-        F.col("opportunity_status").alias("data_type"), "year", "quarter", "finance_week",
-        F.lit(0).alias("qtd"), "this_week",
-        F.col("sales_region").alias("region"), F.col("sfdc_country_name").alias("country"),
-        F.lit("").alias("sales_channel"),
-        sub_region("sales_role", "sales_region", "sfdc_country_name", "opportunity_industry", code="country_code",
-                   location="sales_location", variant="C").alias("sub_region"),
-        vertical("sales_region", "sfdc_country_name", "opportunity_industry", variant="A").alias("vertical"),
+    pipe = pipeline_opportunities(t, p)
+    deals = (pipe.join(cc, pipe["opportunity_merchant_country"] == cc["sfdc_country_name"])
+             .join(tm, pipe["opportunity_owner"] == tm["sales_owner"])
+             .groupBy(
+                 "opportunity", "opportunity_name", "opportunity_owner", "sales_role", "sales_location",
+                 F.col("opportunity_status").alias("data_type"), F.col("sales_region").alias("region"),
+                 F.col("sfdc_country_name").alias("country"), F.col(go_live).alias("start"),
+                 sub_region("sales_role", "sales_region", "sfdc_country_name", "opportunity_industry", code="country_code",
+                            location="sales_location", variant="C").alias("sub_region"),
+                 vertical("sales_region", "sfdc_country_name", "opportunity_industry", variant="A").alias("vertical"),
+                 P.new_npv(go_live, p, opp_type="opportunity_type").alias("newNPV"))
+             .agg(money(F.sum("expected_amount")).alias("expected_amount"), F.min("opportunity_created_date").alias("first_created")))
+    weeks = curve_weeks(t.pipeline_curve, p.cutoff, p.horizon_end)
+    weekly = deals.join(weeks, "start").select("*", *P.week_bucket_labels(p.run_day, p.this_week_lag_days))
+    return weekly.select(
+        "data_type", "year", "quarter", "finance_week", F.lit(0).alias("qtd"), "this_week", "region", "country",
+        F.lit("").alias("sales_channel"), "sub_region", "vertical",
         F.col("opportunity_owner").alias("owner"), "sales_role", "sales_location",
         opportunity_merchant_key("opportunity").alias("sales_merchant_id"),
         F.col("opportunity_name").alias("merchant_name"),
         F.lit("opportunity").alias("sales_category"),
-        F.col(go_live).alias("sales_activation_date"),
+        F.col("start").alias("sales_activation_date"),
         "ninety_day_live", "first_year_sold",
-        units_to_money(F.coalesce(F.col("units"), F.lit(0))).alias("npv_fixed_fx"),
-        P.new_npv(go_live, p, opp_type="opportunity_type").alias("newNPV"),
-        # one deal per group (deal id is the CRM key), so its created date is the group minimum
-        P.in_quarter(go_live, "opportunity_created_date", p.as_of, p.in_quarter_lag_days).alias("in_quarter_opportunity"),
+        money(F.coalesce(F.col("expected_amount") * F.col("share"), F.lit(0))).alias("npv_fixed_fx"), "newNPV",
+        P.in_quarter("start", "first_created", p.run_day, p.in_quarter_lag_days).alias("in_quarter_opportunity"),
     )
 
 
@@ -407,7 +402,7 @@ def pipeline_daily(t: Tables, p: ReportParams) -> DataFrame:
         F.col("opportunity_owner").alias("owner"),
         F.col("opportunity_name").alias("merchant_name"),
         "opportunity_merchant_country", "vertical", "opportunity_status",
-        units_to_money("pipeline_units").alias("pipeline_npv"),
+        money("pipeline_amount").alias("pipeline_npv"),
     )
 
 

@@ -135,10 +135,10 @@ SELECT merchant AS sales_merchant_id, leg AS sales_category, starts AS sales_act
 FROM estimates"""
 C["backlog_curve_expand"] = with_tables(_PVT + ["backlog_curve"], backlog_ctes()) + f"""
 SELECT day AS fcst_date, merchant AS sales_merchant_id, leg AS sales_category, starts AS sales_activation_date,
-  went_live AS orig_activation, {units_money('units')} AS backlog_npv
+  went_live AS orig_activation, {money('amount')} AS backlog_npv
 FROM backlog_days"""
 C["pipeline_curve_expand"] = with_tables(PIPELINE_TABLES, deal_ctes()) + f"""
-SELECT day AS fcst_date, count(*) AS n_rows, {units_money('coalesce(sum(units), 0)')} AS pipeline_npv
+SELECT day AS fcst_date, count(*) AS n_rows, {money('coalesce(sum(amount), 0)')} AS pipeline_npv
 FROM deal_days GROUP BY day"""
 
 # ----------------------------------------------------------------------------- report flags
@@ -263,8 +263,8 @@ GROUP BY ALL"""
 
 SQL["expected_end_date"] = with_tables(REPORT_TABLES, backlog_ctes()) + f"""
 SELECT b.merchant AS sales_merchant_id, o.backlog_end_date,
-  {units_money('coalesce(sum(b.units) FILTER (b.day >= o.backlog_end_date), 0)')} AS backlog_after_end,
-  {units_money('coalesce(sum(b.units), 0)')} AS backlog_total
+  {money('coalesce(sum(b.amount) FILTER (b.day >= o.backlog_end_date), 0)')} AS backlog_after_end,
+  {money('coalesce(sum(b.amount), 0)')} AS backlog_total
 FROM backlog_days b JOIN overrides o ON o.sales_merchant_id = b.merchant AND o.backlog_end_date IS NOT NULL
 GROUP BY ALL"""
 
