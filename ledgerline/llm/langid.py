@@ -56,25 +56,30 @@ def pieces_of(path: str) -> list[str]:
 
 @dataclass
 class PieceModel:
-    """Piece probabilities: ``table[piece]`` has one value per language of ``languages``; ``unseen`` is for other characters."""
+    """Piece probabilities: ``table[piece]`` has one value per language; ``unseen`` is for other characters."""
 
     languages: list[str]
     table: dict[str, tuple[float, ...]]
     unseen: float
-    longest: int
+
+    def __post_init__(self):
+        # every beginning of a piece; None where it is no piece itself
+        self.steps = {p[:k]: None for p in self.table for k in range(1, len(p))} | self.table
 
     def edges(self, word: str) -> list[list[tuple[int, tuple[float, ...]]]]:
         """For each end position, the (start, probabilities) of the pieces that end there."""
-        n, table = len(word), self.table
+        n, steps = len(word), self.steps
         none = (self.unseen,) * len(self.languages)
-        out = []
-        for end in range(1, n + 1):
-            found = [(end - 1, table.get(word[end - 1:end], none))]
-            for start in range(max(0, end - self.longest), end - 1):
-                p = table.get(word[start:end])
+        out = [[] for _ in range(n)]
+        for start in range(n):
+            p = steps.get(word[start])
+            out[start].append((start, none if p is None else p))
+            for end in range(start + 2, n + 1):
+                p = steps.get(word[start:end], 0)
+                if p == 0:
+                    break
                 if p is not None:
-                    found.append((start, p))
-            out.append(found)
+                    out[end - 1].append((start, p))
         return out
 
     def log_likelihoods(self, word: str) -> list[float]:
@@ -144,8 +149,7 @@ def train(docs: DataFrame, path: str, docs_per_language: int = DOCS_PER_LANGUAGE
     languages = sorted(sizes)
     pieces = pieces_of(path)
     start = 1 / max(1, len(pieces))
-    longest = max(map(len, pieces))
-    model = PieceModel(languages, {p: (start,) * len(languages) for p in pieces}, start, longest)
+    model = PieceModel(languages, {p: (start,) * len(languages) for p in pieces}, start)
     if not languages:
         return model
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, docs_per_language / n))])
@@ -178,7 +182,7 @@ def train(docs: DataFrame, path: str, docs_per_language: int = DOCS_PER_LANGUAGE
         shared.unpersist()
         whole = [sum(c.values()) for c in counts]
         table = {p: tuple(c[p] / w for c, w in zip(counts, whole)) for p in pieces}
-        model = PieceModel(languages, table, SMOOTHING / max(whole), longest)
+        model = PieceModel(languages, table, SMOOTHING / max(whole))
     return model
 
 
@@ -193,6 +197,11 @@ class Scorer:
         self.parts = WordCache(self._part, 200_000)
 
     def _part(self, part: str) -> bytes:
+        low = part.lower()
+        if low.isalpha():
+            return self.words[low]
+        if low[-1:] in ".,;:!?" and low[:-1].isalpha():
+            return self.words[low[:-1]]
         words = letter_words(part)
         if len(words) < 2:
             return self.words[words[0]] if words else self.none

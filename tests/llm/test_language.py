@@ -26,7 +26,7 @@ def segmentations(word, table, unseen):
 def test_forward_sum_equals_all_segmentations():
     rng = random.Random(1)
     pieces = ["▁", "▁a", "a", "b", "ab", "ba", "aba", "▁ab", "bb"]
-    model = langid.PieceModel(["x"], {p: (rng.random() / 10,) for p in pieces}, 1e-4, 3)
+    model = langid.PieceModel(["x"], {p: (rng.random() / 10,) for p in pieces}, 1e-4)
     for _ in range(200):
         word = "".join(rng.choices("abc", k=rng.randint(1, 9)))
         want = math.log(segmentations("▁" + word, model.table, model.unseen))
@@ -34,14 +34,14 @@ def test_forward_sum_equals_all_segmentations():
 
 
 def test_expected_counts_are_weighted_by_probability():
-    model = langid.PieceModel(["x"], {"▁": (0.5,), "a": (0.2,), "▁a": (0.3,)}, 1e-4, 2)
+    model = langid.PieceModel(["x"], {"▁": (0.5,), "a": (0.2,), "▁a": (0.3,)}, 1e-4)
     counts = langid.Counter()
     model.expected("a", 2.0, 0, counts)
     assert counts["▁a"] == pytest.approx(2 * 0.3 / 0.4) and counts["a"] == counts["▁"] == pytest.approx(2 * 0.1 / 0.4)
 
 
 def test_long_words_do_not_underflow():
-    model = langid.PieceModel(["x", "y"], {"a": (1e-5, 2e-5)}, 1e-6, 1)
+    model = langid.PieceModel(["x", "y"], {"a": (1e-5, 2e-5)}, 1e-6)
     x, y = model.log_likelihoods("a" * 5000)
     assert y - x == pytest.approx(5000 * math.log(2))
 
