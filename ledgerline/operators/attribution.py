@@ -156,7 +156,8 @@ def processing_volume(payments: DataFrame, merchants: DataFrame, upsells: DataFr
     ``sales_merchant_id``) restricts the merchants; it is applied to the
     daily sums, which are already partitioned by merchant, never to raw
     payments.  ``daily`` passes (merchant, day) sums computed elsewhere (for
-    example a stored daily table, see ``daily_range``) in place of ``payments``.
+    example a stored daily table, see ``daily_range``) in place of ``payments``;
+    it must have one row per merchant and day.
     """
     if daily is None:
         daily = daily_npv(payments, start, end, start_inclusive)
@@ -166,14 +167,13 @@ def processing_volume(payments: DataFrame, merchants: DataFrame, upsells: DataFr
     legs = _legs(daily, attr)
     if tuple(categories) != ("new biz", "upsell"):
         legs = legs.filter(F.col("leg.sales_category").isin(*categories))
-    return (
-        legs.groupBy(
-            "capture_date", "sales_merchant_id", F.col("leg.sales_category").alias("sales_category"),
-            F.col("leg.sales_activation_date").alias("sales_activation_date"), "orig_activation",
-        )
-        .agg(F.sum("leg.fys").alias("first_year_sold_npv_usd_fx"), F.sum("total").alias("total_npv"))
-        .select(F.lit("weekly_processing").alias("data_type"), *PV_COLUMNS[1:])
-    )
+    keys = ("capture_date", "sales_merchant_id", F.col("leg.sales_category").alias("sales_category"),
+            F.col("leg.sales_activation_date").alias("sales_activation_date"), "orig_activation")
+    if allow_upsell_fanout:
+        rows = legs.groupBy(*keys).agg(F.sum("leg.fys").alias("first_year_sold_npv_usd_fx"), F.sum("total").alias("total_npv"))
+    else:  # a merchant has one row a day and one upsell at most: every leg is one row already
+        rows = legs.select(*keys, F.col("leg.fys").alias("first_year_sold_npv_usd_fx"), F.col("total").alias("total_npv"))
+    return rows.select(F.lit("weekly_processing").alias("data_type"), *PV_COLUMNS[1:])
 
 
 def new_business_leg(payments, merchants, upsells, special, start, end=None, start_inclusive=True) -> DataFrame:

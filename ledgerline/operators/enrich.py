@@ -124,7 +124,10 @@ def eligible_pipeline(opps: DataFrame, merchants: DataFrame, p: ReportParams) ->
     """
     m = merchants.select(F.col("merchant_id").alias("_mid"),
                          F.col("activation_date").alias("activation_date"))
-    j = left_join_nullable(opps, m, "merchant_id", "_mid").drop("_mid")
+    small = small_dimension(m, "_mid", name="merchants")
+    # a broadcast join needs no way around NULL keys, and reads the deals once
+    j = (left_join_nullable(opps, m, "merchant_id", "_mid") if small is m
+         else opps.join(small, opps["merchant_id"] == small["_mid"], "left")).drop("_mid")
     act = F.col("activation_date")
     go_live = F.col("opportunity_expected_go_live_date")
     return j.filter(

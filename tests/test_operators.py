@@ -98,10 +98,27 @@ def test_backlog_estimate_and_expansion(spark):
     assert e.count() == 365 - 99 + 1
     first = e.orderBy("fcst_date").first()
     assert first.fcst_date == as_of
-    total = e.agg(F.sum("backlog_units")).first()[0] / 10_000
+    total = float(e.agg(F.sum("backlog_amount")).first()[0])
     assert abs(total - row.first_year_est_npv * (365 - 99 + 1) / 366) < 0.05
 
 
+def test_curve_weeks_equal_daily_expansion(spark):
+    from ledgerline.functions import periods as P
+    from ledgerline.operators.curves import curve_weeks, expand_pipeline
+
+    curve = spark.createDataFrame([(d, (366 - d) / 67161) for d in range(366)], "day_count int, first_year_sold_pct double")
+    starts = [D(2000, 1, 2), D(2000, 2, 29), D(2000, 3, 1)]
+    deals = spark.createDataFrame([(s, Decimal("1000.0001")) for s in starts],
+                                  "opportunity_expected_go_live_date date, expected_amount decimal(18,4)")
+    d, start = F.col("fcst_date"), F.col("opportunity_expected_go_live_date")
+    daily = expand_pipeline(deals, curve).groupBy(
+        start.alias("start"), *P.week_bucket_keys(d), P.ninety_day_live(start, d).alias("ninety_day_live"),
+        P.first_year_sold(start, d).alias("first_year_sold")).agg(F.sum("pipeline_amount").cast("decimal(18,8)").alias("amount"))
+    weeks = curve_weeks(curve, starts[0], starts[-1]).where(F.col("start").isin(*starts))
+    weekly = weeks.select(*daily.columns[:-1], (F.lit(Decimal("1000.0001")) * F.col("share")).cast("decimal(18,8)").alias("amount"))
+    assert sorted(map(tuple, weekly.collect())) == sorted(map(tuple, daily.collect()))
+
+
 def test_zero_cumulative_share_gives_null_estimate(spark):
     from ledgerline.operators.curves import backlog_checks
 

@@ -141,3 +141,21 @@ def test_flags_take_both_values(spark):
                       ("processing_report", "newNPV"), ("backlog_report", "ninety_day_live"), ("pipeline_forecast_report", "newNPV")):
         df = queries()[key](spark, SF)
         assert {r[0] for r in df.select(flag).distinct().collect()} == {0, 1}, (key, flag)
+
+
+def test_pipeline_report_regroups_repeated_deals_and_takes_a_run_date(spark, tables):
+    """A deal in two CRM rows of one amount counts once; the run date moves the week and quarter flags only."""
+    import dataclasses
+    import datetime as dt
+
+    from ledgerline.params import DEFAULT_PARAMS as P
+    from ledgerline.plans.reports import pipeline_report
+
+    fresh = dict(_derived={}, _building={}, _values={}, materialized=False)
+    twice = dataclasses.replace(tables, opportunities=tables.opportunities.union(tables.opportunities), **fresh)
+    once = pipeline_report(tables, P)
+    again = pipeline_report(twice, P)
+    assert again.exceptAll(once).count() == 0 and once.exceptAll(again).count() == 0
+    later = pipeline_report(tables, P.with_(run_date=dt.date(2000, 2, 20)))
+    assert {r[0] for r in later.select("this_week").distinct().collect()} == {0, 1}
+    assert later.drop("this_week", "in_quarter_opportunity").exceptAll(once.drop("this_week", "in_quarter_opportunity")).count() == 0
