@@ -2,45 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import stored
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """``edges`` written and read back, with their number and a checksum, counted while they are written."""
+    seen = Observation()
+    done = stored(edges.select("a", "b").observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), "cc")
+    return done, (seen.get["n"], seen.get["h"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     mins = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-min")
-    return both.join(mins, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(mins, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    mins = stored(down.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
-    moved = down.join(mins, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return moved.union(mins.select("u", "m")).distinct()
+    mins = down.groupBy("u").agg(F.min("v").alias("m"))
+    moved = down.join(mins, "u").select(F.explode(F.array(
+        F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e"))
+    return moved.select("e.a", "e.b").where("a <> b").distinct()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b: long) that is not itself its component's smallest node.
 
-    Each step is two shuffles with partial aggregation; the number of steps
-    grows with the logarithm of the longest chain.  Every step is written to
-    the shared scratch folder; only a count and a checksum reach the driver.
-    Self-loops are ignored; an empty table gives an empty table.
+    Every step is written to the shared scratch folder; only a count and a
+    checksum reach the driver.  The number of steps grows with the logarithm
+    of the longest chain.  It ends when a large-star step leaves the stars of
+    the step before as they are.  Self-loops are ignored; an empty table gives
+    an empty table.
     """
-    edges = stored(edges.where("a <> b").select("a", "b").distinct(), "cc")
-    before = _fingerprint(edges)
+    stars, before = _written(_small_star(edges.where("a <> b")))
     while before[0]:
-        edges = stored(_large_star(edges), "cc")
-        edges = stored(_small_star(edges), "cc")
-        after = _fingerprint(edges)
+        moved, after = _written(_large_star(stars))
         if after == before:
             break
-        before = after
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        stars, before = _written(_small_star(moved))
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -18,11 +18,12 @@ that need no further comparison; pairs of different components are compared
 by signature, in blocks of bounded size.  Of those near enough, only pairs are
 written out and confirmed whose sets can be similar enough by the sum of the
 smaller counts of two histograms of their hashes, which no intersection
-exceeds.  Rounds write only as many pairs of a block as may join its
-components; when a round joins nothing more, a last one writes all that are
-left.  So a large group of copies costs its size and not its square, no link
-between components is lost, and pairs that only share a common passage, or
-are copies with too many changes, are never written out.
+exceeds.  A first round writes only as many pairs of a block as may join its
+components.  If all of them are links, nothing is left to join; else a second
+round writes all pairs of different components that are left.  So a large
+group of copies costs its size and not its square, no link between components
+is lost, and pairs that only share a common passage, or are copies with too
+many changes, are never written out.
 """
 
 from __future__ import annotations
@@ -275,27 +276,29 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     sets = stored(sets.dropDuplicates(["node"]), "sets")
 
     links = stored(_links(pairs, sets, percent, radius), "links")
-    roots = connected_components(links)
-    every = False
-    while True:
+    # classes that are linked to one and the same pivot are in one component
+    roots = stored(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), "roots")
+    for every in (False, True):
         labelled = stored(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
         mixed = stored(labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
                        .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
-        left = stored(labelled.join(mixed, "key").join(sets.select("node", "n", "sig", "bins"), "node")
-                      .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "left")
-        other = F.explode(F.expr("sequence(0, blocks - 1)"))
-        blocks = (left.withColumn("other", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-                  .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        left = (labelled.join(mixed, "key").join(sets.select("node", "n", "sig", "bins"), "node")
+                .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+                .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+                .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")))
+        blocks = (left.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
                   .select("key", "i", "j", "block", "node", "root", "n", "sig", "bins"))
         near = map_arrow(blocks, _near_in_blocks(percent, radius, every), "a long, b long").distinct()
-        new = stored(near.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        links = stored(_links(new, sets, percent, radius), "links")
-        joined = not links.isEmpty()
-        if joined:
-            roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
-        if every:
+        near = stored(near.join(pairs, ["a", "b"], "left_anti") if every else near, "pairs")
+        more = stored(_links(near, sets, percent, radius), "links")
+        found = more.count()
+        if found:
+            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more) if every else links.union(more)
+        if found or not every:
+            roots = connected_components(links)
+        if near.count() == found:
             break
-        pairs, every = pairs.union(new), not joined
+        pairs = pairs.union(near)
 
     placed = stored(classes.join(roots, "node", "left").select("c1", "c2", "n", "min_id", F.coalesce("root", "node").alias("root")), "placed")
     least = stored(placed.groupBy("root").agg(F.min("min_id").alias("component_id")), "least")
