@@ -158,6 +158,11 @@ class Page(HTMLParser):
             if self.in_link:
                 at.linked += n
 
+    def parse_marked_section(self, i, report=1):
+        """A declaration in brackets is a comment up to the next ``>``, whatever it holds."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def unknown_decl(self, data):
         pass
 

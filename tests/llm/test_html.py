@@ -90,3 +90,17 @@ def test_boosting_learns_an_interaction():
     model = boosting.fit(x, y, trees=30, depth=3)
     assert ((model.probability(x) > 0.5) == y).mean() > 0.97
     assert boosting.fit(x[:0], y[:0]).probability(x).max() < 0.5
+
+
+def test_any_markup_is_read():
+    import random
+
+    rng = random.Random(1)
+    parts = ["<", "<!", "<![", "<!--", "-->", "]]>", ">", "</", "<p>", "</p>", "<script>", "</script>", "<![CDATA[", "<?", "&", "&#x", "a='", '"',
+             "<a href=", "text ", "<body>", "<title>", "<textarea>", "\x00", "<!DOCTYPE", "[if IE]", "<svg>", "<li>", "<table><tr><td>"]
+    for _ in range(3000):
+        page = Page("".join(rng.choices(parts, k=rng.randint(1, 14))))
+        assert len(page.features()) == len(page.nodes)
+        page.text_of([True] * len(page.nodes))
+    page = Page("<body><p>a<![if IE]>b<![endif]>c</p>")
+    assert page.text_of([True] * len(page.nodes)) == "abc"
