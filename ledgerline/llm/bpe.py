@@ -77,11 +77,11 @@ class PretokenEncoder:
 
     MARKS = frozenset(".,;:!?")
 
-    def __init__(self):
+    def __init__(self, limit: int = 200_000):
         self.pretokens = regex.compile(PRETOKEN).findall
-        self.words = WordCache(self.word_ids, 300_000)
+        self.words = WordCache(self.word_ids, limit)
         self.first = WordCache(self._first, 20_000)
-        self.rest = WordCache(self._rest, 300_000)
+        self.rest = WordCache(self._rest, limit)
 
     def word_ids(self, word: str) -> bytes:
         """Ids of one pre-token."""
@@ -186,7 +186,7 @@ def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], names=names)
 
-    return map_arrow(ordered, run, schema)
+    return map_arrow(ordered, run, schema, words=True)
 
 
 def encode_and_check(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,7 +209,7 @@ def encode_and_check(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                     pa.array([hashlib.sha256(b.encode()).hexdigest() for b in back], pa.string())], schema=schema)
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_arrow(source, run, "doc_id long, n_tokens long, ids binary, decoded_sha256 string")
+    return map_arrow(source, run, "doc_id long, n_tokens long, ids binary, decoded_sha256 string", words=True)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -92,7 +92,7 @@ def format_turns(turns: DataFrame, path: str) -> DataFrame:
                     pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.int8()))], schema=schema)
 
     source = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
-    return map_arrow(source, run, "conv_id long, turn long, formatted string, ids array<int>, loss_mask array<tinyint>")
+    return map_arrow(source, run, "conv_id long, turn long, formatted string, ids array<int>, loss_mask array<tinyint>", words=True)
 
 
 def parse_turn(ids: list[int], mask: list[int], bpe) -> tuple[str, str, str]:
@@ -153,4 +153,4 @@ def read_back(formatted: DataFrame, path: str) -> DataFrame:
 
     ordered = (formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
                .select("conv_id", "ids", "loss_mask", F.length("formatted").cast("long").alias("chars")))
-    return map_arrow(ordered, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_arrow(ordered, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long", words=True)

@@ -41,10 +41,22 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand on the executors."""
+def map_arrow(df: DataFrame, fn: Callable, schema, words: bool = False) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand on the executors.
+
+    Workers outlive a stage: unless ``fn`` uses the word caches (``words``),
+    those of an operator that ran before are emptied, and memory that Arrow
+    holds in reserve is given back after each task.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not words:
+            take_turn(None)
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(task, schema)
 
 
 def whole_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -63,7 +75,7 @@ def keep_where(docs: DataFrame, decide: Callable[[], Callable[[list[str]], list[
             for lo, hi, texts in text_lists(batch.column(at)):
                 yield batch.slice(lo, hi - lo).filter(pa.array(keep(texts), pa.bool_()))
 
-    return map_arrow(docs, run, docs.schema)
+    return map_arrow(docs, run, docs.schema, words=True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,7 +153,7 @@ def take_turn(owner):
 
     Workers outlive a stage; only the operator at work holds words.
     """
-    if _TURN and _TURN[0] is not owner:
+    if _TURN and _TURN[0] is not None and _TURN[0] is not owner:
         for cache in vars(_TURN[0]).values():
             if isinstance(cache, WordCache):
                 cache.forget()

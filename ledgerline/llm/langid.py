@@ -252,7 +252,7 @@ def predict(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("row"),
                          held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
-    return map_arrow(source, run, "doc_id long, row long, held_out boolean, lang_pred string, score double")
+    return map_arrow(source, run, "doc_id long, row long, held_out boolean, lang_pred string, score double", words=True)
 
 
 def keep_recognised(docs: DataFrame, model: PieceModel, least: float, text_col: str = "text") -> DataFrame:

@@ -70,7 +70,7 @@ class LibraryEncoder(PretokenEncoder):
     """Texts to little-endian 32-bit ids by the tokenizers library: its model encodes each new word, frequent words are remembered."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(limit=400_000)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -152,7 +152,7 @@ def write_packed(docs: DataFrame, out: str, path: str, end_id: int = 2, id_col:
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                          text_hash(F.col(text_col)).alias("row"), F.monotonically_increasing_id().alias("place"))
     ordered = source.repartitionByRange("doc_id", "row", "place").sortWithinPartitions("doc_id", "row", "place")
-    map_arrow(ordered.select("doc_id", "text"), _write_blocks(path, end_id), SCHEMA).write.parquet(out)
+    map_arrow(ordered.select("doc_id", "text"), _write_blocks(path, end_id), SCHEMA, words=True).write.parquet(out)
     return out
 
 

@@ -143,5 +143,5 @@ def token_counts(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "d
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                          F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"))
-    counted = map_arrow(source, run, "doc_id long, n_bytes long, n_tokens long")
+    counted = map_arrow(source, run, "doc_id long, n_bytes long, n_tokens long", words=True)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
