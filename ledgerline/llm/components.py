@@ -34,14 +34,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Every step is written to the shared scratch folder; only a count and a
     checksum reach the driver.  The number of steps grows with the logarithm
-    of the longest chain.  It ends when a large-star step leaves the stars of
-    the step before as they are.  Self-loops are ignored; an empty table gives
-    an empty table.
+    of the longest chain.  It ends when a large-star step leaves the edges of
+    the step before as they are and no node of them has two roots: then the
+    small-star step would leave them too, and they are stars.  Self-loops are
+    ignored; an empty table gives an empty table.
     """
     stars, before = _written(_small_star(edges.where("a <> b")))
     while before[0]:
         moved, after = _written(_large_star(stars))
-        if after == before:
+        if after == before and stars.select("a").distinct().count() == before[0]:
             break
         stars, before = _written(_small_star(moved))
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))

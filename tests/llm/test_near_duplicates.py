@@ -101,6 +101,31 @@ def test_components_of_chains_stars_and_loops(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def roots(edges):
+    """Smallest node of each node's component, of the nodes that are not it."""
+    root = {k: k for e in edges for k in e}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in edges:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    return {k: find(k) for k in root if find(k) != k}
+
+
+def test_components_of_zigzags_equal_union_find(spark):
+    rng = random.Random(4)
+    chains = [[1, 3, 4, 2], [2, 5, 6, 3, 4, 1]] + [rng.sample(range(1, n + 1), n) for n in (4, 6, 8)]
+    graphs = [list(zip(c, c[1:])) for c in chains]
+    graphs.append(graphs[0] + [(100 * s, 100 * s + k) for s in range(1, 40) for k in range(1, 4)])
+    for edges in graphs:
+        got = [(r["node"], r["root"]) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()]
+        assert sorted(got) == sorted(roots(edges).items())
+
+
 def test_cases_equal_brute_force(cases, no_rows):
     found = minhash.near_duplicates(cases, 85)
     got = result(found)
