@@ -1,7 +1,7 @@
 """Benchmark passages in documents: SimHash of item-sized windows, multi-index Hamming lookup, exact check.
 
 Every benchmark item of n words has a 64-bit SimHash of its words, weighted by
-how rare they are among the items.  A document's windows of n words are
+how rare they are among all items of the benchmark, whatever slice they are in.  A document's windows of n words are
 fingerprinted alike, at every position, from prefix sums over the words.  The
 fingerprint is cut into four blocks of 16 bits; a pair within 15 bits has, by
 the pigeonhole principle, a block with at most three wrong bits, so items are
@@ -15,13 +15,12 @@ are skipped; this loses nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +52,60 @@ def near_values(errors: int, bits: int) -> np.ndarray:
     return np.array([sum(1 << b for b in c) for k in range(errors + 1) for c in combinations(range(bits), k)], np.uint32)
 
 
+def item_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
+    """(words, number of items with each, number of items) of a text column's items of at least five words."""
+    seen, n = [np.zeros(0, np.uint64)], 0
+    for _, _, data, offsets in text_slices(column):
+        words, bounds = hash_words(data, offsets)
+        for i in np.flatnonzero(np.diff(bounds) >= WIDTH):
+            seen.append(np.unique(words[bounds[i]:bounds[i + 1]]))
+            n += 1
+    return *np.unique(np.concatenate(seen), return_counts=True), n
+
+
+@dataclass
+class WordWeights:
+    """Weight of each word: rarer among the items is heavier; a word of one item or of none is heaviest.
+
+    Only words of two items or more are listed: the others all have the weight ``rare``.
+    """
+
+    words: np.ndarray
+    weights: np.ndarray
+    rare: int
+
+    @staticmethod
+    def of(words: np.ndarray, per_word: np.ndarray, items: int) -> WordWeights:
+        many = np.flatnonzero(per_word > 1)
+        many = many[np.argsort(words[many])]
+        weights = np.rint(16 * np.log2(1 + items / per_word[many])).astype(np.int64)
+        return WordWeights(words[many], weights, int(np.rint(16 * np.log2(1 + max(1, items)))))
+
+    def weigh(self, words: np.ndarray) -> np.ndarray:
+        """Weight of each word."""
+        if not len(self.words):
+            return np.full(len(words), self.rare, np.int64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.weights[at], self.rare)
+
+
+def word_weights(items: DataFrame) -> WordWeights:
+    """Weights by how many of all ``items`` (text) have each word, counted by one groupBy; the words of two or more reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, per_word, n = item_words(batch.column(0))
+            # the row without a word has the number of items
+            yield pa.RecordBatch.from_arrays([pa.array([*words.view(np.int64).tolist(), None], pa.int64()),
+                                              pa.array([*per_word.tolist(), n], pa.int64())], names=["word", "n"])
+
+    counts = map_arrow(items.select("text"), run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = counts.where("word is null or n > 1").toArrow()
+    listed = found.filter(found.column("word").is_valid())
+    n = found.filter(found.column("word").is_null()).column("n").to_pylist()
+    return WordWeights.of(listed.column("word").to_numpy().astype(np.int64).view(np.uint64), listed.column("n").to_numpy().astype(np.int64), sum(n))
+
+
 @dataclass
 class ItemIndex:
     """A slice of the benchmark items, made for lookups by numpy."""
@@ -62,9 +115,7 @@ class ItemIndex:
     prints: np.ndarray
     starts: list[np.ndarray]
     listed: list[np.ndarray]
-    known_words: np.ndarray
-    word_weights: np.ndarray
-    rare: int
+    weights: WordWeights | None
     shingles: list[np.ndarray]
     shingle_counts: list[np.ndarray]
     shingle_weights: list[np.ndarray]
@@ -73,8 +124,11 @@ class ItemIndex:
     filter: np.ndarray
 
     @staticmethod
-    def build(ids: list[int | None], texts: list[str]) -> ItemIndex:
-        """Index of items of at least five words (shorter ones identify no passage and are left out)."""
+    def build(ids: list[int | None], texts: list[str], weights: WordWeights | None = None) -> ItemIndex:
+        """Index of items of at least five words (shorter ones identify no passage and are left out).
+
+        ``weights`` are those of the whole benchmark; without them, these items are all of it.
+        """
         words, bounds = [], [0]
         for _, _, data, offsets in text_slices(pa.array(texts, pa.string())):
             w, b = hash_words(data, offsets)
@@ -84,14 +138,13 @@ class ItemIndex:
         bounds = np.array(bounds, np.int64)
         long = np.flatnonzero(np.diff(bounds) >= WIDTH)
         lists = [words[bounds[i]:bounds[i + 1]] for i in long]
-        known, per_item = np.unique(np.concatenate([np.unique(w) for w in lists]) if lists else words[:0], return_counts=True)
-        weights = np.rint(16 * np.log2(1 + len(lists) / np.maximum(per_item, 1))).astype(np.int64)
-        rare = int(np.rint(16 * np.log2(1 + max(1, len(lists)))))
+        if weights is None:
+            weights = WordWeights.of(*item_words(pa.array(texts, pa.string())))
         out = ItemIndex([ids[i] for i in long], np.array([len(w) for w in lists], np.int64), np.zeros(0, np.uint64),
-                        [], [], known, weights, rare, [], [], [], np.zeros(len(lists), np.int64), np.zeros(0, np.uint64), np.zeros(1 << 20, bool))
+                        [], [], weights, [], [], [], np.zeros(len(lists), np.int64), np.zeros(0, np.uint64), np.zeros(1 << 20, bool))
         prints = []
         for k, w in enumerate(lists):
-            weight = out.weigh(w)
+            weight = weights.weigh(w)
             prints.append(to_fingerprints((signs(w) * weight[:, None]).sum(axis=0)[None, :])[0])
             values, _ = hash_shingles(w, np.array([0, len(w)]), WIDTH)
             each, first, count = np.unique(values, return_index=True, return_counts=True)
@@ -112,13 +165,6 @@ class ItemIndex:
         out.filter[(out.all_shingles >> _FILTER_SHIFT).astype(np.int64)] = True
         return out
 
-    def weigh(self, words: np.ndarray) -> np.ndarray:
-        """Weight of each word: rarer among the items is heavier; a word of no item is heaviest."""
-        if not len(self.known_words):
-            return np.full(len(words), self.rare, np.int64)
-        at = np.minimum(np.searchsorted(self.known_words, words), len(self.known_words) - 1)
-        return np.where(self.known_words[at] == words, self.word_weights[at], self.rare)
-
     def hits(self, shingles: np.ndarray) -> np.ndarray:
         """Places of shingles that some item has."""
         at = np.flatnonzero(self.filter[(shingles >> _FILTER_SHIFT).astype(np.int64)])
@@ -165,7 +211,7 @@ class ItemIndex:
         best: dict[int, tuple[float, int, int]] = {}
         if not len(hits) or len(words) < WIDTH:
             return best
-        weight = self.weigh(words)
+        weight = self.weights.weigh(words)
         by_shingle = np.convolve(weight, np.ones(WIDTH, np.int64), "valid")
         widest = int(self.sizes.max())
         cuts = np.flatnonzero(np.diff(hits) > widest) + 1
@@ -190,14 +236,18 @@ class ItemIndex:
         return best
 
 
-def item_slices(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator[Broadcast]:
-    """Indexes of the items in slices of bounded size, one by one, for all tasks."""
+def item_slices(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator[Callable[[], ItemIndex]]:
+    """For all tasks, indexes of the items in slices of bounded size, one by one; all have the weights of the whole benchmark."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null")
     parts = max(1, -(-items.count() // ITEMS_PER_SLICE))
+    weights = word_weights(items)
+    sc = benchmark.sparkSession.sparkContext
+    shared_weights = sc.broadcast(weights)
     for k in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
-        index = ItemIndex.build([r["item_id"] for r in rows], [r["text"] for r in rows])
-        yield benchmark.sparkSession.sparkContext.broadcast(index)
+        index = ItemIndex.build([r["item_id"] for r in rows], [r["text"] for r in rows], weights)
+        shared = sc.broadcast(replace(index, weights=None))  # the weights go to each task's machine once, not with each slice
+        yield lambda shared=shared: replace(shared.value, weights=shared_weights.value)
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -212,15 +262,16 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     repeated rows.  Other columns are not read.  Empty tables give an empty table.
 
     The items are read in slices of about 2,000 (by a hash), each of which goes
-    to all tasks; documents are never shuffled.
+    to all tasks; documents are never shuffled.  Words are weighted over all
+    items, so the result does not depend on the slices.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
     schema = "doc_id long, row long, item_id long, first_word long, n_words long, similarity double"
     out = None
-    for shared in item_slices(benchmark, item_col, item_text_col):
+    for index_of in item_slices(benchmark, item_col, item_text_col):
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+        def run(batches: Iterator[pa.RecordBatch], index_of=index_of) -> Iterator[pa.RecordBatch]:
+            index = index_of()
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
             names = ["doc_id", "row", "item_id", "first_word", "n_words", "similarity"]
             for batch in batches:
@@ -239,12 +290,13 @@ def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
                      item_text_col: str = "text") -> DataFrame:
     """Rows of ``docs``, all columns, in which ``find_passages`` finds no benchmark item; no shuffle."""
     at = docs.columns.index(text_col)
-    for shared in item_slices(benchmark, item_col, item_text_col):
+    for index_of in item_slices(benchmark, item_col, item_text_col):
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], index_of=index_of) -> Iterator[pa.RecordBatch]:
+            index = index_of()
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                keep[[d for d, found in shared.value.search_column(batch.column(at)) if found]] = False
+                keep[[d for d, found in index.search_column(batch.column(at)) if found]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = map_arrow(docs, run, docs.schema)

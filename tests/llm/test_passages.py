@@ -85,6 +85,27 @@ def test_items_in_slices_give_the_same(spark, bench, monkeypatch):
     assert {r["doc_id"] for r in decontam.without_passages(frame, items).collect()} == {90, 91, 92}
 
 
+def test_near_threshold_passages_do_not_depend_on_slices(spark, monkeypatch):
+    rng = random.Random(6)
+    bench = [(k, " ".join(f"w{int(150 * rng.random() ** 2)}" for _ in range(rng.randint(25, 50)))) for k in range(60)]
+    docs = []
+    for d in range(240):
+        piece = bench[d % 60][1].split()
+        for at in rng.sample(range(len(piece)), rng.randint(1, 3)):
+            piece[at] = f"w{rng.randrange(150)}"
+        docs.append((d, " ".join(["before", *piece, "after"])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+
+    def found():
+        return sorted((r["doc_id"], r["item_id"], r["first_word"], r["n_words"], r["similarity"]) for r in decontam.find_passages(frame, items).collect())
+
+    whole = found()
+    assert 40 < len(whole) < 200 and min(r[4] for r in whole) < 0.85
+    monkeypatch.setattr(decontam, "ITEMS_PER_SLICE", 15)
+    assert found() == whole
+
+
 def test_decontamination_cases(spark, cases, no_rows):
     items = spark.createDataFrame([(1, CASES[0][1]), (None, "line one line two line three line four"), (2, None)], "item_id long, text string")
     got = sorted(((r["doc_id"], r["item_id"]) for r in decontam.find_passages(cases, items).collect()), key=str)
