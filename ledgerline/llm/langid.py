@@ -109,7 +109,7 @@ class PieceModel:
         for found in edges:
             forward.append(sum(forward[start] * p[k] for start, p in found))
             if forward[-1] < 1e-150:
-                return
+                return self._expected_by_logs(s, edges, weight, k, into)
         backward = [0.0] * n + [1.0]
         for end in range(n, 0, -1):
             for start, p in edges[end - 1]:
@@ -119,6 +119,24 @@ class PieceModel:
             for start, p in edges[end - 1]:
                 into[s[start:end]] += forward[start] * p[k] * backward[end] * scale
 
+    @staticmethod
+    def _expected_by_logs(s: str, edges: list, weight: float, k: int, into: Counter) -> None:
+        """As ``expected``, by logarithms: for words whose sums are too small."""
+        n = len(s)
+        edges = [[(start, math.log(p[k])) for start, p in found if p[k] > 0] for found in edges]
+        forward = [0.0]
+        for found in edges:
+            forward.append(float(np.logaddexp.reduce([forward[start] + p for start, p in found])))
+        if forward[n] == -math.inf:
+            return
+        backward = [-math.inf] * n + [0.0]
+        for end in range(n, 0, -1):
+            for start, p in edges[end - 1]:
+                backward[start] = float(np.logaddexp(backward[start], p + backward[end]))
+        for end in range(1, n + 1):
+            for start, p in edges[end - 1]:
+                into[s[start:end]] += weight * math.exp(forward[start] + p + backward[end] - forward[n])
+
 
 def held_out(id_col: str = "doc_id") -> Column:
     """Whether a document is never learned from: crc32 of its id as text leaves no remainder by 5, or the id is null."""

@@ -46,6 +46,17 @@ def test_long_words_do_not_underflow():
     assert y - x == pytest.approx(5000 * math.log(2))
 
 
+def test_expected_counts_of_long_words():
+    model = langid.PieceModel(["x"], {"▁": (0.5,), "a": (1e-3,), "aa": (2e-6,), "b": (0.1,)}, 1e-6)
+    counts = langid.Counter()
+    model.expected("a" * 300 + "漢" * 40, 2.0, 0, counts)
+    assert counts["a"] + 2 * counts["aa"] == pytest.approx(600) and counts["▁"] == pytest.approx(2) and counts["漢"] == pytest.approx(80)
+    short, logs = langid.Counter(), langid.Counter()
+    model.expected("aaabaa", 3.0, 0, short)
+    model._expected_by_logs("▁aaabaa", model.edges("▁aaabaa"), 3.0, 0, logs)
+    assert dict(logs) == pytest.approx(dict(short))
+
+
 def test_letter_words():
     assert langid.letter_words("Ab-c1d_é ½x 漢字!") == ["ab", "c", "d", "é", "x", "漢字"]
     assert langid.letter_words(" 12 ½ !?") == []
