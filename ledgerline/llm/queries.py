@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontam, html_main, kdtree, langid, line_dedup, minhash, packing, token_count
+from . import bpe, chat, decontam, html_main, kdtree, langid, line_dedup, minhash, mixing, packing, token_count
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,12 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
 
 
+@query
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to weights 5, 2, 1 by source: the words that the mix takes of each."""
+    return mixing.document_totals(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 ORACLE_SQL["op2_minhash_near_dedup"] = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -163,3 +169,28 @@ scores AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+ORACLE_SQL["op11_source_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS key FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+weighed AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS weight FROM sources),
+-- a source is at its bound when giving every source the same multiple of its weight up to there stays within the share
+tried AS (
+  SELECT a.source, a.source_size, a.weight,
+    sum(least(2 * b.source_size * a.weight, 2 * a.source_size * b.weight)) * 2 <= 3 * a.weight * sum(b.source_size) AS bounded
+  FROM weighed a CROSS JOIN weighed b GROUP BY a.source, a.source_size, a.weight),
+shared AS (
+  SELECT coalesce(sum(source_size), 0) * 150 - 200 * coalesce(sum(source_size) FILTER (bounded), 0) AS spare, sum(weight) FILTER (NOT bounded) AS open FROM tried),
+targets AS (
+  SELECT t.source, t.source_size, CASE WHEN bounded THEN 2.0::DOUBLE * t.source_size::DOUBLE
+    ELSE (s.spare * t.weight)::DOUBLE / (100 * s.open)::DOUBLE END AS target FROM tried t, shared s),
+tape AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS words,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(start + size, words) - start) + greatest(0, least(start + source_size + size, words) - start - source_size))::BIGINT AS taken
+FROM tape
+"""

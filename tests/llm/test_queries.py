@@ -18,6 +18,7 @@ FIRST_COLUMNS = {
     "op8": ["doc_id", "n_lines", "n_removed", "n_chars", "text_sha256"],
     "op9": ["page_id", "url", "text", "n_chars"],
     "op10": ["query_id", "rank", "vec_id", "score"],
+    "op11": ["doc_id", "size", "source_size", "target", "taken"],
 }
 
 
