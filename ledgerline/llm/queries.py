@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontam, html_main, kdtree, langid, line_dedup, minhash, mixing, packing, token_count
+from . import bpe, chat, decontam, html_main, kdtree, langid, line_dedup, minhash, mixing, packing, repair, token_count
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,12 @@ def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_totals(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations after the stated damage, their faults and cheapest repairs."""
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 ORACLE_SQL["op2_minhash_near_dedup"] = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

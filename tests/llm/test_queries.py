@@ -19,6 +19,7 @@ FIRST_COLUMNS = {
     "op9": ["page_id", "url", "text", "n_chars"],
     "op10": ["query_id", "rank", "vec_id", "score"],
     "op11": ["doc_id", "size", "source_size", "target", "taken"],
+    "op13": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 
 
