@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -95,6 +95,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def totals_before(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``df`` with the total of each of ``sums`` over all rows before it, in an order by range partitions.
+
+    Only one total per partition meets in one place.  The partitioned rows are
+    written, so that both readers see the same partitions.
+    """
+    ranged = stored(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .select("*", F.spark_partition_id().alias("_part"), *[v.alias(f"_{n}") for n, v in sums.items()]), "ranged")
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("_part").agg(*[F.sum(f"_{n}").alias(n) for n in sums])
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_part", *[F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(f"_{n}_start") for n in sums])
+    return (ranged.select("*", *[F.coalesce(F.sum(f"_{n}").over(inside), F.lit(0)).alias(f"_{n}_in") for n in sums])
+            .join(starts, "_part")
+            .select(*df.columns, *[(F.col(f"_{n}_in") + F.col(f"_{n}_start")).alias(n) for n in sums]))
+
+
 def text_hash(text: Column) -> Column:
     """Hash that tells apart rows sharing an id; null and empty text differ."""
     return F.xxhash64(text, text.isNull())

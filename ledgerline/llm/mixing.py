@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, totals_before
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -46,23 +46,6 @@ def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     return rows.groupBy("source", "key", "doc_id", "size").agg(F.count("*").alias("copies"))
 
 
-def _before(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
-    """``df`` with the total of each of ``sums`` over all rows before it, in an order by range partitions.
-
-    Only one total per partition meets in one place.  The partitioned rows are
-    written, so that both readers see the same partitions.
-    """
-    ranged = stored(df.repartitionByRange(*order).sortWithinPartitions(*order)
-                    .select("*", F.spark_partition_id().alias("_part"), *[v.alias(f"_{n}") for n, v in sums.items()]), "ranged")
-    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    parts = ranged.groupBy("_part").agg(*[F.sum(f"_{n}").alias(n) for n in sums])
-    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("_part", *[F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(f"_{n}_start") for n in sums])
-    return (ranged.select("*", *[F.coalesce(F.sum(f"_{n}").over(inside), F.lit(0)).alias(f"_{n}_in") for n in sums])
-            .join(starts, "_part")
-            .select(*df.columns, *[(F.col(f"_{n}_in") + F.col(f"_{n}_start")).alias(n) for n in sums]))
-
-
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_percent: int = SHARE_PERCENT, most: int = MOST) -> DataFrame:
     """One row per source of ``sizes`` (source, size): source, source_size, target (double) and words (long), the target rounded.
 
@@ -74,13 +57,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_percent:
     would not use up the share.
     """
     grouped = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    placed = _before(grouped, [F.col("source").asc_nulls_last()], {"place": F.lit(1).cast("long")})
+    placed = totals_before(grouped, [F.col("source").asc_nulls_last()], {"place": F.lit(1).cast("long")})
     weight = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
     # words by weight over one common denominator, so that the order is exact
     common = math.prod(weights)
     parts = F.element_at(F.array(*[F.lit(common // w).cast("long") for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
     ratio = F.col("source_size").cast("decimal(38,0)") * parts.cast("decimal(18,0)")
-    ordered = stored(_before(placed.select("source", "source_size", weight.alias("weight"), ratio.alias("ratio")), [F.col("ratio").asc(), F.col("source").asc_nulls_last()],
+    ordered = stored(totals_before(placed.select("source", "source_size", weight.alias("weight"), ratio.alias("ratio")), [F.col("ratio").asc(), F.col("source").asc_nulls_last()],
                              {"words_before": F.col("source_size"), "weight_before": F.col("weight")}), "sources")
     total = ordered.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("all_words"), F.coalesce(F.sum("weight"), F.lit(0)).alias("all_weight")).first()
     d = "decimal(38,0)"
@@ -128,7 +111,7 @@ def schedule(wanted: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     no source are left out.
     """
     blocks = F.floor((F.col("words") + F.lit(block_words - 1)) / F.lit(block_words)).cast("long")
-    owned = stored(_before(wanted.select("source", blocks.alias("blocks")).where("blocks > 0"), [F.col("source").asc_nulls_last()],
+    owned = stored(totals_before(wanted.select("source", blocks.alias("blocks")).where("blocks > 0"), [F.col("source").asc_nulls_last()],
                            {"first": F.col("blocks")}), "intervals")
     count = owned.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
     digits = max(count - 1, 0).bit_length()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontam, html_main, kdtree, langid, line_dedup, minhash, mixing, packing, repair, token_count
+from . import bpe, chat, collocations, decontam, html_main, kdtree, langid, line_dedup, minhash, mixing, packing, repair, token_count
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,12 @@ def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_totals(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two to four words of each language, over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations after the stated damage, their faults and cheapest repairs."""
@@ -200,3 +206,27 @@ SELECT doc_id, size, source_size, target,
   (greatest(0, least(start + size, words) - start) + greatest(0, least(start + source_size + size, words) - start - source_size))::BIGINT AS taken
 FROM tape
 """
+
+ORACLE_SQL["op12_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+grams AS (
+  SELECT lang, s.size AS size, w[i:i + s.size - 1] AS p FROM split, (VALUES (1), (2), (3), (4)) s(size), unnest(range(1, len(w) - s.size + 2)) AS u(i)),
+f AS (SELECT lang, size, p, count(*)::HUGEINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, p, size, f AS a, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+scored AS (
+  SELECT c.lang, c.p, c.a, c.k, l.f AS l, r.f AS r, 2000000 * c.a // (l.f + r.f) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.p = c.p[1:c.k] JOIN f r ON r.lang = c.lang AND r.p = c.p[c.k + 1:]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, p[i:i + len - 1] AS p, max(f) AS most
+  FROM f, unnest(range(2, size)) AS x(len), unnest(range(1, size - len + 2)) AS y(i) WHERE size > 2 GROUP BY 1, 2),
+kept AS (
+  SELECT s.lang, array_to_string(s.p, ' ') AS phrase, a, l, r, score FROM lowest s LEFT JOIN inner_ i ON i.lang = s.lang AND i.p = s.p
+  WHERE i.most IS NULL OR 100 * i.most < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

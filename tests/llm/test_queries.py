@@ -20,6 +20,7 @@ FIRST_COLUMNS = {
     "op10": ["query_id", "rank", "vec_id", "score"],
     "op11": ["doc_id", "size", "source_size", "target", "taken"],
     "op13": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
 }
 
 
