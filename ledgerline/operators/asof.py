@@ -1,61 +1,75 @@
-"""Role as of a date: look facts up in the latest role-table snapshot on or before their date.
-
-The role table is kept as dated snapshots (``snapshot_date``, whole table
-per date; see ``sources.snapshots``).  Instead of a range join or a window
-over each owner's facts, the lookup is two equi-joins:
-
-1. a day -> snapshot map for every day from the first snapshot up to the
-   day before the last one.  Its size is bounded by the calendar, not by the
-   facts, and it is size-checked before it is broadcast.  Facts dated on or
-   after the last snapshot take that snapshot directly;
-2. facts join the map on their date, then the snapshots on
-   (owner, snapshot_date).
+"""Role as of a date: dated role snapshots folded into intervals, and an as-of join by owner and date.
+
+The role table is kept as dated snapshots (the whole table per date; see
+``sources.snapshots``).  ``fold_snapshots`` turns them into rows with the days
+they were valid from and to: consecutive snapshots that say the same of an
+owner become one row, and a snapshot without the owner ends it.  A fact then
+meets the intervals of its owner alone: an equi-join on the owner, with the
+dates as a further condition, so the work per fact is the number of changes of
+one owner, not the number of snapshots or days.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dims import small_dimension
 
-CALENDAR_MAX_ROWS = 200_000  # ~550 years of days
 HISTORY_MAX_ROWS = 1_000_000
+OPEN_END = dt.date(9999, 12, 31)
+DATES_MAX_ROWS = 100_000
+
+
+def fold_snapshots(history: DataFrame, key: str, columns: tuple[str, ...], date_col: str = "snapshot_date",
+                   dates: DataFrame | None = None) -> DataFrame:
+    """key, ``columns``, valid_from and valid_to (NULL: until further notice) from dated snapshots.
+
+    ``dates`` (a column named as ``date_col``) adds snapshots that hold no row at all.
+    Two rows of a key on one date raise.  A NULL value is a value of its own.
+    """
+    days = history.select(date_col) if dates is None else history.select(date_col).unionByName(dates.select(date_col))
+    # one row per snapshot date: a calendar-bounded window
+    order = Window.orderBy(date_col)
+    calendar = small_dimension(
+        days.distinct().select(F.col(date_col).alias("_day"), F.row_number().over(order).alias("_no"), F.lead(date_col).over(order).alias("_next")),
+        "_day", DATES_MAX_ROWS, "snapshot dates")
+    rows = history.select(key, *columns, F.col(date_col).alias("_day")).join(calendar, "_day")
+    same = Window.partitionBy(key).orderBy("_day")
+    unbroken = F.lag("_no").over(same) == F.col("_no") - 1
+    for c in columns:
+        unbroken = unbroken & F.lag(c).over(same).eqNullSafe(F.col(c))
+    twice = F.when(F.lag("_no").over(same) == F.col("_no"), F.raise_error(F.concat(F.lit(f"{key} stands twice in one snapshot: "), F.col(key).cast("string"))))
+    marked = rows.select("*", F.coalesce(twice.cast("int"), F.when(unbroken, 0).otherwise(1)).alias("_new"))
+    runs = marked.select("*", F.sum("_new").over(same.rowsBetween(Window.unboundedPreceding, 0)).alias("_run"))
+    last = F.max(F.coalesce(F.col("_next"), F.lit(OPEN_END)))
+    return runs.groupBy(key, "_run", *columns).agg(F.min("_day").alias("valid_from"), last.alias("_end")).select(
+        key, *columns, "valid_from", F.when(F.col("_end") < F.lit(OPEN_END), F.date_sub("_end", 1)).alias("valid_to"))
 
 
-def snapshot_dates(history: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
-    """Distinct snapshot dates of a dated history table."""
-    return history.select(F.col(date_col).alias("snapshot_date")).distinct()
+def valid_on(day) -> Column:
+    """Whether ``day`` lies in the interval of the row."""
+    d = F.col(day) if isinstance(day, str) else day
+    return (d >= F.col("valid_from")) & (F.col("valid_to").isNull() | (d <= F.col("valid_to")))
 
 
-def snapshot_day_map(history: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
-    """(day, snapshot_date) for every day from the first snapshot to the day before the last."""
-    # one row per snapshot date: a tiny, calendar-bounded window
-    nxt = F.lead("snapshot_date").over(Window.orderBy("snapshot_date"))
-    spans = snapshot_dates(history, date_col).select("snapshot_date", F.date_sub(nxt, 1).alias("valid_to"))
-    days = spans.filter(F.col("valid_to").isNotNull() & (F.col("valid_to") >= F.col("snapshot_date"))).select(
-        "snapshot_date", F.explode(F.sequence("snapshot_date", "valid_to")).alias("day"))
-    return small_dimension(days, "day", CALENDAR_MAX_ROWS, "snapshot day map")
+def join_as_of(facts: DataFrame, intervals: DataFrame, fact_key: str, date_col: str, key: str, columns: tuple[str, ...]) -> DataFrame:
+    """``facts`` with ``columns``, valid_from and valid_to of the interval of their key that holds their date; NULLs where there is none.
+
+    The intervals are broadcast when they pass the size check; otherwise the
+    join shuffles by key and AQE splits a key that holds many facts.
+    """
+    right = small_dimension(intervals.select(F.col(key).alias("_key"), *columns, "valid_from", "valid_to"), None, HISTORY_MAX_ROWS, "role intervals")
+    return facts.join(right, (F.col(fact_key) == F.col("_key")) & valid_on(date_col), "left").drop("_key")
 
 
 def role_as_of(facts: DataFrame, history: DataFrame, owner_col: str, date_col: str,
-               key: str = "sales_owner", columns=("role", "team")) -> DataFrame:
-    """Add ``snapshot_date`` and ``columns`` of the owner's row in the latest snapshot on or before each fact's date.
+               key: str = "sales_owner", columns: tuple[str, ...] = ("role", "team"), dates: DataFrame | None = None) -> DataFrame:
+    """Add ``columns`` of the owner's row in the latest snapshot on or before each fact's date, and the days that row was valid.
 
-    Facts dated before the first snapshot, or whose owner is absent from
-    that snapshot, get NULLs (left joins).
+    Facts dated before the first snapshot, or whose owner is absent from the
+    snapshot that counts, get NULLs.
     """
-    last = snapshot_dates(history).agg(F.max("snapshot_date").alias("last")).first()["last"]
-    if last is None:
-        return facts.select("*", F.lit(None).cast("date").alias("snapshot_date"),
-                            *[F.lit(None).cast("string").alias(c) for c in columns])
-    day_map = snapshot_day_map(history)
-    with_snap = facts.join(day_map, facts[date_col] == day_map["day"], "left").drop("day")
-    with_snap = with_snap.withColumn(
-        "snapshot_date", F.when(F.col(date_col) >= F.lit(last), F.lit(last)).otherwise(F.col("snapshot_date")))
-    # owners x snapshots: broadcast when it passes the size check, otherwise a shuffle join
-    h = small_dimension(history.select(F.col(key).alias("_owner"), F.col("snapshot_date").alias("_snap"), *columns),
-                        None, HISTORY_MAX_ROWS, "role history")
-    out = with_snap.join(h, (with_snap[owner_col] == h["_owner"]) & (with_snap["snapshot_date"] == h["_snap"]),
-                         "left")
-    return out.drop("_owner", "_snap")
+    return join_as_of(facts, fold_snapshots(history, key, columns, dates=dates), owner_col, date_col, key, columns)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import periods as P
@@ -61,6 +61,71 @@ def expand_backlog(summary: DataFrame, curve: DataFrame, last_day: int = 365) ->
     )
 
 
+def cumulative_shares(curve: DataFrame, last_day: int = 365) -> DataFrame:
+    """Running sums of a curve: one row per day from -1 to ``last_day`` with the shares and the curve days up to it.
+
+    What a span of days earns is then the difference of two rows.  Shares are
+    exact decimals, so a difference of sums equals the sum over the span.  Each
+    curve day is counted for every later day, a table bounded by the curve.
+    """
+    day = F.col("days_since_activation")
+    own = curve.filter(day.between(0, last_day)).select(day.alias("own"), curve_share("first_year_sold_pct").alias("share"))
+    start = curve.sparkSession.range(1).select(F.lit(-1).alias("day"), F.lit(0).cast("decimal(14,12)").alias("share"), F.lit(0).alias("n"))
+    until = own.select(F.explode(F.sequence("own", F.lit(last_day))).alias("day"), "share", F.lit(1).alias("n"))
+    # days that the curve lacks still stand in the table, with the sums so far
+    every = curve.sparkSession.range(last_day + 1).select(F.col("id").cast("int").alias("day"), F.lit(0).cast("decimal(14,12)").alias("share"), F.lit(0).alias("n"))
+    sums = start.unionByName(every).unionByName(until).groupBy("day").agg(
+        F.sum("share").cast("decimal(16,12)").alias("share_until"), F.sum("n").cast("int").alias("days_until"))
+    return sums
+
+
+def backlog_spans(summary: DataFrame, sums: DataFrame, cuts: list[Column], weeks: bool = False, first: dt.date | None = None,
+                  last_day: int = 365) -> DataFrame:
+    """Remaining first-year revenue per merchant, category and span of days, without a row per day.
+
+    A row's days from its current age to ``last_day`` (from ``first`` on, if
+    given) are cut at each date of ``cuts`` (columns over ``summary``; NULLs cut
+    nothing) and, with ``weeks``, at finance weeks and quarters.  Flags that
+    change on those dates only are constant in a span.  Columns: those of the
+    summary, ``span_start``, ``span_end``, ``n_days`` and the exact
+    ``backlog_amount``: the estimate times the difference of two running sums
+    (``cumulative_shares``).  Spans without a day of the curve drop out.
+    """
+    s = small_dimension(sums, "day", CURVE_MAX_ROWS, "curve sums")
+    age, act = F.col("days_since_activation"), F.col("sales_activation_date")
+    begin = F.date_add(act, age) if first is None else F.greatest(F.date_add(act, age), F.lit(first))
+    rows = summary.filter(age.between(0, last_day)).select(
+        "*", *[c.alias(f"_cut{i}") for i, c in enumerate(cuts)], begin.alias("_from"), F.date_add(act, last_day).alias("_to"))
+    rows = rows.filter(F.col("_from") <= F.col("_to"))
+    points = [F.col(f"_cut{i}") for i in range(len(cuts))]
+    if weeks:
+        week = F.explode(F.sequence(P.finance_week_start("_from"), F.col("_to"), F.expr("INTERVAL 7 DAYS")))
+        rows = rows.withColumn("_week", week).select(
+            *[c for c in rows.columns if c not in ("_from", "_to")], F.greatest("_from", "_week").alias("_from"),
+            F.least(F.col("_to"), F.date_add("_week", 6)).alias("_to"))
+        points.append(F.trunc("_to", "quarter"))  # a week meets one quarter start at most
+    # the starts of the spans: the first day, and each cut behind it that no earlier one of the list names
+    starts = [F.col("_from")]
+    for i, c in enumerate(points):
+        inside = (c > F.col("_from")) & (c <= F.col("_to"))
+        for other in points[:i]:
+            inside = inside & ~F.coalesce(c == other, F.lit(False))
+        starts.append(F.when(inside, c))
+    spans = rows.select("*", F.array(*starts).alias("_starts")).select("*", F.explode("_starts").alias("span_start")).filter(F.col("span_start").isNotNull())
+    after = [F.when(c > F.col("span_start"), F.date_sub(c, 1)) for c in points]
+    spans = spans.select(*summary.columns, "span_start", F.least(F.col("_to"), *after).alias("span_end") if after else F.col("_to").alias("span_end"))
+    lo = s.select(F.col("day").alias("_lo"), F.col("share_until").alias("_share_lo"), F.col("days_until").alias("_days_lo"))
+    hi = s.select(F.col("day").alias("_hi"), F.col("share_until").alias("_share_hi"), F.col("days_until").alias("_days_hi"))
+    joined = (spans.join(lo, F.datediff("span_start", "sales_activation_date") - 1 == F.col("_lo"))
+              .join(hi, F.datediff("span_end", "sales_activation_date") == F.col("_hi")))
+    share = (F.col("_share_hi") - F.col("_share_lo")).cast("decimal(16,12)")
+    return joined.select(
+        *[c for c in summary.columns if c != "first_year_npv"], "span_start", "span_end",
+        (F.col("_days_hi") - F.col("_days_lo")).alias("n_days"),
+        (units_to_money(to_units("first_year_est_npv")) * share).alias("backlog_amount"),
+    ).filter(F.col("n_days") > 0)
+
+
 def expand_pipeline(pipe: DataFrame, curve: DataFrame, first: int = 0, last: int = 364,
                     start_col: str = "opportunity_expected_go_live_date", amount_col: str = "expected_amount") -> DataFrame:
     """One row per curve day ``first..last`` after the expected go-live date.

@@ -105,14 +105,9 @@ def first_year_sold(t: Tables, p: ReportParams) -> DataFrame:
 
 @register("age_flags_with_end_date")
 def age_flags_with_end_date(t: Tables, p: ReportParams) -> DataFrame:
-    """O-5c: backlog days per merchant and flag value, flags zeroed from the end date on."""
-    daily = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=True)
-    f, act, end = "fcst_date", "sales_activation_date", F.col("backlog_end_date")
-    return daily.groupBy(
-        "sales_merchant_id", "sales_category",
-        P.ninety_day_live(act, f, end).alias("ninety_day_live"),
-        P.first_year_sold(act, f, end).alias("first_year_sold"),
-    ).agg(F.count(F.lit(1)).alias("n_days"))
+    """O-5c: backlog days per merchant, category and age flags, which an end date switches off."""
+    spans = R.report_backlog_spans(R.backlog_processing_volume(t, p), t, p)
+    return spans.groupBy("sales_merchant_id", "sales_category", *R.span_flags(p)[:2]).agg(F.sum("n_days").alias("n_days"))
 
 
 # ----------------------------------------------------------------------------- segments (O-6..O-10)
@@ -276,7 +271,7 @@ def q_backlog_summary(t: Tables, p: ReportParams) -> DataFrame:
 @register("backlog_curve_expand")
 def backlog_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
     """O-20: remaining first-year revenue per merchant, category and future day."""
-    d = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=False)
+    d = R.daily_backlog(R.backlog_processing_volume(t, p), t, p)
     return d.select("fcst_date", "sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
                     money("backlog_amount").alias("backlog_npv"))
 
@@ -303,10 +298,8 @@ def new_npv_processing(t: Tables, p: ReportParams) -> DataFrame:
 @register("new_npv_backlog")
 def new_npv_backlog(t: Tables, p: ReportParams) -> DataFrame:
     """O-22b: backlog days per merchant and new-NPV flag value."""
-    d = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=False)
-    return d.groupBy("sales_merchant_id", "sales_category",
-                     P.new_npv("orig_activation", p, fcst="fcst_date").alias("newNPV")).agg(
-        F.count(F.lit(1)).alias("n_days"))
+    spans = R.report_backlog_spans(R.backlog_processing_volume(t, p), t, p)
+    return spans.groupBy("sales_merchant_id", "sales_category", R.span_flags(p)[2]).agg(F.sum("n_days").alias("n_days"))
 
 
 @register("new_npv_pipeline")
@@ -528,9 +521,8 @@ def ninety_day_forecast_by_team(t: Tables, p: ReportParams) -> DataFrame:
 @register("expected_end_date")
 def expected_end_date(t: Tables, p: ReportParams) -> DataFrame:
     """Merchants with an expected end date: backlog revenue on or after that date (flags stop counting it)."""
-    d = R.daily_backlog(R.backlog_processing_volume(t, p), t, p, with_end_dates=True)
-    d = d.filter(F.col("backlog_end_date").isNotNull())
-    after = F.col("fcst_date") >= F.col("backlog_end_date")
-    return d.groupBy("sales_merchant_id", "backlog_end_date").agg(
+    spans = R.report_backlog_spans(R.backlog_processing_volume(t, p), t, p).filter(F.col("backlog_end_date").isNotNull())
+    after = F.col("span_start") >= F.col("backlog_end_date")
+    return spans.groupBy("sales_merchant_id", "backlog_end_date").agg(
         money(F.coalesce(F.sum(F.when(after, F.col("backlog_amount"))), F.lit(0))).alias("backlog_after_end"),
         money(F.coalesce(F.sum("backlog_amount"), F.lit(0))).alias("backlog_total"))

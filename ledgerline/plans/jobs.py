@@ -6,16 +6,20 @@ shared scratch area and returns the table read back from storage.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.asof import fold_snapshots, join_as_of
+from ..operators.changes import changes
 from ..params import ReportParams
-from ..sources.snapshots import SNAPSHOT_COL, read_snapshot, snapshot_dates, write_snapshot
+from ..sources import fixtures
+from ..sources.snapshots import SNAPSHOT_COL, publish, read_snapshot, snapshot_dates, write_snapshot
 from ..sources.tables import Tables
+from ..sources.uploads import CSV_READ, CSV_WRITE
 from . import reports as R
 
-from ..sources.uploads import CSV_READ, CSV_WRITE  # noqa: E402
-
 
 def weekly_processing_snapshot_job(t: Tables, p: ReportParams, path: str | None = None) -> DataFrame:
     """J-7: write this week's processing snapshot; return it read back."""
@@ -51,6 +55,30 @@ def two_weekly_runs(t: Tables, p: ReportParams) -> DataFrame:
     return snapshot_rotation(t, p, path)
 
 
+# what names a row of the weekly snapshot, and what else may change beside its revenue
+SNAPSHOT_KEYS = ["sales_merchant_id", "year", "quarter", "finance_week", "activation_date", "ninety_day_live", "first_year_sold"]
+SNAPSHOT_ATTRIBUTES = ["region", "country", "sub_region", "vertical", "owner", "sales_role", "sales_location", "merchant_name"]
+
+
+def snapshot_changes(t: Tables, path: str, before: dt.date, after: dt.date) -> DataFrame:
+    """R-2, as stored: what changed between two dates of a stored weekly snapshot table.
+
+    Both sides are read as they were written, so restated weeks, merchants that
+    moved or left and late captures all show.
+    """
+    return changes(read_snapshot(t.spark, path, before), read_snapshot(t.spark, path, after), SNAPSHOT_KEYS, ["npv_fixed_fx"], SNAPSHOT_ATTRIBUTES)
+
+
+def change_since_midweek(t: Tables, p: ReportParams, days: int = 10) -> DataFrame:
+    """R-2 between a run ``days`` before the report date, with the role table of then, and that of the report date."""
+    path, then = t.output_path("changes_weekly_processing"), p.shifted(-days)
+    if not snapshot_dates(t.spark, path):
+        roles = fixtures.team_role_on(t.spark, t.source_dir, max(d for d in fixtures.ROLE_DATES if d <= then.as_of))
+        write_snapshot(R.weekly_snapshot(t, then, team=roles), path, then.as_of)
+    write_snapshot(R.weekly_processing_snapshot(t, p), path, p.as_of)
+    return snapshot_changes(t, path, then.as_of, p.as_of)
+
+
 def upsell_table_rotation(t: Tables, p: ReportParams, path: str | None = None,
                           upload_path: str | None = None) -> DataFrame:
     """J-11: read this week's upsell upload (CSV, declared schema) and store it as this week's snapshot.
@@ -80,28 +108,40 @@ def deal_level_export(t: Tables, p: ReportParams, path: str | None = None) -> Da
     path = path or t.output_path("deal_level_export")
     deals = R.deal_signed_report(t, p)
     schema = deals.schema.add(SNAPSHOT_COL, "date")
-    (deals.withColumn(SNAPSHOT_COL, F.lit(p.as_of))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .options(**CSV_WRITE).partitionBy(SNAPSHOT_COL).csv(path))
+    publish(t.spark, path, p.as_of, lambda folder: deals.write.options(**CSV_WRITE).csv(folder),
+            lambda folder: t.spark.read.schema(deals.schema).options(**CSV_READ).csv(folder).count())
     back = t.spark.read.schema(schema).options(**CSV_READ).csv(path)
     return back.filter(F.col(SNAPSHOT_COL) == F.lit(p.as_of))
 
 
 def role_history(t: Tables, p: ReportParams, path: str | None = None) -> DataFrame:
-    """Dated role-table snapshots up to the report date, this run's maintained table among them.
+    """Dated role-table snapshots up to the report date: the uploads of earlier dates, and this run's maintained table.
 
-    A table without any snapshot first gets the uploaded roles as those of the week before.
+    A table without any snapshot first gets the uploads on record, oldest first.
     """
     path = path or t.output_path("role_history")
     if not snapshot_dates(t.spark, path):
-        write_snapshot(t.team_role.select("sales_owner", "role", "team"), path, p.shifted(-7).as_of)
+        for date in fixtures.ROLE_DATES:
+            if date < p.as_of:
+                write_snapshot(fixtures.team_role_on(t.spark, t.source_dir, date), path, date)
     write_snapshot(R.team_role_fix(t), path, p.as_of)
     return t.spark.read.parquet(path).filter(F.col(SNAPSHOT_COL) <= F.lit(p.as_of))
 
 
-def deal_roles_as_of_close(t: Tables, p: ReportParams) -> DataFrame:
-    """R-6: each deal's owner role and team as of the deal's close date, from the dated role snapshots."""
-    from ..operators.asof import role_as_of
+def stored_dates(t: Tables, path: str, p: ReportParams) -> DataFrame:
+    """Dates of a snapshot table up to the report date, those of empty snapshots too."""
+    days = [(d,) for d in snapshot_dates(t.spark, path) if d <= p.as_of]
+    return t.spark.createDataFrame(days, f"{SNAPSHOT_COL} date")
 
+
+def role_intervals(t: Tables, p: ReportParams) -> DataFrame:
+    """R-6: the stored role history as intervals: owner, role, team, valid_from, valid_to."""
+    path = t.output_path("role_history")
+    history = role_history(t, p, path)
+    return fold_snapshots(history, "sales_owner", ("role", "team"), dates=stored_dates(t, path, p))
+
+
+def deal_roles_as_of_close(t: Tables, p: ReportParams) -> DataFrame:
+    """R-6: each deal's owner role and team as of the deal's close date, and since and until when the owner held them."""
     deals = t.opportunities.select("opportunity", "opportunity_owner", "opportunity_close_date")
-    return role_as_of(deals, role_history(t, p), "opportunity_owner", "opportunity_close_date")
+    return join_as_of(deals, role_intervals(t, p), "opportunity_owner", "opportunity_close_date", "sales_owner", ("role", "team"))

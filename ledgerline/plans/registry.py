@@ -54,9 +54,11 @@ from . import jobs as J  # noqa: E402
 register("weekly_processing_snapshot")(J.weekly_processing_snapshot_job)
 register("weekly_upsell_snapshot")(J.weekly_upsell_snapshot_job)
 register("snapshot_rotation")(J.two_weekly_runs)
+register("snapshot_changes")(J.change_since_midweek)
 register("upsell_table_rotation")(J.upsell_table_rotation)
 register("team_role_maintenance")(J.team_role_maintenance)
 register("deal_level_export")(J.deal_level_export)
 register("owners_missing_role")(lambda t, p: R.owners_missing_role(t))
 register("team_role_upsert")(lambda t, p: R.team_role_fix(t))
+register("role_intervals")(J.role_intervals)
 register("deal_roles_as_of_close")(J.deal_roles_as_of_close)

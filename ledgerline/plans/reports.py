@@ -33,7 +33,7 @@ from ..operators.attribution import (
     merchant_attribution,
     processing_volume,
 )
-from ..operators.curves import backlog_summary, curve_weeks, expand_backlog, expand_pipeline
+from ..operators.curves import backlog_spans, backlog_summary, cumulative_shares, curve_weeks, expand_backlog, expand_pipeline
 from ..operators.dims import check_unique, merchant_level, small_dimension
 from ..operators.enrich import (
     countries_by,
@@ -113,7 +113,7 @@ def prepare_shared(t: Tables) -> None:
     Optional: each table is otherwise written by the first report that needs it.
     """
     builders = (
-        daily_payments, daily_margin, crm_special_dates, crm_first_contact, crm_opportunity_totals,
+        daily_payments, daily_margin, crm_special_dates, crm_first_contact, crm_opportunity_totals, curve_sums,
         # dimension checks (memoised) the reports run before broadcasting
         lambda x: check_unique(x.merchants.select("merchant_id"), "merchant_id", "merchants"),
         lambda x: countries_by(x.country_codes, "code"),
@@ -227,30 +227,47 @@ def processing_report(t: Tables, p: ReportParams) -> DataFrame:
     return processing_report_from(report_processing_volume(t, p, start), t, p)
 
 
-def daily_backlog(pv: DataFrame, t: Tables, p: ReportParams, with_end_dates: bool = True) -> DataFrame:
+def curve_sums(t: Tables) -> DataFrame:
+    """Running sums of the backlog curve, written once per dataset."""
+    return t.derived("backlog_curve_sums", lambda x: cumulative_shares(x.backlog_curve))
+
+
+def _ending_summary(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
+    ends = crm_special_dates(t).select("sales_merchant_id", "backlog_end_date")
+    return backlog_summary(pv, t.backlog_curve, p.as_of).join(ends, "sales_merchant_id", "left")
+
+
+def daily_backlog(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
     """Remaining first-year revenue per merchant, category and future day."""
-    summary = backlog_summary(pv, t.backlog_curve, p.as_of)
-    if with_end_dates:
-        ends = crm_special_dates(t).select("sales_merchant_id", "backlog_end_date")
-        summary = summary.join(ends, "sales_merchant_id", "left")
-    return expand_backlog(summary, t.backlog_curve)
+    return expand_backlog(backlog_summary(pv, t.backlog_curve, p.as_of), t.backlog_curve)
+
+
+def report_backlog_spans(pv: DataFrame, t: Tables, p: ReportParams, weeks: bool = False, first=None) -> DataFrame:
+    """Backlog per merchant, category and span of days, cut where an age flag, the new-NPV flag or the end date changes."""
+    cuts = [F.date_add("sales_activation_date", 91), F.col("backlog_end_date"), F.lit(p.fy_end + dt.timedelta(days=1))]
+    return backlog_spans(_ending_summary(pv, t, p), curve_sums(t), cuts, weeks, first)
+
+
+def span_flags(p: ReportParams) -> list:
+    """The flags of a backlog span, from its first day."""
+    act, day, end = "sales_activation_date", F.col("span_start"), F.col("backlog_end_date")
+    return [P.ninety_day_live(act, day, end).alias("ninety_day_live"), P.first_year_sold(act, day, end).alias("first_year_sold"),
+            P.new_npv("orig_activation", p, fcst=day).alias("newNPV")]
 
 
 def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
-    """J-4 body over a given processing volume."""
-    daily = daily_backlog(pv, t, p)
-    f = F.col("fcst_date")
-    end = F.col("backlog_end_date")
+    """J-4 body over a given processing volume.
+
+    A merchant's weeks come from its estimate and running sums of the curve;
+    no daily rows are made.
+    """
     weekly = (
-        daily.filter(f >= F.lit(p.report_start))
+        report_backlog_spans(pv, t, p, weeks=True, first=p.report_start)
         .groupBy(
             # orig_activation is constant per merchant; keeping it in the key lets the
             # weekly sums reuse the partitioning of the backlog summary
             "sales_merchant_id", "sales_category", "sales_activation_date", "orig_activation",
-            *P.week_bucket_keys(f),
-            P.ninety_day_live("sales_activation_date", f, end).alias("ninety_day_live"),
-            P.first_year_sold("sales_activation_date", f, end).alias("first_year_sold"),
-            P.new_npv("orig_activation", p, fcst=f).alias("newNPV"),
+            *P.week_bucket_keys(F.col("span_start")), *span_flags(p),
         )
         .agg(F.sum("backlog_amount").alias("amount"))
         .select("*", *P.week_bucket_labels())
@@ -519,11 +536,12 @@ SNAPSHOT_COLUMNS = (
 )
 
 
-def weekly_snapshot(t: Tables, p: ReportParams, upsell: bool = False) -> DataFrame:
+def weekly_snapshot(t: Tables, p: ReportParams, upsell: bool = False, team: DataFrame | None = None) -> DataFrame:
     """J-7 / J-8 body: weekly revenue per merchant and segment (captures in [history_start, as_of)).
 
     With ``upsell`` only merchants with an included upsell count; the
     activation date is the upsell date and the revenue is the upsell share.
+    ``team`` takes the place of the current role table (that of an earlier week).
     """
     daily = payments_daily(t, p.history_start, p.as_of)
     m = t.merchants.filter(F.col("sales__is_sold") == F.lit(True)).select(
@@ -541,7 +559,8 @@ def weekly_snapshot(t: Tables, p: ReportParams, upsell: bool = False) -> DataFra
         P.ninety_day_live("activation_date", d).alias("ninety_day_live"),
         P.first_year_sold("activation_date", d).alias("first_year_sold"),
     ).agg(F.sum(amount).alias("npv")).select("*", *P.week_bucket_labels(p.as_of))
-    seg = report_segments(t, "E", "E", False, p.exclude_roles)
+    seg = (report_segments(t, "E", "E", False, p.exclude_roles) if team is None
+           else segment_dimension(t.merchants, t.country_codes, team, None, "E", "E", p.exclude_roles))
     j = weekly.join(seg.drop("first_opportunity_created_date"), "sales_merchant_id")
     return j.select(
         F.lit("weekly_processing").alias("data_type"), "year", "quarter", "finance_week", "qtd",

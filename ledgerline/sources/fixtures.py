@@ -71,6 +71,9 @@ LATE_EVERY = 29
 LATE_BASE = dt.date(1999, 10, 1)
 # deals of every LARGE_EVERY-th key are a thousand times as large
 LARGE_EVERY = 101
+# dates of the uploaded role tables kept as history
+ROLE_DATES = (dt.date(1995, 1, 1), dt.date(1996, 1, 7), dt.date(1996, 11, 3), dt.date(1997, 6, 1), dt.date(1998, 2, 1),
+              dt.date(1998, 9, 6), dt.date(1999, 7, 4), dt.date(1999, 12, 26))
 CURVE_DAYS = 366
 CURVE_WEIGHT = float(CURVE_DAYS * (CURVE_DAYS + 1) // 2)  # sum of CURVE_DAYS - day over the days
 # ---------------------------------------------------------------------------
@@ -232,6 +235,22 @@ def team_role(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def team_role_on(spark: SparkSession, sf_dir: str, date: dt.date) -> DataFrame:
+    """The role table as it was uploaded on one of ``ROLE_DATES``: owners join, leave, and change role and team between them."""
+    n = ROLE_DATES.index(date)
+    k = F.col("s_suppkey")
+    step = k + F.floor((k % 4 + n) / F.lit(3))  # each owner changes at its own dates
+    return (
+        read_raw(spark, sf_dir, "supplier")
+        .filter((k % 10 != 9) & ((k % 17 != 5) | (k % 5 < n)) & ((k % 13 != 7) | (F.lit(n) % 3 != 2)))
+        .select(
+            F.col("s_name").alias("sales_owner"),
+            F.when(step % 5 == 0, F.lit("NBA")).when(step % 5 == 1, F.lit("AM")).otherwise(F.lit("AE")).alias("role"),
+            F.when((k + (F.lit(n) / 4).cast("int")) % 2 == 0, F.lit("Hub")).otherwise(F.lit("In-country")).alias("team"),
+        )
+    )
+
+
 def upsells(merchants_df: DataFrame) -> DataFrame:
     """Upsell list derived from the merchant dimension."""
     m = F.col("merchant_id")

@@ -6,6 +6,8 @@ import datetime as dt
 
 from ledgerline.params import DEFAULT_PARAMS as P
 
+from ledgerline.sources.fixtures import ROLE_DATES
+
 from .queries import (
     MARGIN,
     PIPELINE_TABLES,
@@ -19,6 +21,7 @@ from .queries import (
     pipeline_select,
     processing_select,
     report_ctes,
+    weekly_snapshot_sql,
 )
 from .sqlparts import (
     DEAL_TOTALS,
@@ -268,16 +271,56 @@ SELECT b.merchant AS sales_merchant_id, o.backlog_end_date,
 FROM backlog_days b JOIN overrides o ON o.sales_merchant_id = b.merchant AND o.backlog_end_date IS NOT NULL
 GROUP BY ALL"""
 
-_WEEK_BEFORE = P.shifted(-7).as_of
-SQL["deal_roles_as_of_close"] = with_tables(["merchants", "opportunities", "team_role"], [
-    ("history", f"""
-SELECT sales_owner, role, team, {D(_WEEK_BEFORE)} AS snapshot_date FROM team_role
-UNION ALL
-SELECT sales_owner, role, team, {D(P.as_of)} AS snapshot_date FROM ({ROLE_FIX}
-) fixed"""),
-]) + """
-SELECT o.opportunity, o.opportunity_owner, o.opportunity_close_date, s.snapshot_date, h.role, h.team
+# R-6: one table per date, looked up by the latest date that is not later
+def uploaded_roles(n: int) -> str:
+    return f"""
+SELECT s_name AS sales_owner,
+  CASE (s_suppkey + (s_suppkey % 4 + {n}) // 3) % 5 WHEN 0 THEN 'NBA' WHEN 1 THEN 'AM' ELSE 'AE' END AS role,
+  CASE WHEN (s_suppkey + {n} // 4) % 2 = 0 THEN 'Hub' ELSE 'In-country' END AS team, {D(ROLE_DATES[n])} AS snapshot_date
+FROM supplier WHERE s_suppkey % 10 <> 9 AND NOT (s_suppkey % 17 = 5 AND s_suppkey % 5 >= {n}) AND NOT (s_suppkey % 13 = 7 AND {n} % 3 = 2)"""
+
+
+_UPLOADED = "\nUNION ALL\n".join(uploaded_roles(n) for n in range(len(ROLE_DATES)))
+ROLE_TABLES = with_tables(["merchants", "opportunities", "team_role"], [
+    ("history", f"{_UPLOADED}\nUNION ALL\nSELECT sales_owner, role, team, {D(P.as_of)} FROM ({ROLE_FIX}\n) fixed"),
+    ("dates", "SELECT DISTINCT snapshot_date FROM history"),
+    # every owner on every date, with what the table of that date says, and on how many dates it changed up to then
+    ("told", """
+SELECT o.sales_owner, d.snapshot_date, h.sales_owner IS NOT NULL AS listed, h.role, h.team
+FROM (SELECT DISTINCT sales_owner FROM history) o CROSS JOIN dates d
+LEFT JOIN history h ON h.sales_owner = o.sales_owner AND h.snapshot_date = d.snapshot_date"""),
+    ("counted", """
+SELECT *, sum(CAST((listed, role, team) IS DISTINCT FROM before AS INTEGER)) OVER (PARTITION BY sales_owner ORDER BY snapshot_date) AS part
+FROM (SELECT *, lag((listed, role, team)) OVER (PARTITION BY sales_owner ORDER BY snapshot_date) AS before FROM told)"""),
+    ("spans", """
+SELECT sales_owner, any_value(role) AS role, any_value(team) AS team, min(snapshot_date) AS valid_from,
+  CAST((SELECT min(snapshot_date) FROM dates WHERE snapshot_date > max(c.snapshot_date)) - 1 AS DATE) AS valid_to
+FROM counted c WHERE listed GROUP BY sales_owner, part"""),
+])
+SQL["role_intervals"] = ROLE_TABLES + "SELECT * FROM spans"
+SQL["deal_roles_as_of_close"] = ROLE_TABLES + """
+SELECT o.opportunity, o.opportunity_owner, o.opportunity_close_date, h.role, h.team, p.valid_from, p.valid_to
 FROM opportunities o
-LEFT JOIN LATERAL (SELECT max(snapshot_date) AS snapshot_date FROM (SELECT DISTINCT snapshot_date FROM history) d
-                   WHERE d.snapshot_date <= o.opportunity_close_date) s ON true
-LEFT JOIN history h ON h.sales_owner = o.opportunity_owner AND h.snapshot_date = s.snapshot_date"""
+LEFT JOIN LATERAL (SELECT max(snapshot_date) AS day FROM dates WHERE snapshot_date <= o.opportunity_close_date) s ON true
+LEFT JOIN history h ON h.sales_owner = o.opportunity_owner AND h.snapshot_date = s.day
+LEFT JOIN spans p ON p.sales_owner = h.sales_owner AND s.day BETWEEN p.valid_from AND coalesce(p.valid_to, s.day)"""
+
+# R-2 between two stored snapshots: every row of either side beside its like of the other
+_THEN = P.shifted(-10).as_of
+_NAMES = ["npv_fixed_fx", "region", "country", "sub_region", "vertical", "owner", "sales_role", "sales_location", "merchant_name"]
+_CHANGED = ", ".join(f"CASE WHEN old.{c} IS DISTINCT FROM new.{c} THEN '{c}' END" for c in _NAMES)
+_KEYS = ["sales_merchant_id", "year", "quarter", "finance_week", "activation_date", "ninety_day_live", "first_year_sold"]
+SQL["snapshot_changes"] = with_tables(["payments", "merchants", "country_codes", "team_role"], [
+    ("roles_then", uploaded_roles(max(n for n, d in enumerate(ROLE_DATES) if d <= _THEN))),
+    ("old", weekly_snapshot_sql(as_of=_THEN).replace("team_role seat", "roles_then seat")),
+    ("new", weekly_snapshot_sql()),
+    ("paired", f"""
+SELECT {", ".join(f"coalesce(new.{k}, old.{k}) AS {k}" for k in _KEYS)},
+  CASE WHEN old.snapshot_date IS NULL THEN 'added' WHEN new.snapshot_date IS NULL THEN 'gone' ELSE 'restated' END AS status,
+  concat_ws(',', {_CHANGED}) AS changed, old.npv_fixed_fx AS npv_fixed_fx_before, new.npv_fixed_fx AS npv_fixed_fx_after
+FROM old FULL JOIN new ON {" AND ".join(f"old.{k} IS NOT DISTINCT FROM new.{k}" for k in _KEYS)}"""),
+]) + """
+SELECT * REPLACE (CASE WHEN status = 'restated' THEN changed ELSE '' END AS changed, CAST(npv_fixed_fx_before AS DECIMAL(28,4)) AS npv_fixed_fx_before,
+                  CAST(npv_fixed_fx_after AS DECIMAL(28,4)) AS npv_fixed_fx_after),
+  CAST(coalesce(npv_fixed_fx_after, 0) - coalesce(npv_fixed_fx_before, 0) AS DECIMAL(29,4)) AS npv_fixed_fx_change
+FROM paired WHERE status <> 'restated' OR changed <> ''"""

@@ -210,6 +210,51 @@ def test_role_as_of_latest_snapshot(spark):
     assert got == {1: None, 2: "AE", 3: "NBA", 4: "AE", 5: None}
 
 
+def test_snapshots_fold_into_intervals(spark):
+    """Equal snapshots are one interval, a snapshot without the owner ends it, and NULL is a value like others."""
+    from ledgerline.operators.asof import fold_snapshots, role_as_of
+
+    days = [D(2017, 1, 1), D(2017, 2, 1), D(2017, 3, 1), D(2017, 4, 1), D(2017, 5, 1)]
+    said = {"ann": ["AE", "AE", "AM", "AM", "AE"], "bob": ["AE", "-", "AE", "AE", "-"], "cy": [None, None, "AE", None, None], "di": ["-", "-", "-", "-", "NBA"]}
+    rows = [(o, r, "Hub", d) for o, roles in said.items() for r, d in zip(roles, days) if r != "-"]
+    hist = spark.createDataFrame(rows, "sales_owner string, role string, team string, snapshot_date date")
+    got = {tuple(r) for r in fold_snapshots(hist, "sales_owner", ("role",)).collect()}
+    last = dt.timedelta(days=1)
+    assert got == {("ann", "AE", days[0], days[2] - last), ("ann", "AM", days[2], days[4] - last), ("ann", "AE", days[4], None),
+                   ("bob", "AE", days[0], days[1] - last), ("bob", "AE", days[2], days[4] - last), ("cy", None, days[0], days[2] - last),
+                   ("cy", "AE", days[2], days[3] - last), ("cy", None, days[3], None), ("di", "NBA", days[4], None)}
+    # an empty snapshot ends what was valid before
+    later = spark.createDataFrame([(D(2017, 6, 1),)], "snapshot_date date")
+    ended = {r.sales_owner: r.valid_to for r in fold_snapshots(hist, "sales_owner", ("role",), dates=later).filter("valid_from = '2017-05-01'").collect()}
+    assert ended == {"ann": D(2017, 5, 31), "di": D(2017, 5, 31)}
+    # every owner on every day: as the latest table on or before it says
+    every = [(o, days[0] + dt.timedelta(days=k)) for o in [*said, "nobody", None] for k in range(-3, 160)]
+    facts = spark.createDataFrame(every, "o string, d date")
+    found = {(r.o, r.d): (r.role, r.valid_from is not None) for r in role_as_of(facts, hist, "o", "d").collect()}
+    for o, d in every:
+        at = [k for k, x in enumerate(days) if x <= d]
+        say = said[o][at[-1]] if o in said and at else "-"
+        assert found[o, d] == ((None, False) if say == "-" else (say, True)), (o, d)
+    assert fold_snapshots(hist.limit(0), "sales_owner", ("role",)).count() == 0
+    with pytest.raises(Exception, match="twice"):
+        fold_snapshots(hist.union(hist), "sales_owner", ("role",)).collect()
+
+
+def test_changes_between_two_states(spark):
+    from ledgerline.operators.changes import changes
+
+    kind = "k string, w int, npv decimal(10,2), owner string, note string"
+    before = spark.createDataFrame([("a", 1, Decimal(5), "x", "p"), ("b", 1, Decimal(7), "x", "p"), (None, 1, Decimal(1), "x", None),
+                                    ("c", None, None, "x", "p"), ("d", 1, Decimal(2), None, "p"), ("same", 1, None, None, None)], kind)
+    after = spark.createDataFrame([("a", 1, Decimal(6), "y", "p"), (None, 1, Decimal(1), "x", None), ("c", None, Decimal(3), "x", "p"),
+                                   ("d", 1, Decimal(2), "z", "q"), ("e", 2, Decimal(9), "x", "p"), ("e", 2, Decimal(1), "x", "p"), ("same", 1, None, None, None)], kind)
+    got = {(r.k, r.w): (r.status, r.changed, r.npv_before, r.npv_after, r.npv_change) for r in changes(before, after, ["k", "w"], ["npv"], ["owner", "note"]).collect()}
+    assert got == {("a", 1): ("restated", "npv,owner", 5, 6, 1), ("b", 1): ("gone", "", 7, None, -7), ("c", None): ("restated", "npv", None, 3, 3),
+                   ("d", 1): ("restated", "owner,note", 2, 2, 0), ("e", 2): ("added", "", None, 10, 10)}
+    assert changes(before, before, ["k", "w"], ["npv"], ["owner", "note"]).count() == 0
+    assert {r.status for r in changes(before.limit(0), after, ["k", "w"], ["npv"]).collect()} == {"added"}
+
+
 def test_hot_merchant_is_bounded_by_calendar_days(spark):
     """One merchant with a third of all payments: after the daily sums no partition holds more than its days."""
     from ledgerline.operators.attribution import daily_npv
@@ -271,3 +316,41 @@ def test_opportunity_merchant_key(spark):
 
     df = spark.createDataFrame([("42",)], "o string")
     assert df.select(opportunity_merchant_key("o").alias("k")).first().k == "OPTI__42"
+
+
+def test_backlog_spans_equal_daily_expansion(spark):
+    """Spans summed by week and flags equal daily rows summed the same way, also on a curve with missing days."""
+    from ledgerline.functions import periods as P
+    from ledgerline.operators.curves import backlog_spans, cumulative_shares
+    from ledgerline.params import ReportParams
+
+    as_of = D(1999, 12, 26)
+    p = ReportParams(as_of=as_of, fy_start=D(1999, 1, 1), fy_end=D(2000, 3, 1))
+    curve = spark.createDataFrame([(d, (366 - d) / 67161, (d + 1) / 366) for d in range(366) if d % 50 != 7 and not 200 <= d < 212],
+                                  "days_since_activation int, first_year_sold_pct double, first_year_sold_cumulative_pct double")
+    acts = [as_of - dt.timedelta(days=a) for a in (0, 1, 30, 88, 90, 91, 199, 300, 364, 365)]
+    ends = [None, as_of, D(2000, 1, 1), as_of + dt.timedelta(days=61), D(2000, 3, 2), D(1999, 1, 1), None, D(2000, 2, 29), None, None]
+    summary = spark.createDataFrame(
+        [(i, "new biz", a, a, (as_of - a).days, Decimal("10.0000"), 1000.0 + i, e) for i, (a, e) in enumerate(zip(acts, ends))],
+        "sales_merchant_id long, sales_category string, sales_activation_date date, orig_activation date, days_since_activation int, "
+        "first_year_npv decimal(18,4), first_year_est_npv double, backlog_end_date date")
+    act, end = "sales_activation_date", F.col("backlog_end_date")
+
+    def keys(day):
+        return ["sales_merchant_id", *P.week_bucket_keys(day), P.ninety_day_live(act, day, end).alias("a"),
+                P.first_year_sold(act, day, end).alias("b"), P.new_npv("orig_activation", p, fcst=day).alias("c")]
+
+    daily = expand_backlog(summary, curve)
+    sums = cumulative_shares(curve)
+    cuts = [F.date_add(act, 91), end, F.lit(p.fy_end + dt.timedelta(days=1))]
+    for first in (None, D(2000, 1, 12)):
+        kept = daily if first is None else daily.filter(F.col("fcst_date") >= F.lit(first))
+        want = kept.groupBy(*keys(F.col("fcst_date"))).agg(F.count("*").alias("n"), F.sum("backlog_amount").cast("decimal(38,16)").alias("x"))
+        spans = backlog_spans(summary, sums, cuts, weeks=True, first=first)
+        got = spans.groupBy(*keys(F.col("span_start"))).agg(F.sum("n_days").alias("n"), F.sum("backlog_amount").cast("decimal(38,16)").alias("x"))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    whole = backlog_spans(summary, sums, cuts)
+    flags = keys(F.col("span_start"))[3:]
+    want = daily.groupBy("sales_merchant_id", *keys(F.col("fcst_date"))[3:]).agg(F.count("*").alias("n"))
+    assert sorted(map(tuple, whole.groupBy("sales_merchant_id", *flags).agg(F.sum("n_days").alias("n")).collect())) == sorted(map(tuple, want.collect()))
+    assert whole.count() < 10 * 4

@@ -29,6 +29,52 @@ def test_snapshots_keep_older_weeks(spark):
     assert {r.k for r in read_snapshot(spark, path, d1).collect()} == {1, 2}
 
 
+def test_a_failed_rerun_keeps_the_old_rows(spark, monkeypatch):
+    """A write that breaks, a check that fails, and a stop between the two renames: the table still holds the old date."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.sources import snapshots
+
+    path = scratch_path(spark, "test-publish", uuid.uuid4().hex)
+    d1, d2 = dt.date(2000, 1, 2), dt.date(2000, 1, 9)
+    old = spark.range(5).selectExpr("id as k")
+    for day in (d1, d2):
+        write_snapshot(old, path, day)
+    broken = spark.range(8).select(F.when(F.col("id") == 7, F.raise_error(F.lit("broken row")).cast("long")).otherwise(F.col("id")).alias("k"))
+
+    def kept():
+        assert snapshot_dates(spark, path) == [d1, d2]
+        for day in (d1, d2):
+            assert {r.k for r in read_snapshot(spark, path, day).collect()} == set(range(5))
+
+    with pytest.raises(Exception, match="broken row"):
+        write_snapshot(broken, path, d2)
+    kept()
+
+    def refuse(rows):
+        raise snapshots.SnapshotCheckError(f"{rows.count()} rows are too few")
+
+    with pytest.raises(snapshots.SnapshotCheckError, match="3 rows"):
+        write_snapshot(spark.range(3).selectExpr("id as k"), path, d2, check=refuse)
+    kept()
+    rename, calls = snapshots._Folder.rename, []
+
+    def stops(self, a, b):
+        calls.append(a)
+        if len(calls) == 2:
+            raise OSError("stopped between the renames")
+        rename(self, a, b)
+
+    monkeypatch.setattr(snapshots._Folder, "rename", stops)
+    with pytest.raises(OSError, match="stopped"):
+        write_snapshot(spark.range(3).selectExpr("id as k"), path, d2)
+    monkeypatch.setattr(snapshots._Folder, "rename", rename)
+    kept()
+    write_snapshot(spark.range(3).selectExpr("id as k"), path, d2)
+    assert read_snapshot(spark, path, d2).count() == 3 and read_snapshot(spark, path, d1).count() == 5
+    assert [n for n in snapshots._Folder(spark, path).names() if n.startswith("_")] == []
+
+
 def _files(folder) -> dict:
     import hashlib
     import pathlib
