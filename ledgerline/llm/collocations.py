@@ -33,8 +33,8 @@ LONGEST = 4
 INSIDE_PERCENT = 80
 REPORTED = 2000
 SCALE = 2_000_000
-SLICE = 8 << 20  # bytes of text split at a time
-HELD = 4 << 20  # different phrases a task holds before it hands them on
+SLICE = 4 << 20  # bytes of text split at a time
+HELD = 1 << 20  # different phrases a task holds before it hands them on
 TRIE_PHRASES = 1_000_000
 ROOT = -1
 WORDS = [f"w{i + 1}" for i in range(LONGEST)]
