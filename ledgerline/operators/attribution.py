@@ -17,8 +17,7 @@ money is exact decimal.
 """
 
 from __future__ import annotations
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import cents_to_dollars
@@ -27,6 +26,8 @@ from .dims import merchant_level, small_dimension
 from .enrich import allow_list
 
 UPSELL_MAX_ROWS = 1_000_000
+FIRST_YEAR_DAYS = 366
+FIRST_DAY, LAST_DAY = "0001-01-01", "9999-12-31"
 PV_COLUMNS = ("data_type", "capture_date", "sales_merchant_id", "sales_category", "sales_activation_date",
               "orig_activation", "first_year_sold_npv_usd_fx", "total_npv")
 
@@ -105,6 +106,71 @@ def merchant_attribution(merchants: DataFrame, upsells: DataFrame | None, specia
     return merchant_level(m, merchants, "merchant attribution")
 
 
+def leg_terms(merchants: DataFrame, upsells: DataFrame, special: DataFrame | None) -> DataFrame:
+    """Each sold merchant's time cut into intervals with one factor per leg, for any number of upsells.
+
+    Columns: sales_merchant_id, sales_category, sales_activation_date,
+    orig_activation, ``since`` (inclusive), ``until`` (exclusive), ``factor``.
+    The intervals of a leg cover all days, so a payment meets one row of each leg.
+
+    A sweep over the days on which something begins or ends: an upsell runs
+    for 366 days from its date, the first year for 366 days from activation.
+    Where upsells overlap they take their shares in the order of their dates
+    (equal dates: of their shares), each at most what the earlier ones leave of
+    one, and new business has the rest; so shares never add to more than one.
+    New business counts nothing after its upsells have ended, as with one upsell.
+    Upsells of one date are one leg.
+    """
+    share_type = "decimal(5,4)"
+    one, zero = F.lit(1).cast(share_type), F.lit(0).cast(share_type)
+    sold = merchants.filter(F.col("sales__is_sold") == F.lit(True)).select(
+        F.col("merchant_id").alias("sales_merchant_id"), F.col("activation_date").alias("orig_activation"))
+    if special is not None:
+        dates = special.select("sales_merchant_id", "adjusted_activation_date")
+        sold = sold.join(dates, "sales_merchant_id", "left")
+    else:
+        sold = sold.withColumn("adjusted_activation_date", F.lit(None).cast("date"))
+    sold = merchant_level(sold.select("sales_merchant_id", "orig_activation", F.coalesce("adjusted_activation_date", "orig_activation").alias("reported")),
+                          merchants, "merchants of the legs")
+    ups = current_upsells(upsells).filter(F.col("effective_activation_date").isNotNull()).select(
+        "sales_merchant_id", F.col("effective_activation_date").alias("begins"), F.col("pct_share_of_npv").alias("share"))
+    ups = ups.join(sold.select("sales_merchant_id"), "sales_merchant_id")
+    events = (ups.select("sales_merchant_id", F.explode(F.array("begins", F.date_add("begins", FIRST_YEAR_DAYS))).alias("since"))
+              .unionByName(sold.select("sales_merchant_id", F.explode(F.array(
+                  F.lit(FIRST_DAY).cast("date"), "orig_activation", F.date_add("orig_activation", FIRST_YEAR_DAYS))).alias("since")))
+              .filter(F.col("since").isNotNull()).distinct())
+    follow = Window.partitionBy("sales_merchant_id").orderBy("since")
+    spans = events.select("*", F.coalesce(F.lead("since").over(follow), F.lit(LAST_DAY).cast("date")).alias("until"))
+
+    def runs(start):
+        return (F.col("since") >= F.col(start)) & (F.col("since") < F.date_add(start, FIRST_YEAR_DAYS))
+
+    earlier = Window.partitionBy("sales_merchant_id", "since").orderBy("begins", "share").rowsBetween(Window.unboundedPreceding, -1)
+    at_work = spans.join(ups, "sales_merchant_id").select("*", F.when(runs("begins"), F.col("share")).otherwise(zero).alias("wanted"))
+    left = F.greatest(one - F.coalesce(F.sum("wanted").over(earlier), F.lit(0)), F.lit(0))
+    shares = (at_work.select("*", F.least(F.col("wanted"), left).cast(share_type).alias("given"))
+              .groupBy("sales_merchant_id", "since", "until", "begins").agg(F.sum("given").cast(share_type).alias("factor")))
+    upsell = shares.join(sold, "sales_merchant_id").select(
+        "sales_merchant_id", F.lit("upsell").alias("sales_category"), F.col("begins").alias("sales_activation_date"), "orig_activation", "since", "until", "factor")
+    taken = shares.groupBy("sales_merchant_id", "since").agg(
+        F.sum("factor").cast(share_type).alias("taken"), F.max(F.when(runs("begins"), 1)).alias("runs"), F.max(F.when(F.col("begins") <= F.col("since"), 1)).alias("begun"))
+    rest = F.when(F.col("begun").isNull(), one).when(F.col("runs").isNotNull(), one - F.col("taken")).otherwise(zero)
+    new = spans.join(sold, "sales_merchant_id").join(taken, ["sales_merchant_id", "since"], "left").select(
+        "sales_merchant_id", F.lit("new biz").alias("sales_category"), F.col("reported").alias("sales_activation_date"), "orig_activation", "since", "until",
+        F.when(runs("orig_activation"), rest).otherwise(zero).cast(share_type).alias("factor"))
+    return new.unionByName(upsell)
+
+
+def _legs_by_terms(daily: DataFrame, terms: DataFrame) -> DataFrame:
+    """Daily sums times the factors of the intervals their days lie in: an equi-join on the merchant with the dates beside it."""
+    d = F.col("capture_date")
+    size = small_dimension(terms, None, UPSELL_MAX_ROWS, "leg terms")
+    j = daily.join(size, "sales_merchant_id").filter((d >= F.col("since")) & (d < F.col("until")))
+    dollars = cents_to_dollars(F.col("npv_cents"))
+    return j.select("capture_date", "sales_merchant_id", "orig_activation", dollars.alias("total"),
+                    F.struct("sales_category", "sales_activation_date", (F.col("factor") * dollars).alias("fys")).alias("leg"))
+
+
 def _legs(daily: DataFrame, attr: DataFrame) -> DataFrame:
     j = daily.join(attr, "sales_merchant_id")
     d = F.col("capture_date")
@@ -148,7 +214,7 @@ def processing_volume(payments: DataFrame, merchants: DataFrame, upsells: DataFr
                       special: DataFrame | None, start, end=None, start_inclusive: bool = True,
                       categories: tuple[str, ...] = ("new biz", "upsell"),
                       allow_upsell_fanout: bool = False, ids: DataFrame | None = None,
-                      daily: DataFrame | None = None) -> DataFrame:
+                      daily: DataFrame | None = None, overlapping: bool = False) -> DataFrame:
     """Daily first-year NPV per merchant and category (both legs stacked).
 
     One row per (capture day, merchant, category, activation, original
@@ -157,21 +223,24 @@ def processing_volume(payments: DataFrame, merchants: DataFrame, upsells: DataFr
     daily sums, which are already partitioned by merchant, never to raw
     payments.  ``daily`` passes (merchant, day) sums computed elsewhere (for
     example a stored daily table, see ``daily_range``) in place of ``payments``;
-    it must have one row per merchant and day.
+    it must have one row per merchant and day.  ``overlapping`` allows several
+    included upsells of one merchant (``leg_terms``).
     """
     if daily is None:
         daily = daily_npv(payments, start, end, start_inclusive)
     if ids is not None:
         daily = allow_list(daily, ids, "sales_merchant_id")
-    attr = merchant_attribution(merchants, upsells, special, allow_upsell_fanout)
-    legs = _legs(daily, attr)
+    if overlapping:
+        legs = _legs_by_terms(daily, leg_terms(merchants, upsells, special))
+    else:
+        legs = _legs(daily, merchant_attribution(merchants, upsells, special, allow_upsell_fanout))
     if tuple(categories) != ("new biz", "upsell"):
         legs = legs.filter(F.col("leg.sales_category").isin(*categories))
     keys = ("capture_date", "sales_merchant_id", F.col("leg.sales_category").alias("sales_category"),
             F.col("leg.sales_activation_date").alias("sales_activation_date"), "orig_activation")
     if allow_upsell_fanout:
         rows = legs.groupBy(*keys).agg(F.sum("leg.fys").alias("first_year_sold_npv_usd_fx"), F.sum("total").alias("total_npv"))
-    else:  # a merchant has one row a day and one upsell at most: every leg is one row already
+    else:  # a merchant has one row a day and one upsell of a date at most: every leg is one row already
         rows = legs.select(*keys, F.col("leg.fys").alias("first_year_sold_npv_usd_fx"), F.col("total").alias("total_npv"))
     return rows.select(F.lit("weekly_processing").alias("data_type"), *PV_COLUMNS[1:])
 

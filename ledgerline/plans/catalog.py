@@ -27,6 +27,7 @@ from ..operators.curves import backlog_summary as _backlog_summary
 from ..operators.curves import expand_pipeline
 from ..operators.fanout import sum_once
 from ..params import ReportParams
+from ..sources import fixtures
 from ..sources.tables import Tables
 from . import reports as R
 from .registry import register
@@ -259,6 +260,14 @@ def q_processing_volume(t: Tables, p: ReportParams) -> DataFrame:
     return _pv_money(R.report_processing_volume(t, p))
 
 
+@register("overlapping_upsells")
+def overlapping_upsells(t: Tables, p: ReportParams) -> DataFrame:
+    """O-16, O-17 where merchants have up to three included upsells at a time: both legs, shares never above one together."""
+    ups = fixtures.overlapping_upsells(t.upsells)
+    return _pv_money(A.processing_volume(t.payments, t.merchants, ups, R.crm_special_dates(t), p.history_start, p.as_of,
+                                         daily=R.payments_daily(t, p.history_start, p.as_of), overlapping=True))
+
+
 @register("backlog_summary")
 def q_backlog_summary(t: Tables, p: ReportParams) -> DataFrame:
     """O-19: first-year actuals to date and full-year estimate per merchant and category."""

@@ -17,7 +17,7 @@ from ..params import ReportParams
 from ..sources import fixtures
 from ..sources.snapshots import SNAPSHOT_COL, publish, read_snapshot, snapshot_dates, write_snapshot
 from ..sources.tables import Tables
-from ..sources.uploads import CSV_READ, CSV_WRITE
+from ..sources.uploads import CSV_READ, CSV_WRITE, check_upload, latest_upload, write_lines
 from . import reports as R
 
 
@@ -96,6 +96,51 @@ def upsell_table_rotation(t: Tables, p: ReportParams, path: str | None = None,
     return read_snapshot(t.spark, path, p.as_of)
 
 
+LISTS = ("country_codes", "team_role", "upsells", "backlog_curve", "pipeline_curve")
+# a line that cannot be used, as it stands at the end of this week's upload of each list
+BAD_LINES = {"country_codes": "99,,Nowhere,New Markets", "team_role": "Supplier#0,AE", "upsells": "3,1999-13-01,0.2500,1",
+             "backlog_curve": "366,-0.5,1.0", "pipeline_curve": "0,0.5"}
+
+
+def land_uploads(t: Tables, p: ReportParams, landing: str) -> str:
+    """A landing folder as the weeks leave it: an older upload of each list, the one of the day before the report
+    date with a bad line at its end, and one that comes after the report date."""
+    for name in LISTS:
+        current = getattr(t, name)
+        write_lines(current.limit(3), f"{landing}/{name}/{p.shifted(-15).as_of}", name)
+        write_lines(current, f"{landing}/{name}/{p.shifted(-1).as_of}", name, (BAD_LINES[name],))
+        write_lines(current.limit(1), f"{landing}/{name}/{p.shifted(1).as_of}", name)
+    return landing
+
+
+def uploaded_lists(t: Tables, landing: str, as_of: dt.date) -> tuple[Tables, DataFrame]:
+    """``t`` with its lists from the latest uploads on or before ``as_of``, and the lines that were set aside."""
+    lists, rejected = {}, []
+    for name in LISTS:
+        day, path = latest_upload(t.spark, landing, name, as_of)
+        rows, bad = check_upload(t.spark, path, name)
+        stored = t.output_path("uploaded", name, day.isoformat())
+        rows.write.mode("overwrite").parquet(stored)  # read once; reports of the week read columns
+        lists[name] = t.spark.read.schema(rows.schema).parquet(stored)
+        rejected.append(bad.select("list", F.lit(day).alias("upload_date"), "line", "record", "reason"))
+    every = rejected[0]
+    for bad in rejected[1:]:
+        every = every.unionByName(bad)
+    return t.with_lists(f"uploads-{as_of.isoformat()}", **lists), every
+
+
+def report_from_uploads(t: Tables, p: ReportParams) -> DataFrame:
+    """J-5 with country codes, roles, upsells and curves read from the CSV files of a landing folder."""
+    landing = land_uploads(t, p, t.output_path("landing", "report"))
+    return R.processing_and_backlog_report(uploaded_lists(t, landing, p.as_of)[0], p)
+
+
+def rejected_uploads(t: Tables, p: ReportParams) -> DataFrame:
+    """Lines of the uploads that count for the report date and could not be used, with the reason."""
+    landing = land_uploads(t, p, t.output_path("landing", "rejected"))
+    return uploaded_lists(t, landing, p.as_of)[1]
+
+
 def team_role_maintenance(t: Tables, p: ReportParams, path: str | None = None) -> DataFrame:
     """J-12: store the maintained role table (missing owners added, stale rows removed) as a snapshot."""
     path = path or t.output_path("team_roles")

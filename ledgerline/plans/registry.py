@@ -56,6 +56,8 @@ register("weekly_upsell_snapshot")(J.weekly_upsell_snapshot_job)
 register("snapshot_rotation")(J.two_weekly_runs)
 register("snapshot_changes")(J.change_since_midweek)
 register("upsell_table_rotation")(J.upsell_table_rotation)
+register("report_from_uploads")(J.report_from_uploads)
+register("rejected_uploads")(J.rejected_uploads)
 register("team_role_maintenance")(J.team_role_maintenance)
 register("deal_level_export")(J.deal_level_export)
 register("owners_missing_role")(lambda t, p: R.owners_missing_role(t))

@@ -34,7 +34,7 @@ from ..operators.attribution import (
     processing_volume,
 )
 from ..operators.curves import backlog_spans, backlog_summary, cumulative_shares, curve_weeks, expand_backlog, expand_pipeline
-from ..operators.dims import check_unique, merchant_level, small_dimension
+from ..operators.dims import check_unique, merchant_level, small_dimension, table_size
 from ..operators.enrich import (
     countries_by,
     eligible_pipeline,
@@ -119,7 +119,7 @@ def prepare_shared(t: Tables) -> None:
         lambda x: countries_by(x.country_codes, "code"),
         lambda x: countries_by(x.country_codes, "name"),
         lambda x: teams(x.team_role),
-        lambda x: small_dimension(current_upsells(x.upsells), "sales_merchant_id", UPSELL_MAX_ROWS, "upsells"),
+        several_upsells,
         # merchant-level segment dimensions of the reports (variants with the default roles)
         lambda x: report_segments(x, "A", "A", True),
         lambda x: report_segments(x, "D", "A", True),
@@ -141,7 +141,12 @@ def report_processing_volume(t: Tables, p: ReportParams, start=None) -> DataFram
     """Both legs with override dates, captures in [start or history_start, as_of)."""
     start = start or p.history_start
     return processing_volume(t.payments, t.merchants, t.upsells, crm_special_dates(t), start, p.as_of,
-                             daily=payments_daily(t, start, p.as_of))
+                             daily=payments_daily(t, start, p.as_of), overlapping=several_upsells(t))
+
+
+def several_upsells(t: Tables) -> bool:
+    """Whether some merchant has more than one included upsell (the list is counted once)."""
+    return table_size(current_upsells(t.upsells), "sales_merchant_id")[1] > 1
 
 
 def _segment_select(df: DataFrame, data_type: str, qtd, this_week, npv) -> DataFrame:
@@ -318,7 +323,7 @@ def backlog_daily(t: Tables, p: ReportParams, ids: DataFrame | None = None) -> D
     """
     start = max(p.history_start, backlog_capture_start(t, p, with_override=False))
     pv = processing_volume(t.payments, t.merchants, t.upsells, None, start, None, ids=ids,
-                           daily=payments_daily(t, start, None))
+                           daily=payments_daily(t, start, None), overlapping=several_upsells(t))
     summary = backlog_summary(pv, t.backlog_curve, p.as_of,
                               keys=("sales_merchant_id", "sales_category", "sales_activation_date"))
     daily = expand_backlog(summary, t.backlog_curve)

@@ -262,6 +262,17 @@ def upsells(merchants_df: DataFrame) -> DataFrame:
     )
 
 
+def overlapping_upsells(upsells_df: DataFrame) -> DataFrame:
+    """The upsell list with a second and a third included upsell for some merchants; their shares may pass one together."""
+    m, begin = F.col("sales_merchant_id"), F.col("effective_activation_date")
+    further = [(m % 3 != 0, 60, "0.5000"), (m % 9 == 1, 200, "0.6250"), (m % 7 == 5, 366, "0.2500")]
+    out = upsells_df
+    for which, days, share in further:
+        out = out.unionByName(upsells_df.filter((F.col("include") == 1) & which).select(
+            m, F.date_add(begin, days).alias("effective_activation_date"), F.lit(share).cast("decimal(5,4)").alias("pct_share_of_npv"), "include"))
+    return out
+
+
 def backlog_curve(spark: SparkSession) -> DataFrame:
     """Falling first-year curve: days 0..365, cumulative share includes its own day."""
     d = F.col("id").cast("int")

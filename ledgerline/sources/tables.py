@@ -11,6 +11,7 @@ survives executor loss.  ``materialize=False`` keeps everything lazy.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import hashlib
 import threading
 import uuid
@@ -27,6 +28,8 @@ FACT_TABLES = ("payments", "margin")
 DIM_TABLES = ("merchants", "opportunities", "country_codes", "team_role", "upsells")
 CURVE_TABLES = ("backlog_curve", "pipeline_curve")
 MONTH_COL = "capture_month"
+# derived tables that no uploaded list goes into
+LIST_FREE = ("daily_payments/by-month", "daily_margin/by-month", "special_dates", "first_contact", "opportunity_totals")
 
 
 @dataclasses.dataclass
@@ -42,13 +45,15 @@ class Tables:
     pipeline_curve: DataFrame
     source_dir: str = ""
     materialized: bool = False
+    # names a set of lists that differs from the staged ones: tables derived from them are stored apart
+    lists: str = ""
     _derived: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
     _building: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
     _values: dict = dataclasses.field(default_factory=dict, repr=False, compare=False)
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in dataclasses.fields(self)
-                if f.name not in ("source_dir", "materialized", "_derived", "_building", "_values")}
+                if f.name not in ("source_dir", "materialized", "lists", "_derived", "_building", "_values")}
 
     @property
     def spark(self) -> SparkSession:
@@ -102,9 +107,20 @@ class Tables:
         with _LOCK:
             return self._values.setdefault(key, value)
 
+    def with_lists(self, name: str, **lists: DataFrame) -> "Tables":
+        """The same facts and deals with other lists (``country_codes``, ``team_role``, ``upsells``, curves).
+
+        What is derived from facts and deals alone is shared; what the lists
+        go into is derived anew and stored under ``name``.
+        """
+        with _LOCK:
+            shared = {k: v for k, v in self._derived.items() if k in LIST_FREE}
+        return dataclasses.replace(self, **lists, lists=name, _derived=shared, _building={}, _values={})
+
     def output_path(self, *parts: str) -> str:
         """Per-dataset folder under the shared scratch folder for written outputs."""
-        tag = hashlib.sha1(self.source_dir.rstrip("/").encode()).hexdigest()[:16]
+        named = self.source_dir.rstrip("/") + (f"#{self.lists}" if self.lists else "")
+        tag = hashlib.sha1(named.encode()).hexdigest()[:16]
         return scratch_path(self.spark, "outputs", tag, *parts)
 
 
@@ -136,11 +152,41 @@ def in_months(facts: DataFrame, months) -> DataFrame:
     return facts if months is None else with_month(facts).where(F.col(MONTH_COL).isin(*months))
 
 
-def month_inputs(facts: DataFrame) -> DataFrame:
-    """A fingerprint of the input files of each capture month (names, sizes and times; no column is read)."""
+def listed_months(facts: DataFrame) -> dict[dt.date, str] | None:
+    """A fingerprint of each capture month's files (names, sizes, times) from the listing of its folder.
+
+    Reads no data and starts no job.  None where the facts are not stored by
+    capture month, or hold files outside the folders of months.
+    """
+    spark, root = facts.sparkSession, f"/{MONTH_COL}="
+    files = facts.inputFiles()
+    if MONTH_COL not in facts.columns or not files or any(root not in f for f in files):
+        return None
+    months: dict[dt.date, list[str]] = {}
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        name = folder.split(root, 1)[1].split("/", 1)[0]
+        try:
+            month = dt.date.fromisoformat(name)
+        except ValueError:  # the folder of NULL dates: no report reads it
+            continue
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        months.setdefault(month, []).extend(
+            f"{s.getPath().getName()} {s.getLen()} {s.getModificationTime()}" for s in fs.listStatus(path)
+            if s.isFile() and not s.getPath().getName().startswith(("_", ".")))
+    return {m: hashlib.sha1("\n".join(sorted(names)).encode()).hexdigest() for m, names in months.items()}
+
+
+def month_inputs(facts: DataFrame) -> dict[dt.date, str]:
+    """A fingerprint of the input files of each capture month: from the folders' listing where facts are stored
+    by month, otherwise from the file each row lies in (no column is read)."""
+    listed = listed_months(facts)
+    if listed is not None:
+        return listed
     files = with_month(facts).select(MONTH_COL, "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
-    return files.groupBy(MONTH_COL).agg(F.sum(F.xxhash64("file_path", "file_size", "file_modification_time").cast("decimal(38,0)"))
+    sums = files.groupBy(MONTH_COL).agg(F.sum(F.xxhash64("file_path", "file_size", "file_modification_time").cast("decimal(38,0)"))
                                         .cast("string").alias("inputs"))
+    return {r[MONTH_COL]: r["inputs"] for r in sums.collect() if r[MONTH_COL] is not None}
 
 
 def refresh_months(t: Tables, name: str, build, facts: str | None = None) -> DataFrame:
@@ -151,7 +197,7 @@ def refresh_months(t: Tables, name: str, build, facts: str | None = None) -> Dat
     makes the whole table be written anew.
     """
     spark, path = t.spark, t.output_path("daily", name)
-    now = {r[MONTH_COL]: r["inputs"] for r in month_inputs(getattr(t, facts or name.split("_", 1)[1])).collect()}
+    now = month_inputs(getattr(t, facts or name.split("_", 1)[1]))
     try:
         before = {r[MONTH_COL]: r["inputs"] for r in spark.read.schema(f"{MONTH_COL} date, inputs string").parquet(f"{path}-months").collect()}
     except AnalysisException:  # no such path: the first run
@@ -184,7 +230,7 @@ def stage_tables(spark: SparkSession, sf_dir: str) -> Tables:
     )
 
 
-_CACHE: dict[tuple[str, str, str], Tables] = {}
+_CACHE: dict[tuple[str, ...], Tables] = {}
 _LOCK = threading.Lock()
 
 
@@ -204,12 +250,23 @@ def _write(df: DataFrame, path: str, month_partitioned: bool) -> None:
        .write.mode("overwrite").partitionBy(MONTH_COL).parquet(path))
 
 
+def input_state(spark: SparkSession, sf_dir: str) -> str:
+    """A fingerprint of the source tables' files, from their listing: changed files make tables be staged anew."""
+    found = []
+    for name in fixtures.RAW_TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for s in fs.listStatus(path):  # a file, or the files of a folder
+            found.append(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()
+
+
 def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Tables:
     """Staged tables for ``sf_dir``; written once per session when ``materialize``."""
     if not materialize:
         return stage_tables(spark, sf_dir)
     root = scratch_path(spark, "staged", hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:16])
-    key = (app_id(spark), root, sf_dir)
+    key = (app_id(spark), root, sf_dir, input_state(spark, sf_dir))
     with _LOCK:
         if key in _CACHE:
             return _CACHE[key]

@@ -132,6 +132,40 @@ _PVT = ["payments", "merchants", "opportunities", "upsells"]
 C["new_business_leg"] = with_tables(_PVT, revenue_ctes()) + _REVENUE + " WHERE leg = 'new biz'"
 C["upsell_leg"] = with_tables(_PVT, revenue_ctes()) + _REVENUE + " WHERE leg = 'upsell'"
 C["processing_volume"] = with_tables(_PVT, revenue_ctes()) + _REVENUE
+# several upsells: on each day the active ones take their shares in order, each at most what is left of one
+C["overlapping_upsells"] = with_tables(_PVT, [
+    ("overrides", SPECIAL_DATES),
+    ("ups", """
+SELECT sales_merchant_id AS merchant, effective_activation_date AS begins, pct_share_of_npv AS share FROM upsells WHERE include = 1
+UNION ALL SELECT sales_merchant_id, effective_activation_date + 60, 0.5 FROM upsells WHERE include = 1 AND sales_merchant_id % 3 <> 0
+UNION ALL SELECT sales_merchant_id, effective_activation_date + 200, 0.625 FROM upsells WHERE include = 1 AND sales_merchant_id % 9 = 1
+UNION ALL SELECT sales_merchant_id, effective_activation_date + 366, 0.25 FROM upsells WHERE include = 1 AND sales_merchant_id % 7 = 5"""),
+    ("days", f"""
+SELECT p.capture_date AS day, p.sales_merchant_id AS merchant, who.activation_date AS went_live,
+  coalesce(o.adjusted_activation_date, who.activation_date) AS reported, sum(p.npv_usd_fixed) * 0.01 AS dollars
+FROM payments p JOIN merchants who ON who.merchant_id = p.sales_merchant_id AND who.sales__is_sold
+LEFT JOIN overrides o ON o.sales_merchant_id = who.merchant_id
+WHERE p.capture_date >= {D(P.history_start)} AND p.capture_date < {D(P.as_of)} GROUP BY ALL"""),
+    ("active", """
+SELECT d.*, u.begins, CASE WHEN d.day - u.begins BETWEEN 0 AND 365 THEN u.share ELSE 0 END AS wanted,
+  coalesce(sum(CASE WHEN d.day - u.begins BETWEEN 0 AND 365 THEN u.share ELSE 0 END)
+    OVER (PARTITION BY d.merchant, d.day ORDER BY u.begins, u.share ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+FROM days d JOIN ups u ON u.merchant = d.merchant"""),
+    ("given", "SELECT *, greatest(0, least(wanted, 1 - earlier)) AS share FROM active"),
+    ("legs", """
+SELECT day, merchant, 'upsell' AS leg, begins AS starts, went_live, dollars, sum(share) AS factor FROM given GROUP BY ALL
+UNION ALL
+SELECT d.day, d.merchant, 'new biz', d.reported, d.went_live, d.dollars,
+  CASE WHEN coalesce(d.day - d.went_live BETWEEN 0 AND 365, false) THEN
+    CASE WHEN count(g.begins) FILTER (g.begins <= d.day) = 0 THEN 1
+         WHEN count(g.begins) FILTER (d.day - g.begins BETWEEN 0 AND 365) > 0 THEN 1 - sum(g.share) ELSE 0 END
+  ELSE 0 END
+FROM days d LEFT JOIN given g ON g.merchant = d.merchant AND g.day = d.day
+GROUP BY d.day, d.merchant, d.reported, d.went_live, d.dollars"""),
+]) + f"""
+SELECT 'weekly_processing' AS data_type, day AS capture_date, merchant AS sales_merchant_id, leg AS sales_category, starts AS sales_activation_date,
+  went_live AS orig_activation, {money('factor * dollars')} AS first_year_sold_npv_usd_fx, {money('dollars')} AS total_npv
+FROM legs"""
 C["backlog_summary"] = with_tables(_PVT + ["backlog_curve"], backlog_ctes()) + f"""
 SELECT merchant AS sales_merchant_id, leg AS sales_category, starts AS sales_activation_date, went_live AS orig_activation,
   days AS days_since_activation, actual AS first_year_npv, {units_money(units('estimate'))} AS first_year_est_npv
@@ -324,3 +358,13 @@ SELECT * REPLACE (CASE WHEN status = 'restated' THEN changed ELSE '' END AS chan
                   CAST(npv_fixed_fx_after AS DECIMAL(28,4)) AS npv_fixed_fx_after),
   CAST(coalesce(npv_fixed_fx_after, 0) - coalesce(npv_fixed_fx_before, 0) AS DECIMAL(29,4)) AS npv_fixed_fx_change
 FROM paired WHERE status <> 'restated' OR changed <> ''"""
+
+# uploads: the lists as they are staged, and the one bad line at the end of each file
+SQL["report_from_uploads"] = SQL["processing_and_backlog_report"]
+_BAD = [("country_codes", "99,,Nowhere,New Markets", "country_code is empty"), ("team_role", "Supplier#0,AE", "not 3 fields"),
+        ("upsells", "3,1999-13-01,0.2500,1", "effective_activation_date: ''1999-13-01'' is no date"),
+        ("backlog_curve", "366,-0.5,1.0", "first_year_sold_pct: -0.5 is not within 0 and 1"),
+        ("pipeline_curve", "0,0.5", "day_count: 0 stands in line 2 already")]
+SQL["rejected_uploads"] = with_tables([n for n, _, _ in _BAD]) + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS list, {D(P.shifted(-1).as_of)} AS upload_date, CAST((SELECT count(*) FROM {n}) + 2 AS INTEGER) AS line, '{r}' AS record, '{why}' AS reason"
+    for n, r, why in _BAD)

@@ -61,6 +61,37 @@ def test_two_upsells_on_one_merchant(spark):
     assert got[(act + dt.timedelta(days=10), "new biz")][0] == 200
 
 
+def test_overlapping_upsells_share_one_payment(spark):
+    """Up to three upsells at a time: in order of their dates each takes what is left of one; a single one is as without a sweep."""
+    act, day = D(2017, 1, 1), dt.timedelta(days=1)
+    one = [(1, D(2017, 5, 1), Decimal("0.30"), 1), (1, D(2017, 7, 1), Decimal("0.90"), 0)]
+    days = [act + k * day for k in (-1, 0, 119, 120, 121, 180, 300, 365, 366, 400, 485, 486, 600, 900)]
+    pay = [(d, 1, 10000) for d in days] + [(act, 2, 999)]
+    assert _pv(spark, pay, one, overlapping=True) == _pv(spark, pay, one)
+    assert _pv(spark, pay, [], overlapping=True) == _pv(spark, pay, [])
+    starts = [act + 120 * day, act + 180 * day, act + 300 * day]
+    shares = [Decimal("0.30"), Decimal("0.50"), Decimal("0.6250")]
+    ups = [(1, b, s, 1) for b, s in zip(starts, shares)] + [(1, starts[1], Decimal("0.10"), 1)]
+    pv = processing_volume(spark.createDataFrame(pay, PAYMENTS), _merchants(spark), spark.createDataFrame(ups, UPSELLS), None, D(2016, 1, 1), D(2020, 1, 1), overlapping=True)
+    got = {(r.capture_date, r.sales_category, r.sales_activation_date): r.first_year_sold_npv_usd_fx for r in pv.collect()}
+    want = {}
+    for d in days:
+        left, begun, runs = Decimal(1), False, False
+        given = {b: Decimal(0) for b in starts}
+        for b, s in sorted([(b, s) for _, b, s, _ in ups]):
+            begun |= b <= d
+            if 0 <= (d - b).days < 366:
+                runs = True
+                given[b] += min(s, left)
+                left -= min(s, left)
+        in_year = 0 <= (d - act).days < 366
+        want[d, "new biz", act] = 100 * (left if runs else Decimal(0) if begun else Decimal(1)) if in_year else 0
+        want |= {(d, "upsell", b): 100 * g for b, g in given.items()}
+        assert sum(given.values()) <= 1
+    assert got == want
+    assert any(sum(g for (x, c, _), g in got.items() if x == d) == 100 and got[d, "new biz", act] == 0 for d in days)  # all of it taken by upsells
+
+
 def test_override_date_changes_reported_activation_only(spark):
     opps = spark.createDataFrame(
         [(1, None, D(2017, 3, 1)), (1, D(2018, 1, 1), None)],

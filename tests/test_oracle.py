@@ -25,7 +25,8 @@ def test_query_matches_oracle(spark, duck, key):
     # every operator of the executed plan runs inside whole-stage codegen (scans and exchanges aside)
     # windows over the snapshot dates, and over one owner's snapshots; a greatest text per group is found by sorting
     windows = {"Window"}
-    allowed = {"deal_roles_as_of_close": windows, "role_intervals": windows, "snapshot_changes": {"SortAggregate"}}.get(key, set())
+    allowed = {"deal_roles_as_of_close": windows, "role_intervals": windows, "snapshot_changes": {"SortAggregate"},
+               "overlapping_upsells": windows, "rejected_uploads": {"Window", "SortAggregate", "Project", "Generate"}}.get(key, set())
     assert _outside_codegen(df) <= allowed
 
 

@@ -193,6 +193,68 @@ def test_uploaded_lists_round_trip_with_declared_schema(spark, tables):
         assert back.exceptAll(src.select(*cols)).count() == 0 and src.select(*cols).exceptAll(back).count() == 0
 
 
+def test_bad_lines_of_an_upload_are_set_aside(spark):
+    """Line and reason of each bad line; good lines are typed, columns may stand in any order, a missing one fails."""
+    import pathlib
+
+    from ledgerline.sources.uploads import UploadError, check_upload, latest_upload, upload_dates
+
+    root = scratch_path(spark, "test-landing", uuid.uuid4().hex)
+    local = pathlib.Path(root.removeprefix("file:"))
+
+    def put(name, day, *lines):
+        folder = local / name / day
+        folder.mkdir(parents=True)
+        (folder / "list.csv").write_text("\n".join(lines))
+
+    put("upsells", "2000-01-01", "include,sales_merchant_id,note,effective_activation_date,pct_share_of_npv",
+        "1,7,ok,1999-01-31,0.25", "", "1,7,again,1999-06-01,1", "1,x,no id,1999-01-31,0.25", "1,8,,1999-02-30,0.25", "1,9,\"a, quoted\",1999-02-28,0.12345",
+        "1,10,,1999-02-28,1.5", "1,11,short", "1,,none,1999-02-28,0.5", "1,12,\\N,1999-02-28,0.5\r", "1.5,13,,1999-02-28,0.5")
+    put("upsells", "1999-12-01", "sales_merchant_id,effective_activation_date,pct_share_of_npv,include")
+    put("upsells", "2000-02-01", "wrong")
+    put("upsells", "notes", "x")
+    assert upload_dates(spark, root, "upsells") == [dt.date(1999, 12, 1), dt.date(2000, 1, 1), dt.date(2000, 2, 1)]
+    day, path = latest_upload(spark, root, "upsells", dt.date(2000, 1, 2))
+    assert day == dt.date(2000, 1, 1)
+    good, bad = check_upload(spark, path, "upsells")
+    assert {tuple(map(str, r)) for r in good.collect()} == {("7", "1999-01-31", "0.2500", "1"), ("7", "1999-06-01", "1.0000", "1"), ("12", "1999-02-28", "0.5000", "1")}
+    assert {r.line: r.reason for r in bad.collect()} == {
+        5: "sales_merchant_id: 'x' is no bigint", 6: "effective_activation_date: '1999-02-30' is no date",
+        7: "pct_share_of_npv: 0.12345 has more digits than decimal(5,4)", 8: "pct_share_of_npv: 1.5 is not within 0 and 1", 9: "not 5 fields",
+        10: "sales_merchant_id is empty", 12: "include: '1.5' is no int"}
+    assert check_upload(spark, latest_upload(spark, root, "upsells", dt.date(1999, 12, 31))[1], "upsells")[0].count() == 0
+    with pytest.raises(UploadError, match="lacks"):
+        check_upload(spark, latest_upload(spark, root, "upsells", dt.date(2000, 3, 1))[1], "upsells")
+    with pytest.raises(UploadError, match="no upload"):
+        latest_upload(spark, root, "upsells", dt.date(1999, 1, 1))
+    put("team_role", "2000-01-01", "sales_owner,role,team", "ann,AE,Hub", "bob,AM,Hub", "ann,NBA,Hub", "ann,,Hub")
+    good, bad = check_upload(spark, f"{root}/team_role/2000-01-01", "team_role")
+    assert {r.sales_owner: r.role for r in good.collect()} == {"ann": "AE", "bob": "AM"}
+    assert {r.line: r.reason for r in bad.collect()} == {4: "sales_owner: ann stands in line 2 already", 5: "role is empty"}
+
+
+def test_unchanged_months_start_no_job_over_facts(spark, tables):
+    """Months are compared by their folders' listing: nothing is read, and a new file shows in its month alone."""
+    from ledgerline.sources.tables import MONTH_COL, listed_months, month_inputs
+
+    facts = scratch_path(spark, "test-listing", uuid.uuid4().hex)
+    part = tables.payments.where(f"{MONTH_COL} between '1999-01-01' and '1999-04-01'")
+    part.write.partitionBy(MONTH_COL).parquet(facts)
+    group = f"listing-{uuid.uuid4().hex}"
+    df = spark.read.parquet(facts)
+    spark.sparkContext.setJobGroup(group, "listing")
+    before = month_inputs(df)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == [] and len(before) == 4
+    part.where(f"{MONTH_COL} = '1999-03-01'").limit(5).write.mode("append").partitionBy(MONTH_COL).parquet(facts)
+    after = month_inputs(spark.read.parquet(facts))
+    assert {m for m in after if after[m] != before[m]} == {dt.date(1999, 3, 1)}
+    flat = scratch_path(spark, "test-listing", uuid.uuid4().hex)
+    part.drop(MONTH_COL).write.parquet(flat)
+    assert listed_months(spark.read.parquet(flat)) is None and set(month_inputs(spark.read.parquet(flat))) == set(before)
+
+
 def test_report_schemas_keep_column_order(spark, registered):
     from ledgerline.plans.reports import SEGMENT_COLUMNS, SNAPSHOT_COLUMNS
 
