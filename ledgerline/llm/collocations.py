@@ -34,7 +34,7 @@ INSIDE_PERCENT = 80
 REPORTED = 2000
 SCALE = 2_000_000
 SLICE = 4 << 20  # bytes of text split at a time
-HELD = 1 << 20  # different phrases a task holds before it hands them on
+HELD = 1 << 19  # different phrases a task holds before it hands them on
 TRIE_PHRASES = 1_000_000
 ROOT = -1
 WORDS = [f"w{i + 1}" for i in range(LONGEST)]
@@ -103,23 +103,40 @@ def text_slices(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
 
 def numbered(split: DataFrame, words: DataFrame) -> DataFrame:
-    """``ids`` (binary, 32-bit) of each slice: its words' numbers from ``words`` (lang, word, id), 0 for others and breaks, no two 0 in a row."""
+    """``ids`` (binary, 32-bit) of each slice: its words' numbers from ``words`` (lang, word, id), 0 for others and breaks, no two 0 in a row.
+
+    A slice's codes and the numbers of its words are sorted side by side and
+    streamed, so a task holds one slice at a time.
+    """
     keys = split.select("slice", F.posexplode("keys").alias("place", "key")).select("slice", "place", "key.lang", "key.word")
-    names = (keys.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("slice")
-             .agg(F.sort_array(F.collect_list(F.struct("place", "id"))).alias("names")))
-    rows = split.join(names, "slice").select("codes", F.col("names.place").alias("places"), F.col("names.id").alias("ids"))
+    names = keys.join(words.select("lang", "word", "id"), ["lang", "word"]).select("slice", (F.col("place") + 1).alias("place"), "id", F.lit(None).cast("binary").alias("codes"))
+    both = names.unionByName(split.select("slice", F.lit(0).alias("place"), F.lit(0).alias("id"), "codes"))
+    rows = both.repartition("slice").sortWithinPartitions("slice", "place")
     schema = pa.schema([("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, table = None, None
+
+        def stream():
+            found = table[codes]
+            found = found[(found > 0) | np.append(True, found[:-1] > 0)]
+            return pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], schema=schema)
+
         for batch in batches:
-            for i in range(batch.num_rows):
-                codes, places, ids = (c[i] for c in batch.columns)
-                codes = np.frombuffer(codes.as_py(), np.int32)
-                table = np.zeros(int(codes.max()) + 1, np.int32)
-                table[places.values.to_numpy() + 1] = ids.values.to_numpy()
-                stream = table[codes]
-                stream = stream[(stream > 0) | np.append(True, stream[:-1] > 0)]
-                yield pa.RecordBatch.from_arrays([pa.array([stream.tobytes()], pa.binary())], schema=schema)
+            places, ids = (batch.column(k).to_numpy() for k in (1, 2))
+            heads = np.flatnonzero(places == 0)  # a slice's codes come before its words
+            for lo, hi in zip([0, *heads], [*heads, len(places)]):
+                if lo == hi:
+                    continue
+                if places[lo] == 0:
+                    if codes is not None:
+                        yield stream()
+                    codes = np.frombuffer(batch.column(3)[int(lo)].as_py(), np.int32)
+                    table = np.zeros(int(codes.max()) + 1, np.int32)
+                    lo += 1
+                table[places[lo:hi]] = ids[lo:hi]
+        if codes is not None:
+            yield stream()
 
     return stored(map_arrow(rows, run, "ids binary"), "streams")
 
@@ -186,7 +203,7 @@ class DoubleArray:
         state = np.where(self.check[state] == ROOT, state, 0)
         yield state
         for n in range(1, levels):
-            word = np.append(stream[n:], np.zeros(n, stream.dtype))
+            word = np.append(stream[n:], np.zeros(n, stream.dtype))[:len(stream)]
             state = self.follow(state, word)
             yield state
 
@@ -225,29 +242,22 @@ _DDL = ", ".join(f"{w} int" for w in WORDS) + ", n long"
 def _supported(streams: DataFrame, shorter: DataFrame | None, size: int, least: int) -> DataFrame:
     """Candidates of ``size`` words: both shorter phrases frequent, and at least ``least`` occurrences.
 
-    A task hands on each phrase with at most ``least`` as its support, which is
-    enough to see whether the sum reaches it; the tries count exactly afterwards.
+    A candidate is one number, its state before the last word and that word.  A
+    task hands on each with at most ``least`` as its support, which is enough
+    to see whether the sum reaches it; the tries count exactly afterwards.
     """
     def pass_over(trie, alone: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        schema = pa.schema([("code", pa.int64()), ("n", pa.int32())])
 
-            def handed():
-                left, right = held >> 32, held & 0xFFFFFFFF
-                if trie is None:
-                    rows = left[:, None]
-                else:
-                    accepts = trie.value.accepts
-                    order = np.argsort(accepts)
-                    rows = trie.value.phrases[order[np.searchsorted(accepts, left, sorter=order)]][:, :size - 1]
-                rows = np.concatenate([rows, right[:, None], np.zeros((len(rows), LONGEST - size), np.int64)], axis=1)
-                return _columns(rows, np.minimum(counts, least), _SCHEMA)
+        def handed(held, counts):
+            for lo in range(0, len(held), 1 << 16):
+                part = slice(lo, lo + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(held[part]), pa.array(np.minimum(counts[part], least).astype(np.int32))], schema=schema)
 
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
             for stream in _streams(batches):
-                if trie is None:
-                    state = stream
-                else:
-                    state = list(trie.value.walk(stream, size - 1))[-1]
+                state = stream if trie is None else list(trie.value.walk(stream, size - 1))[-1]
                 begin, word = state[:max(len(state) - size + 1, 0)], stream[size - 1:]
                 fit = (begin > 0) & (word > 0)
                 if trie is not None and alone:  # the phrase without its first word is in the same trie
@@ -256,21 +266,35 @@ def _supported(streams: DataFrame, shorter: DataFrame | None, size: int, least:
                 held, place = np.unique(np.concatenate([held, more]), return_inverse=True)
                 counts = np.bincount(place, np.concatenate([counts, n]), len(held)).astype(np.int64)
                 if len(held) > HELD:
-                    yield handed()
+                    yield from handed(held, counts)
                     held, counts = held[:0], counts[:0]
-            if len(held):
-                yield handed()
+            yield from handed(held, counts)
+
+        return run
+
+    def written_out(trie):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            accepts = trie.value.accepts
+            order = np.argsort(accepts)
+            for batch in batches:
+                codes = batch.column(0).to_numpy()
+                rows = trie.value.phrases[order[np.searchsorted(accepts, codes >> 32, sorter=order)]].copy()
+                rows[:, size - 1] = codes & 0xFFFFFFFF
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)) for c in rows.T], schema=_SCHEMA.remove(LONGEST))
 
         return run
 
-    found = None
+    found = streams.sparkSession.createDataFrame([], _DDL).drop("n")
     for trie, alone in ([(None, True)] if shorter is None else _tries(shorter)):
-        part = map_arrow(streams, pass_over(trie, alone), _DDL)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return streams.sparkSession.createDataFrame([], _DDL).drop("n")
-    kept = found.groupBy(*WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= least).drop("n")
-    return stored(kept, f"phrases{size}")
+        codes = map_arrow(streams, pass_over(trie, alone), "code long, n int")
+        kept = codes.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("code")
+        if trie is None:
+            first, last = F.call_function("shiftright", F.col("code"), F.lit(32)), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF))
+            part = kept.select(first.cast("int").alias("w1"), last.cast("int").alias("w2"), *[F.lit(0).alias(w) for w in WORDS[2:]])
+        else:
+            part = map_arrow(kept, written_out(trie), ", ".join(f"{w} int" for w in WORDS))
+        found = found.unionByName(part)
+    return stored(found, f"phrases{size}")
 
 
 def count_phrases(streams: DataFrame, phrases: DataFrame) -> DataFrame:
