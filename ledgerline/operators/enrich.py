@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.segments import sub_region, vertical
 from ..params import ReportParams
+from .checks import Checks, matched
 from .dims import merchant_level, small_dimension
 
 COUNTRY_MAX_ROWS = 10_000
@@ -59,13 +60,16 @@ def enrich_merchant(df: DataFrame, merchants: DataFrame, col: str = "sales_merch
 
 def segment_dimension(merchants: DataFrame, countries: DataFrame, team: DataFrame,
                       first_contact: DataFrame | None = None, sub_variant: str = "A",
-                      vertical_variant: str = "A", exclude_roles=()) -> DataFrame:
-    """One row per merchant that has a mapped country and owner, with its segment attributes."""
+                      vertical_variant: str = "A", exclude_roles=(), checks: Checks | None = None) -> DataFrame:
+    """One row per merchant that has a mapped country and owner, with its segment attributes.
+
+    ``checks`` counts the merchants that have none.
+    """
     m = merchants.select(
         F.col("merchant_id").alias("sales_merchant_id"), "sales__name", "sales__industry",
         "sales__merchant_country", "sales__owner", "activation_date")
-    m = enrich_country(m, countries, "sales__merchant_country", "code")
-    m = enrich_team(m, team, "sales__owner", exclude_roles)
+    m = matched(m, [("country", countries_by(countries, "code"), "sales__merchant_country", "country_code"),
+                    ("owner", teams(team, exclude_roles), "sales__owner", "sales_owner")], checks, "merchants").drop("sales_owner")
     if first_contact is not None:
         m = m.join(first_contact, "sales_merchant_id", "left")
     else:

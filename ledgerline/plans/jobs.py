@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..operators.asof import fold_snapshots, join_as_of
 from ..operators.changes import changes
+from ..operators.checks import Checks
+from ..operators.dims import check_unique
 from ..params import ReportParams
 from ..sources import fixtures
 from ..sources.snapshots import SNAPSHOT_COL, publish, read_snapshot, snapshot_dates, write_snapshot
@@ -148,6 +150,31 @@ def team_role_maintenance(t: Tables, p: ReportParams, path: str | None = None) -
     return read_snapshot(t.spark, path, p.as_of)
 
 
+def edited_roles(t: Tables, p: ReportParams, path: str | None = None, edits: DataFrame | None = None) -> DataFrame:
+    """O-31, J-12: this week's edits applied to the stored role table of the week before, stored as this week's snapshot.
+
+    A table without any snapshot first gets the latest upload on record as that of the week before.
+    """
+    path = path or t.output_path("edited_roles")
+    edits = fixtures.role_edits(t.spark, t.source_dir) if edits is None else edits
+    before = [d for d in snapshot_dates(t.spark, path) if d < p.as_of]
+    if not before:
+        before = [max(d for d in fixtures.ROLE_DATES if d < p.as_of)]
+        write_snapshot(fixtures.team_role_on(t.spark, t.source_dir, before[0]), path, before[0])
+    edited = R.apply_role_edits(read_snapshot(t.spark, path, before[-1]), edits)
+    write_snapshot(edited, path, p.as_of, check=lambda rows: check_unique(rows, "sales_owner", "edited roles"))
+    return read_snapshot(t.spark, path, p.as_of)
+
+
+def data_checks(t: Tables, p: ReportParams) -> DataFrame:
+    """S-3 and the dropped rows of the inner joins, counted while segments, J-5 and J-1 are written."""
+    run, checks = t.with_lists("data-checks"), Checks()
+    R.report_segments(run, "A", "A", True, checks=checks)
+    for name, build in (("report", R.processing_and_backlog_report), ("deals", R.deal_signed_report)):
+        write_snapshot(build(run, p, checks=checks), run.output_path("checked", name), p.as_of)
+    return checks.table(t.spark)
+
+
 def deal_level_export(t: Tables, p: ReportParams, path: str | None = None) -> DataFrame:
     """R-1: weekly deal-level CSV file (with header) beside the report; returns it read back."""
     path = path or t.output_path("deal_level_export")

@@ -59,6 +59,8 @@ register("upsell_table_rotation")(J.upsell_table_rotation)
 register("report_from_uploads")(J.report_from_uploads)
 register("rejected_uploads")(J.rejected_uploads)
 register("team_role_maintenance")(J.team_role_maintenance)
+register("edited_roles")(J.edited_roles)
+register("data_checks")(J.data_checks)
 register("deal_level_export")(J.deal_level_export)
 register("owners_missing_role")(lambda t, p: R.owners_missing_role(t))
 register("team_role_upsert")(lambda t, p: R.team_role_fix(t))

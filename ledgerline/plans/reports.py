@@ -34,6 +34,7 @@ from ..operators.attribution import (
     processing_volume,
 )
 from ..operators.curves import backlog_spans, backlog_summary, cumulative_shares, curve_weeks, expand_backlog, expand_pipeline
+from ..operators.checks import Checks, matched
 from ..operators.dims import check_unique, merchant_level, small_dimension, table_size
 from ..operators.enrich import (
     countries_by,
@@ -73,7 +74,7 @@ def crm_opportunity_totals(t: Tables) -> DataFrame:
 
 
 def report_segments(t: Tables, sub_variant: str, vertical_variant: str, with_first_contact: bool,
-                    exclude_roles=()) -> DataFrame:
+                    exclude_roles=(), checks: Checks | None = None) -> DataFrame:
     """Per-merchant segment attributes of one rule variant, written once per dataset and variant.
 
     Several reports join the same merchant-level dimension; it is built
@@ -83,7 +84,7 @@ def report_segments(t: Tables, sub_variant: str, vertical_variant: str, with_fir
     name = f"segments_{sub_variant}{vertical_variant}_{int(with_first_contact)}_{'-'.join(exclude_roles) or 'all'}"
     seg = t.derived(name, lambda x: segment_dimension(
         x.merchants, x.country_codes, x.team_role, crm_first_contact(x) if with_first_contact else None,
-        sub_variant, vertical_variant, exclude_roles))
+        sub_variant, vertical_variant, exclude_roles, checks))
     return merchant_level(seg, t.merchants, "segment dimension")
 
 
@@ -106,9 +107,9 @@ def daily_margin(t: Tables) -> DataFrame:
         in_months(x.margin, months), [(c, c) for c, _ in MARGIN_MEASURES], by_merchant=False))
 
 
-def prepare_shared(t: Tables) -> None:
+def prepare_shared(t: Tables, checks: Checks | None = None) -> None:
     """Write the tables several reports share - daily sums and CRM rollups - and run the
-    dimension checks, with concurrent Spark jobs.
+    dimension checks, with concurrent Spark jobs.  ``checks`` counts the merchants that a segment table drops.
 
     Optional: each table is otherwise written by the first report that needs it.
     """
@@ -121,7 +122,7 @@ def prepare_shared(t: Tables) -> None:
         lambda x: teams(x.team_role),
         several_upsells,
         # merchant-level segment dimensions of the reports (variants with the default roles)
-        lambda x: report_segments(x, "A", "A", True),
+        lambda x: report_segments(x, "A", "A", True, checks=checks),
         lambda x: report_segments(x, "D", "A", True),
         lambda x: report_segments(x, "A", "A", False),
         lambda x: report_segments(x, "E", "E", False),
@@ -237,9 +238,14 @@ def curve_sums(t: Tables) -> DataFrame:
     return t.derived("backlog_curve_sums", lambda x: cumulative_shares(x.backlog_curve))
 
 
-def _ending_summary(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
+def _ending_summary(pv: DataFrame, t: Tables, p: ReportParams, checks: Checks | None = None) -> DataFrame:
     ends = crm_special_dates(t).select("sales_merchant_id", "backlog_end_date")
-    return backlog_summary(pv, t.backlog_curve, p.as_of).join(ends, "sales_merchant_id", "left")
+    summary = backlog_summary(pv, t.backlog_curve, p.as_of)
+    if checks is not None:
+        missing = F.col("first_year_est_npv").isNull()
+        lost = F.coalesce(F.sum(F.when(missing, F.col("first_year_npv"))), F.lit(0)).cast(MONEY)
+        summary = checks.count(summary, "backlog", no_estimate=F.count(F.when(missing, F.lit(1))), no_estimate_npv=lost)
+    return summary.join(ends, "sales_merchant_id", "left")
 
 
 def daily_backlog(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
@@ -247,10 +253,10 @@ def daily_backlog(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
     return expand_backlog(backlog_summary(pv, t.backlog_curve, p.as_of), t.backlog_curve)
 
 
-def report_backlog_spans(pv: DataFrame, t: Tables, p: ReportParams, weeks: bool = False, first=None) -> DataFrame:
+def report_backlog_spans(pv: DataFrame, t: Tables, p: ReportParams, weeks: bool = False, first=None, checks: Checks | None = None) -> DataFrame:
     """Backlog per merchant, category and span of days, cut where an age flag, the new-NPV flag or the end date changes."""
     cuts = [F.date_add("sales_activation_date", 91), F.col("backlog_end_date"), F.lit(p.fy_end + dt.timedelta(days=1))]
-    return backlog_spans(_ending_summary(pv, t, p), curve_sums(t), cuts, weeks, first)
+    return backlog_spans(_ending_summary(pv, t, p, checks), curve_sums(t), cuts, weeks, first)
 
 
 def span_flags(p: ReportParams) -> list:
@@ -260,14 +266,14 @@ def span_flags(p: ReportParams) -> list:
             P.new_npv("orig_activation", p, fcst=day).alias("newNPV")]
 
 
-def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams) -> DataFrame:
-    """J-4 body over a given processing volume.
+def backlog_report_from(pv: DataFrame, t: Tables, p: ReportParams, checks: Checks | None = None) -> DataFrame:
+    """J-4 body over a given processing volume.  ``checks`` counts rows without an estimate.
 
     A merchant's weeks come from its estimate and running sums of the curve;
     no daily rows are made.
     """
     weekly = (
-        report_backlog_spans(pv, t, p, weeks=True, first=p.report_start)
+        report_backlog_spans(pv, t, p, weeks=True, first=p.report_start, checks=checks)
         .groupBy(
             # orig_activation is constant per merchant; keeping it in the key lets the
             # weekly sums reuse the partitioning of the backlog summary
@@ -295,7 +301,7 @@ def backlog_report(t: Tables, p: ReportParams) -> DataFrame:
     return backlog_report_from(backlog_processing_volume(t, p), t, p)
 
 
-def processing_and_backlog_report(t: Tables, p: ReportParams, materialize: str = "none") -> DataFrame:
+def processing_and_backlog_report(t: Tables, p: ReportParams, materialize: str = "none", checks: Checks | None = None) -> DataFrame:
     """J-5: J-3 and J-4 in one table.
 
     The processing volume feeds both halves.  It is derived from the shared
@@ -313,7 +319,7 @@ def processing_and_backlog_report(t: Tables, p: ReportParams, materialize: str =
         pv = stage_table(pv, t, "processing_volume")
     elif materialize == "checkpoint":
         pv = pv.checkpoint(eager=True)
-    return processing_report_from(pv, t, p).unionByName(backlog_report_from(pv, t, p))
+    return processing_report_from(pv, t, p).unionByName(backlog_report_from(pv, t, p, checks))
 
 
 def backlog_daily(t: Tables, p: ReportParams, ids: DataFrame | None = None) -> DataFrame:
@@ -430,13 +436,15 @@ def pipeline_daily(t: Tables, p: ReportParams) -> DataFrame:
 
 # --------------------------------------------------------------------------- deal signed (J-1)
 
-def deal_signed_report(t: Tables, p: ReportParams) -> DataFrame:
-    """J-1: one row per open or won deal with period labels, segment and this-week flags."""
+def deal_signed_report(t: Tables, p: ReportParams, checks: Checks | None = None) -> DataFrame:
+    """J-1: one row per open or won deal with period labels, segment and this-week flags.
+
+    ``checks`` counts the deals without a mapped country or owner.
+    """
     o = t.opportunities.filter(~F.col("opportunity_stage").isin(*EXCLUDED_DEAL_STAGES))
     cc = countries_by(t.country_codes, "name")
     tm = teams(t.team_role, p.exclude_roles)
-    j = (o.join(cc, o["opportunity_merchant_country"] == cc["sfdc_country_name"])
-         .join(tm, o["opportunity_owner"] == tm["sales_owner"]))
+    j = matched(o, [("country", cc, "opportunity_merchant_country", "sfdc_country_name"), ("owner", tm, "opportunity_owner", "sales_owner")], checks, "deals")
     close, created, live = "opportunity_close_date", "opportunity_created_date", "opportunity_expected_go_live_date"
     return j.select(
         F.lit("deal_data").alias("data_type"),
@@ -609,6 +617,26 @@ def upsert_roles(team: DataFrame, add: DataFrame | None = None, remove: DataFram
     return out
 
 
+def apply_role_edits(stored: DataFrame, edits: DataFrame) -> DataFrame:
+    """The role table after an ordered list of edits (seq, action, sales_owner, role, team).
+
+    ``add`` sets an owner's role and team, ``remove`` takes the owner out; of
+    several edits of an owner the last one wins, so an addition after a removal
+    stays, and the same list applied twice gives the same table.  Removing an
+    owner who is not there changes nothing.  A repeated ``seq`` raises, as the
+    order would not be known, and so does an unknown action.
+    """
+    check_unique(edits.select("seq"), "seq", "role edits")
+    last = edits.groupBy("sales_owner").agg(F.max("seq").alias("seq")).select(F.col("sales_owner").alias("_owner"), F.col("seq").alias("_seq"))
+    known = F.col("action").isin("add", "remove")
+    action = F.when(known, F.col("action")).otherwise(F.raise_error(F.concat(F.lit("unknown action of a role edit: "), F.coalesce("action", F.lit("NULL")))))
+    valid = edits.select("seq", action.alias("action"), "sales_owner", "role", "team")
+    winning = valid.join(last, (F.col("sales_owner") == F.col("_owner")) & (F.col("seq") == F.col("_seq")))
+    added = winning.filter(F.col("action") == "add").select("sales_owner", "role", "team")
+    kept = stored.select("sales_owner", "role", "team").join(last, F.col("sales_owner") == F.col("_owner"), "left_anti")
+    return kept.unionByName(added)
+
+
 def team_role_fix(t: Tables, role: str = "AE", team: str = "In-country") -> DataFrame:
     """O-31: add every merchant or deal owner missing from the role table (``role`` / ``team``),
     and remove role rows whose owner owns no merchant and no deal."""

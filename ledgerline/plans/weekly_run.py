@@ -17,8 +17,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from ..operators.curves import backlog_checks, backlog_summary
-from ..operators.enrich import enrichment_audit
+from ..operators.checks import Checks
 from ..params import ReportParams
 from ..sources.snapshots import write_snapshot
 from ..sources.tables import Tables, load_tables
@@ -27,12 +26,12 @@ from . import jobs
 from . import reports as R
 
 REPORTS = {
-    "processing_and_backlog": R.processing_and_backlog_report,
-    "pipeline_forecast": R.pipeline_report,
-    "deal_signed": R.deal_signed_report,
-    "margin_first_year": R.margin_report,
-    "weekly_processing": R.weekly_processing_snapshot,
-    "weekly_upsell": R.weekly_upsell_snapshot,
+    "processing_and_backlog": lambda t, p, checks: R.processing_and_backlog_report(t, p, checks=checks),
+    "pipeline_forecast": lambda t, p, checks: R.pipeline_report(t, p),
+    "deal_signed": lambda t, p, checks: R.deal_signed_report(t, p, checks=checks),
+    "margin_first_year": lambda t, p, checks: R.margin_report(t, p),
+    "weekly_processing": lambda t, p, checks: R.weekly_processing_snapshot(t, p),
+    "weekly_upsell": lambda t, p, checks: R.weekly_upsell_snapshot(t, p),
 }
 
 
@@ -43,21 +42,20 @@ def run_weekly(spark: SparkSession, source, out_dir: str, p: ReportParams) -> di
     from ``sources.warehouse.tables_from_paths``).
     """
     t = source if isinstance(source, Tables) else load_tables(spark, source)
-    R.prepare_shared(t)
+    # this week's lists: what they go into is derived for this run
+    t = t.with_lists("-".join(filter(None, (t.lists, f"run-{p.as_of.isoformat()}"))))
+    checks = Checks()
+    R.prepare_shared(t, checks)
     out_dir = out_dir.rstrip("/")
     paths = {}
     for name, build in REPORTS.items():
         paths[name] = f"{out_dir}/{name}"
-        write_snapshot(build(t, p), paths[name], p.as_of)
+        write_snapshot(build(t, p, checks), paths[name], p.as_of)
     paths["deal_level_export"] = f"{out_dir}/deal_level_export"
     jobs.deal_level_export(t, p, paths["deal_level_export"])
-    # data checks beside the reports: rows the inner joins drop, backlog rows without an estimate
-    paths["check_enrichment"] = f"{out_dir}/check_enrichment"
-    write_snapshot(enrichment_audit(t.merchants, t.opportunities, t.country_codes, t.team_role),
-                   paths["check_enrichment"], p.as_of)
-    paths["check_backlog"] = f"{out_dir}/check_backlog"
-    summary = backlog_summary(R.backlog_processing_volume(t, p), t.backlog_curve, p.as_of)
-    write_snapshot(backlog_checks(summary), paths["check_backlog"], p.as_of)
+    # data checks beside the reports, counted while these were written
+    paths["checks"] = f"{out_dir}/checks"
+    write_snapshot(checks.table(spark), paths["checks"], p.as_of)
     return paths
 
 
@@ -77,7 +75,7 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True, help="output folder (shared storage)")
     ap.add_argument("--as-of", type=_date, required=True, help="report date, yyyy-mm-dd")
     defaults = ReportParams()
-    for name in ("history_start", "report_start", "horizon_end", "fy_start", "fy_end", "pipeline_cutoff"):
+    for name in ("history_start", "report_start", "horizon_end", "fy_start", "fy_end", "pipeline_cutoff", "run_date"):
         ap.add_argument("--" + name.replace("_", "-"), type=_date, default=getattr(defaults, name))
     ap.add_argument("--exclude-roles", default="", help="comma-separated team roles to leave out")
     a = ap.parse_args(argv)
@@ -87,7 +85,7 @@ def main(argv=None) -> None:
             ap.error("without --source, these are needed: " + ", ".join(missing))
     p = ReportParams(as_of=a.as_of, history_start=a.history_start, report_start=a.report_start,
                      horizon_end=a.horizon_end, fy_start=a.fy_start, fy_end=a.fy_end,
-                     pipeline_cutoff=a.pipeline_cutoff,
+                     pipeline_cutoff=a.pipeline_cutoff, run_date=a.run_date,
                      exclude_roles=tuple(r for r in a.exclude_roles.split(",") if r))
     spark = SparkSession.builder.appName("ledgerline-weekly").getOrCreate()
     if a.source:

@@ -42,25 +42,25 @@ COUNTRIES = (
     (3, "IE", "Ireland", "IE"),
     (4, "FR", "France", "Southern EU"),
     (5, "ES", "Spain", "Southern EU"),
-    (6, "IT", "Italy", "Southern EU"),
+    (6, "IT", "Italy", "SouthernEU"),
     (7, "DE", "Germany", "Northern EU"),
-    (8, "AT", "Austria", "Northern EU"),
+    (8, "AT", "AT", "NorthernEU"),
     (9, "CH", "Switzerland", "Northern EU"),
     (10, "BE", "Belgium", "Northern EU"),
     (11, "NL", "Netherlands", "Northern EU"),
-    (12, "LU", "Luxembourg", "Northern EU"),
-    (13, "NO", "Norway", "Northern EU"),
+    (12, "LU", "LU", "NorthernEU"),
+    (13, "NO", "NO", "NorthernEU"),
     (14, "FI", "Finland", "Northern EU"),
     (15, "SE", "Sweden", "Northern EU"),
     (16, "DK", "Denmark", "Northern EU"),
     (17, "IS", "Iceland", "Northern EU"),
     (18, "AU", "Australia", "AU/NZ"),
-    (19, "NZ", "New Zealand", "AU/NZ"),
+    (19, "NZ", "New Zealand", "AU"),
     (20, "SG", "Singapore", "SG/HK"),
-    (21, "HK", "Hong Kong", "SG/HK"),
-    (22, "MX", "Mexico", "New Markets"),
+    (21, "HK", "Hong Kong", "SG"),
+    (22, "MX", "CA", "New Markets"),
     (23, "BR", "Brazil", "New Markets"),
-    (24, "PL", "Poland", "Unmapped"),
+    (24, "PL", "US", "Unmapped"),
 )
 ACTIVATION_BASE = dt.date(1996, 1, 1)
 END_DATE_BASE = dt.date(2000, 1, 2)
@@ -69,6 +69,11 @@ UPSELL_SHARE_STEP = "0.0625"
 # customers of every LATE_EVERY-th key went live, and made their deals, in the quarter before the report date
 LATE_EVERY = 29
 LATE_BASE = dt.date(1999, 10, 1)
+# customers of every RECENT_EVERY-th key made their deals after the report date, before the pipeline report is run
+RECENT_EVERY = 31
+RECENT_BASE = dt.date(2000, 1, 2)
+# every REPEATED_EVERY-th deal stands twice in the CRM table
+REPEATED_EVERY = 40
 # deals of every LARGE_EVERY-th key are a thousand times as large
 LARGE_EVERY = 101
 # dates of the uploaded role tables kept as history
@@ -179,14 +184,16 @@ def merchants(spark: SparkSession, sf_dir: str, nsup: int | None = None) -> Data
 
 
 def opportunities(spark: SparkSession, sf_dir: str, nsup: int | None = None) -> DataFrame:
-    """CRM table: one row per order."""
+    """CRM table: one row per order, some of them twice."""
     nsup = nsup if nsup is not None else supplier_count(spark, sf_dir)
-    od = read_raw(spark, sf_dir, "orders")
+    od = read_raw(spark, sf_dir, "orders").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.when(F.col("o_orderkey") % REPEATED_EVERY == 0, 2).otherwise(1))))
     cust = read_raw(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     cc = country_codes(spark, sf_dir).select("nation_key", "sfdc_country_name")
     sup = read_raw(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     k = F.col("o_orderkey")
     created = (F.when(F.col("o_custkey") % LATE_EVERY == 0, _add_days(LATE_BASE, k % 80))
+               .when(F.col("o_custkey") % RECENT_EVERY == 0, _add_days(RECENT_BASE, k % 45))
                .otherwise(F.col("o_orderdate").cast("date")))
     stage_idx = k % 9
     amount = (F.round(F.col("o_totalprice"), 2).cast("decimal(14,2)")
@@ -251,6 +258,20 @@ def team_role_on(spark: SparkSession, sf_dir: str, date: dt.date) -> DataFrame:
     )
 
 
+def role_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ordered list of role edits over the given suppliers: removals, additions, and both for some owners."""
+    k = F.col("s_suppkey")
+    sup = read_raw(spark, sf_dir, "supplier")
+    parts = [(k % 6 == 0, 1, "remove", None, None), (k % 12 == 0, 2, "add", "NBA", "Hub"), (k % 9 == 0, 3, "add", "AM", "In-country"),
+             (k % 18 == 0, 4, "add", "AE", "Hub"), (k % 10 == 9, 5, "add", "AE", "In-country"), (k % 14 == 9, 6, "remove", None, None)]
+    out = None
+    for which, step, action, role, team in parts:
+        part = sup.filter(which).select((k * 10 + step).cast("bigint").alias("seq"), F.lit(action).alias("action"), F.col("s_name").alias("sales_owner"),
+                                        F.lit(role).cast("string").alias("role"), F.lit(team).cast("string").alias("team"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def upsells(merchants_df: DataFrame) -> DataFrame:
     """Upsell list derived from the merchant dimension."""
     m = F.col("merchant_id")

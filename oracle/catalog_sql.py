@@ -113,7 +113,8 @@ C["weighted_amount"] = with_tables(["opportunities"]) + (
 # ----------------------------------------------------------------------------- measures and rollups
 C["fanout_safe_sum"] = with_tables(["opportunities"]) + """
 SELECT opportunity_owner, CAST(COALESCE(sum(COALESCE(opportunity_amount, 0)), 0) AS DECIMAL(18,2)) AS opportunity_amount_once
-FROM opportunities WHERE opportunity IN (SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem)
+FROM (SELECT DISTINCT opportunity, opportunity_owner, opportunity_amount FROM opportunities)
+WHERE opportunity IN (SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem)
 GROUP BY opportunity_owner"""
 C["expected_amount"] = with_tables(["opportunities", "merchants"], deal_ctes(days=False)) + (
     "SELECT deal AS opportunity, expected_amount FROM deals")
@@ -368,3 +369,33 @@ _BAD = [("country_codes", "99,,Nowhere,New Markets", "country_code is empty"), (
 SQL["rejected_uploads"] = with_tables([n for n, _, _ in _BAD]) + "\nUNION ALL\n".join(
     f"SELECT '{n}' AS list, {D(P.shifted(-1).as_of)} AS upload_date, CAST((SELECT count(*) FROM {n}) + 2 AS INTEGER) AS line, '{r}' AS record, '{why}' AS reason"
     for n, r, why in _BAD)
+
+# role edits: the last of each owner over the upload of the week before
+SQL["edited_roles"] = with_tables([], [
+    ("before", uploaded_roles(len(ROLE_DATES) - 1)),
+    ("edits", """
+SELECT s_suppkey * 10 + e.step AS seq, e.action, s_name AS owner, e.role, e.team
+FROM supplier JOIN (VALUES (6, 0, 1, 'remove', NULL, NULL), (12, 0, 2, 'add', 'NBA', 'Hub'), (9, 0, 3, 'add', 'AM', 'In-country'),
+  (18, 0, 4, 'add', 'AE', 'Hub'), (10, 9, 5, 'add', 'AE', 'In-country'), (14, 9, 6, 'remove', NULL, NULL)) e(m, rest, step, action, role, team)
+  ON s_suppkey % e.m = e.rest"""),
+    ("latest", "SELECT owner, arg_max(action, seq) AS action, max_by({'r': role, 't': team}, seq) AS said FROM edits GROUP BY owner"),
+]) + f"""
+SELECT coalesce(l.owner, b.sales_owner) AS sales_owner, CASE WHEN l.owner IS NULL THEN b.role ELSE l.said.r END AS role,
+  CASE WHEN l.owner IS NULL THEN b.team ELSE l.said.t END AS team, {D(P.as_of)} AS snapshot_date
+FROM before b FULL JOIN latest l ON l.owner = b.sales_owner WHERE coalesce(l.action, 'add') = 'add'"""
+
+# data checks
+_LOST = "count(*) FILTER (land.country_code IS NULL) AS a, count(*) FILTER (seat.sales_owner IS NULL) AS b, " \
+        "count(*) FILTER (land.country_code IS NOT NULL AND seat.sales_owner IS NOT NULL) AS c"
+SQL["data_checks"] = with_tables(REPORT_TABLES, report_ctes() + [
+    ("m", f"""SELECT count(*) AS n, {_LOST} FROM merchants who LEFT JOIN country_codes land ON land.country_code = who.sales__merchant_country
+LEFT JOIN team_role seat ON seat.sales_owner = who.sales__owner"""),
+    ("d", f"""SELECT count(*) AS n, {_LOST} FROM opportunities o LEFT JOIN country_codes land ON land.sfdc_country_name = o.opportunity_merchant_country
+LEFT JOIN team_role seat ON seat.sales_owner = o.opportunity_owner WHERE o.opportunity_stage NOT IN ('Lost', 'Duplicate')"""),
+    ("e", "SELECT count(*) AS n, count(*) FILTER (estimate IS NULL) AS a, coalesce(sum(actual) FILTER (estimate IS NULL), 0) AS x FROM estimates"),
+]) + "\nUNION ALL\n".join(
+    f"SELECT '{subject}' AS subject, '{name}' AS check_name, CAST({n} AS BIGINT) AS n, {money(x)} AS amount FROM {cte}"
+    for subject, cte, counters in (("merchants", "m", (("rows", "n"), ("without_country", "a"), ("without_owner", "b"), ("kept", "c"))),
+                                   ("deals", "d", (("rows", "n"), ("without_country", "a"), ("without_owner", "b"), ("kept", "c"))),
+                                   ("backlog", "e", (("rows", "n"), ("no_estimate", "a"), ("no_estimate_npv", "x"))))
+    for name, n, x in [(name, "NULL" if c == "x" else c, c if c == "x" else "NULL") for name, c in counters])

@@ -27,7 +27,7 @@ def pick(values, idx_sql: str) -> str:
 _COUNTRY_ROWS = ", ".join(f"({n}, {q(c)}, {q(name)}, {q(r)})" for n, c, name, r in COUNTRIES)
 
 CREATED = ("(CASE WHEN o.o_custkey % 29 = 0 THEN DATE '1999-10-01' + CAST(o.o_orderkey % 80 AS INTEGER) "
-           "ELSE CAST(o.o_orderdate AS DATE) END)")
+           "WHEN o.o_custkey % 31 = 0 THEN DATE '2000-01-02' + CAST(o.o_orderkey % 45 AS INTEGER) ELSE CAST(o.o_orderdate AS DATE) END)")
 AMOUNT = "CAST(round(o.o_totalprice, 2) AS DECIMAL(14,2)) * CASE WHEN o.o_orderkey % 101 = 0 THEN 1000 ELSE 1 END"
 
 STAGING = {
@@ -90,7 +90,7 @@ SELECT CAST(o.o_orderkey AS VARCHAR) AS opportunity,
        CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Commit' WHEN '2-HIGH' THEN 'Best Case' ELSE 'Pipeline' END
          AS opportunity_forecast_category,
        CASE WHEN o.o_orderkey % 53 = 0 THEN NULL ELSE CAST({AMOUNT} AS DECIMAL(18,2)) END AS opportunity_deal_amount
-FROM orders o
+FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 40 = 0) o
 JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN country_codes cc ON c.c_nationkey = cc.nation_key
 LEFT JOIN supplier s ON s.s_suppkey = o.o_orderkey % (SELECT count(*) FROM supplier)""",
@@ -140,7 +140,7 @@ def with_tables(tables, ctes: list[tuple[str, str]] | None = None) -> str:
     parts = [f"{n} AS MATERIALIZED ({STAGING[n]}\n)" for n in _closure(tables)]
     for name, sql in ctes or []:
         parts.append(f"{name} AS MATERIALIZED ({sql}\n)")
-    return "WITH " + ",\n".join(parts) + "\n"
+    return "WITH " + ",\n".join(parts) + "\n" if parts else ""
 
 
 def staged_table_sql(name: str) -> str:

@@ -342,6 +342,24 @@ def test_upsert_roles_replaces_and_removes(spark):
     assert got == [("ann", "AE", "Hub"), ("bob", "AE", "In-country"), ("dee", "AE", "In-country")]
 
 
+def test_role_edits_last_one_wins(spark):
+    from ledgerline.plans.reports import apply_role_edits
+
+    stored = spark.createDataFrame([("ann", "AE", "Hub"), ("bob", "AM", "Hub"), ("cy", "AE", "Hub")], "sales_owner string, role string, team string")
+    kind = "seq long, action string, sales_owner string, role string, team string"
+    edits = spark.createDataFrame([(5, "add", "bob", "NBA", "In-country"), (2, "remove", "bob", None, None), (1, "add", "di", "AE", "Hub"), (9, "remove", "di", None, None),
+                                   (3, "remove", "cy", None, None), (4, "remove", "nobody", None, None), (7, "add", "ed", "AE", None)], kind)
+    once = apply_role_edits(stored, edits)
+    rows = {tuple(r) for r in once.collect()}
+    assert rows == {("ann", "AE", "Hub"), ("bob", "NBA", "In-country"), ("ed", "AE", None)}
+    assert {tuple(r) for r in apply_role_edits(once, edits).collect()} == rows
+    assert {tuple(r) for r in apply_role_edits(stored, edits.limit(0)).collect()} == {tuple(r) for r in stored.collect()}
+    with pytest.raises(DuplicateKeyError):
+        apply_role_edits(stored, edits.unionByName(edits.filter("seq = 1")))
+    with pytest.raises(Exception, match="unknown action"):
+        apply_role_edits(stored, spark.createDataFrame([(1, "drop", "ann", None, None)], kind)).collect()
+
+
 def test_opportunity_merchant_key(spark):
     from ledgerline.operators.enrich import opportunity_merchant_key
 

@@ -139,9 +139,18 @@ def test_a_wrong_rule_makes_the_comparison_fail(spark, duck, monkeypatch):
     assert not compare(spark, duck, queries()["sub_region"](spark, SF), SQL["sub_region"])["ok"]
 
 
+def test_rules_of_all_variants_are_reached(spark):
+    """Regions and countries of the fixture reach the rules of the older variants, not only their defaults."""
+    want = {"sub_region_b": {"New Zealand", "Hong Kong"}, "sub_region_e": {"Italy", "DACH", "BENELUX", "CA", "New Zealand", "Hong Kong", "NBA"}}
+    for key, names in want.items():
+        found = {r[0] for r in queries()[key](spark, "/root/testdata/sf0.01").select("sub_region").distinct().collect()}
+        assert names <= found, (key, names - found)
+
+
 def test_flags_take_both_values(spark):
     for key, flag in (("in_quarter_opportunity", "in_quarter_opportunity"), ("processing_report", "in_quarter_opportunity"),
-                      ("processing_report", "newNPV"), ("backlog_report", "ninety_day_live"), ("pipeline_forecast_report", "newNPV")):
+                      ("processing_report", "newNPV"), ("backlog_report", "ninety_day_live"), ("pipeline_forecast_report", "newNPV"),
+                      ("pipeline_forecast_report", "this_week"), ("pipeline_forecast_report", "in_quarter_opportunity")):
         df = queries()[key](spark, SF)
         assert {r[0] for r in df.select(flag).distinct().collect()} == {0, 1}, (key, flag)
 

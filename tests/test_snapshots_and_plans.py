@@ -181,6 +181,17 @@ def test_entry_smoke(spark):
     assert df.columns[:4] == ["data_type", "year", "quarter", "finance_week"]
 
 
+def test_queries_are_there_without_the_libraries_of_the_operators():
+    """With a library of the training-data operators missing, the reports' queries and SQL stay."""
+    import subprocess
+    import sys
+
+    code = ("import sys; sys.modules['regex'] = None; import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); "
+            "assert set(s) == set(q) and not any(k.startswith('op') and k[2].isdigit() for k in q), sorted(q); print(len(q))")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=str(__import__("pathlib").Path(__file__).parents[1]))
+    assert done.returncode == 0 and int(done.stdout) >= 73, done.stderr
+
+
 def test_uploaded_lists_round_trip_with_declared_schema(spark, tables):
     from ledgerline.sources.uploads import read_upload, write_upload
 
@@ -284,7 +295,8 @@ def test_merchants_without_mapped_owner_drop_out(spark, tables, registered):
     assert unmapped.count() > 0  # the fixture leaves one owner in ten out on purpose
 
 
-def test_weekly_run_writes_every_report(spark, registered):
+def test_weekly_run_writes_every_report(spark, tables, registered):
+    from ledgerline.operators.enrich import enrichment_audit
     from ledgerline.params import DEFAULT_PARAMS as P
     from ledgerline.plans.weekly_run import run_weekly
 
@@ -296,9 +308,13 @@ def test_weekly_run_writes_every_report(spark, registered):
         expected = registered[key](spark, SF)
         assert back.exceptAll(expected).count() == 0 and expected.exceptAll(back).count() == 0
     assert read_snapshot(spark, paths["weekly_processing"], P.as_of).count() > 0
-    assert read_snapshot(spark, paths["check_enrichment"], P.as_of).count() == 2
-    chk = read_snapshot(spark, paths["check_backlog"], P.as_of).first()
-    assert chk.rows > 0 and chk.no_estimate == 0
+    seen = {(r.subject, r.check_name): r.n for r in read_snapshot(spark, paths["checks"], P.as_of).collect()}
+    assert seen["backlog", "rows"] > 0 and seen["backlog", "no_estimate"] == 0
+    # what the inner joins dropped, as the audit by itself counts it
+    audit = {r.table: r for r in enrichment_audit(tables.merchants, tables.opportunities, tables.country_codes, tables.team_role).collect()}
+    assert (seen["merchants", "rows"], seen["merchants", "without_owner"], seen["merchants", "kept"]) == (
+        audit["merchants"].rows, audit["merchants"].without_owner, audit["merchants"].kept)
+    assert seen["deals", "kept"] == registered["deal_signed_report"](spark, SF).count() < seen["deals", "rows"]
 
 
 def test_reports_from_users_own_tables(spark, tables, duck):
@@ -341,11 +357,13 @@ def test_weekly_run_command_line(spark, capsys):
     from ledgerline.plans.weekly_run import main
 
     out = scratch_path(spark, "test-weekly-cli", uuid.uuid4().hex)
-    main(["--source", SF, "--out", out, "--as-of", "2000-01-02", "--exclude-roles", "AM"])
+    main(["--source", SF, "--out", out, "--as-of", "2000-01-02", "--exclude-roles", "AM", "--run-date", "2000-02-20"])
     printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
     assert set(printed) >= {"processing_and_backlog", "pipeline_forecast", "deal_signed", "deal_level_export"}
     deals = read_snapshot(spark, printed["deal_signed"], dt.date(2000, 1, 2))
     assert deals.count() > 0 and deals.filter("sales_role = 'AM'").count() == 0
+    forecast = read_snapshot(spark, printed["pipeline_forecast"], dt.date(2000, 1, 2))
+    assert {r[0] for r in forecast.select("this_week").distinct().collect()} == {0, 1}
 
 
 def test_weekly_run_says_what_is_missing(capsys):
