@@ -26,14 +26,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import PretokenEncoder, byte_characters
-from .common import map_arrow, take_turn, text_hash, text_lists
+from .common import WordCache, int_ranges, map_arrow, slices, take_turn, text_hash
 
 BLOCK_IDS = 1 << 16
+SLICE = 8 << 20  # bytes of text encoded at a time
 SCHEMA = "shard int, block int, first long, n_ids long, bits int, doc_ids array<long>, ends array<long>, payload binary"
 
 
@@ -66,11 +68,58 @@ def unpack(payload: bytes, bits: int, lo: int, hi: int) -> np.ndarray:
     return np.packbits(wide, axis=1).view(">u4").ravel().astype(np.uint32)
 
 
+SPACE, NEWLINE = 0x20, 0x0A
+# White space of more than one byte in UTF-8, by its last byte and the bytes before it.
+WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_NARROW = np.zeros(256, bool)
+_NARROW[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+_OPENS_WIDE = np.zeros(256, bool)
+_OPENS_WIDE[[c.encode()[0] for c in WIDE_SPACES]] = True
+_WIDE_ENDS = {c.encode()[:-1]: np.zeros(256, bool) for c in WIDE_SPACES}
+for _c in WIDE_SPACES:
+    _WIDE_ENDS[_c.encode()[:-1]][_c.encode()[-1]] = True
+
+
+def piece_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts begin in their bytes: at each text's start, and at each single space or newline between other characters.
+
+    No pre-token reaches over such a place (see ``common.chunks``); a piece
+    holds the space or newline before it.  Where a character of several bytes
+    may be white space, nothing is cut.
+    """
+    mask = data == SPACE
+    mask |= data == NEWLINE
+    mask[starts] = False  # a text may begin with a space, and end with one
+    mask[starts[1:] - 1] = False
+    mask[-1] = False
+    at = np.flatnonzero(mask)
+    before, after = data[at - 1], data[at + 1]
+    wrong = _NARROW[before]
+    wrong |= _NARROW[after]
+    wrong |= _OPENS_WIDE[after]
+    wide = np.flatnonzero(before >= 0x80)
+    if len(wide):
+        place = at[wide]
+        for lead, ends in _WIDE_ENDS.items():
+            hit = ends[data[place - 1]]
+            for k, byte in enumerate(reversed(lead)):
+                hit &= data[np.maximum(place - 2 - k, 0)] == byte
+            wrong[wide[hit]] = True
+    mask[at[wrong]] = False
+    mask[starts] = True
+    return np.flatnonzero(mask)
+
+
 class LibraryEncoder(PretokenEncoder):
-    """Texts to little-endian 32-bit ids by the tokenizers library: its model encodes each new word, frequent words are remembered."""
+    """Texts to 32-bit ids by the tokenizers library.
+
+    A column of texts is cut into pieces by numpy, its different pieces are
+    found by Arrow, and each is encoded once by the library's model (frequent
+    ones are remembered within bounds); the ids are then gathered by place.
+    """
 
     def __init__(self, path: str):
-        super().__init__(limit=400_000)
+        super().__init__(limit=100_000)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -81,18 +130,60 @@ class LibraryEncoder(PretokenEncoder):
         self.largest = self.tokenizer.get_vocab_size() - 1
         self.model = self.tokenizer.model
         self.shown = {b: ord(c) for c, b in byte_characters().items()}
+        self.space = chr(self.shown[SPACE])
+        self.pieces = WordCache(self._piece, 400_000)
 
     def word_ids(self, word: str) -> bytes:
         """Ids of one pre-token, by the library's model."""
-        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.shown))]
+        shown = word.translate(self.shown) if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
+        ids = [t.id for t in self.model.tokenize(shown)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _piece(self, piece: str) -> bytes:
+        # letters behind a space, also with one mark at their end, are pre-tokens as they are
+        body = piece[1:] if piece[:1] == " " else piece
+        if body.isalpha():
+            if body.isascii():  # letters stand for themselves, the space has a character of its own
+                ids = [t.id for t in self.model.tokenize(body if body is piece else self.space + body)]
+                return struct.pack(f"<{len(ids)}I", *ids)
+            return self.word_ids(piece)
+        if body[-1:] in self.MARKS and body[:-1].isalpha():
+            return self.word_ids(piece[:-1]) + self.words[piece[-1]]
+        return b"".join(map(self.words.__getitem__, self.pretokens(piece)))
+
+    def whole(self, text: str) -> np.ndarray:
+        """Ids of a text with a special string, by the library as it is."""
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def encode(self, text: str) -> bytes:
-        """Ids of ``text``, as ``Tokenizer.encode`` gives them without added special tokens."""
-        if any(s in text for s in self.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
-        return self.ordinary(text)
+        """Little-endian 32-bit ids of one text."""
+        return self.encode_column(pa.array([text]))[0].astype("<u4").tobytes()
+
+    def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each of ``texts`` (no nulls), as ``Tokenizer.encode`` gives them without added special tokens."""
+        texts = texts.cast(pa.large_string())
+        special = np.zeros(len(texts), bool)
+        for s in self.special:
+            special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        ends = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8, int(ends[-1] - ends[0]), int(ends[0]))
+        ends = ends - ends[0]
+        if not len(data):
+            return [np.zeros(0, np.uint32)] * len(texts)
+        filled = ends[:-1] < ends[1:]
+        starts = piece_starts(data, ends[:-1][filled])
+        cuts = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        found = pa.LargeStringArray.from_buffers(len(starts), cuts, pa.py_buffer(data)).dictionary_encode()
+        ids = list(map(self.pieces.__getitem__, found.dictionary.to_pylist()))
+        sizes = np.array([len(i) >> 2 for i in ids], np.int64)
+        places = found.indices.to_numpy()
+        counts = sizes[places]
+        gathered = np.frombuffer(b"".join(ids), "<u4")[int_ranges((np.cumsum(sizes) - sizes)[places], counts)]
+        upto = np.append(0, np.cumsum(counts))[np.searchsorted(starts, ends)]
+        out = [gathered[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
+        for k in np.flatnonzero(special):
+            out[k] = self.whole(texts[int(k)].as_py())
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -112,13 +203,13 @@ def _write_blocks(path: str, end_id: int):
         bits = bits_for(max(library(path).largest, end_id))
 
         def packed():
-            return shard, number, first, total, bits, docs, ends, pack(np.frombuffer(b"".join(parts), "<u4"), bits)
+            return shard, number, first, total, bits, docs, ends, pack(np.concatenate(parts), bits)
 
-        tail = np.array([end_id], "<u4").tobytes()
+        tail = np.array([end_id], np.uint32)
         for doc_id, ids in rows:
             docs.append(doc_id)
             parts += [ids, tail]
-            total += len(ids) // 4 + 1
+            total += len(ids) + 1
             ends.append(total)
             if total >= BLOCK_IDS:
                 yield packed()
@@ -132,8 +223,9 @@ def _write_blocks(path: str, end_id: int):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         encoder = library(path)
         for batch in batches:
-            for lo, hi, texts in text_lists(batch.column("text")):
-                yield from zip(batch.column("doc_id").slice(lo, hi - lo).to_pylist(), map(encoder.encode, texts))
+            texts = batch.column("text").fill_null("")
+            for lo, hi in slices(pc.binary_length(texts).to_pylist(), SLICE):
+                yield from zip(batch.column("doc_id").slice(lo, hi - lo).to_pylist(), encoder.encode_column(texts.slice(lo, hi - lo)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in blocks(encoded(batches)):

@@ -117,3 +117,23 @@ def test_packed_folder(spark, cases, no_rows, library, tmp_path):
     assert packing.document_ids(spark, path, 6) == [ids[6, CASES[9][1]]]
     empty = packing.write_packed(no_rows, str(tmp_path / "none"), BYTE_BPE)
     assert packing.read_packed(spark, empty).count() == 0
+
+
+def test_columns_are_cut_where_no_token_reaches_over():
+    """Every character up to U+30FF beside spaces and newlines, random mixes, slices, empty texts: ids as the library gives them."""
+    import random
+
+    import pyarrow as pa
+
+    from ledgerline.llm.packing import library
+
+    encoder = library(BYTE_BPE)
+    rng = random.Random(8)
+    parts = ["a", "B", "é", "à", "ç ", "  ", " ", "\n", "\n\n", "\r\n", "\t", "1", "23", ".", "!", "'s", "漢字", " ", " ", "　", "\x85", " ",
+             " ", "<|endoftext|>", "🙂", "ß", "x.", "\x1c", "​", "½", "hello ", "World, "]
+    texts = ["a " + chr(c) + " b" + chr(c) + "c \n" + chr(c) + "\nd" for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(5000)] + ["", " ", "\n"]
+    want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [i.tolist() for i in encoder.encode_column(pa.array(texts))] == want
+    assert [i.tolist() for i in encoder.encode_column(pa.array(["left out", *texts]).slice(1, 700))] == want[:700]
+    assert encoder.encode_column(pa.array(["", ""]))[1].tolist() == [] and encoder.encode_column(pa.array([], pa.string())) == []
