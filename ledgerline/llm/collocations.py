@@ -35,7 +35,8 @@ REPORTED = 2000
 SCALE = 2_000_000
 SLICE = 4 << 20  # bytes of text split at a time
 HELD = 1 << 19  # different phrases a task holds before it hands them on
-TRIE_PHRASES = 1_000_000
+TRIE_PHRASES = 250_000
+VOCABULARY_WORDS, VOCABULARY_BYTES = 500_000, 16 << 20
 ROOT = -1
 WORDS = [f"w{i + 1}" for i in range(LONGEST)]
 
@@ -102,9 +103,47 @@ def text_slices(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return stored(split.select(F.monotonically_increasing_id().alias("slice"), "keys", "codes"), "slices")
 
 
+def _stream(ids: np.ndarray) -> pa.RecordBatch:
+    """A stream of word numbers as one row, of several 0 in a row only the first."""
+    kept = ids[(ids > 0) | np.append(True, ids[:-1] > 0)]
+    return pa.RecordBatch.from_arrays([pa.array([kept.tobytes()], pa.binary())], ["ids"])
+
+
 def numbered(split: DataFrame, words: DataFrame) -> DataFrame:
     """``ids`` (binary, 32-bit) of each slice: its words' numbers from ``words`` (lang, word, id), 0 for others and breaks, no two 0 in a row.
 
+    Frequent words within ``VOCABULARY_WORDS`` and ``VOCABULARY_BYTES`` are
+    broadcast; beyond them the slices' words are joined with the table.
+    """
+    size = words.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("word") + F.octet_length("lang")), F.lit(0)).alias("bytes")).first()
+    if size["n"] > VOCABULARY_WORDS or size["bytes"] > VOCABULARY_BYTES:
+        return stored(_numbered_by_join(split, words), "streams")
+    found = words.select("lang", "word", "id").toArrow().combine_chunks()
+    texts = found.column("lang").cast(pa.string()), found.column("word").cast(pa.string())
+    known = split.sparkSession.sparkContext.broadcast((_named(*texts), found.column("id").to_numpy()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, ids = known.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, codes = batch.column(0)[i].values, np.frombuffer(batch.column(1)[i].as_py(), np.int32)
+                place = pc.index_in(_named(keys.field("lang"), keys.field("word")), value_set=names).fill_null(-1).to_numpy()
+                table = np.append(0, np.where(place >= 0, ids[place], 0)).astype(np.int32) if len(ids) else np.zeros(len(place) + 1, np.int32)
+                yield _stream(table[codes])
+
+    return stored(map_arrow(split.select("keys", "codes"), run, "ids binary"), "streams")
+
+
+def _named(lang, word) -> pa.Array:
+    """Language and word as one text each; a language's name may hold anything, so its length stands before it."""
+    lang = lang.combine_chunks() if isinstance(lang, pa.ChunkedArray) else lang
+    word = word.combine_chunks() if isinstance(word, pa.ChunkedArray) else word
+    return pc.binary_join_element_wise(pc.binary_length(lang).cast(pa.string()), lang, word, " ")
+
+
+def _numbered_by_join(split: DataFrame, words: DataFrame) -> DataFrame:
+    """``numbered`` for any number of words, by a join.
+
     A slice's codes and the numbers of its words are sorted side by side and
     streamed, so a task holds one slice at a time.
     """
@@ -112,16 +151,10 @@ def numbered(split: DataFrame, words: DataFrame) -> DataFrame:
     names = keys.join(words.select("lang", "word", "id"), ["lang", "word"]).select("slice", (F.col("place") + 1).alias("place"), "id", F.lit(None).cast("binary").alias("codes"))
     both = names.unionByName(split.select("slice", F.lit(0).alias("place"), F.lit(0).alias("id"), "codes"))
     rows = both.repartition("slice").sortWithinPartitions("slice", "place")
-    schema = pa.schema([("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, table = None, None
 
-        def stream():
-            found = table[codes]
-            found = found[(found > 0) | np.append(True, found[:-1] > 0)]
-            return pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], schema=schema)
-
         for batch in batches:
             places, ids = (batch.column(k).to_numpy() for k in (1, 2))
             heads = np.flatnonzero(places == 0)  # a slice's codes come before its words
@@ -130,15 +163,15 @@ def numbered(split: DataFrame, words: DataFrame) -> DataFrame:
                     continue
                 if places[lo] == 0:
                     if codes is not None:
-                        yield stream()
+                        yield _stream(table[codes])
                     codes = np.frombuffer(batch.column(3)[int(lo)].as_py(), np.int32)
                     table = np.zeros(int(codes.max()) + 1, np.int32)
                     lo += 1
                 table[places[lo:hi]] = ids[lo:hi]
         if codes is not None:
-            yield stream()
+            yield _stream(table[codes])
 
-    return stored(map_arrow(rows, run, "ids binary"), "streams")
+    return map_arrow(rows, run, "ids binary")
 
 
 class DoubleArray:
@@ -150,14 +183,14 @@ class DoubleArray:
     """
 
     def __init__(self, phrases: np.ndarray):
-        self.phrases = phrases.astype(np.int64)
+        self.phrases = phrases.astype(np.int32)
         top = int(self.phrases.max(initial=0)) + 1
         total = top + np.count_nonzero(self.phrases[:, 1:])  # at least the number of states
         self.rng = np.random.default_rng(len(phrases))
         self.base, self.check = np.zeros(top, np.int32), np.zeros(2 * top + 2 * total, np.int32)
         self.check[np.unique(self.phrases[:, 0])] = ROOT
         self.check[0] = ROOT
-        state = self.phrases[:, 0].copy()
+        state = self.phrases[:, 0].astype(np.int64)
         for n in range(1, self.phrases.shape[1]):
             more = self.phrases[:, n] > 0
             if more.any():
@@ -167,7 +200,7 @@ class DoubleArray:
 
     def _place(self, parents: np.ndarray, words: np.ndarray, top: int) -> np.ndarray:
         """States of the children, placed family by family."""
-        pairs, inverse = np.unique(parents << 32 | words, return_inverse=True)
+        pairs, inverse = np.unique(parents << 32 | words.astype(np.int64), return_inverse=True)
         pairs = np.stack([pairs >> 32, pairs & 0xFFFFFFFF])
         family, begin, size = np.unique(pairs[0], return_index=True, return_counts=True)
         bases = np.full(len(family), -1, np.int64)
