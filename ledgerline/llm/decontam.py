@@ -6,8 +6,12 @@ fingerprinted alike, at every position, from prefix sums over the words.  The
 fingerprint is cut into four blocks of 16 bits; a pair within 15 bits has, by
 the pigeonhole principle, a block with at most three wrong bits, so items are
 listed under all values that near each of their blocks and no pair within the
-radius is missed.  Pairs within the radius are confirmed by the exact weighted
-similarity of their five-word shingles.
+radius is missed.  The lists also hold most pairs somewhat farther apart, which
+short items with words changed at their ends may be; pairs within 24 bits are
+confirmed by the exact weighted similarity of their five-word shingles.
+
+An item of fewer than five words is one shingle, its whole word sequence, and
+is found where these words stand.
 
 Windows without any five-word shingle of an item have a similarity of zero and
 are skipped; this loses nothing.
@@ -29,7 +33,8 @@ from .shingles import hash_shingles, hash_words, mix, text_slices
 
 WIDTH = 5
 BLOCKS, BLOCK_BITS, BLOCK_ERRORS = 4, 16, 3
-RADIUS = BLOCKS * (BLOCK_ERRORS + 1) - 1
+RADIUS = BLOCKS * (BLOCK_ERRORS + 1) - 1  # no pair within it is missed
+REACH = 24  # pairs up to it that the index lists are verified too
 SIMILARITY = 0.8
 ITEMS_PER_SLICE = 2000
 _BITS = np.arange(64, dtype=np.uint64)
@@ -53,11 +58,11 @@ def near_values(errors: int, bits: int) -> np.ndarray:
 
 
 def item_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
-    """(words, number of items with each, number of items) of a text column's items of at least five words."""
+    """(words, number of items with each, number of items) of a text column's items that have words."""
     seen, n = [np.zeros(0, np.uint64)], 0
     for _, _, data, offsets in text_slices(column):
         words, bounds = hash_words(data, offsets)
-        for i in np.flatnonzero(np.diff(bounds) >= WIDTH):
+        for i in np.flatnonzero(np.diff(bounds) > 0):
             seen.append(np.unique(words[bounds[i]:bounds[i + 1]]))
             n += 1
     return *np.unique(np.concatenate(seen), return_counts=True), n
@@ -122,11 +127,13 @@ class ItemIndex:
     totals: np.ndarray
     all_shingles: np.ndarray
     filter: np.ndarray
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
     @staticmethod
     def build(ids: list[int | None], texts: list[str], weights: WordWeights | None = None) -> ItemIndex:
-        """Index of items of at least five words (shorter ones identify no passage and are left out).
+        """Index of all items that have words.
 
+        ``short`` has, for each size under five words, the sorted shingles of such items and their places.
         ``weights`` are those of the whole benchmark; without them, these items are all of it.
         """
         words, bounds = [], [0]
@@ -136,12 +143,18 @@ class ItemIndex:
             bounds += (b[1:] + bounds[-1]).tolist()
         words = np.concatenate(words) if words else np.zeros(0, np.uint64)
         bounds = np.array(bounds, np.int64)
-        long = np.flatnonzero(np.diff(bounds) >= WIDTH)
+        long, few = np.flatnonzero(np.diff(bounds) >= WIDTH), np.flatnonzero((np.diff(bounds) > 0) & (np.diff(bounds) < WIDTH))
         lists = [words[bounds[i]:bounds[i + 1]] for i in long]
         if weights is None:
             weights = WordWeights.of(*item_words(pa.array(texts, pa.string())))
-        out = ItemIndex([ids[i] for i in long], np.array([len(w) for w in lists], np.int64), np.zeros(0, np.uint64),
-                        [], [], weights, [], [], [], np.zeros(len(lists), np.int64), np.zeros(0, np.uint64), np.zeros(1 << 20, bool))
+        out = ItemIndex([ids[i] for i in [*long, *few]], np.array([len(w) for w in lists], np.int64), np.zeros(0, np.uint64),
+                        [], [], weights, [], [], [], np.zeros(len(lists), np.int64), np.zeros(0, np.uint64), np.zeros(1 << 20, bool), {})
+        for size in range(1, WIDTH):
+            own = [(hash_shingles(words[bounds[i]:bounds[i + 1]], np.array([0, size]), size)[0][0], len(long) + k)
+                   for k, i in enumerate(few) if bounds[i + 1] - bounds[i] == size]
+            if own:
+                own.sort()
+                out.short[size] = np.array([h for h, _ in own], np.uint64), np.array([k for _, k in own], np.int64)
         prints = []
         for k, w in enumerate(lists):
             weight = weights.weigh(w)
@@ -168,13 +181,13 @@ class ItemIndex:
     def hits(self, shingles: np.ndarray) -> np.ndarray:
         """Places of shingles that some item has."""
         at = np.flatnonzero(self.filter[(shingles >> _FILTER_SHIFT).astype(np.int64)])
-        if not len(at):
-            return at
+        if not len(at) or not len(self.all_shingles):
+            return at[:0]
         found = np.minimum(np.searchsorted(self.all_shingles, shingles[at]), len(self.all_shingles) - 1)
         return at[self.all_shingles[found] == shingles[at]]
 
     def near(self, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) of all pairs of windows and items of ``size`` words within the radius."""
+        """(window, item) of pairs of windows and items of ``size`` words: all within RADIUS, and those up to REACH that share a listed block."""
         windows, items = [], []
         for b in range(BLOCKS):
             value = ((prints >> np.uint64(BLOCK_BITS * b)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
@@ -183,7 +196,7 @@ class ItemIndex:
             i = self.listed[b][int_ranges(lo, hi - lo)].astype(np.int64)
             keep = self.sizes[i] == size
             w, i = w[keep], i[keep]
-            keep = np.bitwise_count(prints[w] ^ self.prints[i]) <= RADIUS
+            keep = np.bitwise_count(prints[w] ^ self.prints[i]) <= REACH
             windows.append(w[keep])
             items.append(i[keep])
         pairs = np.unique(np.concatenate(windows) * len(self.ids) + np.concatenate(items))
@@ -202,8 +215,23 @@ class ItemIndex:
         for lo, _, data, offsets in text_slices(column):
             words, bounds = hash_words(data, offsets)
             shingles, at = hash_shingles(words, bounds, WIDTH)
+            found = self.search_short(words, bounds)
             for d in np.unique(np.searchsorted(at, self.hits(shingles), side="right") - 1).tolist():
-                yield lo + d, self.search(words[bounds[d]:bounds[d + 1]], shingles[at[d]:at[d + 1]])
+                found.setdefault(d, {}).update(self.search(words[bounds[d]:bounds[d + 1]], shingles[at[d]:at[d + 1]]))
+            yield from ((lo + d, found[d]) for d in sorted(found))
+
+    def search_short(self, words: np.ndarray, bounds: np.ndarray) -> dict[int, dict[int, tuple[float, int, int]]]:
+        """By row, the items of fewer than five words whose words stand in it, at their first place."""
+        out: dict[int, dict[int, tuple[float, int, int]]] = {}
+        for size, (known, items) in self.short.items():
+            runs, at = hash_shingles(words, bounds, size)
+            place = np.flatnonzero(known[np.minimum(np.searchsorted(known, runs), len(known) - 1)] == runs)
+            rows = np.searchsorted(at, place, side="right") - 1
+            whole = np.diff(bounds)[rows] >= size  # a shorter text is a shingle of its own
+            for p, d in zip(place[whole].tolist(), rows[whole].tolist()):
+                for k in range(np.searchsorted(known, runs[p]), np.searchsorted(known, runs[p], side="right")):
+                    out.setdefault(d, {}).setdefault(int(items[k]), (1.0, p - int(at[d]), size))
+        return out
 
     def search(self, words: np.ndarray, shingles: np.ndarray) -> dict[int, tuple[float, int, int]]:
         """Best (similarity, first word, words) of each item found in a document's words."""
@@ -257,8 +285,10 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     One row per document row and item, for the window of the highest
     similarity (0.8 or more), the first among equals; words are runs without
     ASCII white space, A-Z lower-cased.  A document shorter than an item is one
-    window.  Null and empty texts and documents or items of fewer than five
-    words match nothing.  Null ids are kept; repeated rows and items give
+    window.  An item of fewer than five words is found where exactly these words
+    stand side by side.  Null and empty texts and items, and those without words,
+    match nothing.  Texts of any length are searched whole, stretch by stretch
+    around shared shingles.  Null ids are kept; repeated rows and items give
     repeated rows.  Other columns are not read.  Empty tables give an empty table.
 
     The items are read in slices of about 2,000 (by a hash), each of which goes
