@@ -253,7 +253,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     nothing and are kept.  Null ids take part and are smallest only if no other
     id is in the component.  Repeated rows are equal sets and share a component.
     An empty table gives an empty table; other columns of ``docs`` are not read.
+    Texts are taken whole, whatever their length.
     """
+    return _grouped(docs, percent, width, id_col, text_col).drop("group")
+
+
+def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicates`` with ``group``: a struct that the rows of one component, and only these, have in common."""
     m, radius = plan(percent)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("row"),
                          F.col(text_col).alias("text"))
@@ -302,23 +308,29 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
 
     placed = stored(classes.join(roots, "node", "left").select("c1", "c2", "n", "min_id", F.coalesce("root", "node").alias("root")), "placed")
     least = stored(placed.groupBy("root").agg(F.min("min_id").alias("component_id")), "least")
-    placed = stored(placed.join(least, "root").select("c1", "c2", "n", "component_id", F.lit(True).alias("linked")), "placed")
+    placed = stored(placed.join(least, "root").select("c1", "c2", "n", "component_id", "root", F.lit(True).alias("linked")), "placed")
     out = signed.select("doc_id", "row", "n", "c1", "c2").join(placed, ["c1", "c2", "n"], "left")
     component = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id"))
+    alone = F.col("root").isNull()  # a class that links with nothing is its own group
+    group = F.struct("root", *[F.when(alone, F.col(c)).alias(c) for c in ("c1", "c2", "n")])
     return out.select("doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), group.alias("group"))
 
 
 def keep_one(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs``, all columns: one of each group of near duplicates, that of the smallest id.
 
-    Rows equal in id and text are duplicates too: one stays.  Rows without words all stay.
+    Null ids come last; among rows of one id the smallest hash of the text is
+    taken, so near duplicates under one id, or without any, leave one row too.
+    Rows equal in id and text are duplicates: one stays.  Rows without words all stay.
     """
-    found = near_duplicates(docs, percent, width, id_col, text_col)
-    keys = (found.where("kept").groupBy("doc_id", "row").agg(F.max("n_shingles").alias("n"))
-            .select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "n"))
-    whole = whole_rows(docs, id_col, text_col).drop("text")
-    kept = whole.join(stored(keys, "kept"), F.col("row").eqNullSafe(F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")))
-    place = F.when(F.col("n") > 0, F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    found = stored(_grouped(docs, percent, width, id_col, text_col).where("n_shingles > 0"), "groups")
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    keys = first.select(F.col("first.doc_id").alias("d"), F.col("first.row").alias("r"), F.lit(True).alias("chosen")).distinct()
+    whole = whole_rows(docs, id_col, text_col).withColumn("solid", F.col("text").rlike("[^\\x20\\x09-\\x0D]")).drop("text")
+    chosen = whole.join(stored(keys, "kept"), F.col("row").eqNullSafe(F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
+    solid = F.coalesce("solid", F.lit(False))
+    kept = chosen.where(~solid | F.col("chosen"))
+    place = F.when(solid, F.lit(-1)).otherwise(F.monotonically_increasing_id())
     kept = kept.withColumn("place", place).dropDuplicates(["doc_id", "row", "place"])
     return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

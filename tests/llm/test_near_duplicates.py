@@ -156,3 +156,20 @@ def test_large_family_is_compared_in_blocks(spark):
     rows = [(k, t) for k, t in enumerate(family(rng, 700, 60, 6))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(minhash.near_duplicates(docs, 85)) == brute_force(rows, 85)
+
+
+def test_one_row_stays_of_near_copies_under_one_id_or_none(spark):
+
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(3000)}" for _ in range(200)]
+
+    def copy(k):
+        return " ".join([*words[:k], "changed", *words[k + 1:]])
+
+    other = " ".join(f"v{rng.randrange(3000)}" for _ in range(60))
+    rows = [(1, copy(3)), (1, copy(190)), (None, copy(50)), (2, other), (2, other), (None, other + " end"), (None, None), (None, ""), (3, " "), (3, " "), (4, "a b"), (None, "a b"), (None, "c d"), (None, "c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'z' as row", "'z' as group", "'z' as first").repartition(3)
+    kept = sorted(((r["doc_id"], r["text"]) for r in minhash.keep_one(docs).collect()), key=str)
+    first = [t for i, t in kept if i == 1]
+    assert len(first) == 1 and first[0] in (copy(3), copy(190))
+    assert kept == sorted([(1, first[0]), (2, other), (None, None), (None, ""), (3, " "), (3, " "), (4, "a b"), (None, "c d")], key=str)
