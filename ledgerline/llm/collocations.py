@@ -19,11 +19,12 @@ stays bounded.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, stored, totals_before
@@ -34,6 +35,7 @@ INSIDE_PERCENT = 80
 REPORTED = 2000
 SCALE = 2_000_000
 SLICE = 4 << 20  # bytes of text split at a time
+ROWS = 2  # slices or streams that go to Python at a time
 HELD = 1 << 19  # different phrases a task holds before it hands them on
 TRIE_PHRASES = 250_000
 VOCABULARY_WORDS, VOCABULARY_BYTES = 500_000, 16 << 20
@@ -131,7 +133,8 @@ def numbered(split: DataFrame, words: DataFrame) -> DataFrame:
                 table = np.append(0, np.where(place >= 0, ids[place], 0)).astype(np.int32) if len(ids) else np.zeros(len(place) + 1, np.int32)
                 yield _stream(table[codes])
 
-    return stored(map_arrow(split.select("keys", "codes"), run, "ids binary"), "streams")
+    with wide_rows(split.sparkSession):
+        return stored(map_arrow(split.select("keys", "codes"), run, "ids binary"), "streams")
 
 
 def _named(lang, word) -> pa.Array:
@@ -246,6 +249,18 @@ class DoubleArray:
         return np.where((state > 0) & (word > 0) & (self.check[to] == state), to, 0)
 
 
+@contextmanager
+def wide_rows(spark: SparkSession, rows: int = ROWS) -> Iterator[None]:
+    """While jobs run inside, few rows go to Python at a time: rows of slices and streams hold megabytes each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for batch in batches:
         for ids in batch.column(0):
@@ -325,9 +340,12 @@ def _supported(streams: DataFrame, shorter: DataFrame | None, size: int, least:
             first, last = F.call_function("shiftright", F.col("code"), F.lit(32)), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF))
             part = kept.select(first.cast("int").alias("w1"), last.cast("int").alias("w2"), *[F.lit(0).alias(w) for w in WORDS[2:]])
         else:
+            with wide_rows(streams.sparkSession):
+                kept = stored(kept, "codes")
             part = map_arrow(kept, written_out(trie), ", ".join(f"{w} int" for w in WORDS))
         found = found.unionByName(part)
-    return stored(found, f"phrases{size}")
+    with wide_rows(streams.sparkSession, ROWS if shorter is None else 10_000):
+        return stored(found, f"phrases{size}")
 
 
 def count_phrases(streams: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -348,7 +366,8 @@ def count_phrases(streams: DataFrame, phrases: DataFrame) -> DataFrame:
     found = streams.sparkSession.createDataFrame([], _DDL)
     for trie, _ in _tries(phrases):
         found = found.unionByName(map_arrow(streams, pass_over(trie), _DDL))
-    return stored(found.groupBy(*WORDS).agg(F.sum("n").alias("f")), "counted")
+    with wide_rows(streams.sparkSession):
+        return stored(found.groupBy(*WORDS).agg(F.sum("n").alias("f")), "counted")
 
 
 def _size(words: list[Column]) -> Column:
