@@ -156,9 +156,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_
         right = asked.select(*[F.col(c).alias(f"q_{c}") for c in (*columns, "least")]).groupBy("q_dim", "q_shard", "q_block")
         return left.cogroup(right).applyInArrow(_best_of(k), schema)
 
-    none = F.lit(None).cast("double")
+    none = F.lit(None).cast("long")
     first = stored(join(shards.where("shard = 0"), queries.withColumn("shard", F.lit(0)).withColumn("least", none)), "top-first")
-    reached = first.groupBy("query_place").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("least"))
+    reached = first.groupBy("query_place").agg(F.count("*").alias("n"), F.min("score").alias("least"))
     reached = reached.select(F.col("query_place").alias("p"), F.when(F.col("n") >= k, F.col("least")).alias("least"))
     others = queries.join(reached, F.col("place") == F.col("p"), "left").where("shards > 1")
     others = others.withColumn("shard", F.explode(F.expr("sequence(1, shards - 1)")))

@@ -54,3 +54,12 @@ def test_large_components_stay_exact():
     assert kdtree.exact_type(big) is np.int64
     assert kdtree.exact_type(big * 2**20) is object
     assert kdtree.exact_type(np.array([[3, 4]])) is np.float64
+
+
+def test_tied_scores_beyond_doubles_are_not_lost_between_shards(spark, monkeypatch):
+    monkeypatch.setattr(kdtree, "SHARD_ROWS", 8)
+    big = float(2**29 + 1)
+    rows = [(i, [big / 256 * 2, 0.25]) for i in range(40)] + [(k, [big / 256 * 2 + 1 / 256, 0.25]) for k in (41, 42)]
+    want = brute_force(rows, 5, 20)
+    assert max(r[3] for r in want) > 2**53
+    assert run(spark, rows, 5, 20) == want
