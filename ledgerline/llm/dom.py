@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -10,9 +11,12 @@ import numpy as np
 
 # Elements by how HTML treats them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style head title template noscript svg iframe object canvas select textarea button math audio video".split())
+HIDDEN = frozenset("script style head title template noscript svg iframe object canvas select textarea button audio video".split())
+# hidden elements that other markup may stand in; where none is closed any more, they hide nothing
+OPEN_HIDDEN = frozenset("noscript svg object canvas select button audio video".split())
 INLINE = frozenset(("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
-                    "strong sub sup time tt u var").split())
+                    "strong sub sup time tt u var math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover "
+                    "mspace mstyle mpadded mphantom menclose semantics annotation").split())
 SCOPES = frozenset("body article section main div nav aside header footer form table td th ul ol dl blockquote figure fieldset".split())
 SELF_CLOSING = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]),
                 "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
@@ -29,6 +33,7 @@ AGAINST_TAGS = frozenset("nav header footer aside form menu dialog fieldset".spl
 KINDS = ["article", "main", "section", "div", "p", "h1", "h2", "h3", "ul", "ol", "li", "table", "td", "nav", "header", "footer", "aside",
          "form", "blockquote", "pre", "figure", "body"]
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_CLOSING = re.compile("</(" + "|".join(sorted(OPEN_HIDDEN)) + r")(?=[\s/>])", re.I)
 TRUTH = "data-truth"
 
 
@@ -63,6 +68,8 @@ class Page(HTMLParser):
         self.stack: list[tuple[str, int]] = [("html", 0)]
         self.hidden = 0
         self.in_link = 0
+        # end tags of such elements that are still to come
+        self.closing = Counter(t.lower() for t in _CLOSING.findall(html))
         self.feed(html)
         self.close()
         self._sum()
@@ -72,6 +79,8 @@ class Page(HTMLParser):
             if tag in ("br", "hr") and not self.hidden:
                 self.parts.append((-1, " "))
             return
+        if tag in OPEN_HIDDEN and not self.closing[tag]:
+            return  # it is never closed: what follows is text
         if tag in HIDDEN:
             self.stack.append((tag, -1))
             self.hidden += 1
@@ -135,13 +144,18 @@ class Page(HTMLParser):
                 self.parts.append((-1, " "))
 
     def handle_endtag(self, tag):
+        if tag in OPEN_HIDDEN and self.closing[tag]:
+            self.closing[tag] -= 1
         for k in range(len(self.stack) - 1, 0, -1):
             open_tag, node = self.stack[k]
             if open_tag == tag:
                 while len(self.stack) > k:
                     self._pop()
                 return
-            if tag in INLINE and open_tag in SCOPES or tag == "p" and open_tag in SCOPES or node == -1:
+            # the end of a block closes what is left open in it, hidden elements too, but for those that hold raw text
+            if tag in INLINE and open_tag in SCOPES or tag == "p" and open_tag in SCOPES:
+                return
+            if node == -1 and (open_tag not in OPEN_HIDDEN or tag not in SCOPES):
                 return
 
     def handle_data(self, data):

@@ -51,6 +51,21 @@ def test_other_markup(model, main, side):
     assert text(model, page) == " ".join(f"{k}. {TEXT}{TEXT}".strip() for k in range(6))
 
 
+@pytest.mark.parametrize("tag", ["button", "video", "canvas", "object", "svg", "select", "audio", "noscript"])
+def test_hidden_elements_that_are_not_closed_hide_nothing_more(model, tag):
+    body = f"<article><p>{TEXT}</p><p>START <{tag}>x<p>{TEXT}</p><p>END</article>"
+    got = text(model, f"<body>{body}<footer>no</footer></body>")
+    assert got.startswith(TEXT.strip() + " START") and got.endswith(TEXT.strip() + " END")
+    # closed elsewhere: the end of the block they stand in closes them
+    split = f"<article><p>{TEXT}</p><div>A <{tag}>x</div><p>{TEXT}</p><div>B <{tag}>y</{tag}> C</div></article>"
+    assert text(model, f"<body>{split}</body>") == f"{TEXT.strip()} A {TEXT.strip()} B C"
+
+
+def test_formulas_are_text(model):
+    page = f"<article><p>{TEXT}</p><p>Let <math><mi>x</mi><mo>+</mo><mn>1</mn></math> be.</p><p>{TEXT}</p></article>"
+    assert text(model, page) == f"{TEXT.strip()} Let x+1 be. {TEXT.strip()}"
+
+
 def test_white_space_references_and_hidden_elements(model):
     page = ("<body><article><h1>A &amp; B</h1><p>x\n\t y<b>bold</b>z &#233;&lt;p&gt;</p><script>var t='</p><p>no';</script><!-- no -->"
             f"<style>p{{}}</style><p>{TEXT}<br>next<p>unclosed</article></body>")
