@@ -54,6 +54,9 @@ def pieces_of(path: str) -> list[str]:
     return [p for p in plain if p == START or (p.removeprefix(START).isalpha() and p == p.lower())]
 
 
+LONG_WORD = 1000  # letters from which sums are held for the longest piece only
+
+
 @dataclass
 class PieceModel:
     """Piece probabilities: ``table[piece]`` has one value per language; ``unseen`` is for other characters."""
@@ -65,6 +68,7 @@ class PieceModel:
     def __post_init__(self):
         # every beginning of a piece; None where it is no piece itself
         self.steps = {p[:k]: None for p in self.table for k in range(1, len(p))} | self.table
+        self.longest = max(map(len, self.table), default=1)
 
     def edges(self, word: str) -> list[list[tuple[int, tuple[float, ...]]]]:
         """For each end position, the (start, probabilities) of the pieces that end there."""
@@ -84,6 +88,8 @@ class PieceModel:
 
     def log_likelihoods(self, word: str) -> list[float]:
         """Log of the sum over all segmentations, per language; sums are rescaled, so no length underflows."""
+        if len(word) > LONG_WORD:
+            return self._long_word(START + word)
         edges = self.edges(START + word)
         out = []
         for k in range(len(self.languages)):
@@ -100,6 +106,42 @@ class PieceModel:
             out.append(math.log(sums[-1]) + log)
         return out
 
+    def _long_word(self, text: str) -> list[float]:
+        """``log_likelihoods`` for words of any length in linear time: only the sums that the longest piece reaches are held."""
+        size, languages, steps = self.longest + 1, range(len(self.languages)), self.steps
+        none = (self.unseen,) * len(self.languages)
+        ring = [[0.0] * len(self.languages) for _ in range(size)]
+        ring[0] = [1.0] * len(self.languages)
+        logs = [0.0] * len(self.languages)
+
+        def rescale(here: list[float]) -> None:
+            for k in languages:
+                if here[k] < 1e-200:
+                    for sums in ring:
+                        sums[k] *= 1e200
+                    logs[k] -= 200 * math.log(10)
+
+        for start, letter in enumerate(text):
+            here = ring[start % size]
+            rescale(here)
+            end, p = start + 1, steps.get(letter)
+            found = none if p is None else p
+            while True:
+                if found is not None:
+                    sums = ring[end % size]
+                    for k in languages:
+                        sums[k] += here[k] * found[k]
+                end += 1
+                if end > len(text):
+                    break
+                found = steps.get(text[start:end], 0)
+                if found == 0:
+                    break
+            ring[start % size] = [0.0] * len(self.languages)
+        last = ring[len(text) % size]
+        rescale(last)
+        return [math.log(s) + log for s, log in zip(last, logs)]
+
     def expected(self, word: str, weight: float, k: int, into: Counter) -> None:
         """Add the expected counts of the pieces of ``word`` in language ``k`` to ``into``."""
         s = START + word

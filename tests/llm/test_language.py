@@ -94,3 +94,20 @@ def test_cases(cases, no_rows, model):
     assert langid.predict(no_rows, model).count() == 0
     nothing = langid.train(no_rows, PIECES)
     assert nothing.languages == [] and {r["lang_pred"] for r in langid.predict(cases, nothing).collect()} == {"und"}
+
+
+def test_long_words_take_linear_time_and_give_the_same(monkeypatch):
+    import time
+
+    rng = random.Random(12)
+    pieces = {"".join(rng.choices("abcd", k=rng.randint(1, 6))): (rng.random(), rng.random(), rng.random()) for _ in range(60)}
+    model = langid.PieceModel(["a", "b", "c"], pieces, 1e-7)
+    for n in (1, 2, 7, 50, 400, 900):
+        word = "".join(rng.choices("abcde", k=n))
+        short = model.log_likelihoods(word)
+        monkeypatch.setattr(langid, "LONG_WORD", 0)
+        assert model.log_likelihoods(word) == pytest.approx(short, rel=1e-9)
+        monkeypatch.undo()
+    begin = time.time()
+    model.log_likelihoods("".join(rng.choices("abcde", k=200_000)))
+    assert time.time() - begin < 10
