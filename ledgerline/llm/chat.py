@@ -70,7 +70,7 @@ def format_turns(turns: DataFrame, path: str) -> DataFrame:
     A conversation's output is that of its turns in the order of ``turn``
     (equal turns: of ``formatted``); turns are formatted by themselves, so a conversation
     of any length needs no group.  Null texts and roles are empty.  Null conversation ids
-    and turns are kept.  Other columns are not read; an empty table gives an empty table.
+    and turns are kept, and so are repeated rows.  Texts are encoded whole.  Other columns are not read; an empty table gives an empty table.
     """
     schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("formatted", pa.string()),
                         ("ids", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.int8()))])
@@ -95,19 +95,52 @@ def format_turns(turns: DataFrame, path: str) -> DataFrame:
     return map_arrow(source, run, "conv_id long, turn long, formatted string, ids array<int>, loss_mask array<tinyint>", words=True)
 
 
-def parse_turn(ids: list[int], mask: list[int], bpe) -> tuple[str, str, str]:
-    """(role, text, text under the mask) read from a turn's ids and mask."""
-    control = [i >= bpe.size for i in ids]
-    at = [k for k, c in enumerate(control) if c]
-    names = [CONTROL[ids[k] - bpe.size] for k in at]
-    inner = [unescape(bpe.decode(ids[a + 1:b])) for a, b in zip(at, at[1:])]
+def parse_turn(ids: np.ndarray, mask: np.ndarray, bpe) -> tuple[str, str, str]:
+    """(role, text, text under the mask) read from a turn's ids and mask; a masked text is decoded once."""
+    at = np.flatnonzero(ids >= bpe.size).tolist()
+    names = [CONTROL[int(ids[k]) - bpe.size] for k in at]
+    parts = [(a + 1, b) for a, b in zip(at, at[1:])]
+
+    def shown(lo: int, hi: int) -> str:
+        return unescape(bpe.decode(ids[lo:hi].tolist()))
+
     if names[0] == "[ROLE]":
-        role, text = inner[0], inner[1]
         if names != ["[ROLE]", "[/ROLE]", "[/TURN]"]:
             raise ValueError(f"marks out of order: {names}")
+        role, body = shown(*parts[0]), parts[1]
     else:
-        role, text = next(r for r, m in MARKS.items() if list(m) == names), inner[0]
-    return role, text, unescape(bpe.decode([i for i, m in zip(ids, mask) if m]))
+        role, body = next(r for r, m in MARKS.items() if list(m) == names), parts[0]
+    text = shown(*body)
+    trained = int(np.count_nonzero(mask))
+    if not trained:
+        return role, text, ""
+    if trained == body[1] - body[0] and mask[body[0]:body[1]].all():
+        return role, text, text
+    return role, text, unescape(bpe.decode(ids[mask.astype(bool)].tolist()))
+
+
+def read_turns(formatted: DataFrame, path: str) -> DataFrame:
+    """One row per turn, read from the output of ``format_turns`` by itself: conv_id, turn, formatted, role, text, loss.
+
+    ``loss`` is the text under the loss mask, null where it is the text itself.
+    """
+    schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("formatted", pa.string()), ("role", pa.string()), ("text", pa.string()), ("loss", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = vocabulary(path)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                ids, mask = part.column("ids"), part.column("loss_mask")
+                id_at, mask_at = ids.offsets.to_numpy(), mask.offsets.to_numpy()
+                all_ids, all_mask = ids.values.to_numpy(), mask.values.to_numpy()
+                turns = [parse_turn(all_ids[id_at[k]:id_at[k + 1]], all_mask[mask_at[k]:mask_at[k + 1]], bpe) for k in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("conv_id"), part.column("turn"), part.column("formatted"), pa.array([r for r, _, _ in turns], pa.string()),
+                    pa.array([t for _, t, _ in turns], pa.string()), pa.array([None if x is t else x for _, t, x in turns], pa.string())], schema=schema)
+
+    source = formatted.select("conv_id", "turn", "formatted", "ids", "loss_mask")
+    return map_arrow(source, run, "conv_id long, turn long, formatted string, role string, text string, loss string", words=True)
 
 
 def read_back(formatted: DataFrame, path: str) -> DataFrame:
@@ -115,24 +148,24 @@ def read_back(formatted: DataFrame, path: str) -> DataFrame:
 
     conv_id, n_turns, turns_sha256 (role, newline, text, newline per turn),
     loss_chars and loss_sha256 (all text under the loss mask), formatted_chars.
-    A digest takes the turns one after another, so a conversation's rows are
-    streamed through one task in order; the task holds running digests and one
-    batch of rows, whatever the length of the conversation.
+    Turns are decoded by themselves, wherever they lie.  Only a digest takes a
+    conversation's turns one after another, so their texts are streamed through
+    one task in order; it holds running digests and one batch of rows, whatever
+    the length of the conversation.  Repeated rows count as often as they stand there.
     """
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
                         ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
-        bpe = vocabulary(path)
         now, conv = None, None
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
-                for conv_id, ids, mask, chars in zip(*(c.to_pylist() for c in batch.slice(lo, 512).columns)):
+                for conv_id, role, text, loss, chars in zip(*(c.to_pylist() for c in batch.slice(lo, 512).columns)):
                     if now is None or conv_id != conv:
                         if now is not None:
                             yield [conv, now[0], now[1].hexdigest(), now[2], now[3].hexdigest(), now[4]]
                         now, conv = [0, hashlib.sha256(), 0, hashlib.sha256(), 0], conv_id
-                    role, text, loss = parse_turn(ids, mask, bpe)
+                    loss = text if loss is None else loss
                     now[0] += 1
                     now[1].update(f"{role}\n{text}\n".encode())
                     now[2] += len(loss)
@@ -151,6 +184,6 @@ def read_back(formatted: DataFrame, path: str) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    ordered = (formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
-               .select("conv_id", "ids", "loss_mask", F.length("formatted").cast("long").alias("chars")))
-    return map_arrow(ordered, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long", words=True)
+    ordered = (read_turns(formatted, path).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
+               .select("conv_id", "role", "text", "loss", F.length("formatted").cast("long").alias("chars")))
+    return map_arrow(ordered, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -59,3 +59,12 @@ def test_mask_by_prefix_sums_equals_labels_per_id():
         want = [int(t) for s, _, t in parts for _ in range(len(bpe.ordinary(s)) // 4)]
         assert mask.tolist() == want and len(ids) == len(want)
         assert ids.dtype == np.dtype("<u4")
+
+
+def test_one_conversation_with_most_rows(spark):
+    rows = [(7, k, ["user", "assistant"][k % 2], f"turn {k} [INST]") for k in range(3000)] + [(k, 0, "user", "x") for k in range(100, 400)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    got = {r["conv_id"]: r for r in chat.read_back(chat.format_turns(turns, BYTE_BPE), BYTE_BPE).collect()}
+    assert len(got) == 301 and got[7]["n_turns"] == 3000
+    assert got[7]["turns_sha256"] == digest("".join(f"{r}\n{t}\n" for c, _, r, t in rows if c == 7))
+    assert got[7]["loss_sha256"] == digest("".join(t for c, _, r, t in rows if c == 7 and r == "assistant"))
