@@ -18,28 +18,45 @@ SIMILAR_PERCENT = 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those without letters or a likely language go."""
+    """Documents whose language is recognised; those without letters or a likely language go.
+
+    Null and empty texts have no letters.  Each row is judged by its own text, so repeated rows stay or go together;
+    equally likely languages go to the first by name.
+    """
     model = langid.train(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return langid.keep_recognised(docs, model, LEAST_SCORE)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines of repeated three-line passages; ``n_chars`` follows the text."""
+    """All documents, without the lines of repeated three-line passages; ``n_chars`` follows the text.
+
+    The first occurrence, by document id and place, keeps its lines; rows equal in id and text are one occurrence
+    and are treated alike.
+    """
     return line_dedup.rewrite(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
+    """One document, that of the smallest id, of each group of near duplicates.
+
+    Null ids come last, equal ids are told apart by a hash of the text; documents without words all stay.
+    """
     return minhash.keep_one(docs, SIMILAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.
+
+    Each row is judged by its own text; items of fewer than five words count where exactly their words stand.
+    """
     return decontam.without_passages(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and token ids (little-endian 32-bit) of each document, and a digest of their decoded text."""
+    """doc_id, n_tokens and token ids (little-endian 32-bit) of each document, and a digest of their decoded text.
+
+    One row per row; a null text has no ids.
+    """
     return bpe.encode_and_check(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

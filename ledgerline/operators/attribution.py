@@ -58,19 +58,21 @@ def daily_sums(facts: DataFrame, measures, start=None, end=None, start_inclusive
     return partition_by_merchant(daily) if by_merchant else daily
 
 
-def partition_by_merchant(daily: DataFrame) -> DataFrame:
-    """Hash-partition (merchant, day) rows by merchant, to the session's shuffle parallelism.
+def partition_by_merchant(daily: DataFrame, expanding: bool = False) -> DataFrame:
+    """Hash-partition (merchant, day) rows by merchant.
 
-    Explicit count: the backlog expansion downstream multiplies rows, so the
-    partition count must not be shrunk to fit the (smaller) daily input.
+    The number of partitions is left to AQE, which sizes them by their bytes.
+    Where each row later becomes a row per day (``expanding``), bytes say too
+    little: then the session's shuffle parallelism is kept.
     """
-    parts = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return daily.repartition(parts, "sales_merchant_id")
+    if not expanding:
+        return daily.repartition("sales_merchant_id")
+    return daily.repartition(int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sales_merchant_id")
 
 
-def daily_range(daily_table: DataFrame, start=None, end=None, start_inclusive: bool = True) -> DataFrame:
+def daily_range(daily_table: DataFrame, start=None, end=None, start_inclusive: bool = True, expanding: bool = False) -> DataFrame:
     """Rows of a stored (merchant, day) table within [start, end), partitioned by merchant."""
-    return partition_by_merchant(capture_range(daily_table, start, end, start_inclusive))
+    return partition_by_merchant(capture_range(daily_table, start, end, start_inclusive), expanding)
 
 
 def current_upsells(upsells: DataFrame) -> DataFrame:

@@ -288,7 +288,7 @@ def backlog_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
 @register("pipeline_curve_expand")
 def pipeline_curve_expand(t: Tables, p: ReportParams) -> DataFrame:
     """O-21: pipeline curve expansion, summed per forecast day."""
-    d = expand_pipeline(R.pipeline_opportunities(t, p), t.pipeline_curve)
+    d = expand_pipeline(R.pipeline_opportunities(t, p, expanding=True), t.pipeline_curve)
     return d.groupBy("fcst_date").agg(F.count(F.lit(1)).alias("n_rows"),
                                       money(F.coalesce(F.sum("pipeline_amount"), F.lit(0))).alias("pipeline_npv"))
 

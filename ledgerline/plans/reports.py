@@ -131,9 +131,9 @@ def prepare_shared(t: Tables, checks: Checks | None = None) -> None:
         list(pool.map(lambda build: build(t), builders))
 
 
-def payments_daily(t: Tables, start=None, end=None) -> DataFrame:
+def payments_daily(t: Tables, start=None, end=None, expanding: bool = False) -> DataFrame:
     """Daily NPV sums within [start, end), partitioned by merchant."""
-    return daily_range(daily_payments(t), start, end)
+    return daily_range(daily_payments(t), start, end, expanding=expanding)
 
 
 # --------------------------------------------------------------------------- processing / backlog (J-3..J-5, J-9)
@@ -329,7 +329,7 @@ def backlog_daily(t: Tables, p: ReportParams, ids: DataFrame | None = None) -> D
     """
     start = max(p.history_start, backlog_capture_start(t, p, with_override=False))
     pv = processing_volume(t.payments, t.merchants, t.upsells, None, start, None, ids=ids,
-                           daily=payments_daily(t, start, None), overlapping=several_upsells(t))
+                           daily=payments_daily(t, start, None, expanding=True), overlapping=several_upsells(t))
     summary = backlog_summary(pv, t.backlog_curve, p.as_of,
                               keys=("sales_merchant_id", "sales_category", "sales_activation_date"))
     daily = expand_backlog(summary, t.backlog_curve)
@@ -346,7 +346,8 @@ PIPE_KEYS = (
 )
 
 
-def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_variant: str | None = None) -> DataFrame:
+def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_variant: str | None = None,
+                           expanding: bool = False) -> DataFrame:
     """Eligible deals with their expected first-year amount (one row per deal and attribute set).
 
     ``expected_amount`` = amount counted once per deal x mean probability / 100
@@ -357,13 +358,13 @@ def pipeline_opportunities(t: Tables, p: ReportParams, keys=PIPE_KEYS, vertical_
         opportunity_status("opportunity_stage").alias("opportunity_status"),
         live_or_not("activation_date", p.cutoff).alias("live_or_not"),
     )
-    # A deal row may later become 365 daily rows (J-10).  Partition the deals
-    # by id to the session's shuffle parallelism explicitly: AQE would size
-    # these partitions by their (small) input bytes and leave the expansion to
-    # a few tasks.  Hash partitioning on the deal id also satisfies the deal
-    # aggregates, so no further exchange follows.
-    parts = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    e = e.repartition(parts, "opportunity")
+    # Hash partitioning on the deal id also satisfies the deal aggregates, so no further
+    # exchange follows.  Where a deal row becomes 365 daily rows (J-10), AQE would size the
+    # partitions by their small input and leave the expansion to a few tasks.
+    if expanding:
+        e = e.repartition(int(e.sparkSession.conf.get("spark.sql.shuffle.partitions")), "opportunity")
+    else:
+        e = e.repartition("opportunity")
     if vertical_variant is not None:
         e = e.withColumn("vertical", vertical(None, "opportunity_merchant_country", "opportunity_industry",
                                               variant=vertical_variant))
@@ -422,7 +423,7 @@ DEPRECATED_PIPE_KEYS = (
 
 def pipeline_daily(t: Tables, p: ReportParams) -> DataFrame:
     """J-10: ungrouped daily pipeline (older vertical rules)."""
-    pipe = pipeline_opportunities(t, p, DEPRECATED_PIPE_KEYS, vertical_variant="F")
+    pipe = pipeline_opportunities(t, p, DEPRECATED_PIPE_KEYS, vertical_variant="F", expanding=True)
     daily = expand_pipeline(pipe, t.pipeline_curve)
     return daily.select(
         "fcst_date",
