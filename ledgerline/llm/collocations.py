@@ -1,9 +1,8 @@
 """Phrase collocations: contiguous phrases of two to four words that occur together more than their parts suggest.
 
-Texts become streams of word numbers, once: a slice of texts is split by numpy
-on its bytes, the slice's different words are numbered by a join with the
-table of frequent words, and words that are too rare, and breaks between
-pieces, become 0.  By the Apriori rule no frequent phrase holds a rare word or
+Texts become streams of word numbers: a slice of texts is split by numpy on its
+bytes, its different words are looked up in the table of frequent words, and
+words that are too rare, and breaks between pieces, become 0.  By the Apriori rule no frequent phrase holds a rare word or
 a rare shorter phrase, so candidates of one more word are looked for only
 where both shorter phrases are frequent.
 
@@ -18,16 +17,16 @@ stays bounded.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, slices, stored, totals_before
+from .common import batched, map_arrow, slices, stored, totals_before
 
 LEAST = 30
 LONGEST = 4
@@ -35,8 +34,8 @@ INSIDE_PERCENT = 80
 REPORTED = 2000
 SCALE = 2_000_000
 SLICE = 4 << 20  # bytes of text split at a time
-ROWS = 2  # slices or streams that go to Python at a time
-HELD = 1 << 19  # different phrases a task holds before it hands them on
+ROW_IDS = 1 << 15  # word numbers in a row of a stream
+HELD = 1 << 19  # word numbers worked on at a time
 TRIE_PHRASES = 250_000
 VOCABULARY_WORDS, VOCABULARY_BYTES = 500_000, 16 << 20
 ROOT = -1
@@ -72,69 +71,102 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(letters)), rows, pieces
 
 
-def text_slices(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Texts as numbered words, one row per slice: slice (id), keys (lang, word, n of each different word), codes (little-endian 32-bit).
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]]:
+    """For each slice of texts (columns text, lang): language and word of each different key, its count, and codes.
 
-    ``codes`` holds 1 + the place of each word in ``keys``, and 0 at breaks.
-    Null texts are empty, a null language is ``und``.
+    ``codes`` holds 1 + the place of each word among the keys, and 0 at breaks.
     """
-    key = pa.struct([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+    for batch in batches:
+        text, lang = batch.column("text"), batch.column("lang").dictionary_encode()
+        codes_of, names = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64), lang.dictionary
+        for lo, hi in slices(pc.binary_length(text).to_pylist(), SLICE):
+            words, rows, pieces = split_words(text.slice(lo, hi - lo))
+            if not len(words):
+                continue
+            words = words.dictionary_encode()
+            both = codes_of[lo:hi][rows] * len(words.dictionary) + words.indices.to_numpy()
+            found, places, counts = np.unique(both, return_inverse=True, return_counts=True)
+            lang_no, word_no = np.divmod(found, len(words.dictionary))
+            moved = np.append(0, np.cumsum(pieces[1:] != pieces[:-1]))
+            codes = np.zeros(len(places) + int(moved[-1]), np.int32)
+            codes[np.arange(len(places)) + moved] = places + 1
+            yield names.take(pa.array(lang_no)), words.dictionary.cast(pa.string()).take(pa.array(word_no)), counts, codes
+
+
+def _source(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """Null texts are empty, a null language is ``und``."""
+    return docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """lang, word, f over all texts; a task counts up to ``HELD`` different words before it hands them on."""
+    schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def handed() -> Iterator[pa.RecordBatch]:
+            for part in batched(iter(held.items()), 1 << 14):
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in part], pa.string()), pa.array([k[1] for k, _ in part], pa.string()),
+                                                  pa.array([n for _, n in part], pa.int64())], schema=schema)
+
+        for langs, words, counts, _ in _split(batches):
+            for key, n in zip(zip(langs.to_pylist(), words.to_pylist()), counts.tolist()):
+                held[key] += n
+            if len(held) > HELD // 2:
+                yield from handed()
+                held.clear()
+        yield from handed()
+
+    return stored(map_arrow(texts, run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("f")), "words")
+
+
+def text_slices(texts: DataFrame) -> DataFrame:
+    """Texts as numbered words, one row per slice: slice (id), keys (lang, word of each different word), codes (little-endian 32-bit)."""
+    key = pa.struct([("lang", pa.string()), ("word", pa.string())])
     schema = pa.schema([("keys", pa.list_(key)), ("codes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text, lang = batch.column("text"), batch.column("lang").dictionary_encode()
-            codes_of, names = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64), lang.dictionary
-            for lo, hi in slices(pc.binary_length(text).to_pylist(), SLICE):
-                words, rows, pieces = split_words(text.slice(lo, hi - lo))
-                if not len(words):
-                    continue
-                words = words.dictionary_encode()
-                both = codes_of[lo:hi][rows] * len(words.dictionary) + words.indices.to_numpy()
-                found, places, counts = np.unique(both, return_inverse=True, return_counts=True)
-                lang_no, word_no = np.divmod(found, len(words.dictionary))
-                moved = np.append(0, np.cumsum(pieces[1:] != pieces[:-1]))
-                codes = np.zeros(len(places) + int(moved[-1]), np.int32)
-                codes[np.arange(len(places)) + moved] = places + 1
-                keys = pa.StructArray.from_arrays([names.take(pa.array(lang_no)), words.dictionary.cast(pa.string()).take(pa.array(word_no)), pa.array(counts, pa.int64())],
-                                                  fields=list(key))
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), pa.array([codes.tobytes()], pa.binary())], schema=schema)
-
-    source = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
-    split = map_arrow(source, run, "keys array<struct<lang:string, word:string, n:bigint>>, codes binary")
+        for langs, words, _, codes in _split(batches):
+            keys = pa.StructArray.from_arrays([langs, words], fields=list(key))
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), pa.array([codes.tobytes()], pa.binary())], schema=schema)
+
+    split = map_arrow(texts, run, "keys array<struct<lang:string, word:string>>, codes binary")
     return stored(split.select(F.monotonically_increasing_id().alias("slice"), "keys", "codes"), "slices")
 
 
-def _stream(ids: np.ndarray) -> pa.RecordBatch:
-    """A stream of word numbers as one row, of several 0 in a row only the first."""
+def _stream(ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A stream of word numbers in rows of about ``ROW_IDS``, cut at breaks; of several 0 in a row only the first is kept."""
     kept = ids[(ids > 0) | np.append(True, ids[:-1] > 0)]
-    return pa.RecordBatch.from_arrays([pa.array([kept.tobytes()], pa.binary())], ["ids"])
+    breaks, lo = np.flatnonzero(kept == 0), 0
+    while lo < len(kept):
+        k = int(np.searchsorted(breaks, lo + ROW_IDS))
+        hi = int(breaks[k]) + 1 if k < len(breaks) else len(kept)
+        yield pa.RecordBatch.from_arrays([pa.array([kept[lo:hi].tobytes()], pa.binary())], ["ids"])
+        lo = hi
 
 
-def numbered(split: DataFrame, words: DataFrame) -> DataFrame:
-    """``ids`` (binary, 32-bit) of each slice: its words' numbers from ``words`` (lang, word, id), 0 for others and breaks, no two 0 in a row.
+def numbered(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """``ids`` (binary, 32-bit): the words' numbers from ``words`` (lang, word, id), 0 for others and breaks, no two 0 in a row.
 
     Frequent words within ``VOCABULARY_WORDS`` and ``VOCABULARY_BYTES`` are
-    broadcast; beyond them the slices' words are joined with the table.
+    broadcast; beyond them the texts' words are joined with the table.
     """
     size = words.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("word") + F.octet_length("lang")), F.lit(0)).alias("bytes")).first()
     if size["n"] > VOCABULARY_WORDS or size["bytes"] > VOCABULARY_BYTES:
-        return stored(_numbered_by_join(split, words), "streams")
+        return stored(_numbered_by_join(text_slices(texts), words), "streams")
     found = words.select("lang", "word", "id").toArrow().combine_chunks()
-    texts = found.column("lang").cast(pa.string()), found.column("word").cast(pa.string())
-    known = split.sparkSession.sparkContext.broadcast((_named(*texts), found.column("id").to_numpy()))
+    names = _named(found.column("lang").cast(pa.string()), found.column("word").cast(pa.string()))
+    known = texts.sparkSession.sparkContext.broadcast((names, found.column("id").to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, ids = known.value
-        for batch in batches:
-            for i in range(batch.num_rows):
-                keys, codes = batch.column(0)[i].values, np.frombuffer(batch.column(1)[i].as_py(), np.int32)
-                place = pc.index_in(_named(keys.field("lang"), keys.field("word")), value_set=names).fill_null(-1).to_numpy()
-                table = np.append(0, np.where(place >= 0, ids[place], 0)).astype(np.int32) if len(ids) else np.zeros(len(place) + 1, np.int32)
-                yield _stream(table[codes])
+        for langs, words, _, codes in _split(batches):
+            place = pc.index_in(_named(langs, words), value_set=names).fill_null(-1).to_numpy()
+            table = np.append(0, np.where(place >= 0, ids[place], 0)).astype(np.int32) if len(ids) else np.zeros(len(place) + 1, np.int32)
+            yield from _stream(table[codes])
 
-    with wide_rows(split.sparkSession):
-        return stored(map_arrow(split.select("keys", "codes"), run, "ids binary"), "streams")
+    return stored(map_arrow(texts, run, "ids binary"), "streams")
 
 
 def _named(lang, word) -> pa.Array:
@@ -166,13 +198,13 @@ def _numbered_by_join(split: DataFrame, words: DataFrame) -> DataFrame:
                     continue
                 if places[lo] == 0:
                     if codes is not None:
-                        yield _stream(table[codes])
+                        yield from _stream(table[codes])
                     codes = np.frombuffer(batch.column(3)[int(lo)].as_py(), np.int32)
                     table = np.zeros(int(codes.max()) + 1, np.int32)
                     lo += 1
                 table[places[lo:hi]] = ids[lo:hi]
         if codes is not None:
-            yield _stream(table[codes])
+            yield from _stream(table[codes])
 
     return map_arrow(rows, run, "ids binary")
 
@@ -249,22 +281,19 @@ class DoubleArray:
         return np.where((state > 0) & (word > 0) & (self.check[to] == state), to, 0)
 
 
-@contextmanager
-def wide_rows(spark: SparkSession, rows: int = ROWS) -> Iterator[None]:
-    """While jobs run inside, few rows go to Python at a time: rows of slices and streams hold megabytes each."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Word numbers of some rows at a time, a 0 between rows."""
+    parts, total, gap = [], 0, np.zeros(1, np.int32)
     for batch in batches:
         for ids in batch.column(0):
-            yield np.frombuffer(ids.as_py(), np.int32)
+            part = np.frombuffer(ids.as_py(), np.int32)
+            parts += [part, gap]
+            total += len(part) + 1
+            if total >= HELD:
+                yield np.concatenate(parts)
+                parts, total = [], 0
+    if parts:
+        yield np.concatenate(parts)
 
 
 def _tries(phrases: DataFrame) -> Iterator:
@@ -297,26 +326,17 @@ def _supported(streams: DataFrame, shorter: DataFrame | None, size: int, least:
     def pass_over(trie, alone: bool):
         schema = pa.schema([("code", pa.int64()), ("n", pa.int32())])
 
-        def handed(held, counts):
-            for lo in range(0, len(held), 1 << 16):
-                part = slice(lo, lo + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(held[part]), pa.array(np.minimum(counts[part], least).astype(np.int32))], schema=schema)
-
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
             for stream in _streams(batches):
                 state = stream if trie is None else list(trie.value.walk(stream, size - 1))[-1]
                 begin, word = state[:max(len(state) - size + 1, 0)], stream[size - 1:]
                 fit = (begin > 0) & (word > 0)
                 if trie is not None and alone:  # the phrase without its first word is in the same trie
                     fit &= state[1:][:len(fit)] > 0
-                more, n = np.unique(begin[fit].astype(np.int64) << 32 | word[fit], return_counts=True)
-                held, place = np.unique(np.concatenate([held, more]), return_inverse=True)
-                counts = np.bincount(place, np.concatenate([counts, n]), len(held)).astype(np.int64)
-                if len(held) > HELD:
-                    yield from handed(held, counts)
-                    held, counts = held[:0], counts[:0]
-            yield from handed(held, counts)
+                codes, n = np.unique(begin[fit].astype(np.int64) << 32 | word[fit], return_counts=True)
+                n = np.minimum(n, least).astype(np.int32)
+                for lo in range(0, len(codes), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(codes[lo:lo + (1 << 16)]), pa.array(n[lo:lo + (1 << 16)])], schema=schema)
 
         return run
 
@@ -340,12 +360,9 @@ def _supported(streams: DataFrame, shorter: DataFrame | None, size: int, least:
             first, last = F.call_function("shiftright", F.col("code"), F.lit(32)), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF))
             part = kept.select(first.cast("int").alias("w1"), last.cast("int").alias("w2"), *[F.lit(0).alias(w) for w in WORDS[2:]])
         else:
-            with wide_rows(streams.sparkSession):
-                kept = stored(kept, "codes")
             part = map_arrow(kept, written_out(trie), ", ".join(f"{w} int" for w in WORDS))
         found = found.unionByName(part)
-    with wide_rows(streams.sparkSession, ROWS if shorter is None else 10_000):
-        return stored(found, f"phrases{size}")
+    return stored(found, f"phrases{size}")
 
 
 def count_phrases(streams: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -366,8 +383,7 @@ def count_phrases(streams: DataFrame, phrases: DataFrame) -> DataFrame:
     found = streams.sparkSession.createDataFrame([], _DDL)
     for trie, _ in _tries(phrases):
         found = found.unionByName(map_arrow(streams, pass_over(trie), _DDL))
-    with wide_rows(streams.sparkSession):
-        return stored(found.groupBy(*WORDS).agg(F.sum("n").alias("f")), "counted")
+    return stored(found.groupBy(*WORDS).agg(F.sum("n").alias("f")), "counted")
 
 
 def _size(words: list[Column]) -> Column:
@@ -394,13 +410,12 @@ def collocations(docs: DataFrame, least: int = LEAST, inside_percent: int = INSI
     bytes.  Texts are taken whole.  Other columns are not read; a language
     without phrases has no rows, no rows give no rows.
     """
-    split = text_slices(docs, text_col, lang_col)
-    keys = split.select(F.explode("keys").alias("key")).select("key.*")
-    words = stored(keys.groupBy("lang", "word").agg(F.sum("n").alias("f")), "words")
+    texts = _source(docs, text_col, lang_col)
+    words = word_counts(texts)
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = stored(totals_before(words.where(F.col("f") >= least), [F.col("lang"), F.col("word")], {"before": F.lit(1).cast("long")})
                       .select("lang", "word", "f", (F.col("before") + 1).cast("int").alias("id")), "vocabulary")
-    streams = numbered(split, frequent)
+    streams = numbered(texts, frequent)
     levels = []
     for size in range(2, LONGEST + 1):
         levels.append(_supported(streams, levels[-1] if levels else None, size, least))

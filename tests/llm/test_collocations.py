@@ -58,6 +58,7 @@ def test_equal_to_brute_force(spark, monkeypatch):
     monkeypatch.setattr(collocations, "SLICE", 300)
     monkeypatch.setattr(collocations, "TRIE_PHRASES", 15)
     monkeypatch.setattr(collocations, "HELD", 10)
+    monkeypatch.setattr(collocations, "ROW_IDS", 4)
     monkeypatch.setattr(collocations, "VOCABULARY_BYTES", 20)
     assert found(df, least=5) == brute_force(rows, 5, 80, 2000)
 
