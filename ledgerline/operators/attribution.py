@@ -55,7 +55,7 @@ def daily_sums(facts: DataFrame, measures, start=None, end=None, start_inclusive
         .groupBy("sales_merchant_id", "capture_date")
         .agg(*[F.sum(c).alias(a) for c, a in measures])
     )
-    return partition_by_merchant(daily) if by_merchant else daily
+    return partition_by_merchant(daily, expanding=True) if by_merchant else daily
 
 
 def partition_by_merchant(daily: DataFrame, expanding: bool = False) -> DataFrame:
