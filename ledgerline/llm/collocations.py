@@ -33,10 +33,10 @@ LONGEST = 4
 INSIDE_PERCENT = 80
 REPORTED = 2000
 SCALE = 2_000_000
-SLICE = 4 << 20  # bytes of text split at a time
+SLICE = 2 << 20  # bytes of text split at a time
 ROW_IDS = 1 << 15  # word numbers in a row of a stream
-HELD = 1 << 19  # word numbers worked on at a time
-TRIE_PHRASES = 250_000
+HELD = 1 << 18  # word numbers worked on at a time
+TRIE_PHRASES = 125_000
 VOCABULARY_WORDS, VOCABULARY_BYTES = 500_000, 16 << 20
 ROOT = -1
 WORDS = [f"w{i + 1}" for i in range(LONGEST)]
