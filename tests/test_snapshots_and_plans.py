@@ -372,3 +372,31 @@ def test_weekly_run_says_what_is_missing(capsys):
     with pytest.raises(SystemExit):
         main(["--out", "x", "--as-of", "2000-01-02", "--merchants", "m"])
     assert "--margin, --opportunities, --uploads" in capsys.readouterr().err
+
+
+def test_tables_are_staged_when_first_read(spark):
+    """A query over merchants writes no facts; upsells bring their merchants, payments the margin they are read from."""
+    import hashlib
+    import os
+    import pathlib
+    import tempfile
+
+    from ledgerline.params import DEFAULT_PARAMS as P
+    from ledgerline.plans.registry import REGISTRY, queries
+    from ledgerline.sources.tables import load_tables
+
+    queries()
+    sf = tempfile.mkdtemp(prefix="ledgerline-sf-") + "/tables"
+    os.symlink(SF, sf)
+    folder = pathlib.Path(scratch_path(spark, "staged", hashlib.sha1(sf.encode()).hexdigest()[:16]).removeprefix("file:"))
+    t = load_tables(spark, sf)
+    other = t.with_lists("other", country_codes=t.country_codes)
+    assert REGISTRY["activation_age"](t, P).count() > 0
+    assert {p.name for p in folder.iterdir()} == {"country_codes", "merchants"}
+    assert REGISTRY["activation_age"](other, P).count() == t.merchants.count()
+    written = _files(str(folder / "merchants"))
+    assert t.upsells.count() > 0 and other.payments.count() == t.margin.count() > 0
+    assert _files(str(folder / "merchants")) == written
+    assert {p.name for p in folder.iterdir()} == {"country_codes", "merchants", "upsells", "margin"}
+    assert set(t.as_dict()) == {"payments", "margin", "merchants", "opportunities", "country_codes", "team_role", "upsells", "backlog_curve", "pipeline_curve"}
+    assert (folder / "opportunities").is_dir()
