@@ -400,3 +400,30 @@ def test_tables_are_staged_when_first_read(spark):
     assert {p.name for p in folder.iterdir()} == {"country_codes", "merchants", "upsells", "margin"}
     assert set(t.as_dict()) == {"payments", "margin", "merchants", "opportunities", "country_codes", "team_role", "upsells", "backlog_curve", "pipeline_curve"}
     assert (folder / "opportunities").is_dir()
+
+
+def test_facts_are_laid_out_by_day_in_one_pass(spark, tables):
+    """Slices of days without a range partitioning (whose samples compute the facts twice): all rows, a day of many rows over
+    several slices, rows without a date too; a month lies in the slices of its days alone."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.sources.tables import MONTH_COL, by_days
+
+    day = F.when(F.col("id") < 3000, F.lit(dt.date(1999, 3, 5))).when(F.col("id") < 3100, F.lit(None).cast("date")).otherwise(
+        F.date_add(F.lit(dt.date(1999, 1, 1)), (F.col("id") % 300).cast("int")))
+    facts = spark.range(9000).select(day.alias("capture_date"), (F.col("id") % 7).alias("sales_merchant_id"), F.col("id").alias("npv"))
+    out = by_days(facts, facts.select("capture_date"), most=500)
+    plan = _plan(out)
+    assert "rangepartitioning" not in plan and "REPARTITION_BY_NUM" in plan
+    assert out.drop(MONTH_COL).exceptAll(facts).count() == 0 and out.count() == 9000
+    rows = out.select(F.spark_partition_id().alias("task"), MONTH_COL, "capture_date").collect()
+    sizes, of_hot, of_march = {}, set(), {}
+    for r in rows:
+        sizes[r.task] = sizes.get(r.task, 0) + 1
+        if r.capture_date == dt.date(1999, 3, 5):
+            of_hot.add(r.task)
+        if r[MONTH_COL] is not None:
+            of_march.setdefault(r[MONTH_COL], set()).add(r.task)
+    assert len(of_hot) >= 6 and max(sizes.values()) <= 1000
+    assert all(len(tasks) <= 3 for month, tasks in of_march.items() if month != dt.date(1999, 3, 1))
+    assert by_days(facts.limit(0), facts.limit(0).select("capture_date")).count() == 0
