@@ -427,3 +427,8 @@ def test_facts_are_laid_out_by_day_in_one_pass(spark, tables):
     assert len(of_hot) >= 6 and max(sizes.values()) <= 1000
     assert all(len(tasks) <= 3 for month, tasks in of_march.items() if month != dt.date(1999, 3, 1))
     assert by_days(facts.limit(0), facts.limit(0).select("capture_date")).count() == 0
+
+
+def test_margin_rows_stay_where_they_are_beside_broadcast_merchants(spark, registered):
+    plan = _plan(registered["margin_measures"](spark, SF))
+    assert "BroadcastHashJoin" in plan and "REPARTITION_BY" not in plan
