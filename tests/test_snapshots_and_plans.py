@@ -432,3 +432,24 @@ def test_facts_are_laid_out_by_day_in_one_pass(spark, tables):
 def test_margin_rows_stay_where_they_are_beside_broadcast_merchants(spark, registered):
     plan = _plan(registered["margin_measures"](spark, SF))
     assert "BroadcastHashJoin" in plan and "REPARTITION_BY" not in plan
+
+
+def test_tasks_hold_a_bounded_number_of_rows(spark, tables, monkeypatch):
+    """Partitions by merchant, and of the change between two states, follow the number of rows, not the bytes."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import attribution, changes
+    from ledgerline.plans import reports as R
+
+    monkeypatch.setattr(attribution, "TASK_ROWS", 100)
+    monkeypatch.setattr(changes, "TASK_ROWS", 100)
+    stored = R.daily_payments(tables)
+    daily = R.payments_daily(tables)
+    assert daily.rdd.getNumPartitions() >= stored.count() / 100 > 8
+    assert daily.exceptAll(stored).count() == 0 and daily.count() == stored.count()
+    before = spark.range(2000).select("id", F.lit(1).alias("m"), F.concat(F.lit("a"), F.col("id")).alias("a"))
+    after = before.withColumn("a", F.when(F.col("id") % 2 == 0, "b").otherwise(F.col("a"))).where("id > 9")
+    out = changes.changes(before, after, ["id"], ["m"], ["a"])
+    assert "REPARTITION_BY_NUM" in _plan(out)
+    assert out.rdd.getNumPartitions() >= 39
+    assert {r[0]: r[1] for r in out.groupBy("status").count().collect()} == {"gone": 10, "restated": 995}
