@@ -6,13 +6,16 @@ words that are too rare, and breaks between pieces, become 0.  By the Apriori ru
 a rare shorter phrase, so candidates of one more word are looked for only
 where both shorter phrases are frequent.
 
-Candidates stand in a double-array trie (``base`` and ``check``; a state is
-a place of the arrays) that is broadcast; numpy advances the states of all
-positions of a stream by one word at a time and counts accepting states with
-``bincount``; the counts of all tasks are summed.  A trie holds at most
-``TRIE_PHRASES`` phrases; more are dealt over several tries by a hash, and
-the streams are read once for each, so what the driver holds and broadcasts
-stays bounded.
+The frequent shorter phrases stand in a double-array trie (``base`` and
+``check``; a state is a place of the arrays) that is broadcast; numpy advances
+the states of positions of a stream by one word at a time and counts accepting
+states with the word behind them, all occurrences of each; the counts of all
+tasks are summed, which gives the candidates and their exact occurrences in
+one pass.  A trie holds about ``TRIE_PHRASES`` phrases; more are dealt over
+several tries by their first two words, so what the driver holds and
+broadcasts stays bounded, and each position is walked in one trie only.  That
+a candidate's last words are frequent too is looked up in a broadcast bitmap
+of hashes; a false hit there only costs a row that the threshold drops.
 """
 
 from __future__ import annotations
@@ -37,6 +40,9 @@ SLICE = 2 << 20  # bytes of text split at a time
 ROW_IDS = 1 << 15  # word numbers in a row of a stream
 HELD = 1 << 18  # word numbers worked on at a time
 TRIE_PHRASES = 125_000
+PAIR_PASSES = 4  # over the streams for pairs, so that a task sums a part of its pairs at a time
+FILTER_BITS = 1 << 26  # of the bitmap of shorter phrases, at most
+FOLD, PRIME = 1_000_003_579, (1 << 31) - 1
 VOCABULARY_WORDS, VOCABULARY_BYTES = 500_000, 16 << 20
 ROOT = -1
 WORDS = [f"w{i + 1}" for i in range(LONGEST)]
@@ -265,14 +271,16 @@ class DoubleArray:
         place = np.searchsorted(family, pairs[0])
         return (bases[place] + pairs[1])[inverse]
 
-    def walk(self, stream: np.ndarray, levels: int) -> Iterator[np.ndarray]:
-        """For 1 to ``levels`` words, the state reached from each position of ``stream`` (0: none)."""
-        state = np.where(stream < len(self.check), stream, 0)
+    def walk(self, stream: np.ndarray, levels: int, at: np.ndarray | None = None) -> Iterator[np.ndarray]:
+        """For 1 to ``levels`` words, the state reached from each position of ``stream``, or each of ``at`` (0: none)."""
+        at = np.arange(len(stream)) if at is None else at
+        stream = np.append(stream, np.zeros(levels, stream.dtype))
+        state = stream[at]
+        state = np.where(state < len(self.check), state, 0)
         state = np.where(self.check[state] == ROOT, state, 0)
         yield state
         for n in range(1, levels):
-            word = np.append(stream[n:], np.zeros(n, stream.dtype))[:len(stream)]
-            state = self.follow(state, word)
+            state = self.follow(state, stream[at + n])
             yield state
 
     def follow(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -296,47 +304,95 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(parts)
 
 
-def _tries(phrases: DataFrame) -> Iterator:
-    """Broadcast tries of the rows of ``phrases`` (w1..w4), each of at most about TRIE_PHRASES; bounded rows come to the driver."""
+def _gathered(parts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """Consecutive arrays joined to at least ``HELD`` values each, but for the last."""
+    held, total = [], 0
+    for part in parts:
+        held.append(part)
+        total += len(part)
+        if total >= HELD:
+            yield np.concatenate(held)
+            held, total = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def _fold(words: list):
+    """A number under ``PRIME`` for some words, the same for numpy arrays and for columns of 64-bit numbers; no product passes 64 bits."""
+    total = words[0]
+    for word in words[1:]:
+        total = (total * FOLD + word) % PRIME
+    return total
+
+
+def _longs(words: list[str]) -> list[Column]:
+    return [F.col(w).cast("long") for w in words]
+
+
+def _tries(phrases: DataFrame) -> Iterator[tuple]:
+    """Broadcast tries of the rows of ``phrases`` (w1..w4), each of about TRIE_PHRASES, and which first two words are in it; bounded rows come to the driver."""
     spark = phrases.sparkSession
     count = max(1, -(-phrases.count() // TRIE_PHRASES))
     for k in range(count):
-        part = phrases.where(F.pmod(F.xxhash64(*WORDS), F.lit(count)) == k) if count > 1 else phrases
+        part = phrases.where(_fold(_longs(WORDS[:2])) % F.lit(count) == k) if count > 1 else phrases
         found = part.select(*WORDS).toArrow()
         if found.num_rows:
             trie = DoubleArray(np.stack([c.to_numpy() for c in found.columns], axis=1))
-            yield spark.sparkContext.broadcast(trie), count == 1
+            yield spark.sparkContext.broadcast(trie), k, count
+
+
+def _bitmap(phrases: DataFrame, size: int):
+    """Broadcast bits, of which those of the rows of ``phrases`` (of ``size`` words) are set; at most FILTER_BITS reach the driver."""
+    bits = min(FILTER_BITS, max(64, 1 << (16 * phrases.count()).bit_length()))
+    at = phrases.select((_fold(_longs(WORDS[:size])) % F.lit(bits)).alias("at"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))
+    rows = at.groupBy(F.call_function("shiftright", "at", F.lit(6)).alias("place")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[rows.column("place").to_numpy()] = rows.column("bits").to_numpy()
+    return phrases.sparkSession.sparkContext.broadcast(out)
 
 
 def _columns(rows: np.ndarray, n: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*[pa.array(c.astype(np.int32)) for c in rows.T], pa.array(n.astype(np.int64))], schema=schema)
 
 
-_SCHEMA = pa.schema([*[(w, pa.int32()) for w in WORDS], ("n", pa.int64())])
-_DDL = ", ".join(f"{w} int" for w in WORDS) + ", n long"
+_SCHEMA = pa.schema([*[(w, pa.int32()) for w in WORDS], ("f", pa.int64())])
+_DDL = ", ".join(f"{w} int" for w in WORDS) + ", f long"
 
 
-def _supported(streams: DataFrame, shorter: DataFrame | None, size: int, least: int) -> DataFrame:
-    """Candidates of ``size`` words: both shorter phrases frequent, and at least ``least`` occurrences.
+def frequent_phrases(streams: DataFrame, shorter: DataFrame | None, size: int, least: int) -> DataFrame:
+    """w1..w4, f: phrases of ``size`` words with at least ``least`` occurrences, overlaps included, and their exact number.
 
-    A candidate is one number, its state before the last word and that word.  A
-    task hands on each with at most ``least`` as its support, which is enough
-    to see whether the sum reaches it; the tries count exactly afterwards.
+    ``shorter`` are those of one word less (none for pairs).  A candidate is
+    one number, its state before the last word and that word; only positions
+    whose first and last ``size - 1`` words may be frequent give one.
     """
-    def pass_over(trie, alone: bool):
+    def pass_over(trie, bitmap, k: int, count: int):
         schema = pa.schema([("code", pa.int64()), ("n", pa.int32())])
 
+        def candidates(stream: np.ndarray) -> np.ndarray:
+            fit = stream[:max(len(stream) - size + 1, 0)] > 0
+            for i in range(1, size):
+                fit &= stream[i:len(fit) + i] > 0
+            at = np.flatnonzero(fit)
+            if count > 1:
+                at = at[_fold([stream[at].astype(np.int64), stream[at + 1]]) % count == k]
+            if trie is None:
+                state = stream[at]
+            else:
+                *_, state = trie.value.walk(stream, size - 1, at)
+                at, state = at[state > 0], state[state > 0]
+                place = _fold([stream[at + i].astype(np.int64) for i in range(1, size)]) % (64 * len(bitmap.value))
+                likely = bitmap.value[place >> 6] >> (place & 63) & 1 > 0
+                at, state = at[likely], state[likely]
+            return state.astype(np.int64) << 32 | stream[at + size - 1]
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for stream in _streams(batches):
-                state = stream if trie is None else list(trie.value.walk(stream, size - 1))[-1]
-                begin, word = state[:max(len(state) - size + 1, 0)], stream[size - 1:]
-                fit = (begin > 0) & (word > 0)
-                if trie is not None and alone:  # the phrase without its first word is in the same trie
-                    fit &= state[1:][:len(fit)] > 0
-                codes, n = np.unique(begin[fit].astype(np.int64) << 32 | word[fit], return_counts=True)
-                n = np.minimum(n, least).astype(np.int32)
-                for lo in range(0, len(codes), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(codes[lo:lo + (1 << 16)]), pa.array(n[lo:lo + (1 << 16)])], schema=schema)
+            for codes in _gathered(map(candidates, _streams(batches))):
+                codes, n = np.unique(codes, return_counts=True)
+                n = n.astype(np.int32)
+                for lo in range(0, len(codes), 1 << 14):
+                    yield pa.RecordBatch.from_arrays([pa.array(codes[lo:lo + (1 << 14)]), pa.array(n[lo:lo + (1 << 14)])], schema=schema)
 
         return run
 
@@ -345,47 +401,27 @@ def _supported(streams: DataFrame, shorter: DataFrame | None, size: int, least:
             accepts = trie.value.accepts
             order = np.argsort(accepts)
             for batch in batches:
-                codes = batch.column(0).to_numpy()
+                codes, n = (batch.column(c).to_numpy() for c in ("code", "f"))
                 rows = trie.value.phrases[order[np.searchsorted(accepts, codes >> 32, sorter=order)]].copy()
                 rows[:, size - 1] = codes & 0xFFFFFFFF
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)) for c in rows.T], schema=_SCHEMA.remove(LONGEST))
+                yield _columns(rows, n, _SCHEMA)
 
         return run
 
-    found = streams.sparkSession.createDataFrame([], _DDL).drop("n")
-    for trie, alone in ([(None, True)] if shorter is None else _tries(shorter)):
-        codes = map_arrow(streams, pass_over(trie, alone), "code long, n int")
-        kept = codes.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("code")
+    found = streams.sparkSession.createDataFrame([], _DDL)
+    bitmap = None if shorter is None else _bitmap(shorter, size - 1)
+    for trie, k, count in ([(None, k, PAIR_PASSES) for k in range(PAIR_PASSES)] if shorter is None else _tries(shorter)):
+        codes = map_arrow(streams, pass_over(trie, bitmap, k, count), "code long, n int")
+        kept = codes.groupBy("code").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
         if trie is None:
             first, last = F.call_function("shiftright", F.col("code"), F.lit(32)), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF))
-            part = kept.select(first.cast("int").alias("w1"), last.cast("int").alias("w2"), *[F.lit(0).alias(w) for w in WORDS[2:]])
+            part = kept.select(first.cast("int").alias("w1"), last.cast("int").alias("w2"), *[F.lit(0).alias(w) for w in WORDS[2:]], "f")
         else:
-            part = map_arrow(kept, written_out(trie), ", ".join(f"{w} int" for w in WORDS))
+            part = map_arrow(kept, written_out(trie), _DDL)
         found = found.unionByName(part)
     return stored(found, f"phrases{size}")
 
 
-def count_phrases(streams: DataFrame, phrases: DataFrame) -> DataFrame:
-    """w1..w4, f: exact occurrences of each of ``phrases`` (lengths mixed) in the streams, overlaps included."""
-    def pass_over(trie):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = None
-            for stream in _streams(batches):
-                total = np.zeros(len(trie.value.check), np.int64) if total is None else total
-                for state in trie.value.walk(stream, LONGEST):
-                    total += np.bincount(state, minlength=len(total))
-            if total is not None:
-                n = total[trie.value.accepts]
-                yield _columns(trie.value.phrases[n > 0], n[n > 0], _SCHEMA)
-
-        return run
-
-    found = streams.sparkSession.createDataFrame([], _DDL)
-    for trie, _ in _tries(phrases):
-        found = found.unionByName(map_arrow(streams, pass_over(trie), _DDL))
-    return stored(found.groupBy(*WORDS).agg(F.sum("n").alias("f")), "counted")
-
-
 def _size(words: list[Column]) -> Column:
     return sum((F.when(w > 0, 1).otherwise(0) for w in words[1:]), F.lit(1))
 
@@ -418,11 +454,10 @@ def collocations(docs: DataFrame, least: int = LEAST, inside_percent: int = INSI
     streams = numbered(texts, frequent)
     levels = []
     for size in range(2, LONGEST + 1):
-        levels.append(_supported(streams, levels[-1] if levels else None, size, least))
-    every = levels[0]
+        levels.append(frequent_phrases(streams, levels[-1] if levels else None, size, least))
+    counted = levels[0]
     for level in levels[1:]:
-        every = every.unionByName(level)
-    counted = count_phrases(streams, every)
+        counted = counted.unionByName(level)
     single = frequent.select(F.col("id").alias("w1"), *[F.lit(0).alias(w) for w in WORDS[1:]], "f")
     known = single.unionByName(counted)
     exact = "decimal(30,0)"

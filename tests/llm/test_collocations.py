@@ -99,3 +99,33 @@ def test_scores_pass_64_bits(spark):
     row = spark.range(1).select(F.call_function("div", F.lit(collocations.SCALE).cast("decimal(8,0)") * F.lit(a).cast("decimal(29,0)"),
                                                 F.lit(l).cast(exact) + F.lit(r).cast(exact)).alias("s")).first()
     assert row["s"] == collocations.SCALE * a // (l + r)
+
+
+def test_phrases_are_counted_as_they_are_found(spark, monkeypatch):
+    # one pass a trie gives the exact counts, and each position is walked in one trie only
+    rng = np.random.default_rng(3)
+    rows = [rng.integers(0, 9, 400).astype(np.int32) for _ in range(6)] + [np.array([5] * 50, np.int32), np.array([1], np.int32)]
+    streams = spark.createDataFrame([(r.tobytes(),) for r in rows], "ids binary").repartition(3)
+    shorter = None
+    monkeypatch.setattr(collocations, "TRIE_PHRASES", 7)
+    for size in (2, 3, 4):
+        want = Counter(tuple(r[i:i + size].tolist()) for r in rows for i in range(len(r) - size + 1) if r[i:i + size].all())
+        shorter = collocations.frequent_phrases(streams, shorter, size, 3)
+        got = {tuple(w for w in row[:4] if w): row["f"] for row in shorter.collect()}
+        assert got == {p: f for p, f in want.items() if f >= 3}
+        assert all(len(p) == size for p in got)
+
+
+def test_walk_from_some_positions():
+    trie = collocations.DoubleArray(np.array([[1, 2, 0, 0], [2, 3, 1, 0], [3, 1, 0, 0]]))
+    stream = np.random.default_rng(2).integers(0, 4, 500).astype(np.int32)
+    at = np.arange(3, 500, 7)
+    for whole, some in zip(trie.walk(stream, 3), trie.walk(stream, 3, at)):
+        assert whole[at].tolist() == some.tolist()
+
+
+def test_fold_is_the_same_in_spark(spark):
+    rows = [[1, 2, 3], [2**31 - 1, 2**31 - 1, 2**31 - 1], [500_000, 1, 499_999]]
+    want = collocations._fold(list(np.array(rows, np.int64).T))
+    df = spark.createDataFrame(rows, "w1 int, w2 int, w3 int").select(collocations._fold(collocations._longs(["w1", "w2", "w3"])).alias("x"))
+    assert [r["x"] for r in df.collect()] == want.tolist()
