@@ -271,23 +271,22 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
         .withColumn("node", F.monotonically_increasing_id()), "classes")
 
     keys = map_arrow(classes.select("node", "sig"), _index(m), "key long, node long")
-    buckets = stored(keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-                     .where("pivot < last").select("key", "pivot"), "buckets")
+    buckets = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").select("key", "pivot")
     members = stored(keys.join(buckets, "key"), "members")
     near = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     pairs = stored(near.distinct(), "pairs")
-    wanted = stored(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "sig", "rep_id", "rep_row"), "wanted")
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "sig", "rep_id", "rep_row")
     texts = source.join(wanted, (source["row"] == wanted["rep_row"]) & source["doc_id"].eqNullSafe(wanted["rep_id"]))
     sets = map_arrow(texts.select("node", "n", "sig", "text"), _full_sets(width), "node long, n long, sig binary, members binary, bins binary")
     sets = stored(sets.dropDuplicates(["node"]), "sets")
 
     links = stored(_links(pairs, sets, percent, radius), "links")
     # classes that are linked to one and the same pivot are in one component
-    roots = stored(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), "roots")
+    roots = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
     for every in (False, True):
         labelled = stored(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
-        mixed = stored(labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
-                       .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "mixed")
+        mixed = (labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+                 .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
         left = (labelled.join(mixed, "key").join(sets.select("node", "n", "sig", "bins"), "node")
                 .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
                 .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -307,8 +306,8 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
         pairs = pairs.union(near)
 
     placed = stored(classes.join(roots, "node", "left").select("c1", "c2", "n", "min_id", F.coalesce("root", "node").alias("root")), "placed")
-    least = stored(placed.groupBy("root").agg(F.min("min_id").alias("component_id")), "least")
-    placed = stored(placed.join(least, "root").select("c1", "c2", "n", "component_id", "root", F.lit(True).alias("linked")), "placed")
+    least = placed.groupBy("root").agg(F.min("min_id").alias("component_id"))
+    placed = placed.join(least, "root").select("c1", "c2", "n", "component_id", "root", F.lit(True).alias("linked"))
     out = signed.select("doc_id", "row", "n", "c1", "c2").join(placed, ["c1", "c2", "n"], "left")
     component = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id"))
     alone = F.col("root").isNull()  # a class that links with nothing is its own group

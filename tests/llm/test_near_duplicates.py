@@ -173,3 +173,24 @@ def test_one_row_stays_of_near_copies_under_one_id_or_none(spark):
     first = [t for i, t in kept if i == 1]
     assert len(first) == 1 and first[0] in (copy(3), copy(190))
     assert kept == sorted([(1, first[0]), (2, other), (None, None), (None, ""), (3, " "), (3, " "), (4, "a b"), (None, "c d")], key=str)
+
+
+def test_tables_read_once_are_not_written(spark, monkeypatch):
+    # a written table is a file for each partition; only those that later steps read several times are written
+    from ledgerline.llm import components
+
+    written = []
+    real = minhash.stored
+
+    def counted(df, name):
+        written.append(name)
+        return real(df, name)
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    monkeypatch.setattr(components, "stored", counted)
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, words), (2, words + " tail"), (3, "other words " * 9), (4, words)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, percent=85).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 1}
+    assert not {"buckets", "wanted", "roots", "mixed", "least", "cc-min"} & set(written)
+    assert written.count("placed") == 1
