@@ -9,10 +9,12 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -95,6 +97,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def held_tables() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that computes a table at once and holds it on the executors' disks until the block ends.
+
+    For tables that are read again inside the block only, and that have the
+    same rows whenever they are computed: lineage stays, so the part of a lost
+    executor is computed again.  No files are written in the shared folder.
+    Not for a table made from several held ones: its plan has all of theirs.
+    """
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.DISK_ONLY))
+        held[-1].count()
+        return held[-1]
+
+    try:
+        yield hold
+    finally:
+        for df in reversed(held):
+            df.unpersist()
+
+
 def totals_before(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
     """``df`` with the total of each of ``sums`` over all rows before it, in an order by range partitions.
 

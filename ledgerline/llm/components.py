@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import held_tables, stored
+
+
+def _seen() -> list[Column]:
+    """Number and checksum of edges."""
+    return [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")]
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
     """``edges`` written and read back, with their number and a checksum, counted while they are written."""
     seen = Observation()
-    done = stored(edges.select("a", "b").observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), "cc")
+    done = stored(edges.select("a", "b").observe(seen, *_seen()), "cc")
     return done, (seen.get["n"], seen.get["h"])
 
 
@@ -32,17 +37,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b: long) that is not itself its component's smallest node.
 
-    Every step is written to the shared scratch folder; only a count and a
-    checksum reach the driver.  The number of steps grows with the logarithm
-    of the longest chain.  It ends when a large-star step leaves the edges of
+    Every small-star step is written to the shared scratch folder, and the
+    large-star step before it is held until then; only a count and a checksum
+    reach the driver.  The number of steps grows with the logarithm of the
+    longest chain.  It ends when a large-star step leaves the edges of
     the step before as they are and no node of them has two roots: then the
     small-star step would leave them too, and they are stars.  Self-loops are
     ignored; an empty table gives an empty table.
     """
     stars, before = _written(_small_star(edges.where("a <> b")))
     while before[0]:
-        moved, after = _written(_large_star(stars))
-        if after == before and stars.select("a").distinct().count() == before[0]:
-            break
-        stars, before = _written(_small_star(moved))
+        with held_tables() as hold:
+            moved = hold(_large_star(stars))
+            after = tuple(moved.agg(*_seen()).first())
+            if after == before and stars.select("a").distinct().count() == before[0]:
+                break
+            stars, before = _written(_small_star(moved))
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -28,7 +28,7 @@ many changes, are never written out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stored, text_hash, whole_rows
+from .common import held_tables, map_arrow, stored, text_hash, whole_rows
 from .components import connected_components
 from .shingles import distinct_by_text, hash_shingles, hash_words, mix, text_slices
 
@@ -239,6 +239,45 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, radius: int) -> Data
     return map_arrow(both, _confirm(percent, radius), "a long, b long")
 
 
+def _roots(source: DataFrame, classes: DataFrame, percent: int, width: int, m: int, radius: int, hold: Callable) -> DataFrame:
+    """(node, root) of the classes that are not their component's root; ``hold`` holds tables while they are in use."""
+    keys = map_arrow(classes.select("node", "sig"), _index(m), "key long, node long")
+    buckets = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").select("key", "pivot")
+    members = hold(keys.join(buckets, "key"))
+    near = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    pairs = near.distinct()
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "sig", "rep_id", "rep_row")
+    texts = source.join(wanted, (source["row"] == wanted["rep_row"]) & source["doc_id"].eqNullSafe(wanted["rep_id"]))
+    texts = texts.select("node", "n", "sig", "text").dropDuplicates(["node"])
+    sets = stored(map_arrow(texts, _full_sets(width), "node long, n long, sig binary, members binary, bins binary"), "sets")
+
+    links = stored(_links(pairs, sets, percent, radius), "links")
+    # classes that are linked to one and the same pivot are in one component
+    roots = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
+    for every in (False, True):
+        labelled = hold(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
+        mixed = (labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+                 .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+        left = (labelled.join(mixed, "key").join(sets.select("node", "n", "sig", "bins"), "node")
+                .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+                .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+                .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")))
+        blocks = (left.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")  # the same pairs each time
+                  .select("key", "i", "j", "block", "node", "root", "n", "sig", "bins"))
+        near = map_arrow(blocks, _near_in_blocks(percent, radius, every), "a long, b long").distinct()
+        near = stored(near.join(pairs, ["a", "b"], "left_anti") if every else near, "pairs")
+        more = stored(_links(near, sets, percent, radius), "links")
+        found = more.count()
+        if found:
+            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more) if every else links.union(more)
+        if found or not every:
+            roots = connected_components(links)
+        if near.count() == found:
+            break
+        pairs = pairs.union(near)
+    return roots
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, row, n_shingles, component_id, kept.
@@ -270,42 +309,9 @@ def _grouped(docs: DataFrame, percent: int, width: int, id_col: str, text_col: s
         .select("c1", "c2", "n", "sig", "min_id", F.col("rep.doc_id").alias("rep_id"), F.col("rep.row").alias("rep_row"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    keys = map_arrow(classes.select("node", "sig"), _index(m), "key long, node long")
-    buckets = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").select("key", "pivot")
-    members = stored(keys.join(buckets, "key"), "members")
-    near = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    pairs = stored(near.distinct(), "pairs")
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "sig", "rep_id", "rep_row")
-    texts = source.join(wanted, (source["row"] == wanted["rep_row"]) & source["doc_id"].eqNullSafe(wanted["rep_id"]))
-    sets = map_arrow(texts.select("node", "n", "sig", "text"), _full_sets(width), "node long, n long, sig binary, members binary, bins binary")
-    sets = stored(sets.dropDuplicates(["node"]), "sets")
-
-    links = stored(_links(pairs, sets, percent, radius), "links")
-    # classes that are linked to one and the same pivot are in one component
-    roots = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
-    for every in (False, True):
-        labelled = stored(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
-        mixed = (labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
-                 .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-        left = (labelled.join(mixed, "key").join(sets.select("node", "n", "sig", "bins"), "node")
-                .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-                .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-                .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")))
-        blocks = (left.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-                  .select("key", "i", "j", "block", "node", "root", "n", "sig", "bins"))
-        near = map_arrow(blocks, _near_in_blocks(percent, radius, every), "a long, b long").distinct()
-        near = stored(near.join(pairs, ["a", "b"], "left_anti") if every else near, "pairs")
-        more = stored(_links(near, sets, percent, radius), "links")
-        found = more.count()
-        if found:
-            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more) if every else links.union(more)
-        if found or not every:
-            roots = connected_components(links)
-        if near.count() == found:
-            break
-        pairs = pairs.union(near)
-
-    placed = stored(classes.join(roots, "node", "left").select("c1", "c2", "n", "min_id", F.coalesce("root", "node").alias("root")), "placed")
+    with held_tables() as hold:
+        roots = _roots(source, classes, percent, width, m, radius, hold)
+        placed = stored(classes.join(roots, "node", "left").select("c1", "c2", "n", "min_id", F.coalesce("root", "node").alias("root")), "placed")
     least = placed.groupBy("root").agg(F.min("min_id").alias("component_id"))
     placed = placed.join(least, "root").select("c1", "c2", "n", "component_id", "root", F.lit(True).alias("linked"))
     out = signed.select("doc_id", "row", "n", "c1", "c2").join(placed, ["c1", "c2", "n"], "left")
@@ -323,11 +329,11 @@ def keep_one(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "
     taken, so near duplicates under one id, or without any, leave one row too.
     Rows equal in id and text are duplicates: one stays.  Rows without words all stay.
     """
-    found = stored(_grouped(docs, percent, width, id_col, text_col).where("n_shingles > 0"), "groups")
+    found = _grouped(docs, percent, width, id_col, text_col).where("n_shingles > 0")
     first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
     keys = first.select(F.col("first.doc_id").alias("d"), F.col("first.row").alias("r"), F.lit(True).alias("chosen")).distinct()
     whole = whole_rows(docs, id_col, text_col).withColumn("solid", F.col("text").rlike("[^\\x20\\x09-\\x0D]")).drop("text")
-    chosen = whole.join(stored(keys, "kept"), F.col("row").eqNullSafe(F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
+    chosen = whole.join(keys, F.col("row").eqNullSafe(F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
     solid = F.coalesce("solid", F.lit(False))
     kept = chosen.where(~solid | F.col("chosen"))
     place = F.when(solid, F.lit(-1)).otherwise(F.monotonically_increasing_id())

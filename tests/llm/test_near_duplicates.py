@@ -194,3 +194,33 @@ def test_tables_read_once_are_not_written(spark, monkeypatch):
     assert got == {1: 1, 2: 1, 3: 3, 4: 1}
     assert not {"buckets", "wanted", "roots", "mixed", "least", "cc-min"} & set(written)
     assert written.count("placed") == 1
+
+
+def test_tables_of_one_step_are_held_and_let_go(spark, monkeypatch):
+    # each file written to a local folder starts children of its executor; short-lived and read-once tables are not written
+    from ledgerline.llm import components
+
+    written = []
+    real = minhash.stored
+
+    def counted(df, name):
+        written.append(name)
+        return real(df, name)
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    monkeypatch.setattr(components, "stored", counted)
+    rng = random.Random(3)
+    rows = [(k, t) for k, t in enumerate(t for _ in range(4) for t in family(rng, 12, 80, 6))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    kept = minhash.keep_one(docs, 80)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert {r["doc_id"] for r in kept.collect()} == {d for d, _, _, first in brute_force(rows, 80) if first}
+    assert not {"members", "labelled", "groups", "kept"} & set(written)
+    # a step of the components writes once; the last of a run finds nothing to do
+    steps = []
+    monkeypatch.setattr(components, "_large_star", lambda edges, real=components._large_star: steps.append(1) or real(edges))
+    written.clear()
+    chain = spark.createDataFrame([(k, k + 1) for k in range(9)], "a long, b long")
+    assert components.connected_components(chain).count() == 9
+    assert written.count("cc") == len(steps)
